@@ -64,3 +64,20 @@ def exclusive_prefix_sum(df: DataFrame, order_cols, value_col: str, name: str =
     return (r.join(F.broadcast(offs), "_pid")
             .withColumn(name, (F.col("_off") + local).cast("bigint"))
             .drop("_pid", "_loc", "_off"))
+
+
+def exclusive_running(df: DataFrame, order_cols, value_col: str, how: str = "min", name: str = "prev",
+                      partitions: int | None = None) -> DataFrame:
+    """Running ``min``/``max`` of ``value_col`` over all rows strictly before each
+    row (null for the first row), by the same two-level scan."""
+    agg = {"min": F.min, "max": F.max}[how]
+    r = _ranged(df, order_cols, partitions)
+    per = r.groupBy("_pid").agg(agg(value_col).alias("_t"))
+    w_parts = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offs = per.select("_pid", agg("_t").over(w_parts).alias("_off"))
+    w = Window.partitionBy("_pid").orderBy("_loc").rowsBetween(Window.unboundedPreceding, -1)
+    local = agg(value_col).over(w)
+    both = F.when(F.col("_off").isNull(), local).when(local.isNull(), F.col("_off")).otherwise(
+        F.least(local, F.col("_off")) if how == "min" else F.greatest(local, F.col("_off")))
+    return (r.join(F.broadcast(offs), "_pid").withColumn(name, both)
+            .drop("_pid", "_loc", "_off"))
