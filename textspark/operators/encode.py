@@ -184,7 +184,9 @@ class BpeTokenizer(Tokenizer):
         freqs = pretok.chunk_frequencies(docs, text_col)
         model = B.train_bpe(freqs, num_merges, **kw)
         vocab = V.bpe_vocab(model.base, model.merges)
-        return cls(vocab, model.merges, model.merge_rows, model.types, base=model.base)
+        tok = cls(vocab, model.merges, model.merge_rows, model.types, base=model.base)
+        tok.rounds = model.rounds
+        return tok
 
     def with_merges(self, k: int) -> "BpeTokenizer":
         """The tokenizer after only the first ``k`` merges (V10 sweeps)."""
