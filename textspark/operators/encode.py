@@ -230,3 +230,56 @@ def unk_rate(encoded: DataFrame, unk_id: int, ids_col="ids") -> DataFrame:
     e = encoded.select(F.explode(ids_col).alias("id"))
     return e.agg(F.avg((F.col("id") == unk_id).cast("double")).alias("unk_rate"),
                   F.count(F.lit(1)).cast("bigint").alias("n_tokens"))
+
+
+# --- E6: byte-level BPE ---------------------------------------------------------
+END_OF_TEXT = "<|endoftext|>"
+
+
+def byte_chunks(text_col):
+    """Chunks as byte strings: every UTF-8 byte becomes one ISO-8859-1 character,
+    so any text has a 256-symbol alphabet and nothing is unknown."""
+    return F.transform(bpe_chunks(text_col), lambda c: F.decode(F.encode(c, "UTF-8"), "ISO-8859-1"))
+
+
+class ByteBpeTokenizer(BpeTokenizer):
+    """Byte-level BPE: ids 0..255 are the bytes, merge ``r`` is id 256 + r, and
+    the end-of-text marker is the last id and always one token."""
+
+    @classmethod
+    def train(cls, docs: DataFrame, num_merges: int, text_col="text", **kw) -> "ByteBpeTokenizer":
+        spark = docs.sparkSession
+        pieces = F.filter(F.split(F.col(text_col), r"<\|endoftext\|>"), lambda p: F.length(p) > 0)
+        parts = docs.select(F.explode(pieces).alias("part"))
+        freqs = pretok.piece_frequencies(parts, byte_chunks("part"), "chunk")
+        model = B.train_bpe(freqs, num_merges, **kw)
+        byte_rows = [(chr(b), b) for b in range(256)]
+        merge_rows = [(a + b, 256 + r) for r, a, b, _ in model.merge_rows]
+        vocab = spark.createDataFrame(byte_rows + merge_rows + [(END_OF_TEXT, 256 + len(merge_rows))],
+                                      "token string, id int")
+        tok = cls(vocab, model.merges, model.merge_rows, model.types, byte_level=True)
+        tok.rounds = model.rounds
+        return tok
+
+    @property
+    def eot_id(self) -> int:
+        return 256 + len(self.merge_rows)
+
+    def encode(self, df: DataFrame, text_col="text", key_cols=("doc_id",), out="ids") -> DataFrame:
+        parts = df.select(*key_cols, F.posexplode(F.split(F.col(text_col), r"<\|endoftext\|>")).alias("part_no", "part"))
+        occ = parts.select(*key_cols, "part_no", F.posexplode(byte_chunks("part")).alias("pos", "chunk"))
+        enc = self.encoded_chunks(occ)
+        if enc.count() <= BROADCAST_ROWS:
+            enc = F.broadcast(enc)
+        eot = parts.where(F.col("part_no") > 0).select(
+            *key_cols, "part_no", F.lit(-1).alias("pos"), F.array(F.lit(self.eot_id)).alias("ids"))
+        pieces = occ.join(enc, "chunk").select(*key_cols, "part_no", "pos", "ids").unionByName(eot)
+        ids = (pieces.groupBy(*key_cols)
+               .agg(F.array_sort(F.collect_list(F.struct("part_no", "pos", "ids"))).alias("s"))
+               .select(*key_cols, F.flatten(F.transform("s", lambda s: s["ids"])).alias(out)))
+        return df.join(ids, list(key_cols), "left").withColumn(
+            out, F.coalesce(F.col(out), F.array().cast("array<int>")))
+
+    def join_tokens(self, toks):
+        """Bytes back to text; malformed UTF-8 becomes U+FFFD."""
+        return F.make_valid_utf8(F.encode(F.array_join(toks, ""), "ISO-8859-1").cast("string"))

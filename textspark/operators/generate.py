@@ -32,14 +32,14 @@ def candidates(model: NgramModel) -> DataFrame:
     return succ.unionByName(uni)
 
 
-def uniform(seed_col, pid_col, step) -> F.Column:
+def uniform(seed_col, pid_col, step_col) -> F.Column:
     """U in [0, 1) from (seed, prompt, step); no RNG state, so the draw
     does not depend on partitioning or retries."""
-    h = F.xxhash64(F.coalesce(seed_col.cast("bigint"), F.lit(-1)), pid_col, F.lit(step))
+    h = F.xxhash64(F.coalesce(seed_col.cast("bigint"), F.lit(-1)), pid_col, step_col.cast("bigint"))
     return h.bitwiseAND(F.lit((1 << 53) - 1)).cast("double") / F.lit(TWO53)
 
 
-def choose_next(cands: DataFrame, step: int) -> DataFrame:
+def choose_next(cands: DataFrame) -> DataFrame:
     """G1-G5 for rows (pid, ..., token, logp, temperature, top_k, seed): one
     chosen row per pid. temperature 0 = greedy (highest logp, smallest id)."""
     by_pid = Window.partitionBy("pid")
@@ -56,7 +56,9 @@ def choose_next(cands: DataFrame, step: int) -> DataFrame:
     c = c.withColumn("_hi", F.sum("_p").over(ordered))
     c = c.withColumn("_lo", F.col("_hi") - F.col("_p"))
     c = c.withColumn("_last", F.row_number().over(by_pid.orderBy(F.col("token").desc())) == 1)
-    u = uniform(F.col("seed"), F.col("pid"), step)
+    # the step is the row's own token count, so every round has the same plan
+    # (and reuses its generated code)
+    u = uniform(F.col("seed"), F.col("pid"), F.col("new_tokens"))
     sampled = (u >= F.col("_lo")) & ((u < F.col("_hi")) | F.col("_last"))  # G4 inverse CDF
     pick = F.when(F.col("temperature") == 0, F.col("_g") == 1).otherwise(sampled)
     c = c.where(pick)
@@ -66,13 +68,20 @@ def choose_next(cands: DataFrame, step: int) -> DataFrame:
 
 
 def generate(model: NgramModel, prompts: DataFrame, max_steps: int | None = None,
-             checkpoint_every: int = 1) -> DataFrame:
+             checkpoint_every: int = 8) -> DataFrame:
     """Prompts (pid, ids, max_new_tokens, temperature, top_k, seed, stop_ids)
     -> (pid, ids, new_tokens). The context of the next token is the last token
     (bigram: the model only looks at the last n-1 tokens, G7). A row stops
-    after its newest token is a stop id (the token is kept, G8)."""
+    after its newest token is a stop id (the token is kept, G8).
+
+    Rounds are chained lazily through persisted frames (one Spark job at the
+    end, each round computed once); every ``checkpoint_every`` rounds the live
+    and finished rows are written to the checkpoint folder, so a lost executor
+    replays at most that many rounds."""
+    from pyspark import StorageLevel
     if max_steps is None:
         max_steps = prompts.agg(F.max("max_new_tokens")).first()[0] or 0
+    parts = int(prompts.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
     # model tables are read every round: materialize them once (their size is
     # bounded by the vocabulary: contexts <= V rows, candidates <= V * (V + 1))
     cands = reliable_checkpoint(candidates(model))
@@ -80,27 +89,32 @@ def generate(model: NgramModel, prompts: DataFrame, max_steps: int | None = None
     cols = prompts.columns
     live = reliable_checkpoint(prompts.withColumn("new_tokens", F.lit(0)))
     done_parts = []
+    cached = []
     for step in range(max_steps):
+        done_parts.append(live.where(F.col("new_tokens") >= F.col("max_new_tokens")))
         active = live.where(F.col("new_tokens") < F.col("max_new_tokens"))
-        finished = live.where(F.col("new_tokens") >= F.col("max_new_tokens"))
-        done_parts.append(finished)
         last = F.element_at("ids", -1)                                     # G7: last n-1 tokens
         keyed = (active.withColumn("context", last).join(F.broadcast(known), "context", "left")
                  .withColumn("context", F.when(F.col("_known"), F.col("context")).otherwise(F.lit(UNSEEN)))
                  .drop("_known"))
-        chosen = choose_next(keyed.join(cands, "context"), step)
+        chosen = choose_next(keyed.join(cands, "context"))
         nxt = chosen.select(
             *[c for c in cols if c != "ids"],
             F.concat("ids", F.array(F.col("token").cast("int"))).alias("ids"),
             (F.col("new_tokens") + 1).alias("new_tokens"),
             F.array_contains(F.coalesce("stop_ids", F.array().cast("array<int>")), F.col("token").cast("int"))
             .alias("_stop"))
+        if (step + 1) % checkpoint_every == 0:
+            nxt = reliable_checkpoint(nxt)
+            done_parts = [reliable_checkpoint(_union(done_parts).coalesce(parts))]
+            for c in cached:
+                c.unpersist(blocking=False)
+            cached = []
+        else:
+            nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)
+            cached.append(nxt)
         done_parts.append(nxt.where("_stop").drop("_stop"))
         live = nxt.where(~F.col("_stop")).drop("_stop")
-        if (step + 1) % checkpoint_every == 0:
-            live = reliable_checkpoint(live)
-        if len(done_parts) >= 16:
-            done_parts = [reliable_checkpoint(_union(done_parts))]
     out = _union(done_parts + [live])
     return out.select("pid", "ids", "new_tokens")
 

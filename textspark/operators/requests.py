@@ -31,7 +31,7 @@ def _number(v, key, default, is_int, low, high):
     x = _field(v, key)
     kind = _kind(x)
     as_str = F.try_variant_get(x, "$", "string")
-    missing = kind.isin("MISSING", "NULL") | ((kind == "STRING") & (as_str == ""))
+    missing = kind.isin("MISSING", "NULL", "VOID") | ((kind == "STRING") & (as_str == ""))
     if is_int:
         from_str = F.when(as_str.rlike(INT_TEXT), F.trim(as_str).try_cast("bigint"))
         numeric = F.try_variant_get(x, "$", "double")          # JSON floats truncate like int()
@@ -59,9 +59,9 @@ def validate_requests(payloads: DataFrame, payload_col="payload") -> DataFrame:
     is_obj = v.isNotNull() & F.schema_of_variant(v).startswith("OBJECT")
     p = _field(v, "prompt")
     pk = _kind(p)
-    prompt = F.when(pk.isin("MISSING", "NULL"), F.lit("")).otherwise(F.try_variant_get(p, "$", "string"))
+    prompt = F.when(pk.isin("MISSING", "NULL", "VOID"), F.lit("")).otherwise(F.try_variant_get(p, "$", "string"))
     prompt_blank = F.regexp_replace(prompt, rf"(?U)[{S}]+", "") == ""
-    prompt_err = (F.when(~pk.isin("MISSING", "NULL", "STRING"), F.lit(K.MSG_EMPTY_PROMPT))
+    prompt_err = (F.when(~pk.isin("MISSING", "NULL", "VOID", "STRING"), F.lit(K.MSG_EMPTY_PROMPT))
                   .when(prompt_blank, F.lit(K.MSG_EMPTY_PROMPT))
                   .when(F.length(prompt) > K.MAX_PROMPT_CHARS, F.lit(K.MSG_LONG_PROMPT)))
     mnt, mnt_err = _number(v, "max_new_tokens", K.MAX_NEW_TOKENS, True, 1, K.MAX_NEW_TOKENS_LIMIT)

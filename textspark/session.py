@@ -56,6 +56,12 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     """Materialize ``df`` into the shared checkpoint folder and cut its lineage.
 
     Survives executor loss (unlike a local checkpoint, whose blocks die with
-    the executor)."""
+    the executor). The frame is cached while the checkpoint is written, so the
+    plan runs once (a reliable checkpoint otherwise recomputes it for the
+    file write)."""
+    from pyspark import StorageLevel
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = cached.checkpoint(eager=True)
+    cached.unpersist(blocking=False)
+    return out

@@ -111,9 +111,12 @@ def save_model(model, path: str, epoch: int | None = None, val_loss: float | Non
 def load_model(spark: SparkSession, path: str):
     """Both parts must exist; missing metadata fields get defaults."""
     from ..operators.lm import NgramModel
-    for part in ("pairs", "meta"):
-        if not os.path.exists(os.path.join(path, part)) and "://" not in path:
-            raise FileNotFoundError(os.path.join(path, part))
+    from pyspark.errors import AnalysisException
+    try:
+        spark.read.parquet(os.path.join(path, "pairs")).schema
+        spark.read.parquet(os.path.join(path, "meta")).schema
+    except AnalysisException as err:
+        raise FileNotFoundError(f"model parts missing under {path}") from err
     meta = spark.read.parquet(os.path.join(path, "meta")).select(
         "config", F.coalesce("epoch", F.lit(0)).alias("epoch"),
         F.coalesce("val_loss", F.lit(float("inf"))).alias("val_loss")).first()
