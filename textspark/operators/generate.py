@@ -40,31 +40,35 @@ def uniform(seed_col, pid_col, step_col) -> F.Column:
 
 
 def choose_next(cands: DataFrame) -> DataFrame:
-    """G1-G5 for rows (pid, ..., token, logp, temperature, top_k, seed): one
-    chosen row per pid. temperature 0 = greedy (highest logp, smallest id)."""
+    """G1-G5 for rows (pid, ..., token, logp, temperature, top_k, seed,
+    new_tokens): one chosen row per pid. temperature 0 = greedy (highest logp,
+    smallest id). Two ordered windows (rank for top-k, cumulative sum for the
+    inverse CDF); the rest are whole-partition windows over the same pid
+    partitioning."""
     by_pid = Window.partitionBy("pid")
-    greedy_rank = F.row_number().over(by_pid.orderBy(F.col("logp").desc(), "token"))
     t = F.col("temperature")
-    scaled = F.when(t > 0, F.col("logp") / F.when(t > 0, t)).otherwise(F.col("logp"))   # G1
-    c = cands.withColumn("_g", greedy_rank).withColumn("_l", scaled)
-    c = c.withColumn("_r", F.rank().over(by_pid.orderBy(F.col("_l").desc())))   # G2 (ties kept)
-    keep = (F.col("temperature") == 0) | (F.col("top_k") <= 0) | (F.col("_r") <= F.col("top_k"))
-    c = c.where(keep)
-    c = c.withColumn("_e", F.exp(F.col("_l") - F.max("_l").over(by_pid)))       # G3
+    greedy = t == 0
+    best = F.max("logp").over(by_pid)
+    c = cands.withColumn("_best", F.min(F.when(F.col("logp") == best, F.col("token"))).over(by_pid))  # G5
+    scaled = F.when(t > 0, F.col("logp") / F.when(t > 0, t)).otherwise(F.col("logp"))            # G1
+    c = c.withColumn("_l", scaled)
+    c = c.withColumn("_r", F.rank().over(by_pid.orderBy(F.col("_l").desc())))                   # G2 (ties kept)
+    c = c.where(greedy | (F.col("top_k") <= 0) | (F.col("_r") <= F.col("top_k")))
+    c = c.withColumn("_e", F.exp(F.col("_l") - F.max("_l").over(by_pid)))                      # G3
     c = c.withColumn("_p", F.col("_e") / F.sum("_e").over(by_pid))
-    ordered = by_pid.orderBy("token").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    c = c.withColumn("_hi", F.sum("_p").over(ordered))
-    c = c.withColumn("_lo", F.col("_hi") - F.col("_p"))
-    c = c.withColumn("_last", F.row_number().over(by_pid.orderBy(F.col("token").desc())) == 1)
+    before = by_pid.orderBy("token").rowsBetween(Window.unboundedPreceding, -1)
+    c = c.withColumn("_lo", F.coalesce(F.sum("_p").over(before), F.lit(0.0)))
+    c = c.withColumn("_last", F.col("token") == F.max("token").over(by_pid))
     # the step is the row's own token count, so every round has the same plan
     # (and reuses its generated code)
     u = uniform(F.col("seed"), F.col("pid"), F.col("new_tokens"))
-    sampled = (u >= F.col("_lo")) & ((u < F.col("_hi")) | F.col("_last"))  # G4 inverse CDF
-    pick = F.when(F.col("temperature") == 0, F.col("_g") == 1).otherwise(sampled)
-    c = c.where(pick)
-    # float rounding can leave two rows matching u at a boundary: keep the first
-    c = c.withColumn("_one", F.row_number().over(by_pid.orderBy("token"))).where(F.col("_one") == 1)
-    return c.drop("_g", "_l", "_r", "_e", "_p", "_hi", "_lo", "_last", "_one")
+    # G4 inverse CDF: a row owns [its prefix sum, the next row's prefix sum);
+    # both bounds are the same window values, so exactly one row matches and
+    # the last row takes any rounding remainder
+    c = c.withColumn("_hi", F.lead("_lo").over(by_pid.orderBy("token")))
+    sampled = (u >= F.col("_lo")) & (F.col("_last") | (u < F.col("_hi")))
+    pick = F.when(greedy, F.col("token") == F.col("_best")).otherwise(sampled)
+    return c.where(pick).drop("_best", "_l", "_r", "_e", "_p", "_lo", "_hi", "_last")
 
 
 def generate(model: NgramModel, prompts: DataFrame, max_steps: int | None = None,

@@ -382,3 +382,44 @@ def g14_prompt_file_prep(spark, sf_dir):
     lines = c.select("conv_id", "turn", F.posexplode(F.split("text", "\n")).alias("i", "line"))
     lines = lines.select((F.col("conv_id") * 1000000 + F.col("turn") * 1000 + F.col("i")).alias("ord"), "line")
     return G.prompt_file_prep(lines)
+
+
+@register("g1_temperature", BASE_SQL + CANDS_SQL + f"""
+select context::int as context, token::int as token, round(logp / {K.TEMPERATURE}, 6) as logit from cand""")
+def g1_temperature(spark, sf_dir):
+    c = G.candidates(char_setup(spark, sf_dir).model)
+    return c.select(F.col("context").cast("int"), F.col("token").cast("int"),
+                    F.round(F.col("logp") / F.lit(K.TEMPERATURE), 6).alias("logit"))
+
+
+@register("g2_top_k_filter", BASE_SQL + CANDS_SQL + """
+select context::int as context, token::int as token from (
+  select context, token, rank() over (partition by context order by logp desc) as r from cand) where r <= 3""")
+def g2_top_k_filter(spark, sf_dir):
+    """k = 3: every token whose score ties the third best stays."""
+    c = G.filtered_distribution(G.candidates(char_setup(spark, sf_dir).model), 1.0, 3)
+    return c.select(F.col("context").cast("int"), F.col("token").cast("int"))
+
+
+@register("g7_crop_context", GREEDY_CHAIN_SQL + "\nselect pid, ids[-1]::int as context from p0")
+def g7_crop_context(spark, sf_dir):
+    """The conditioning context of a bigram model: the last token of each prompt."""
+    p = prompts(spark, sf_dir)
+    return p.select("pid", F.element_at("ids", -1).cast("int").alias("context"))
+
+
+@register("t10_continuation_after_prompt", """
+select conv_id, text as continuation from conversations
+where turn = 1 and conv_id in (select conv_id from conversations where turn = 0)""")
+def t10_continuation_after_prompt(spark, sf_dir):
+    """The shown prompt is the *decoded* first turn (unknown characters appear as
+    <unk>); the continuation is what follows it in prompt + second turn."""
+    from ..functions.text import continuation_after_prompt
+    s = char_setup(spark, sf_dir)
+    c = read_table(spark, sf_dir, "conversations", "conv_id", "turn", "text")
+    first = s.tok.encode(c.where("turn = 0").select("conv_id", "text"), key_cols=("conv_id",))
+    shown = first.select("conv_id", s.tok.decode_col("ids").alias("shown"))
+    second = c.where("turn = 1").select("conv_id", F.col("text").alias("reply"))
+    j = shown.join(second, "conv_id")
+    return j.select("conv_id", continuation_after_prompt(F.concat("shown", "reply"), F.col("shown"))
+                    .alias("continuation"))
