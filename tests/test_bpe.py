@@ -82,3 +82,17 @@ def test_bpe_round_trip_and_unknown(spark):
     other = spark.createDataFrame([(1, "hé")], "doc_id long, text string")
     ids = tok.encode(other).first().ids
     assert tok.unk_id in ids
+
+
+def test_byte_level_round_trip_any_text(spark):
+    docs = spark.createDataFrame([(0, "héllo wörld, hello there " * 5)], "doc_id long, text string")
+    tok = E.ByteBpeTokenizer.train(docs, 30)
+    texts = ["déjà vu 😀<|endoftext|>naïve", "日本語", "plain"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    enc = tok.encode(df)
+    rows = enc.select("doc_id", "ids", tok.decode_col("ids").alias("back")).orderBy("doc_id").collect()
+    assert [r.back for r in rows] == texts
+    assert rows[0].ids.count(tok.eot_id) == 1
+    # a lone continuation byte is not valid UTF-8: decoding shows U+FFFD
+    bad = spark.createDataFrame([([0x80],)], "ids array<int>")
+    assert bad.select(tok.decode_col("ids")).first()[0] == "�"

@@ -16,6 +16,7 @@ from ..functions import constants as K
 from ..functions.text import bpe_chunks, char_split, word_split
 from . import bpe as B
 from . import pretok, vocab as V
+from ..session import reliable_checkpoint
 
 MAP_LIMIT = 50_000           # entries in an in-plan literal (about 1 MB at most)
 BROADCAST_ROWS = 2_000_000   # encoded distinct chunks broadcast below this
@@ -214,8 +215,10 @@ class BpeTokenizer(Tokenizer):
 
     def encode(self, df: DataFrame, text_col="text", key_cols=("doc_id",), out="ids") -> DataFrame:
         occ = pretok.explode_pieces(df, self.pieces(text_col), key_cols, "chunk")
-        enc = self.encoded_chunks(occ)
-        if enc.count() <= BROADCAST_ROWS:          # checked size: broadcast the encoded chunk table
+        # the distinct-chunk table is computed once (checkpointed), then its size
+        # decides between a broadcast and a shuffle join
+        enc = reliable_checkpoint(self.encoded_chunks(occ))
+        if enc.count() <= BROADCAST_ROWS:
             enc = F.broadcast(enc)
         j = occ.join(enc, "chunk")
         ids = (j.groupBy(*key_cols)
@@ -268,7 +271,7 @@ class ByteBpeTokenizer(BpeTokenizer):
     def encode(self, df: DataFrame, text_col="text", key_cols=("doc_id",), out="ids") -> DataFrame:
         parts = df.select(*key_cols, F.posexplode(F.split(F.col(text_col), r"<\|endoftext\|>")).alias("part_no", "part"))
         occ = parts.select(*key_cols, "part_no", F.posexplode(byte_chunks("part")).alias("pos", "chunk"))
-        enc = self.encoded_chunks(occ)
+        enc = reliable_checkpoint(self.encoded_chunks(occ))
         if enc.count() <= BROADCAST_ROWS:
             enc = F.broadcast(enc)
         eot = parts.where(F.col("part_no") > 0).select(
