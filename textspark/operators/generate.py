@@ -20,6 +20,7 @@ from .lm import NgramModel
 
 UNSEEN = -1
 TWO53 = float(2 ** 53)
+CAND_BROADCAST_ROWS = 5_000_000   # candidate rows broadcast to every task below this
 
 
 def candidates(model: NgramModel) -> DataFrame:
@@ -40,94 +41,81 @@ def uniform(seed_col, pid_col, step_col) -> F.Column:
 
 
 def choose_next(cands: DataFrame) -> DataFrame:
-    """G1-G5 for rows (pid, ..., token, logp, temperature, top_k, seed,
-    new_tokens): one chosen row per pid. temperature 0 = greedy (highest logp,
-    smallest id). Two ordered windows (rank for top-k, cumulative sum for the
-    inverse CDF); the rest are whole-partition windows over the same pid
-    partitioning."""
+    """G1-G5 for rows (pid, ..., _done, token, logp, temperature, top_k, seed,
+    new_tokens): one row per pid. Finished prompts carry one row with a null
+    token and pass through. temperature 0 = greedy (highest logp, smallest id).
+    Two ordered windows (rank for top-k, prefix sums for the inverse CDF); the
+    others are whole-partition windows over the same pid partitioning."""
     by_pid = Window.partitionBy("pid")
     t = F.col("temperature")
+    done = F.col("_done")
     greedy = t == 0
-    best = F.max("logp").over(by_pid)
-    c = cands.withColumn("_best", F.min(F.when(F.col("logp") == best, F.col("token"))).over(by_pid))  # G5
     scaled = F.when(t > 0, F.col("logp") / F.when(t > 0, t)).otherwise(F.col("logp"))            # G1
-    c = c.withColumn("_l", scaled)
-    c = c.withColumn("_r", F.rank().over(by_pid.orderBy(F.col("_l").desc())))                   # G2 (ties kept)
-    c = c.where(greedy | (F.col("top_k") <= 0) | (F.col("_r") <= F.col("top_k")))
-    c = c.withColumn("_e", F.exp(F.col("_l") - F.max("_l").over(by_pid)))                      # G3
-    c = c.withColumn("_p", F.col("_e") / F.sum("_e").over(by_pid))
+    c = cands.withColumns({
+        "_best": F.min(F.when(F.col("logp") == F.max("logp").over(by_pid), F.col("token"))).over(by_pid),  # G5
+        "_l": scaled,
+        "_r": F.rank().over(by_pid.orderBy(scaled.desc())),                                     # G2 (ties kept)
+    })
+    c = c.where(done | greedy | (F.col("top_k") <= 0) | (F.col("_r") <= F.col("top_k")))
+    c = c.withColumns({"_e": F.exp(F.col("_l") - F.max("_l").over(by_pid)),                    # G3
+                       "_last": F.col("token") == F.max("token").over(by_pid)})
     before = by_pid.orderBy("token").rowsBetween(Window.unboundedPreceding, -1)
-    c = c.withColumn("_lo", F.coalesce(F.sum("_p").over(before), F.lit(0.0)))
-    c = c.withColumn("_last", F.col("token") == F.max("token").over(by_pid))
-    # the step is the row's own token count, so every round has the same plan
-    # (and reuses its generated code)
-    u = uniform(F.col("seed"), F.col("pid"), F.col("new_tokens"))
-    # G4 inverse CDF: a row owns [its prefix sum, the next row's prefix sum);
-    # both bounds are the same window values, so exactly one row matches and
-    # the last row takes any rounding remainder
+    c = c.withColumn("_lo", F.coalesce(F.sum("_e").over(before), F.lit(0.0)) / F.sum("_e").over(by_pid))
+    # G4 inverse CDF: a row owns [its prefix share, the next row's prefix share);
+    # both bounds are the same window values, so exactly one row matches and the
+    # last row takes any rounding remainder. The step is the row's own token
+    # count, so every round has the same plan (and reuses its generated code).
     c = c.withColumn("_hi", F.lead("_lo").over(by_pid.orderBy("token")))
+    u = uniform(F.col("seed"), F.col("pid"), F.col("new_tokens"))
     sampled = (u >= F.col("_lo")) & (F.col("_last") | (u < F.col("_hi")))
-    pick = F.when(greedy, F.col("token") == F.col("_best")).otherwise(sampled)
-    return c.where(pick).drop("_best", "_l", "_r", "_e", "_p", "_lo", "_hi", "_last")
+    pick = F.when(done, F.lit(True)).when(greedy, F.col("token") == F.col("_best")).otherwise(sampled)
+    return c.where(pick).drop("_best", "_l", "_r", "_e", "_lo", "_hi", "_last")
 
 
 def generate(model: NgramModel, prompts: DataFrame, max_steps: int | None = None,
-             checkpoint_every: int = 8) -> DataFrame:
+             check_every: int = 4) -> DataFrame:
     """Prompts (pid, ids, max_new_tokens, temperature, top_k, seed, stop_ids)
     -> (pid, ids, new_tokens). The context of the next token is the last token
     (bigram: the model only looks at the last n-1 tokens, G7). A row stops
     after its newest token is a stop id (the token is kept, G8).
 
-    Rounds are chained lazily through persisted frames (one Spark job at the
-    end, each round computed once); every ``checkpoint_every`` rounds the live
-    and finished rows are written to the checkpoint folder, so a lost executor
-    replays at most that many rounds."""
-    from pyspark import StorageLevel
+    The state is one frame of all prompts, hash-partitioned by pid once, with a
+    ``_done`` flag. A round is a broadcast left join with the candidates (live
+    rows only) and windows that reuse the pid partitioning: no shuffle. Every
+    round is checkpointed to the shared folder (constant plan depth, a lost
+    executor costs one round); the loop ends early once every row is done."""
     if max_steps is None:
         max_steps = prompts.agg(F.max("max_new_tokens")).first()[0] or 0
     parts = int(prompts.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
-    # model tables are read every round: materialize them once (their size is
-    # bounded by the vocabulary: contexts <= V rows, candidates <= V * (V + 1))
-    cands = reliable_checkpoint(candidates(model))
-    known = reliable_checkpoint(model.contexts.select("context", F.lit(True).alias("_known")))
-    cols = prompts.columns
-    live = reliable_checkpoint(prompts.withColumn("new_tokens", F.lit(0)))
-    done_parts = []
-    cached = []
+    cands = reliable_checkpoint(candidates(model).withColumnRenamed("context", "_ctx"))
+    known = model.contexts.select(F.col("context").alias("_kctx"), F.lit(True).alias("_known"))
+    # checked sizes: both tables are bounded by the vocabulary (contexts <= V,
+    # candidates <= observed pairs + V)
+    if cands.count() <= CAND_BROADCAST_ROWS:
+        cands = F.broadcast(cands)
+    if known.count() <= CAND_BROADCAST_ROWS:
+        known = F.broadcast(known)
+    cols = [c for c in prompts.columns if c not in ("ids",)]
+    state = prompts.withColumn("new_tokens", F.lit(0)).withColumn(
+        "_done", F.col("max_new_tokens") <= 0).repartition(parts, "pid")
+    state = reliable_checkpoint(state)
     for step in range(max_steps):
-        done_parts.append(live.where(F.col("new_tokens") >= F.col("max_new_tokens")))
-        active = live.where(F.col("new_tokens") < F.col("max_new_tokens"))
-        last = F.element_at("ids", -1)                                     # G7: last n-1 tokens
-        keyed = (active.withColumn("context", last).join(F.broadcast(known), "context", "left")
-                 .withColumn("context", F.when(F.col("_known"), F.col("context")).otherwise(F.lit(UNSEEN)))
-                 .drop("_known"))
-        chosen = choose_next(keyed.join(cands, "context"))
-        nxt = chosen.select(
-            *[c for c in cols if c != "ids"],
-            F.concat("ids", F.array(F.col("token").cast("int"))).alias("ids"),
-            (F.col("new_tokens") + 1).alias("new_tokens"),
-            F.array_contains(F.coalesce("stop_ids", F.array().cast("array<int>")), F.col("token").cast("int"))
-            .alias("_stop"))
-        if (step + 1) % checkpoint_every == 0:
-            nxt = reliable_checkpoint(nxt)
-            done_parts = [reliable_checkpoint(_union(done_parts).coalesce(parts))]
-            for c in cached:
-                c.unpersist(blocking=False)
-            cached = []
-        else:
-            nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)
-            cached.append(nxt)
-        done_parts.append(nxt.where("_stop").drop("_stop"))
-        live = nxt.where(~F.col("_stop")).drop("_stop")
-    out = _union(done_parts + [live])
-    return out.select("pid", "ids", "new_tokens")
-
-
-def _union(parts):
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        last = F.element_at("ids", -1)                                          # G7: last n-1 tokens
+        keyed = state.join(known, last == F.col("_kctx"), "left")
+        key = F.when(F.col("_known"), last).otherwise(F.lit(UNSEEN))
+        j = keyed.join(cands, (key == F.col("_ctx")) & ~F.col("_done"), "left")
+        chosen = choose_next(j)
+        tok = F.col("token").cast("int")
+        stop = F.array_contains(F.coalesce("stop_ids", F.array().cast("array<int>")), tok)
+        state = chosen.select(
+            *[c for c in cols if c not in ("new_tokens", "_done")],
+            F.when(F.col("_done"), F.col("ids")).otherwise(F.concat("ids", F.array(tok))).alias("ids"),
+            F.when(F.col("_done"), F.col("new_tokens")).otherwise(F.col("new_tokens") + 1).alias("new_tokens"),
+            (F.col("_done") | stop | (F.col("new_tokens") + 1 >= F.col("max_new_tokens"))).alias("_done"))
+        state = reliable_checkpoint(state)
+        if (step + 1) % check_every == 0 and state.where(~F.col("_done")).limit(1).count() == 0:
+            break
+    return state.select("pid", "ids", "new_tokens")
 
 
 def filtered_distribution(cands: DataFrame, temperature: float, top_k: int) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
+from ..session import reliable_checkpoint
 from .order import exclusive_running
 
 
@@ -56,12 +57,15 @@ class NgramModel:
 
 
 def fit_ngram(encoded: DataFrame, vocab_size: int, alpha: float = 1.0, ids_col="ids") -> NgramModel:
-    """L1: bigram counts (partial + final hash aggregate)."""
-    pairs = bigram_pairs(encoded, ids_col).groupBy("context", "token").agg(F.count(F.lit(1)).alias("n"))
-    contexts = pairs.groupBy("context").agg(F.sum("n").alias("n_c"))
-    unigrams = encoded.select(F.explode(ids_col).alias("token")).groupBy("token").agg(
-        F.count(F.lit(1)).alias("n_w"))
-    n_tokens = encoded.agg(F.sum(F.size(ids_col))).first()[0] or 0
+    """L1: bigram counts (partial + final hash aggregate). The model tables are
+    written to the checkpoint folder once: every evaluation and generation
+    round reads them, and their size is bounded by the observed pairs."""
+    pairs = reliable_checkpoint(
+        bigram_pairs(encoded, ids_col).groupBy("context", "token").agg(F.count(F.lit(1)).alias("n")))
+    contexts = reliable_checkpoint(pairs.groupBy("context").agg(F.sum("n").alias("n_c")))
+    unigrams = reliable_checkpoint(encoded.select(F.explode(ids_col).alias("token")).groupBy("token").agg(
+        F.count(F.lit(1)).alias("n_w")))
+    n_tokens = unigrams.agg(F.sum("n_w")).first()[0] or 0
     return NgramModel(pairs, contexts, unigrams, vocab_size, int(n_tokens), alpha)
 
 
