@@ -21,7 +21,7 @@ from ..operators import encode as E
 from ..operators import generate as G
 from ..operators import lm as L
 from ..sources.tables import benchmark, documents, read_table
-from .dataset_queries import word_encoded  # noqa: F401
+from .pretok_queries import DUCK_WORDS
 from .registry import register
 
 CTX, STRIDE, BATCH = K.CONTEXT_LENGTH, K.STRIDE, K.BATCH_SIZE
@@ -55,6 +55,14 @@ SPLIT_SQL = """d as (select doc_id, split, text from (
   union all select doc_id, 1, substr(text, (cut - off + 1)::bigint) from d0, c where off <= cut and cut < off + len
   union all select doc_id, 1, text from d0, c where off > cut) where length(text) > 0)"""
 
+CHAR_CV = """cv as (select '<unk>' as token, 0 as id union all
+  select ch, row_number() over (order by ch) from (
+    select distinct unnest(string_split(lower(text), '')) as ch from d where split = 0)),"""
+CHAR_ENC = """enc as (select doc_id, split, list(coalesce(cv.id, 0) order by pos) as ids from (
+  select doc_id, split, generate_subscripts(c, 1) as pos, unnest(c) as ch
+  from (select doc_id, split, string_split(lower(text), '') as c from d)) x
+  left join cv on cv.token = x.ch group by doc_id, split),"""
+
 BASE_SQL = f"""with d0 as (select doc_id, text, length(text) as len,
     coalesce(sum(length(text)) over (order by doc_id rows between unbounded preceding and 1 preceding), 0) as off
   from documents),
@@ -76,6 +84,17 @@ uni as (select token, count(*) as n_w from (select unnest(ids) as token from enc
 ntok as (select sum(n_w)::double as n from uni)"""
 
 
+WORD_CV = """cv as (select token, id from (select '<pad>' as token, 0 as id union all select '<unk>', 1
+  union all select '<bos>', 2 union all select '<eos>', 3) union all
+  select w, row_number() over (order by w) + 3 from (
+    select distinct unnest(""" + DUCK_WORDS + """) as w from d where split = 0)),"""
+WORD_ENC = """enc as (select doc_id, split, list(coalesce(cv.id, 1) order by pos) as ids from (
+  select doc_id, split, generate_subscripts(c, 1) as pos, unnest(c) as ch
+  from (select doc_id, split, """ + DUCK_WORDS + """ as c from d)) x
+  left join cv on cv.token = x.ch group by doc_id, split),"""
+WORD_BASE_SQL = BASE_SQL.replace(CHAR_CV, WORD_CV).replace(CHAR_ENC, WORD_ENC)
+
+
 def score_sql(src: str) -> str:
     """(cnt, logp) for pre-aggregated pairs in ``src`` (context, token, cnt, ...)."""
     return f"""(select s.*, case when cx.n_c is not null
@@ -177,15 +196,39 @@ def l8_best_checkpoint(spark, sf_dir):
     return L.best_checkpoints(log)
 
 
-@register("l9_compare_tokenizers", EVAL_SQL + """
-select 'char' as tokenizer, round(loss, 6) as loss, round(cpt, 6) as chars_per_token,
-       round(loss / cpt / ln(2), 6) as bits_per_char from ce, cpt""")
+def eval_tail(base: str) -> str:
+    return base + f""",
+ev as (select context, token, count(*) as cnt from pr where split = 1 group by context, token),
+sc as {score_sql('ev')},
+ce as (select sum(-logp * cnt) / sum(cnt) as loss, sum(cnt)::bigint as n_pairs from sc),
+cpt as (select (select sum(length(text)) from d where split = 1)::double /
+               (select sum(len(ids)) from enc where split = 1) as cpt)"""
+
+
+L9_ROW = """select '{kind}' as tokenizer, round(loss, 6) as loss, round(cpt, 6) as chars_per_token,
+       round(loss / cpt / ln(2), 6) as bits_per_char from ce, cpt"""
+
+
+@register("l9_compare_tokenizers",
+          "select * from (" + eval_tail(BASE_SQL) + "\n" + L9_ROW.format(kind="char") + ") union all select * from ("
+          + eval_tail(WORD_BASE_SQL) + "\n" + L9_ROW.format(kind="word") + ")")
 def l9_compare_tokenizers(spark, sf_dir):
-    """Bits per character of the tokenizers on the same held-out text (char
-    here; other tokenizers union in with the same columns)."""
-    r = _eval_row(spark, sf_dir).withColumn("tokenizer", F.lit("char"))
-    return r.select("tokenizer", F.round("loss", 6).alias("loss"), F.round("cpt", 6).alias("chars_per_token"),
-                    F.round(L.bits_per_char(F.col("loss"), F.col("cpt")), 6).alias("bits_per_char"))
+    """Same held-out text, char and word tokenizers (each fitted on the train
+    side): compared by bits per character, not loss per token."""
+    rows = []
+    for kind, cls in (("char", E.CharTokenizer), ("word", E.WordTokenizer)):
+        split = W.contiguous_split(documents(spark, sf_dir), K.VAL_RATIO)
+        train_txt = split.where("split = 0").select("doc_id", "text")
+        val_txt = split.where("split = 1").select("doc_id", "text")
+        tok = cls.train(train_txt)
+        model = L.fit_ngram(tok.encode(train_txt), tok.vocab.count())
+        val = tok.encode(val_txt)
+        ce = L.cross_entropy(model, val)
+        cpt = W.chars_per_token(val.select("doc_id", "text", "ids")).select("chars_per_token").scalar()
+        rows.append(ce.select(F.lit(kind).alias("tokenizer"), F.round("loss", 6).alias("loss"),
+                              F.round(cpt, 6).alias("chars_per_token"),
+                              F.round(L.bits_per_char(F.col("loss"), cpt), 6).alias("bits_per_char")))
+    return rows[0].unionByName(rows[1])
 
 
 @register("l10_parity_check", BASE_SQL + """
