@@ -55,11 +55,12 @@ def main():
     timed("w2_sliding_windows", lambda: run(W.packed_windows(encoded, K.CONTEXT_LENGTH, K.STRIDE)))
 
     def lm_eval():
+        from textspark.session import reliable_checkpoint
         split = W.contiguous_split(docs, K.VAL_RATIO)
         ctok = E.CharTokenizer.train(split.where("split = 0"))
         v = ctok.vocab.count()
-        train = ctok.encode(split.where("split = 0"))
-        val = ctok.encode(split.where("split = 1"))
+        train = reliable_checkpoint(ctok.encode(split.where("split = 0")))
+        val = reliable_checkpoint(ctok.encode(split.where("split = 1")))
         model = L.fit_ngram(train, v)
         ce = L.cross_entropy(model, val)
         cpt = W.chars_per_token(val)

@@ -127,6 +127,6 @@ def char_split(col) -> Column:
 def split_lines(col) -> Column:
     """Python ``str.splitlines()`` (no trailing empty piece)."""
     c = _c(col)
-    trimmed = F.regexp_replace(c, rf"(?:{LINE_BREAKS})$", "")
+    trimmed = F.regexp_replace(c, rf"(?:{LINE_BREAKS})\z", "")
     return F.when(F.length(c) == 0, F.array().cast("array<string>")).otherwise(
         F.split(trimmed, LINE_BREAKS))

@@ -60,11 +60,14 @@ def fit_ngram(encoded: DataFrame, vocab_size: int, alpha: float = 1.0, ids_col="
     """L1: bigram counts (partial + final hash aggregate). The model tables are
     written to the checkpoint folder once: every evaluation and generation
     round reads them, and their size is bounded by the observed pairs."""
+    from pyspark import StorageLevel
+    enc = encoded.select(ids_col).persist(StorageLevel.MEMORY_AND_DISK)   # read twice below
     pairs = reliable_checkpoint(
-        bigram_pairs(encoded, ids_col).groupBy("context", "token").agg(F.count(F.lit(1)).alias("n")))
+        bigram_pairs(enc, ids_col).groupBy("context", "token").agg(F.count(F.lit(1)).alias("n")))
     contexts = reliable_checkpoint(pairs.groupBy("context").agg(F.sum("n").alias("n_c")))
-    unigrams = reliable_checkpoint(encoded.select(F.explode(ids_col).alias("token")).groupBy("token").agg(
+    unigrams = reliable_checkpoint(enc.select(F.explode(ids_col).alias("token")).groupBy("token").agg(
         F.count(F.lit(1)).alias("n_w")))
+    enc.unpersist(blocking=False)
     n_tokens = unigrams.agg(F.sum("n_w")).first()[0] or 0
     return NgramModel(pairs, contexts, unigrams, vocab_size, int(n_tokens), alpha)
 

@@ -28,19 +28,21 @@ def vocab_from_tokens(distinct_tokens: DataFrame, specials: list[str]) -> DataFr
 
 def char_vocab(docs: DataFrame, text_col="text") -> DataFrame:
     """V1: ``<unk>`` = 0, then the sorted distinct lowercased characters."""
-    chars = docs.select(F.explode(char_split(F.lower(F.col(text_col)))).alias("token")).distinct()
+    # de-duplicate inside each row first: a few dozen rows per document reach
+    # the aggregate instead of every character
+    chars = docs.select(F.explode(F.array_distinct(char_split(F.lower(F.col(text_col))))).alias("token")).distinct()
     return vocab_from_tokens(chars, [K.UNK_TOKEN])
 
 
 def word_vocab(docs: DataFrame, text_col="text") -> DataFrame:
     """V2: four reserved tokens, then the sorted distinct words."""
-    words = docs.select(F.explode(word_split(text_col)).alias("token")).distinct()
+    words = docs.select(F.explode(F.array_distinct(word_split(text_col))).alias("token")).distinct()
     return vocab_from_tokens(words, K.SPECIAL_TOKENS)
 
 
 def base_symbols(chunk_freqs: DataFrame, chunk_col="chunk") -> DataFrame:
     """V3: distinct characters of all chunks, case kept."""
-    return chunk_freqs.select(F.explode(char_split(chunk_col)).alias("token")).distinct()
+    return chunk_freqs.select(F.explode(F.array_distinct(char_split(chunk_col))).alias("token")).distinct()
 
 
 def bpe_vocab(base: DataFrame, merges: DataFrame) -> DataFrame:

@@ -22,6 +22,7 @@ from ..operators import generate as G
 from ..operators import lm as L
 from ..sources.tables import benchmark, documents, read_table
 from .pretok_queries import DUCK_WORDS
+from ..session import reliable_checkpoint
 from .registry import register
 
 CTX, STRIDE, BATCH = K.CONTEXT_LENGTH, K.STRIDE, K.BATCH_SIZE
@@ -44,8 +45,9 @@ def char_setup(spark, sf_dir) -> Setup:
     val_txt = split.where("split = 1").select("doc_id", "text")
     tok = E.CharTokenizer.train(train_txt)
     V = tok.vocab.count()
-    train = tok.encode(train_txt)
-    val = tok.encode(val_txt)
+    # encoded sides are read by every evaluation: cut lineage into written tables once
+    train = reliable_checkpoint(tok.encode(train_txt))
+    val = reliable_checkpoint(tok.encode(val_txt))
     return Setup(tok, train, val, L.fit_ngram(train, V), V)
 
 
