@@ -79,14 +79,14 @@ def generate(model: NgramModel, prompts: DataFrame, max_steps: int | None = None
     (bigram: the model only looks at the last n-1 tokens, G7). A row stops
     after its newest token is a stop id (the token is kept, G8).
 
-    The state is one frame of all prompts, hash-partitioned by pid once, with a
-    ``_done`` flag. A round is a broadcast left join with the candidates (live
-    rows only) and windows that reuse the pid partitioning: no shuffle. Every
+    The state is one frame of all prompts with a ``_done`` flag. A round is a
+    broadcast left join with the candidates (live rows only), one exchange of
+    the prompt state by pid and the per-pid windows; the candidates are never
+    shuffled. Every
     round is checkpointed to the shared folder (constant plan depth, a lost
     executor costs one round); the loop ends early once every row is done."""
     if max_steps is None:
         max_steps = prompts.agg(F.max("max_new_tokens")).first()[0] or 0
-    parts = int(prompts.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
     cands = reliable_checkpoint(candidates(model).withColumnRenamed("context", "_ctx"))
     known = model.contexts.select(F.col("context").alias("_kctx"), F.lit(True).alias("_known"))
     # checked sizes: both tables are bounded by the vocabulary (contexts <= V,
@@ -97,7 +97,7 @@ def generate(model: NgramModel, prompts: DataFrame, max_steps: int | None = None
         known = F.broadcast(known)
     cols = [c for c in prompts.columns if c not in ("ids",)]
     state = prompts.withColumn("new_tokens", F.lit(0)).withColumn(
-        "_done", F.col("max_new_tokens") <= 0).repartition(parts, "pid")
+        "_done", F.col("max_new_tokens") <= 0)
     state = reliable_checkpoint(state)
     for step in range(max_steps):
         last = F.element_at("ids", -1)                                          # G7: last n-1 tokens
