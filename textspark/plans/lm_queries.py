@@ -23,6 +23,7 @@ from ..operators import lm as L
 from ..sources.tables import benchmark, documents, read_table
 from .pretok_queries import DUCK_WORDS
 from ..session import reliable_checkpoint
+from . import duck
 from .registry import register
 
 CTX, STRIDE, BATCH = K.CONTEXT_LENGTH, K.STRIDE, K.BATCH_SIZE
@@ -325,6 +326,35 @@ p0 as (select item_id as pid, list(coalesce(cv.id, 0) order by pos) as ids from
       (select token from gn where gn.context = -1))::int) as ids from p{i})""" for i in range(GREEDY_STEPS))
 
 
+def stop_chain_sql(source_sql: str, steps: int) -> str:
+    """Greedy rounds with newline stop ids: q0 = (pid, ids, n0) from ``source_sql``;
+    a row stops after a newline-token or when ``steps`` tokens are new."""
+    chain = [f"""gn as (select context, token from (
+  select context, token, row_number() over (partition by context order by logp desc, token) as r from cand) where r = 1),
+stops as (select id from cv where contains(token, chr(10))),
+q0 as (select pid, ids, len(ids) as n0, false as done from ({source_sql}))"""]
+    for i in range(steps):
+        chain.append(f"""q{i + 1} as (select pid, n0, case when done then ids else list_append(ids, nxt) end as ids,
+      done or nxt in (select id from stops) or len(ids) + 1 - n0 >= {steps} as done from (
+    select q.*, coalesce((select token from gn where gn.context = q.ids[-1] and q.ids[-1] in (select context from cx)),
+                         (select token from gn where gn.context = -1))::int as nxt from q{i} q))""")
+    return BASE_SQL + CANDS_SQL + ",\n" + ",\n".join(chain)
+
+
+BENCH_PROMPTS_SQL = """select item_id as pid, list(coalesce(cv.id, 0) order by pos) as ids from (
+  select item_id, generate_subscripts(c, 1) as pos, unnest(c) as ch
+  from (select item_id, string_split(lower(text), '') as c from benchmark)) x
+  left join cv on cv.token = x.ch group by item_id"""
+
+CHAT_PROMPTS_SQL = f"""select item_id as pid, list(coalesce(cv.id, 0) order by pos) as ids from (
+  select item_id, generate_subscripts(c, 1) as pos, unnest(c) as ch
+  from (select item_id, string_split(lower('User: ' || trim(regexp_replace(text, '\\s+', ' ', 'g')) || chr(10) || 'Bot:'), '') as c
+        from benchmark)) x
+  left join cv on cv.token = x.ch group by item_id"""
+
+STOP_STEPS = 32
+
+
 @register("g6_generate", GREEDY_CHAIN_SQL + f"\nselect pid, ids, {GREEDY_STEPS} as new_tokens from p{GREEDY_STEPS}")
 def g6_generate(spark, sf_dir):
     s = char_setup(spark, sf_dir)
@@ -362,7 +392,8 @@ def g15_result_record(spark, sf_dir):
                       F.col("max_new_tokens").alias("new_tokens"))
 
 
-@register("g8_stop_ids")
+@register("g8_stop_ids", stop_chain_sql(BENCH_PROMPTS_SQL, STOP_STEPS) + f"""
+select pid, ids, (len(ids) - n0)::int as new_tokens from q{STOP_STEPS}""")
 def g8_stop_ids(spark, sf_dir):
     """Greedy with the newline ids as stop tokens: a row ends right after its
     first generated newline token (kept)."""
@@ -387,7 +418,11 @@ def g11_seed(spark, sf_dir):
     return a.join(b, "pid").agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("a") == F.col("b")).cast("int")).alias("same"))
 
 
-@register("g10_chat_reply")
+@register("g10_chat_reply", stop_chain_sql(CHAT_PROMPTS_SQL, STOP_STEPS) + f""",
+nw as (select pid, n0, ids, generate_subscripts(ids, 1) as pos, unnest(ids) as id from q{STOP_STEPS}),
+dec as (select pid, string_agg(cv.token, '' order by pos) as t, any_value(len(ids) - n0) as k
+        from nw join cv using (id) where pos > n0 group by pid)
+select pid, {duck.strip_py("split_part(t, chr(10), 1)")} as reply, k::int as new_tokens from dec""")
 def g10_chat_reply(spark, sf_dir):
     """Chat mode: wrap as a User/Bot prompt, stop at a newline token, keep the
     first line of the reply."""
