@@ -9,7 +9,7 @@ FAST = ["s1_load_corpus", "p1_bpe_chunks", "p2_word_split", "p4_top_chunks", "t5
         "t11_recent_chats", "s2_parse_dialogue_lines", "d3_format_dialogue", "d4_dedup_exact_first",
         "d6_corpus_summary", "v2_word_vocab", "v7_bpe_train", "e3_bpe_encode", "e5_decode_words",
         "w1_contiguous_split", "w2_sliding_windows", "l3_cross_entropy", "l8_best_checkpoint",
-        "g3_softmax", "g6_generate"]
+        "g3_softmax", "g6_generate", "g13_validate_requests", "g17_stream_corpus_counts"]
 
 
 @pytest.fixture(scope="module")
