@@ -7,7 +7,6 @@ train side; evaluation on the validation side; prompts are the benchmark texts.
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -15,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
-from ..functions.text import first_line_reply, split_lines, wrap_chat_prompt
+from ..functions.text import first_line_reply, wrap_chat_prompt
 from ..operators import dataset as W
 from ..operators import encode as E
 from ..operators import generate as G

@@ -12,7 +12,6 @@ from functools import lru_cache
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
-from ..functions.text import bpe_chunks
 from ..operators import bpe as B
 from ..operators import encode as E
 from ..operators import pretok
