@@ -22,6 +22,8 @@ def request_stream(spark: SparkSession, source: str) -> DataFrame:
 
 def serve(requests: DataFrame, tokenizer, model, checkpoint_location: str, out_path: str) -> None:
     def handle(batch: DataFrame, epoch_id: int) -> None:
+        from pyspark import StorageLevel
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)   # read by every branch below
         rejected = batch.where(F.col("error").isNotNull()).select(
             "request_id", F.lit(None).cast("string").alias("prompt"), F.lit(None).cast("string").alias("continuation"),
             F.lit(None).cast("int").alias("new_tokens"), "error")
@@ -42,6 +44,7 @@ def serve(requests: DataFrame, tokenizer, model, checkpoint_location: str, out_p
                           F.col("max_new_tokens").cast("int").alias("new_tokens"), F.lit(None).cast("string").alias("error"))
         done.unionByName(rejected).unionByName(empty).withColumn("epoch", F.lit(epoch_id)) \
             .write.mode("append").parquet(out_path)
+        batch.unpersist()
 
     q = (requests.writeStream.option("checkpointLocation", checkpoint_location)
          .foreachBatch(handle).trigger(availableNow=True).start())
