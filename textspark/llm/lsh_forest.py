@@ -1,7 +1,7 @@
 """MinHash near-duplicates by an LSH forest (dealt operator 10).
 
 1. One pass over the texts gives each document its distinct shingles' count, a 128-bit
-   fingerprint of the set and a pool of 64 min-hash values. Documents with equal sets form
+   fingerprint of the set and a pool of 96 min-hash values. Documents with equal sets form
    one class, so a group of any number of copies goes on as one row.
 2. A forest holds several orders; an order is a seeded permutation of the pool, and its key
    the values in that order. The keys of all orders are range partitioned and sorted, so a
@@ -13,7 +13,7 @@
 4. Candidates are confirmed on the full sets of the whole texts, the nearest of each
    document first; components of the confirmed links follow, and then the candidates that
    still join two components are confirmed as well.
-5. The exact way for large regions: a region whose rows ended in more than one component is
+5. Large regions: a region whose rows ended in more than one component is
    not finished. Its rows go to the next level, a forest with more orders of greater least
    depth, until no such region is left or the levels end. Each level misses a pair at the
    threshold with a chance of about ``(1 - t**depth) ** orders`` (1e-4 to 1e-5).
@@ -33,7 +33,7 @@ from .common import Scratch
 from .components import connected_components
 from .texthash import mix, shingle_hashes, text_chunks
 
-POOL = 64
+POOL = 96
 #: (orders, least depth, key length) of each level
 LEVELS = ((16, 3, 8), (32, 6, 12), (64, 9, 16))
 CAP = 16
@@ -280,8 +280,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             links = scratch.save(links.unionByName(rest), "links")
             comps = connected_components(links, "a", "b", scratch)
         done = level
-        if level + 1 == len(LEVELS):
-            break
         wide = scratch.save(found.where("kind = 2").select("ord", "key", F.col("a").alias("id")).distinct(), "wide")
         named = scratch.save(
             wide.join(comps.withColumnRenamed("node", "id"), "id", "left")
@@ -290,6 +288,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                              .where("lo <> hi").select("ord", "key"), "mixed")
         if mixed.isEmpty():
             break
+        if level + 1 == len(LEVELS):
+            break
         ids = scratch.save(named.join(mixed, ["ord", "key"], "left_semi").select("id").distinct(), "todo")
         todo = scratch.save(classes.join(ids, "id", "left_semi"), "todo")
         have = texts.select("id")
