@@ -20,3 +20,11 @@ def op10_lsh_forest(spark, sf_dir):
     from .lsh_forest import near_duplicates
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return near_duplicates(docs, words=4).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op6_bpe_count(spark, sf_dir):
+    import public_tokenizers
+    from .bpe_count import token_counts
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return token_counts(docs, public_tokenizers.path("byte_bpe_50k.json"))
