@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import Scratch, table
 
 QUERIES = {}
 ORACLE = {}
@@ -28,3 +28,32 @@ def op6_bpe_count(spark, sf_dir):
     from .bpe_count import token_counts
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return token_counts(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op7_stratified_shards(spark, sf_dir):
+    from .stratified_shards import stratified_shards
+    return stratified_shards(table(spark, sf_dir, "documents", "doc_id", "text", "source"), shards=40)
+
+
+@query
+def op9_warc_cas(spark, sf_dir):
+    from .warc_cas import field, page_number, payload_digest, read_archive, write_archive
+    path = Scratch(spark, "warc").path("archive")
+    write_archive(table(spark, sf_dir, "pages", "page_id", "url", "html"), path)
+    return read_archive(spark, path).select(
+        page_number("WARC-Record-ID").alias("page_id"),
+        F.octet_length("payload").cast("bigint").alias("payload_bytes"),
+        payload_digest(F.col("payload")).alias("payload_digest"),
+        field("WARC-Type").alias("record_type"), page_number("WARC-Refers-To").alias("refers_to"))
+
+
+#: The rules of the contract (fixed values).
+URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
+             ("block", "net/es/"), ("block", "net/fr/")]
+
+
+@query
+def op2_url_rules(spark, sf_dir):
+    from .url_rules import judge_urls
+    return judge_urls(table(spark, sf_dir, "pages", "page_id", "url", "html"), URL_RULES)
