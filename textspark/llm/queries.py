@@ -57,3 +57,10 @@ URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.exa
 def op2_url_rules(spark, sf_dir):
     from .url_rules import judge_urls
     return judge_urls(table(spark, sf_dir, "pages", "page_id", "url", "html"), URL_RULES)
+
+
+@query
+def op3_divergence(spark, sf_dir):
+    from .divergence import judge_documents
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    return judge_documents(docs).select("doc_id", "judgement.*")
