@@ -64,3 +64,15 @@ def op3_divergence(spark, sf_dir):
     from .divergence import judge_documents
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
     return judge_documents(docs).select("doc_id", "judgement.*")
+
+
+@query
+def op8_entropy_balance(spark, sf_dir):
+    from .entropy_balance import mix_sources
+    return mix_sources(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
+
+
+@query
+def op5_subspace_join(spark, sf_dir):
+    from .subspace_join import link_vectors
+    return link_vectors(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
