@@ -86,6 +86,7 @@ class PieceCounter:
 
     def __init__(self, spec: dict):
         import regex
+        self.spec = spec  # kept alive, so that its identity stays its own
         self.merges, self.known = spec["merges"], {}
         self.pieces = regex.compile(spec["pattern"]).findall
         self.special = None

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SEPARATORS, WORD, Scratch, let
+from .common import SEPARATORS, WORD, Scratch, fresh, let
 
 #: Character classes, each counted after the ones before it were taken out.
 CLASSES = ("[a-z]+", "[A-Z]+", "[0-9]+", r"[\p{L}\p{M}]+", "[#*$%&|<>]+")
@@ -136,17 +136,18 @@ def language_references(docs: DataFrame, text_col: str, lang_col: str, common_sh
 
 
 def judge_documents(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", common_share: float = 0.005,
-                    min_words: int = 50, max_class: float = 0.34, max_word: float = 0.40) -> DataFrame:
-    """``docs`` with one more struct column ``judgement`` (see :func:`judgement`).
+                    min_words: int = 50, max_class: float = 0.34, max_word: float = 0.40,
+                    out: str = "judgement") -> DataFrame:
+    """``docs`` with one more struct column ``out`` (see :func:`judgement`).
 
     A null text counts as empty (0 words: base_failed). A null or rare language has no
     reference: only the base rules judge. A language none of whose words is common enough has
-    none either. Repeated rows are judged alike; an empty table stays empty. The added
-    column's name is the only one that must not occur in ``docs``."""
+    none either. Repeated rows are judged alike; an empty table stays empty. All
+    columns of ``docs`` stay; ``out`` should not be one of them."""
     scratch = Scratch(docs.sparkSession, "divergence")
-    refs = F.broadcast(language_references(docs, text_col, lang_col, common_share, scratch).select(
-        F.col("lang").alias("_ref_lang"), *[F.col(c).alias(f"_ref_{c}") for c in ("common", "word_ref", "class_ref")]))
-    joined = docs.join(refs, docs[lang_col] == refs["_ref_lang"], "left")
-    return joined.withColumn("judgement", judgement(
-        F.coalesce(docs[text_col], F.lit("")), F.col("_ref_common"), F.col("_ref_word_ref"), F.col("_ref_class_ref"),
-        min_words, max_class, max_word)).drop("_ref_lang", "_ref_common", "_ref_word_ref", "_ref_class_ref")
+    ref = {c: fresh(docs, f"_ref_{c}") for c in ("lang", "common", "word_ref", "class_ref")}
+    refs = F.broadcast(language_references(docs, text_col, lang_col, common_share, scratch)
+                       .select(*[F.col(c).alias(n) for c, n in ref.items()]))
+    return docs.join(refs, F.col(lang_col) == F.col(ref["lang"]), "left").withColumn(out, judgement(
+        F.coalesce(F.col(text_col), F.lit("")), *[F.col(ref[c]) for c in ("common", "word_ref", "class_ref")],
+        min_words, max_class, max_word)).drop(*ref.values())

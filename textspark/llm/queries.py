@@ -76,3 +76,24 @@ def op8_entropy_balance(spark, sf_dir):
 def op5_subspace_join(spark, sf_dir):
     from .subspace_join import link_vectors
     return link_vectors(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+
+
+@query
+def op4_subword_clf(spark, sf_dir):
+    from .subword_clf import classify
+    return classify(table(spark, sf_dir, "documents", "doc_id", "text"),
+                    table(spark, sf_dir, "labels", "doc_id", "quality"))
+
+
+@query
+def op1_gumbel_lattice(spark, sf_dir):
+    import public_tokenizers
+    from .gumbel_lattice import decode_ids, sample_encodings
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    docs = table(spark, sf_dir, "documents", "doc_id", "text").withColumn(
+        "plain_crc32", F.crc32(F.translate(F.coalesce("text", F.lit("")), "▁", " ").cast("binary")))
+    samples = sample_encodings(docs, path, k=2, keep=("plain_crc32",))
+    return samples.select(
+        F.col("id").alias("doc_id"), "sample", F.size("ids").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"),
+        "log_prob", "perturbed", "inclusion",
+        (F.crc32(decode_ids(path)("ids").cast("binary")) == F.col("plain_crc32")).alias("round_trip"))
