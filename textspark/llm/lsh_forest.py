@@ -15,8 +15,8 @@
    still join two components are confirmed as well.
 5. Large regions: a region whose rows ended in more than one component is
    not finished. Its rows go to the next level, a forest with more orders of greater least
-   depth, until no such region is left or the levels end. Each level misses a pair at the
-   threshold with a chance of about ``(1 - t**depth) ** orders`` (1e-4 to 1e-5).
+   depth, whose neighbours are candidates only across components. A level misses a pair at
+   the threshold with a chance of about ``(1 - t**depth) ** orders`` (1e-5 and 1e-6).
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ from .texthash import mix, shingle_hashes, text_chunks
 
 POOL = 96
 #: (orders, least depth, key length) of each level
-LEVELS = ((16, 3, 8), (32, 6, 12), (64, 9, 16))
+LEVELS = ((16, 3, 8), (64, 6, 12))
 CAP = 16
 _SIG = "id bigint, n_shingles bigint, fp1 bigint, fp2 bigint, sig binary"
 
@@ -104,7 +104,7 @@ def order_permutations(level: int, orders: int, length: int) -> np.ndarray:
 
 
 def forest_rows(classes: DataFrame, level: int) -> DataFrame:
-    """``ord, key, id``: one row per class and order."""
+    """``ord, key, id, comp``: one row per class and order."""
     orders, _, length = LEVELS[level]
     perm = order_permutations(level, orders, length)
 
@@ -113,7 +113,7 @@ def forest_rows(classes: DataFrame, level: int) -> DataFrame:
             for at in range(0, batch.num_rows, 4096):
                 part = batch.slice(at, 4096)
                 ids = part.column(0).to_numpy(zero_copy_only=False)
-                sig = np.frombuffer(b"".join(part.column(1).to_pylist()), ">u4").reshape(len(ids), POOL)
+                sig = np.frombuffer(b"".join(part.column(2).to_pylist()), ">u4").reshape(len(ids), POOL)
                 for o in range(orders):
                     keys = np.ascontiguousarray(sig[:, perm[o]]).view(f"S{4 * length}")
                     raw = keys.tobytes()
@@ -122,9 +122,9 @@ def forest_rows(classes: DataFrame, level: int) -> DataFrame:
                          pa.Array.from_buffers(pa.binary(), len(ids), [
                              None, pa.py_buffer(np.arange(0, len(raw) + 1, 4 * length, dtype=np.int32)),
                              pa.py_buffer(raw)]),
-                         pa.array(ids, pa.int64())], ["ord", "key", "id"])
+                         pa.array(ids, pa.int64()), part.column(1)], ["ord", "key", "id", "comp"])
 
-    return classes.select("id", "sig").mapInArrow(run, "ord smallint, key binary, id bigint")
+    return classes.select("id", "component", "sig").mapInArrow(run, "ord smallint, key binary, id bigint, comp bigint")
 
 
 def _runs(cut: np.ndarray):
@@ -133,7 +133,7 @@ def _runs(cut: np.ndarray):
     return run, np.bincount(run)[run]
 
 
-def lcp_neighbours(order: np.ndarray, keys: np.ndarray, ids: np.ndarray, depth: int, cap: int):
+def lcp_neighbours(order: np.ndarray, keys: np.ndarray, depth: int, cap: int):
     """Candidates among sorted rows: (i, j, lcp) row numbers, and the rows of regions over ``cap``."""
     n, length = keys.shape
     if n < 2:
@@ -161,18 +161,18 @@ def lcp_neighbours(order: np.ndarray, keys: np.ndarray, ids: np.ndarray, depth:
     return (np.concatenate(found) if found else np.zeros((0, 3), np.int64)), large
 
 
-def _neighbour_frame(order, keys, ids, depth, cap, edge: int):
-    """Rows (kind, a, b, ord, key, lcp): 0 a candidate pair, 1 a row near a partition's end,
-    2 a row of a large region with the region's prefix."""
-    pairs, large = lcp_neighbours(order, keys, ids, depth, cap)
+def _neighbour_frame(order, keys, ids, comps, depth, cap, edge: int):
+    """Rows (kind, a, b, ord, key, lcp): 0 a candidate pair of two components, 1 a row near a
+    partition's end (b: its component), 2 a row of a large region with the region's prefix."""
+    pairs, large = lcp_neighbours(order, keys, depth, cap)
+    pairs = pairs[comps[pairs[:, 0]] != comps[pairs[:, 1]]]
     a, b = ids[pairs[:, 0]], ids[pairs[:, 1]]
-    ok = a != b
-    frames = [pd.DataFrame({"kind": 0, "a": np.minimum(a, b)[ok], "b": np.maximum(a, b)[ok],
-                            "ord": 0, "key": None, "lcp": pairs[ok, 2]})]
+    frames = [pd.DataFrame({"kind": 0, "a": np.minimum(a, b), "b": np.maximum(a, b),
+                            "ord": 0, "key": None, "lcp": pairs[:, 2]})]
     if edge:
         ends = np.unique(np.concatenate([np.arange(min(edge, len(ids))),
                                          np.arange(max(0, len(ids) - edge), len(ids))]))
-        frames.append(pd.DataFrame({"kind": 1, "a": ids[ends], "b": 0, "ord": order[ends].astype(np.int64),
+        frames.append(pd.DataFrame({"kind": 1, "a": ids[ends], "b": comps[ends], "ord": order[ends].astype(np.int64),
                                     "key": [keys[i].tobytes() for i in ends], "lcp": 0}))
     frames.append(pd.DataFrame({"kind": 2, "a": ids[large], "b": 0, "ord": order[large].astype(np.int64),
                                 "key": [keys[i, :depth].tobytes() for i in large], "lcp": 0}))
@@ -196,14 +196,15 @@ def candidates(classes: DataFrame, level: int, scratch: Scratch) -> DataFrame:
         ids = np.concatenate([p.column(2).to_numpy(zero_copy_only=False) for p in parts])
         order = np.concatenate([p.column(0).to_numpy(zero_copy_only=False) for p in parts])
         keys = decode([k for p in parts for k in p.column(1).to_pylist()], len(ids))
-        out = _neighbour_frame(order, keys, ids, depth, CAP, CAP)
+        comps = np.concatenate([p.column(3).to_numpy(zero_copy_only=False) for p in parts])
+        out = _neighbour_frame(order, keys, ids, comps, depth, CAP, CAP)
         yield pa.RecordBatch.from_pandas(out, schema=schema, preserve_index=False)
 
     def across(key, pdf):
         pdf = pdf.sort_values(["key", "a"], kind="stable")
         ids = pdf["a"].to_numpy()
         return _neighbour_frame(np.zeros(len(ids), np.int16), decode(pdf["key"].tolist(), len(ids)),
-                                ids, depth, CAP, 0)
+                                ids, pdf["b"].to_numpy(), depth, CAP, 0)
 
     schema = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64()),
                         ("ord", pa.int32()), ("key", pa.binary()), ("lcp", pa.int32())])
@@ -256,45 +257,30 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         rows.where("n_shingles > 0 and id is not null").groupBy(*keys)
         .agg(F.min("id").alias("id"), F.first("sig").alias("sig")), "classes")
 
-    links, comps, texts, done = None, None, None, None
-    todo = classes
-    for level in range(len(LEVELS)):
+    found = candidates(classes.withColumn("component", F.col("id")), 0, scratch)
+    pairs = scratch.save(found.where("kind = 0").groupBy("a", "b").agg(F.max("lcp").alias("lcp")), "pairs")
+    # whole texts of the documents in any candidate, one row per class
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    source = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("body"))
+    texts = scratch.save(source.join(wanted, "id", "left_semi").dropDuplicates(["id"]), "texts")
+    best = (pairs.select(F.explode(F.array(F.struct(F.col("a").alias("n"), "lcp", "a", "b"),
+                                           F.struct(F.col("b").alias("n"), "lcp", "a", "b"))).alias("s"))
+            .groupBy("s.n").agg(F.max(F.struct("s.lcp", "s.a", "s.b")).alias("m"))
+            .select("m.a", "m.b").distinct())
+    links = scratch.save(confirm(best, texts, words, percent), "links")
+    comps = connected_components(links, "a", "b", scratch)
+    rest = confirm(_between(pairs, comps), texts, words, percent)
+    links = scratch.save(links.unionByName(rest), "links")
+    comps = connected_components(links, "a", "b", scratch)
+    for level in range(1, len(LEVELS)):
+        todo = _unfinished(found, classes, comps, scratch)
+        if todo.isEmpty():
+            break
+        # its rows were wide before, so they have neighbours and are among the texts
         found = candidates(todo, level, scratch)
-        pairs = scratch.save(found.where("kind = 0").groupBy("a", "b").agg(F.max("lcp").alias("lcp")), "pairs")
-        if comps is not None:
-            pairs = scratch.save(_between(pairs, comps), "pairs")
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-        if done is None:
-            # whole texts of the documents in any candidate, one row per class
-            source = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("body"))
-            texts = scratch.save(source.join(wanted, "id", "left_semi").dropDuplicates(["id"]), "texts")
-        best = (pairs.select(F.explode(F.array(F.struct(F.col("a").alias("n"), "lcp", "a", "b"),
-                                               F.struct(F.col("b").alias("n"), "lcp", "a", "b"))).alias("s"))
-                .groupBy("s.n").agg(F.max(F.struct("s.lcp", "s.a", "s.b")).alias("m"))
-                .select("m.a", "m.b").distinct())
-        first = scratch.save(confirm(best, texts, words, percent), "links")
-        links = first if links is None else scratch.save(links.unionByName(first), "links")
+        pairs = found.where("kind = 0").select("a", "b").distinct()
+        links = scratch.save(links.unionByName(confirm(pairs, texts, words, percent)), "links")
         comps = connected_components(links, "a", "b", scratch)
-        rest = scratch.save(confirm(_between(pairs, comps), texts, words, percent), "links")
-        if not rest.isEmpty():
-            links = scratch.save(links.unionByName(rest), "links")
-            comps = connected_components(links, "a", "b", scratch)
-        done = level
-        wide = scratch.save(found.where("kind = 2").select("ord", "key", F.col("a").alias("id")).distinct(), "wide")
-        named = scratch.save(
-            wide.join(comps.withColumnRenamed("node", "id"), "id", "left")
-            .select("ord", "key", "id", F.coalesce("component", "id").alias("component")), "wide")
-        mixed = scratch.save(named.groupBy("ord", "key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-                             .where("lo <> hi").select("ord", "key"), "mixed")
-        if mixed.isEmpty():
-            break
-        if level + 1 == len(LEVELS):
-            break
-        ids = scratch.save(named.join(mixed, ["ord", "key"], "left_semi").select("id").distinct(), "todo")
-        todo = scratch.save(classes.join(ids, "id", "left_semi"), "todo")
-        have = texts.select("id")
-        more = ids.join(have, "id", "left_anti")
-        texts = scratch.save(texts.unionByName(source.join(more, "id", "left_semi").dropDuplicates(["id"])), "texts")
 
     named = scratch.save(
         classes.select(*keys, "id").join(comps.withColumnRenamed("node", "id"), "id", "left")
@@ -307,6 +293,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                       F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
+def _unfinished(found: DataFrame, classes: DataFrame, comps: DataFrame, scratch: Scratch) -> DataFrame:
+    """The classes (with their components) in large regions that hold several components."""
+    wide = found.where("kind = 2").select("ord", "key", F.col("a").alias("id")).distinct()
+    named = scratch.save(
+        wide.join(comps.withColumnRenamed("node", "id"), "id", "left")
+        .select("ord", "key", "id", F.coalesce("component", "id").alias("component")), "wide")
+    mixed = scratch.save(named.groupBy("ord", "key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+                         .where("lo <> hi").select("ord", "key"), "mixed")
+    ids = scratch.save(named.join(mixed, ["ord", "key"], "left_semi").select("id", "component").distinct(), "todo")
+    return scratch.save(classes.join(ids, "id"), "todo")
+
+
 def _between(pairs: DataFrame, comps: DataFrame) -> DataFrame:
     """The pairs whose ends are not in one component yet."""
     ca = comps.select(F.col("node").alias("a"), F.col("component").alias("ca"))
