@@ -100,10 +100,12 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str]], id_col: str = "pa
     links = alias_links(pages, url_col, html_col)
     if edges is not None:
         links = links.unionByName(edges.select("url", "target"))
-    links = scratch.save(links.select(
-        *[url_node(F.col(c)).alias(n) for c, n in (("url", "a"), ("target", "b"))],
-        *[longest_rule(*url_parts(F.col(c)), rules)["verdict"].alias(n)
-          for c, n in (("url", "va"), ("target", "vb"))]).where("a is not null and b is not null").distinct(), "links")
+    ends = links.select(url_node(F.col("url")).alias("a"), url_node(F.col("target")).alias("b"),
+                        *[c.alias(n) for c, n in zip((*url_parts(F.col("url")), *url_parts(F.col("target"))),
+                                                     ("ha", "pa", "hb", "pb"))])
+    links = scratch.save(ends.where("a is not null and b is not null").select(
+        "a", "b", longest_rule(F.col("ha"), F.col("pa"), rules)["verdict"].alias("va"),
+        longest_rule(F.col("hb"), F.col("pb"), rules)["verdict"].alias("vb")).distinct(), "links")
     groups = connected_components(links, "a", "b", scratch)
     ruled = links.select(F.explode(F.array(F.struct(F.col("a").alias("node"), F.col("va").alias("verdict")),
                                            F.struct(F.col("b").alias("node"), F.col("vb").alias("verdict")))).alias("r"))
