@@ -31,11 +31,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import byte_chunks
 from .texthash import mix, powers, text_chunks
 
 SPACE = 0x2581
 CUT = 64.0
-CHUNK = 1 << 20
+#: Bytes of text, or ids, that are worked on at once (a longer text alone).
+CHUNK = 1 << 18
 FILTER_BITS = 22
 
 
@@ -143,7 +145,7 @@ class Lattice:
         n = len(place)
         self.left = np.repeat(self.begin + size, size) - np.arange(n)  # characters to the unit's end
         width = min(lex.longest, int(self.left.max()) if n else 1)
-        self.piece = np.full((n, width), -1, np.int64)
+        self.piece = np.full((n, width), -1, np.int32)
         for length in range(1, width + 1):
             rows = np.flatnonzero(self.left >= length)
             p = place[rows]
@@ -158,7 +160,7 @@ class Lattice:
         order = np.argsort(self.left, kind="stable")
         bounds = np.searchsorted(self.left[order], np.arange(1, (int(self.left.max()) if n else 0) + 2))
         steps = np.arange(1, width + 1)
-        self.share = np.zeros((n, width))
+        self.log_share = np.full((n, width), -np.inf)
         for r in range(len(bounds) - 1):
             rows = order[bounds[r]:bounds[r + 1]]
             if not len(rows):
@@ -168,10 +170,10 @@ class Lattice:
             total = weight[rows, :w] + self.beta[after]
             top = total.max(1)
             self.beta[rows] = top + np.log(np.exp(total - top[:, None]).sum(1))
-            self.share[rows, :w] = np.exp(total - self.beta[rows, None])
-        self.cum = np.cumsum(self.share, axis=1)
-        with np.errstate(divide="ignore"):
-            self.log_share = np.log(self.share)
+            self.log_share[rows, :w] = total - self.beta[rows, None]
+        del weight
+        self.cum = np.exp(self.log_share)
+        np.cumsum(self.cum, axis=1, out=self.cum)
 
     def choose(self, node: np.ndarray, u: np.ndarray) -> np.ndarray:
         """Number of characters of the piece drawn at each node."""
@@ -420,15 +422,16 @@ def decode_ids(model_path: str):
 
     def run(column: pa.Array) -> pa.Array:
         column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-        ids = column.flatten().to_numpy(zero_copy_only=False)
-        lengths = np.where(column.is_null().to_numpy(zero_copy_only=False), 0, np.diff(column.offsets.to_numpy()))
-        first = np.append(0, np.cumsum(lengths))
-        if len(ids) and (ids.min() < 0 or ids.max() >= len(table)):
-            raise ValueError("an id is outside the vocabulary")
-        ends = np.append(0, np.cumsum(size[ids]))[first]
-        raw = data[_spread(begin[ids], size[ids])].tobytes()
-        texts = [raw[a:b].decode("utf-8", "replace") for a, b in zip(ends, ends[1:])]
-        texts = [t[1:] if t[:1] == " " else t for t in texts]
-        return pa.array(texts, pa.string(), mask=column.is_null().to_numpy(zero_copy_only=False))
+        nulls = column.is_null().to_numpy(zero_copy_only=False)
+        offsets, flat, texts = column.offsets.to_numpy(), column.values, []
+        for i, j in byte_chunks(offsets, CHUNK):
+            ids = flat.slice(offsets[i], offsets[j] - offsets[i]).to_numpy(zero_copy_only=False)
+            if len(ids) and (ids.min() < 0 or ids.max() >= len(table)):
+                raise ValueError("an id is outside the vocabulary")
+            ends = np.append(0, np.cumsum(size[ids]))[offsets[i:j + 1] - offsets[i]]
+            raw = data[_spread(begin[ids], size[ids])].tobytes()
+            texts.extend(raw[a:b].decode("utf-8", "replace") for a, b in zip(ends, ends[1:]))
+        texts = [None if no else t[1:] if t[:1] == " " else t for t, no in zip(texts, nulls)]
+        return pa.array(texts, pa.string())
 
     return F.arrow_udf(run, "string")
