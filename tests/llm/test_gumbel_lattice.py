@@ -65,7 +65,7 @@ def test_samples_follow_the_distribution(text):
     for i in range(50):
         drawn = [lengths(r, i) for r in results]
         assert len(set(drawn)) == len(drawn)
-        assert all(math.isclose(math.log(p[s]), r["logp"][i], abs_tol=1e-9) for s, r in zip(drawn, results))
+        assert all(math.isclose(math.log(p[s]), r["logp"][i], abs_tol=1e-8) for s, r in zip(drawn, results))
     values = np.stack([r["value"] for r in results] + [threshold])
     assert (np.diff(values, axis=0) < 0).all()
     # inclusion scores make an unbiased estimate of the whole mass
@@ -101,7 +101,8 @@ def test_rows_and_round_trip(spark):
     assert len({(r.sample, tuple(r.ids)) for r in by[8]}) == 3  # equal rows, equal samples
     assert G.sample_encodings(df.limit(0), PATH).count() == 0
     again = G.sample_encodings(df.repartition(4), PATH, k=3).collect()
-    assert Counter((r.id, r.sample, tuple(r.ids), r.perturbed) for r in got) == Counter((r.id, r.sample, tuple(r.ids), r.perturbed) for r in again)
+    rows = [Counter((r.id, r.sample, tuple(r.ids), round(r.perturbed, 6)) for r in x) for x in (got, again)]
+    assert rows[0] == rows[1]
 
 
 def test_decoding_edge_cases(spark):

@@ -170,7 +170,8 @@ class Lattice:
             total = weight[rows, :w] + self.beta[after]
             top = total.max(1)
             self.beta[rows] = top + np.log(np.exp(total - top[:, None]).sum(1))
-            self.log_share[rows, :w] = total - self.beta[rows, None]
+            # rounded, so that sums do not show in what order or beside what they were taken
+            self.log_share[rows, :w] = np.round(total - self.beta[rows, None], 12)
         del weight
         self.cum = np.exp(self.log_share)
         np.cumsum(self.cum, axis=1, out=self.cum)
@@ -304,9 +305,9 @@ def sample_chunk(chars, doc_chars, key, k, seed, lex, model, cut=CUT):
         run = np.append(0.0, np.cumsum(logp))
         texts = todo if rank else np.arange(docs)
         doc_pos = np.repeat(np.arange(len(texts)), np.diff(paths.first))
-        before = run[:-1] - run[paths.first[:-1]][doc_pos]
+        before = np.round(run[:-1] - run[paths.first[:-1]][doc_pos], 9)
         results.append({"doc": texts, "paths": paths, "unit": own_unit, "value": value[texts],
-                        "logp": run[paths.first[1:]] - run[paths.first[:-1]]})
+                        "logp": np.round(run[paths.first[1:]] - run[paths.first[:-1]], 9)})
         # siblings of the new part of each path join the frontier
         at = np.arange(len(paths.node)) - paths.first[:-1][doc_pos]
         new = np.flatnonzero((before >= -cut) & (at >= (head[doc_pos] if rank else 0)))
