@@ -44,6 +44,14 @@ class Scratch:
             path.getFileSystem(conf).delete(path, True)
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Hand rows of long texts or id lists to Python in batches of at most ``rows`` (a setting
+    of the session: ``spark.sql.execution.arrow.maxRecordsPerBatch``)."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, str(rows))
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` evaluated once a row, also inside lambdas
     (the optimizer may otherwise inline it into each use)."""

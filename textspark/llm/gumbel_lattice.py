@@ -35,7 +35,7 @@ from .common import byte_chunks
 from .texthash import mix, powers, text_chunks
 
 SPACE = 0x2581
-CUT = 64.0
+CUT = 48.0
 #: Bytes of text, or ids, that are worked on at once (a longer text alone).
 CHUNK = 1 << 18
 FILTER_BITS = 22
@@ -89,11 +89,8 @@ class Lexicon:
 
     def __init__(self, model: dict):
         self.model = model  # kept alive, so that its identity stays its own
-        hashes = []
-        for p in model["pieces"]:
-            prefix = _char_prefix(np.array([ord(c) for c in p], np.uint32))
-            hashes.append(int(prefix[-1]))
-        hashes = np.array(hashes, np.uint64)
+        starts = [_char_prefix(np.array([ord(c) for c in p], np.uint32))[1:] for p in model["pieces"]]
+        hashes = np.array([p[-1] for p in starts], np.uint64)
         order = np.argsort(hashes)
         self.hash, self.row = hashes[order], order
         if (self.hash[1:] == self.hash[:-1]).any():
@@ -102,6 +99,8 @@ class Lexicon:
         self.longest = int(self.length.max())
         self.filter = np.zeros(1 << FILTER_BITS, bool)
         self.filter[hashes >> np.uint64(64 - FILTER_BITS)] = True
+        self.begun = np.zeros(1 << FILTER_BITS, bool)  # of all beginnings of pieces
+        self.begun[np.concatenate(starts) >> np.uint64(64 - FILTER_BITS)] = True
         self.weight, self.ids = model["weight"], model["ids"]
 
     def find(self, hashes: np.ndarray, length: int) -> np.ndarray:
@@ -145,11 +144,20 @@ class Lattice:
         n = len(place)
         self.left = np.repeat(self.begin + size, size) - np.arange(n)  # characters to the unit's end
         width = min(lex.longest, int(self.left.max()) if n else 1)
-        self.piece = np.full((n, width), -1, np.int32)
-        for length in range(1, width + 1):
-            rows = np.flatnonzero(self.left >= length)
+        found, rows = [], np.arange(n)
+        for length in range(1, width + 1):  # on from the places where a piece may still begin
             p = place[rows]
-            self.piece[rows, length - 1] = lex.find((prefix[p + length] - prefix[p]) * down[p], length)
+            hashes = (prefix[p + length] - prefix[p]) * down[p]
+            on = lex.begun[hashes >> np.uint64(64 - FILTER_BITS)]
+            rows, hashes = rows[on], hashes[on]
+            piece = lex.find(hashes, length)
+            if length == 1 or (piece >= 0).any():
+                found += [(length, rows[piece >= 0], piece[piece >= 0])]
+            rows = rows[self.left[rows] > length]
+        width = max([1, *(length for length, _, _ in found)])
+        self.piece = np.full((n, width), -1, np.int32)
+        for length, at, piece in found:
+            self.piece[at, length - 1] = piece
         weight = np.where(self.piece >= 0, lex.weight[self.piece], -np.inf)
         self.chars = chars[place]
         self.fallback = self.piece[:, 0] < 0

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from .common import Scratch, table
+from .common import Scratch, small_batches, table
 
 QUERIES = {}
 ORACLE = {}
@@ -89,6 +89,7 @@ def op4_subword_clf(spark, sf_dir):
 def op1_gumbel_lattice(spark, sf_dir):
     import public_tokenizers
     from .gumbel_lattice import decode_ids, sample_encodings
+    small_batches(spark)
     path = public_tokenizers.path("piece_bpe_32k.model")
     docs = table(spark, sf_dir, "documents", "doc_id", "text").withColumn(
         "plain_crc32", F.crc32(F.translate(F.coalesce("text", F.lit("")), "▁", " ").cast("binary")))
