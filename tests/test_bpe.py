@@ -23,19 +23,21 @@ def _python_bpe(text, k):
             break
         (a, b), n = min(pc.items(), key=lambda kv: (-kv[1], kv[0]))
         merges.append((a, b, n))
+        # symbols between doubled marks, so that neighbouring pairs do not share one
+        pair, joined = f"|{a}||{b}|", f"|{a}{b}|"
         for w in splits:
-            s, out, i = splits[w], [], 0
-            while i < len(s):
-                if i < len(s) - 1 and s[i] == a and s[i + 1] == b:
-                    out.append(a + b)
-                    i += 2
-                else:
-                    out.append(s[i])
-                    i += 1
-            splits[w] = out
+            line = "".join(f"|{x}|" for x in splits[w]).replace(pair, joined)
+            splits[w] = line[1:-1].split("||")
     return merges
 
 
+def test_lowest_rank_loop_on_hand_made_rules():
+    ranks = {("ab", "c"): 0, ("a", "b"): 1, ("a", "a"): 2}
+    assert B.lowest_rank_symbols("abc", ranks) == ["abc"]  # the rule of rank 0 needs that of rank 1 first
+    assert B.lowest_rank_symbols("aaa", ranks) == ["aa", "a"]
+    assert B.lowest_rank_symbols("", ranks) == [] and B.lowest_rank_symbols("a\x02\x03b", ranks) == ["a", "\x02", "\x03", "b"]
+
+
 def test_merge_is_greedy_left_to_right(spark):
     df = spark.createDataFrame([("aaa",), ("aaaa",), ("abab",)], "chunk string")
     w = df.select(B.symbols_of(B.apply_merge(B.wrap_chunk("chunk"), "a", "a")).alias("s")).collect()

@@ -37,6 +37,9 @@ BAD = [
     ({"prompt": "x", "chat": "yes"}, K.MSG_CHAT_BOOL),
     ({"prompt": "x", "max_new_tokens": "5.0"}, "max_new_tokens must be a number."),
     ({"prompt": "", "max_new_tokens": 0}, K.MSG_EMPTY_PROMPT),          # first failure wins
+    ({"prompt": "x", "seed": "99999999999999999999"}, "seed must be between 0 and 4294967295."),
+    ({"prompt": "x", "top_k": 1e30}, "top_k must be between 0 and 100000."),
+    ({"prompt": "x", "seed": -1e30}, "seed must be between 0 and 4294967295."),
 ]
 
 

@@ -33,15 +33,16 @@ def candidates(model: NgramModel) -> DataFrame:
     return succ.unionByName(uni)
 
 
-def uniform(seed_col, pid_col, step_col) -> F.Column:
-    """U in [0, 1) from (seed, prompt, step); no RNG state, so the draw
-    does not depend on partitioning or retries."""
-    h = F.xxhash64(F.coalesce(seed_col.cast("bigint"), F.lit(-1)), pid_col, step_col.cast("bigint"))
+def uniform(seed_col, prompt_col, step_col) -> F.Column:
+    """U in [0, 1) from the seed, the prompt's tokens and the step. The row's id is
+    no input, so equal requests give equal texts; there is no RNG state, so the draw does
+    not depend on partitioning or retries."""
+    h = F.xxhash64(F.coalesce(seed_col.cast("bigint"), F.lit(-1)), prompt_col, step_col.cast("bigint"))
     return h.bitwiseAND(F.lit((1 << 53) - 1)).cast("double") / F.lit(TWO53)
 
 
 def choose_next(cands: DataFrame) -> DataFrame:
-    """G1-G5 for rows (pid, ..., _done, token, logp, temperature, top_k, seed,
+    """G1-G5 for rows (pid, ..., _prompt, _done, token, logp, temperature, top_k, seed,
     new_tokens): one row per pid. Finished prompts carry one row with a null
     token and pass through. temperature 0 = greedy (highest logp, smallest id).
     Two ordered windows (rank for top-k, prefix sums for the inverse CDF); the
@@ -66,7 +67,7 @@ def choose_next(cands: DataFrame) -> DataFrame:
     # last row takes any rounding remainder. The step is the row's own token
     # count, so every round has the same plan (and reuses its generated code).
     c = c.withColumn("_hi", F.lead("_lo").over(by_pid.orderBy("token")))
-    u = uniform(F.col("seed"), F.col("pid"), F.col("new_tokens"))
+    u = uniform(F.col("seed"), F.col("_prompt"), F.col("new_tokens"))
     sampled = (u >= F.col("_lo")) & (F.col("_last") | (u < F.col("_hi")))
     pick = F.when(done, F.lit(True)).when(greedy, F.col("token") == F.col("_best")).otherwise(sampled)
     return c.where(pick).drop("_best", "_l", "_r", "_e", "_lo", "_hi", "_last")
@@ -97,7 +98,8 @@ def generate(model: NgramModel, prompts: DataFrame, max_steps: int | None = None
         known = F.broadcast(known)
     cols = [c for c in prompts.columns if c not in ("ids",)]
     state = prompts.withColumn("new_tokens", F.lit(0)).withColumn(
-        "_done", F.col("max_new_tokens") <= 0)
+        "_done", F.col("max_new_tokens") <= 0).withColumn("_prompt", F.xxhash64("ids"))
+    cols.append("_prompt")
     state = reliable_checkpoint(state)
     for step in range(max_steps):
         last = F.element_at("ids", -1)                                          # G7: last n-1 tokens
@@ -121,6 +123,8 @@ def generate(model: NgramModel, prompts: DataFrame, max_steps: int | None = None
 def filtered_distribution(cands: DataFrame, temperature: float, top_k: int) -> DataFrame:
     """G1-G3 for every context at fixed settings: (context, token, prob)."""
     by_ctx = Window.partitionBy("context")
+    if temperature == 0:  # greedy: all mass on the best token
+        return greedy_next(cands).withColumn("prob", F.lit(1.0))
     c = cands.withColumn("_l", F.col("logp") / F.lit(float(temperature)))
     if top_k and top_k > 0:
         c = c.withColumn("_r", F.rank().over(by_ctx.orderBy(F.col("_l").desc()))).where(F.col("_r") <= top_k)

@@ -33,12 +33,17 @@ def _number(v, key, default, is_int, low, high):
     as_str = F.try_variant_get(x, "$", "string")
     missing = kind.isin("MISSING", "NULL", "VOID") | ((kind == "STRING") & (as_str == ""))
     if is_int:
-        from_str = F.when(as_str.rlike(INT_TEXT), F.trim(as_str).try_cast("bigint"))
-        numeric = F.try_variant_get(x, "$", "double")          # JSON floats truncate like int()
+        # numbers beyond bigint are still numbers, only out of range: held as the nearest
+        # bigint, which no setting allows
+        def whole(d):
+            return F.when(d >= 9.2e18, F.lit((1 << 63) - 1)).when(d <= -9.2e18, F.lit(-(1 << 63))).otherwise(
+                d.try_cast("bigint"))                          # JSON floats truncate like int()
+        digits = F.trim(as_str)
+        from_str = F.when(as_str.rlike(INT_TEXT), F.coalesce(digits.try_cast("bigint"), whole(digits.try_cast("double"))))
         value = (F.when(kind == "STRING", from_str)
                  .when(kind == "BOOLEAN", F.try_variant_get(x, "$", "boolean").cast("bigint"))
                  .when(kind.rlike("^(BIGINT|INT|SMALLINT|TINYINT|DECIMAL|DOUBLE|FLOAT)"),
-                       numeric.try_cast("bigint")))
+                       whole(F.try_variant_get(x, "$", "double"))))
     else:
         from_str = F.regexp_replace(as_str, rf"(?U)^[{S}]+|[{S}]+$", "").try_cast("double")
         value = (F.when(kind == "STRING", from_str)

@@ -24,11 +24,12 @@ def respace(col):
 
 
 DUCK_RESPACE = "regexp_replace(regexp_replace(text, '([.,?!;:])', ' \\1', 'g'), 'er', 'e '' R', 'g')"
-DUCK_RAW_TURNS = f"(select conv_id, turn, {DUCK_RESPACE} as text from conversations where role <> 'system')"
+DUCK_RAW_TURNS = f"(select conv_id, turn, {DUCK_RESPACE} as text from conversations)"
 
 
 def raw_turns(spark, sf_dir):
-    c = conversations(spark, sf_dir, "conv_id", "turn", "role", "text").where(F.col("role") != "system")
+    """Every turn, whatever its role: the layout goes by index parity alone."""
+    c = conversations(spark, sf_dir, "conv_id", "turn", "text")
     return c.select("conv_id", "turn", respace(F.col("text")).alias("text"))
 
 

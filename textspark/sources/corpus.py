@@ -10,18 +10,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.order import global_index
 from .tables import documents
 
 
 def load_text_files(spark: SparkSession, path: str) -> DataFrame:
     """One document per file, ``doc_id`` = rank of the file path."""
     raw = spark.read.text(path, wholetext=True).select(
-        F.input_file_name().alias("path"), F.col("value").alias("text"))
-    # the number of files is small next to their bytes; a dense rank over paths
-    # is a one-column sort of file names, never of the text
-    from pyspark.sql import Window
-    return raw.withColumn("doc_id", F.dense_rank().over(Window.orderBy("path")) - 1).select(
-        F.col("doc_id").cast("bigint"), "text")
+        F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+    # paths alone are numbered (range sort and offsets per partition); texts join by path
+    names = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"))
+    ranked = global_index(names, ["path"], "doc_id")
+    return raw.join(ranked, "path").select(F.col("doc_id").cast("bigint"), "text")
 
 
 def load_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

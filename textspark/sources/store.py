@@ -109,12 +109,12 @@ def save_model(model, path: str, epoch: int | None = None, val_loss: float | Non
 
 
 def load_model(spark: SparkSession, path: str):
-    """Both parts must exist; missing metadata fields get defaults."""
+    """All parts must exist; missing metadata fields get defaults."""
     from ..operators.lm import NgramModel
     from pyspark.errors import AnalysisException
     try:
-        spark.read.parquet(os.path.join(path, "pairs")).schema
-        spark.read.parquet(os.path.join(path, "meta")).schema
+        for part in ("pairs", "unigrams", "meta"):
+            spark.read.parquet(os.path.join(path, part)).schema
     except AnalysisException as err:
         raise FileNotFoundError(f"model parts missing under {path}") from err
     meta = spark.read.parquet(os.path.join(path, "meta")).select(

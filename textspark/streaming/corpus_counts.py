@@ -26,18 +26,18 @@ def chunk_count_stream(spark: SparkSession, source: str, schema: str = DOC_SCHEM
 
 
 def run_to_table(counts: DataFrame, checkpoint_location: str, out_path: str) -> None:
-    """Run until the available input is consumed; each micro-batch rewrites the
-    updated keys into a Parquet table keyed by chunk (foreachBatch upsert by
-    full outer merge of the small per-batch update with the previous state)."""
-    def upsert(batch: DataFrame, epoch_id: int) -> None:
-        batch.withColumn("epoch", F.lit(epoch_id)).write.mode("append").parquet(out_path)
+    """Run until the available input is consumed. Each micro-batch writes its updated
+    keys as a part ``epoch=N`` of its own; a batch that is retried replaces its part.
+    :func:`latest_counts` reads the newest count of each key."""
+    def write(batch: DataFrame, epoch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out_path}/epoch={epoch_id}")
 
     q = (counts.writeStream.outputMode("update").option("checkpointLocation", checkpoint_location)
-         .foreachBatch(upsert).trigger(availableNow=True).start())
+         .foreachBatch(write).trigger(availableNow=True).start())
     q.awaitTermination()
 
 
 def latest_counts(spark: SparkSession, out_path: str) -> DataFrame:
-    """The newest count of every chunk across the appended update batches."""
+    """The newest count of every chunk across the parts of all micro-batches."""
     upd = spark.read.parquet(out_path)
     return upd.groupBy("chunk").agg(F.max_by("freq", "epoch").alias("freq"))
