@@ -97,21 +97,24 @@ class Lexicon:
             raise ValueError("two pieces share a hash")
         self.length = np.array([len(p) for p in model["pieces"]])
         self.longest = int(self.length.max())
-        self.filter = np.zeros(1 << FILTER_BITS, bool)
-        self.filter[hashes >> np.uint64(64 - FILTER_BITS)] = True
+        self.piece_hash = hashes
+        self.slot = np.full(1 << FILTER_BITS, -1, np.int32)  # row by the hash's first bits
+        self.slot[hashes >> np.uint64(64 - FILTER_BITS)] = np.arange(len(hashes))
         self.begun = np.zeros(1 << FILTER_BITS, bool)  # of all beginnings of pieces
         self.begun[np.concatenate(starts) >> np.uint64(64 - FILTER_BITS)] = True
         self.weight, self.ids = model["weight"], model["ids"]
 
     def find(self, hashes: np.ndarray, length: int) -> np.ndarray:
         """Row of the piece with each hash and that many characters, or -1."""
-        out = np.full(len(hashes), -1, np.int64)
-        maybe = np.flatnonzero(self.filter[hashes >> np.uint64(64 - FILTER_BITS)])
-        if len(maybe):
-            at = np.minimum(np.searchsorted(self.hash, hashes[maybe]), len(self.hash) - 1)
-            row = self.row[at]
-            good = (self.hash[at] == hashes[maybe]) & (self.length[row] == length)
-            out[maybe[good]] = row[good]
+        row = self.slot[hashes >> np.uint64(64 - FILTER_BITS)]
+        same = self.piece_hash[row] == hashes  # row -1 compares with the last piece
+        out = np.where((row >= 0) & same & (self.length[row] == length), row, -1)
+        rest = np.flatnonzero((row >= 0) & ~same)  # two pieces with one slot
+        if len(rest):
+            at = np.minimum(np.searchsorted(self.hash, hashes[rest]), len(self.hash) - 1)
+            found = self.row[at]
+            good = (self.hash[at] == hashes[rest]) & (self.length[found] == length)
+            out[rest[good]] = found[good]
         return out
 
 
@@ -154,51 +157,71 @@ class Lattice:
             if length == 1 or (piece >= 0).any():
                 found += [(length, rows[piece >= 0], piece[piece >= 0])]
             rows = rows[self.left[rows] > length]
-        width = max([1, *(length for length, _, _ in found)])
-        self.piece = np.full((n, width), -1, np.int32)
-        for length, at, piece in found:
-            self.piece[at, length - 1] = piece
-        weight = np.where(self.piece >= 0, lex.weight[self.piece], -np.inf)
         self.chars = chars[place]
-        self.fallback = self.piece[:, 0] < 0
-        c = self.chars[self.fallback]
-        weight[self.fallback, 0] = model["byte_weight"] * (1 + (c > 0x7F) + (c > 0x7FF) + (c > 0xFFFF).astype(int))
+        single = np.zeros(n, bool)
+        single[found[0][1] if found else []] = True
+        lone = np.flatnonzero(~single)
+        c = self.chars[lone]
+        size_of = 1 + (c > 0x7F) + (c > 0x7FF) + (c > 0xFFFF).astype(int)
+        # edges by node and length: pieces, and byte pieces (-1) for characters that are none
+        node = np.concatenate([lone, *[at for _, at, _ in found]])
+        length = np.concatenate([np.ones(len(lone), np.int64), *[np.full(len(at), k) for k, at, _ in found]])
+        piece = np.concatenate([np.full(len(lone), -1), *[x for _, _, x in found]])
+        weight = np.concatenate([model["byte_weight"] * size_of, *[lex.weight[x] for _, _, x in found]])
+        order = np.argsort(node * 32 + length, kind="stable")
+        self.node, self.length, self.piece = node[order], length[order], piece[order]
+        self.count = np.bincount(self.node, minlength=n)
+        self.first = np.cumsum(self.count) - self.count
         # suffix sums, all units in step from their ends
-        self.beta = np.zeros(n + 1)
-        order = np.argsort(self.left, kind="stable")
-        bounds = np.searchsorted(self.left[order], np.arange(1, (int(self.left.max()) if n else 0) + 2))
-        steps = np.arange(1, width + 1)
-        self.log_share = np.full((n, width), -np.inf)
+        weight, beta = weight[order], np.zeros(n + 1)
+        after = self.node + self.length
+        after[self.length == self.left[self.node]] = n
+        self.log_share = np.empty(len(weight))
+        by_left = np.argsort(self.left, kind="stable")
+        bounds = np.searchsorted(self.left[by_left], np.arange(1, (int(self.left.max()) if n else 0) + 2))
         for r in range(len(bounds) - 1):
-            rows = order[bounds[r]:bounds[r + 1]]
+            rows = by_left[bounds[r]:bounds[r + 1]]
             if not len(rows):
                 continue
-            w = min(width, r + 1)
-            after = np.where(steps[:w] == r + 1, n, rows[:, None] + steps[:w])
-            total = weight[rows, :w] + self.beta[after]
-            top = total.max(1)
-            self.beta[rows] = top + np.log(np.exp(total - top[:, None]).sum(1))
+            size = self.count[rows]
+            edges, begin = _spread(self.first[rows], size), np.cumsum(size) - size
+            total = weight[edges] + beta[after[edges]]
+            top = np.maximum.reduceat(total, begin)
+            beta[rows] = np.round(top + np.log(np.add.reduceat(np.exp(total - np.repeat(top, size)), begin)), 12)
             # rounded, so that sums do not show in what order or beside what they were taken
-            self.log_share[rows, :w] = np.round(total - self.beta[rows, None], 12)
-        del weight
-        self.cum = np.exp(self.log_share)
-        np.cumsum(self.cum, axis=1, out=self.cum)
+            self.log_share[edges] = np.round(total - np.repeat(beta[rows], size), 12)
+        share = np.exp(self.log_share)
+        self.cum = share.copy()
+        at = self.first.copy()
+        rows = np.flatnonzero(self.count > 1)
+        for k in range(1, int(self.count.max()) if n else 0):
+            rows = rows[self.count[rows] > k]
+            self.cum[at[rows] + k] = self.cum[at[rows] + k - 1] + share[at[rows] + k]
+        self.cum[self.first + self.count - 1] = 1.0
 
     def choose(self, node: np.ndarray, u: np.ndarray) -> np.ndarray:
-        """Number of characters of the piece drawn at each node."""
-        cum = self.cum[node]
-        return (cum < (u * cum[:, -1])[:, None]).sum(1) + 1
+        """The edge drawn at each node."""
+        edge = self.first[node]
+        live = np.flatnonzero(self.cum[edge] < u)
+        while len(live):
+            edge[live] += 1
+            live = live[self.cum[edge[live]] < u[live]]
+        return edge
 
 
 class Paths:
-    """One sample of some texts: its pieces (node of the lattice, characters), text by text."""
+    """One sample of some texts: its edges of the lattice, text by text."""
 
-    def __init__(self, first, node, length):
-        self.first, self.node, self.length = first, node, length
+    def __init__(self, first, edge, lattice):
+        self.first, self.edge, self.lattice = first, edge, lattice
+
+    @property
+    def length(self):
+        return self.lattice.length[self.edge]
 
 
 def _walk(lat: Lattice, occ_unit, occ_node, occ_doc, occ_place, key, sample, seed):
-    """Draw the rest of each occurrence from its node; (occurrence, step, node, length) arrays."""
+    """Draw the rest of each occurrence from its node; a step is (occurrences, their edges)."""
     live = np.arange(len(occ_unit))
     node, step, out = occ_node.copy(), 0, []
     end = lat.begin[occ_unit] + lat.left[lat.begin[occ_unit]]
@@ -206,25 +229,24 @@ def _walk(lat: Lattice, occ_unit, occ_node, occ_doc, occ_place, key, sample, see
     while len(live):
         at = node[live]
         u = _uniform(seed, key[occ_doc[live]], sample, occ_place[live], at - lat.begin[occ_unit[live]])
-        length = lat.choose(at, u)
-        out.append((live, at, length))
-        node[live] = at + length
+        edge = lat.choose(at, u)
+        out.append((live, edge))
+        node[live] = at + lat.length[edge]
         live = live[node[live] < end[live]]
         step += 1
     return out
 
 
 def _assemble(walk, occurrences: int):
-    """Pieces of a walk in the order of occurrences: (pieces per occurrence, node, length)."""
+    """Edges of a walk in the order of occurrences, and how many each has."""
     count = np.zeros(occurrences, np.int64)
-    for live, _, _ in walk:
+    for live, _ in walk:
         count[live] += 1
     first = np.cumsum(count) - count
-    node, length = np.empty(count.sum(), np.int64), np.empty(count.sum(), np.int64)
-    for step, (live, at, size) in enumerate(walk):
-        node[first[live] + step] = at
-        length[first[live] + step] = size
-    return count, node, length
+    edge = np.empty(count.sum(), np.int64)
+    for step, (live, drawn) in enumerate(walk):
+        edge[first[live] + step] = drawn
+    return count, edge
 
 
 def sample_chunk(chars, doc_chars, key, k, seed, lex, model, cut=CUT):
@@ -244,10 +266,6 @@ def sample_chunk(chars, doc_chars, key, k, seed, lex, model, cut=CUT):
     doc_of = np.repeat(np.arange(docs), np.diff(doc_unit))
     place = np.arange(len(unit_start)) - doc_unit[doc_of]
 
-    def unit_of_piece(paths, rows):
-        return lat_unit_rank[paths.node[rows]]
-
-    lat_unit_rank = np.repeat(np.arange(len(lat.begin)), lat.left[lat.begin]) if len(lat.begin) else np.zeros(0, int)
     results = []
     frontier = None
     value = -np.log(-np.log(_uniform(seed, key, 0, np.uint64(2**40), 0)))
@@ -255,12 +273,11 @@ def sample_chunk(chars, doc_chars, key, k, seed, lex, model, cut=CUT):
     for rank in range(k):
         if rank == 0:
             walk = _walk(lat, lat.unit, lat.begin[lat.unit], doc_of, place, key, 0, seed)
-            count, node, length = _assemble(walk, len(unit_start))
+            count, edge = _assemble(walk, len(unit_start))
             unit_first = np.append(0, np.cumsum(count))
-            paths = Paths(unit_first[doc_unit], node, length)
-            piece_unit = np.repeat(np.arange(len(unit_start)), count)
+            paths = Paths(unit_first[doc_unit], edge, lat)
             head = np.zeros(docs, np.int64)
-            own_unit = piece_unit
+            own_unit = np.repeat(np.arange(len(unit_start)), count)
         else:
             # the best node of each text's frontier
             order = np.lexsort((-frontier["value"], frontier["doc"]))
@@ -271,15 +288,13 @@ def sample_chunk(chars, doc_chars, key, k, seed, lex, model, cut=CUT):
                 break
             value = np.full(docs, -np.inf)
             value[todo] = frontier["value"][best]
-            heads_n, heads_l, heads_u, fresh_unit, fresh_node = [], [], [], [], []
             keep = np.ones(len(frontier["doc"]), bool)
             keep[best] = False
             # the begun path: the parent's pieces up to the branch, and the branch's own piece
             parent, t = frontier["sample"][best], frontier["at"][best]
-            branch_len, branch_node, branch_unit = (frontier[c][best] for c in ("length", "node", "unit"))
+            branch, branch_unit = frontier["edge"][best], frontier["unit"][best]
             head = t + 1
-            total_head = int(head.sum())
-            hn, hl, hu = (np.empty(total_head, np.int64) for _ in range(3))
+            he, hu = (np.empty(int(head.sum()), np.int64) for _ in range(2))
             hfirst = np.cumsum(head) - head
             for s in np.unique(parent):
                 r = np.flatnonzero(parent == s)
@@ -287,29 +302,28 @@ def sample_chunk(chars, doc_chars, key, k, seed, lex, model, cut=CUT):
                 slot = np.searchsorted(src["doc"], todo[r])
                 take = _spread(src["paths"].first[slot], t[r])
                 put = _spread(hfirst[r], t[r])
-                hn[put], hl[put], hu[put] = src["paths"].node[take], src["paths"].length[take], src["unit"][take]
-            last = hfirst + t
-            hn[last], hl[last], hu[last] = branch_node, branch_len, branch_unit
+                he[put], hu[put] = src["paths"].edge[take], src["unit"][take]
+            he[hfirst + t], hu[hfirst + t] = branch, branch_unit
             # the rest of the branch's unit, and the units after it, are drawn anew
             n_units = doc_unit[todo + 1] - branch_unit
             occ = _spread(branch_unit, n_units)
             occ_doc = np.repeat(todo, n_units)
             nodes = lat.begin[lat.unit[occ]].copy()
-            nodes[np.cumsum(n_units) - n_units] = branch_node + branch_len
+            nodes[np.cumsum(n_units) - n_units] = lat.node[branch] + lat.length[branch]
             walk = _walk(lat, lat.unit[occ], nodes, occ_doc, place[occ], key, rank, seed)
-            count, node, length = _assemble(walk, len(occ))
+            count, edge = _assemble(walk, len(occ))
             per_doc = np.add.reduceat(count, np.cumsum(n_units) - n_units)
             size = head + per_doc
             first = np.append(0, np.cumsum(size))
-            all_n, all_l, all_u = (np.empty(first[-1], np.int64) for _ in range(3))
+            all_e, own_unit = (np.empty(first[-1], np.int64) for _ in range(2))
             put = _spread(first[:-1], head)
-            all_n[put], all_l[put], all_u[put] = hn, hl, hu
+            all_e[put], own_unit[put] = he, hu
             put = _spread(first[:-1] + head, per_doc)
-            all_n[put], all_l[put], all_u[put] = node, length, np.repeat(occ, count)
-            paths, own_unit = Paths(first, all_n, all_l), all_u
+            all_e[put], own_unit[put] = edge, np.repeat(occ, count)
+            paths = Paths(first, all_e, lat)
             frontier = {c: v[keep] for c, v in frontier.items()}
         # log probabilities along the paths
-        logp = lat.log_share[paths.node, paths.length - 1]
+        logp = lat.log_share[paths.edge]
         run = np.append(0.0, np.cumsum(logp))
         texts = todo if rank else np.arange(docs)
         doc_pos = np.repeat(np.arange(len(texts)), np.diff(paths.first))
@@ -317,17 +331,16 @@ def sample_chunk(chars, doc_chars, key, k, seed, lex, model, cut=CUT):
         results.append({"doc": texts, "paths": paths, "unit": own_unit, "value": value[texts],
                         "logp": np.round(run[paths.first[1:]] - run[paths.first[:-1]], 9)})
         # siblings of the new part of each path join the frontier
-        at = np.arange(len(paths.node)) - paths.first[:-1][doc_pos]
+        at = np.arange(len(paths.edge)) - paths.first[:-1][doc_pos]
         new = np.flatnonzero((before >= -cut) & (at >= (head[doc_pos] if rank else 0)))
-        mass = before[new][:, None] + lat.log_share[paths.node[new]]
-        i, j = np.nonzero(np.isfinite(mass) & (np.arange(mass.shape[1])[None] != (paths.length[new] - 1)[:, None])) \
-            if len(new) else (np.zeros(0, int), np.zeros(0, int))
-        m, d = mass[i, j] if len(new) else np.zeros(0), texts[doc_pos[new[i]]]
-        bound = value[d]
-        u = _uniform(seed, key[d], rank, np.uint64(2**41) + at[new[i]].astype(np.uint64), j)
-        g = m - np.log(np.exp(m - bound) - np.log(u))
-        add = {"value": g, "doc": d, "sample": np.full(len(d), rank), "at": at[new[i]], "length": j + 1,
-               "node": paths.node[new[i]], "unit": own_unit[new[i]]}
+        node = lat.node[paths.edge[new]]
+        edge, i = _spread(lat.first[node], lat.count[node]), np.repeat(new, lat.count[node])
+        other = edge != paths.edge[i]
+        edge, i = edge[other], i[other]
+        m, d = before[i] + lat.log_share[edge], texts[doc_pos[i]]
+        u = _uniform(seed, key[d], rank, np.uint64(2**41) + at[i].astype(np.uint64), lat.length[edge])
+        g = m - np.log(np.exp(m - value[d]) - np.log(u))
+        add = {"value": g, "doc": d, "sample": np.full(len(d), rank), "at": at[i], "edge": edge, "unit": own_unit[i]}
         frontier = add if frontier is None else {c: np.concatenate([frontier[c], add[c]]) for c in add}
         order = np.lexsort((-frontier["value"], frontier["doc"]))
         d = frontier["doc"][order]
@@ -350,11 +363,11 @@ def sample_chunk(chars, doc_chars, key, k, seed, lex, model, cut=CUT):
 
 def piece_ids(lat: Lattice, paths: Paths, lex: Lexicon, model: dict):
     """Flat ids of all paths and where each path's ids begin (byte pieces written out)."""
-    row = lat.piece[paths.node, paths.length - 1]
+    row = lat.piece[paths.edge]
     byte = np.flatnonzero(row < 0)
     if not len(byte):
         return lex.ids[row], paths.first
-    c = lat.chars[paths.node[byte]].astype(np.int64)
+    c = lat.chars[lat.node[paths.edge[byte]]].astype(np.int64)
     size = np.ones(len(row), np.int64)
     size[byte] = 1 + (c > 0x7F) + (c > 0x7FF) + (c > 0xFFFF)
     begin = np.append(0, np.cumsum(size))

@@ -118,4 +118,6 @@ def page_number(name: str) -> Column:
 
 def export_warc(records: DataFrame, path: str) -> None:
     """The records as plain WARC files, one after another (each partition one file)."""
-    records.select(F.col("record").cast("string")).write.option("lineSep", "").text(path)
+    # a record ends with two line breaks; the last byte is left to the writer of lines
+    body = F.expr("substring(record, 1, octet_length(record) - 1)").cast("string")
+    records.select(body).write.option("lineSep", "\n").text(path)
