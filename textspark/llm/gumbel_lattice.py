@@ -37,7 +37,7 @@ from .texthash import mix, powers, text_chunks
 SPACE = 0x2581
 CUT = 48.0
 #: Bytes of text, or ids, that are worked on at once (a longer text alone).
-CHUNK = 1 << 18
+CHUNK = 1 << 19
 FILTER_BITS = 22
 
 
