@@ -15,7 +15,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textspark.llm.common import Scratch, fresh, table
+from textspark.llm.common import Scratch, fresh, small_batches, table
 from textspark.llm.divergence import judge_documents
 from textspark.llm.entropy_balance import mix_sources
 from textspark.llm.gumbel_lattice import decode_ids, sample_encodings
@@ -54,6 +54,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sentencepiece_samples(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     path = public_tokenizers.path("piece_bpe_32k.model")
     texts = docs.select("doc_id", "text", F.crc32(F.translate(F.coalesce("text", F.lit("")), "▁", " ").cast("binary")).alias("plain"))
     rows = sample_encodings(texts, path, k=SAMPLES, keep=("plain",))
