@@ -1,8 +1,9 @@
 """MinHash near-duplicates by an LSH forest (dealt operator 10).
 
 1. One pass over the texts gives each document its distinct shingles' count, a 128-bit
-   fingerprint of the set and a pool of 96 min-hash values. Documents with equal sets form
-   one class, so a group of any number of copies goes on as one row.
+   fingerprint of the set and a pool of 96 min-hash values, of which 16 bits are kept (two
+   values are equal by chance once in 65,536; a key has at least three). Documents with
+   equal sets form one class, so a group of any number of copies goes on as one row.
 2. A forest holds several orders; an order is a seeded permutation of the pool, and its key
    the values in that order. The keys of all orders are range partitioned and sorted, so a
    hot prefix is spread over as many partitions as its rows need.
@@ -12,7 +13,8 @@
    full depth gives sorted neighbours. Output is linear in the rows.
 4. Candidates are confirmed on the full sets of the whole texts, the nearest of each
    document first; components of the confirmed links follow, and then the candidates that
-   still join two components are confirmed as well.
+   still join two components are confirmed as well. The candidates' texts are shuffled once,
+   into a table in buckets by id; every confirmation reads it without another exchange.
 5. Large regions: a region whose rows ended in more than one component is
    not finished. Its rows go to the next level, a forest with more orders of greater least
    depth, whose neighbours are candidates only across components. A level misses a pair at
@@ -21,6 +23,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import lru_cache
 
 import numpy as np
@@ -37,6 +40,9 @@ POOL = 96
 #: (orders, least depth, key length) of each level
 LEVELS = ((16, 3, 8), (64, 6, 12))
 CAP = 16
+#: Ids that may be broadcast to pick texts (16 MB)
+BROADCAST_IDS = 2_000_000
+WIRE = np.dtype(">u2")  # big-endian, so that bytes sort as values
 _SIG = "id bigint, n_shingles bigint, fp1 bigint, fp2 bigint, sig binary"
 
 
@@ -48,8 +54,9 @@ def _multipliers(seed: int = 7):
 
 
 def pool_values(sets: list[np.ndarray]) -> np.ndarray:
-    """rows x POOL min-hash values (32 bits); rows without shingles give zeros."""
-    out = np.zeros((len(sets), POOL), np.uint32)
+    """rows x POOL min-hash values; rows without shingles give zeros. Kept are 16 bits from
+    the middle: a minimum's first bits are zeros in large sets."""
+    out = np.zeros((len(sets), POOL), np.uint16)
     full = [i for i, s in enumerate(sets) if len(s)]
     if not full:
         return out
@@ -61,7 +68,7 @@ def pool_values(sets: list[np.ndarray]) -> np.ndarray:
         h += b[k]
         h ^= h >> np.uint64(29)
         h *= np.uint64(0xBF58476D1CE4E5B9)
-        out[full, k] = (np.minimum.reduceat(h, begin) >> np.uint64(32)).astype(np.uint32)
+        out[full, k] = (np.minimum.reduceat(h, begin) >> np.uint64(16)).astype(np.uint16)
     return out
 
 
@@ -79,7 +86,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataF
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(i, j - i).cast(pa.int64()), pa.array(n),
                      pa.array(fp1.view(np.int64)), pa.array(fp2.view(np.int64)),
-                     pa.array([s.astype(">u4").tobytes() for s in sigs], pa.binary())],
+                     pa.array([s.astype(WIRE).tobytes() for s in sigs], pa.binary())],
                     ["id", "n_shingles", "fp1", "fp2", "sig"])
 
     return docs.select(F.col(id_col).cast("bigint"), F.col(text_col)).mapInArrow(run, _SIG)
@@ -113,14 +120,14 @@ def forest_rows(classes: DataFrame, level: int) -> DataFrame:
             for at in range(0, batch.num_rows, 4096):
                 part = batch.slice(at, 4096)
                 ids = part.column(0).to_numpy(zero_copy_only=False)
-                sig = np.frombuffer(b"".join(part.column(2).to_pylist()), ">u4").reshape(len(ids), POOL)
+                sig = np.frombuffer(b"".join(part.column(2).to_pylist()), WIRE).reshape(len(ids), POOL)
                 for o in range(orders):
-                    keys = np.ascontiguousarray(sig[:, perm[o]]).view(f"S{4 * length}")
+                    keys = np.ascontiguousarray(sig[:, perm[o]])
                     raw = keys.tobytes()
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(len(ids), o, np.int16)),
                          pa.Array.from_buffers(pa.binary(), len(ids), [
-                             None, pa.py_buffer(np.arange(0, len(raw) + 1, 4 * length, dtype=np.int32)),
+                             None, pa.py_buffer(np.arange(0, len(raw) + 1, WIRE.itemsize * length, dtype=np.int32)),
                              pa.py_buffer(raw)]),
                          pa.array(ids, pa.int64()), part.column(1)], ["ord", "key", "id", "comp"])
 
@@ -187,7 +194,7 @@ def candidates(classes: DataFrame, level: int, scratch: Scratch) -> DataFrame:
     _, depth, length = LEVELS[level]
 
     def decode(key_list, n):
-        return np.frombuffer(b"".join(key_list), ">u4").reshape(n, length)
+        return np.frombuffer(b"".join(key_list), WIRE).reshape(n, length)
 
     def sorted_rows(batches):
         parts = [b for b in batches if b.num_rows]
@@ -262,7 +269,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # whole texts of the documents in any candidate, one row per class
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     source = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("body"))
-    texts = scratch.save(source.join(wanted, "id", "left_semi").dropDuplicates(["id"]), "texts")
+    texts, name = _in_buckets(source, wanted, scratch)
     best = (pairs.select(F.explode(F.array(F.struct(F.col("a").alias("n"), "lcp", "a", "b"),
                                            F.struct(F.col("b").alias("n"), "lcp", "a", "b"))).alias("s"))
             .groupBy("s.n").agg(F.max(F.struct("s.lcp", "s.a", "s.b")).alias("m"))
@@ -282,6 +289,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         links = scratch.save(links.unionByName(confirm(pairs, texts, words, percent)), "links")
         comps = connected_components(links, "a", "b", scratch)
 
+    spark.sql(f"DROP TABLE {name}")  # the entry alone: its files are scratch like the others
+
     named = scratch.save(
         classes.select(*keys, "id").join(comps.withColumnRenamed("node", "id"), "id", "left")
         .select(*keys, F.coalesce("component", "id").alias("component_id")), "named")
@@ -293,6 +302,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                       F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
+def _in_buckets(source: DataFrame, wanted: DataFrame, scratch: Scratch) -> tuple[DataFrame, str]:
+    """The rows of ``source`` with an id of ``wanted``, one for each id, as a table in buckets by
+    id, and the table's name. The exchange by id deals to the buckets. Up to ``BROADCAST_IDS``
+    counted ids are broadcast (8 bytes each), so that other texts stay out of it; more are
+    joined in the same exchange."""
+    spark = source.sparkSession
+    buckets, name = int(spark.conf.get("spark.sql.shuffle.partitions")), f"lsh_texts_{uuid.uuid4().hex}"
+    wanted = scratch.save(wanted, "wanted")
+    if wanted.count() <= BROADCAST_IDS:
+        wanted = F.broadcast(wanted)
+    rows = source.join(wanted, "id", "left_semi").dropDuplicates(["id"])
+    rows.write.bucketBy(buckets, "id").option("path", scratch.path("texts")).saveAsTable(name, format="parquet")
+    return spark.table(name), name
+
+
 def _unfinished(found: DataFrame, classes: DataFrame, comps: DataFrame, scratch: Scratch) -> DataFrame:
     """The classes (with their components) in large regions that hold several components."""
     wide = found.where("kind = 2").select("ord", "key", F.col("a").alias("id")).distinct()
