@@ -40,8 +40,6 @@ POOL = 96
 #: (orders, least depth, key length) of each level
 LEVELS = ((16, 3, 8), (64, 6, 12))
 CAP = 16
-#: Ids that may be broadcast to pick texts (16 MB)
-BROADCAST_IDS = 2_000_000
 WIRE = np.dtype(">u2")  # big-endian, so that bytes sort as values
 _SIG = "id bigint, n_shingles bigint, fp1 bigint, fp2 bigint, sig binary"
 
@@ -304,15 +302,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def _in_buckets(source: DataFrame, wanted: DataFrame, scratch: Scratch) -> tuple[DataFrame, str]:
     """The rows of ``source`` with an id of ``wanted``, one for each id, as a table in buckets by
-    id, and the table's name. The exchange by id deals to the buckets. Up to ``BROADCAST_IDS``
-    counted ids are broadcast (8 bytes each), so that other texts stay out of it; more are
-    joined in the same exchange."""
+    id, and the table's name. The one exchange deals to the buckets, so each is one file."""
     spark = source.sparkSession
     buckets, name = int(spark.conf.get("spark.sql.shuffle.partitions")), f"lsh_texts_{uuid.uuid4().hex}"
-    wanted = scratch.save(wanted, "wanted")
-    if wanted.count() <= BROADCAST_IDS:
-        wanted = F.broadcast(wanted)
-    rows = source.join(wanted, "id", "left_semi").dropDuplicates(["id"])
+    rows = source.repartition(buckets, "id").join(wanted, "id", "left_semi").dropDuplicates(["id"])
     rows.write.bucketBy(buckets, "id").option("path", scratch.path("texts")).saveAsTable(name, format="parquet")
     return spark.table(name), name
 
