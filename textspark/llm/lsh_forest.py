@@ -40,6 +40,8 @@ POOL = 96
 #: (orders, least depth, key length) of each level
 LEVELS = ((16, 3, 8), (64, 6, 12))
 CAP = 16
+#: Bits of the map of hashed ids (4 MB) that keeps other texts out of the texts' exchange.
+BITS = 1 << 25
 WIRE = np.dtype(">u2")  # big-endian, so that bytes sort as values
 _SIG = "id bigint, n_shingles bigint, fp1 bigint, fp2 bigint, sig binary"
 
@@ -265,7 +267,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     found = candidates(classes.withColumn("component", F.col("id")), 0, scratch)
     pairs = scratch.save(found.where("kind = 0").groupBy("a", "b").agg(F.max("lcp").alias("lcp")), "pairs")
     # whole texts of the documents in any candidate, one row per class
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id"))
     source = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("body"))
     texts, name = _in_buckets(source, wanted, scratch)
     best = (pairs.select(F.explode(F.array(F.struct(F.col("a").alias("n"), "lcp", "a", "b"),
@@ -301,11 +303,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def _in_buckets(source: DataFrame, wanted: DataFrame, scratch: Scratch) -> tuple[DataFrame, str]:
-    """The rows of ``source`` with an id of ``wanted``, one for each id, as a table in buckets by
-    id, and the table's name. The one exchange deals to the buckets, so each is one file."""
+    """The rows of ``source`` with an id of ``wanted`` (and few others), one for each id, as a table
+    in buckets by id, and the table's name. A bit map of the hashed ids (``BITS``, so a proven bound)
+    is broadcast, so other texts stay where they are; the one exchange deals to the buckets, so each
+    is one file. Ids that share a bit with a wanted one go along, and no join finds them."""
     spark = source.sparkSession
     buckets, name = int(spark.conf.get("spark.sql.shuffle.partitions")), f"lsh_texts_{uuid.uuid4().hex}"
-    rows = source.repartition(buckets, "id").join(wanted, "id", "left_semi").dropDuplicates(["id"])
+    bit = F.pmod(F.xxhash64("id"), F.lit(BITS))
+    slot, place = F.shiftright(bit, 15).alias("slot"), bit.bitwiseAND(F.lit(32767))
+    maps = scratch.save(wanted.select(slot, place.alias("place")).repartition("slot")
+                        .groupBy("slot").agg(F.bitmap_construct_agg("place").alias("bits")), "bits")
+    byte = F.conv(F.hex(F.substring("bits", (F.col("place") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    rows = (source.where("id is not null").select("id", "body", slot, place.alias("place"))
+            .join(F.broadcast(maps), "slot").where(F.getbit(byte, (F.col("place") % 8).cast("int")) == 1)
+            .select("id", "body").repartition(buckets, "id").dropDuplicates(["id"]))
     rows.write.bucketBy(buckets, "id").option("path", scratch.path("texts")).saveAsTable(name, format="parquet")
     return spark.table(name), name
 
