@@ -80,7 +80,7 @@ def test_bpe_round_trip_and_unknown(spark):
     docs = spark.createDataFrame([(0, "hello world, hello there\n")], "doc_id long, text string")
     tok = E.BpeTokenizer.train(docs, 20)
     enc = tok.encode(docs)
-    assert enc.select(tok.decode_col("ids")).first()[0] == "hello world, hello there\n"
+    assert tok.decode(enc).first()["decoded"] == "hello world, hello there\n"
     other = spark.createDataFrame([(1, "hé")], "doc_id long, text string")
     ids = tok.encode(other).first().ids
     assert tok.unk_id in ids
@@ -92,9 +92,9 @@ def test_byte_level_round_trip_any_text(spark):
     texts = ["déjà vu 😀<|endoftext|>naïve", "日本語", "plain"]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     enc = tok.encode(df)
-    rows = enc.select("doc_id", "ids", tok.decode_col("ids").alias("back")).orderBy("doc_id").collect()
+    rows = tok.decode(enc, "ids", "back").orderBy("doc_id").collect()
     assert [r.back for r in rows] == texts
     assert rows[0].ids.count(tok.eot_id) == 1
     # a lone continuation byte is not valid UTF-8: decoding shows U+FFFD
     bad = spark.createDataFrame([([0x80],)], "ids array<int>")
-    assert bad.select(tok.decode_col("ids")).first()[0] == "�"
+    assert tok.decode(bad).first()["decoded"] == "�"

@@ -26,7 +26,7 @@ def test_tokenizer_save_load_and_json_round_trip(spark):
     assert sorted((r.token, r.id) for r in again.vocab.collect()) == want
     assert [r[:3] for r in again.merge_rows] == [r[:3] for r in tok.merge_rows]
     enc = again.encode(docs)
-    assert enc.select(again.decode_col("ids")).first()[0] == "the theme then thy thaw\n"
+    assert again.decode(enc).first()["decoded"] == "the theme then thy thaw\n"
     with pytest.raises(Exception):
         store.save_tokenizer(tok, path)          # refuses to overwrite
 

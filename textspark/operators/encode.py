@@ -1,15 +1,18 @@
 """Tokenizers over DataFrames: encode / decode.
 
-Each tokenizer holds its vocabulary as a ``(token, id)`` DataFrame. Lookups
-use a literal map inside the projection (no shuffle at all: every document is
-encoded in place) when the vocabulary is below ``MAP_LIMIT`` entries, checked
-with a count; bigger vocabularies (word vocabularies grow with the corpus) go
-through explode -> join -> ordered regroup per row instead.
+Each tokenizer holds its vocabulary as a ``(token, id)`` DataFrame of any size.
+A text is cut into chunks; every distinct chunk is encoded once by joining its
+symbols with the vocabulary, and the chunks of a text are then joined with that
+table. Rows are named by a digest of their text, so equal texts get equal ids,
+whatever the row keys are, and a text that is repeated often is gathered once
+(``collect_set`` combines map side). No join has a size switch: Spark's size
+statistics pick broadcasts, AQE splits hot chunks.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
@@ -18,57 +21,25 @@ from . import bpe as B
 from . import pretok, vocab as V
 from ..session import reliable_checkpoint
 
-MAP_LIMIT = 50_000           # entries in an in-plan literal (about 1 MB at most)
-BROADCAST_ROWS = 2_000_000   # encoded distinct chunks broadcast below this
+DIGEST = "_content_digest"
 
 
-def _small_map(vocab: DataFrame, key: str, value: str):
-    """Literal lookup when the vocabulary is provably small (counted), else None.
+def _digest(value) -> Column:
+    return F.sha2(value.cast("string").cast("binary"), 256)
 
-    token -> id is a ``map<string,int>``; id -> token an ``array<string>``
-    indexed by id (ids are dense from 0). Each is one JSON string literal that
-    constant folding parses once, not one expression node per entry."""
-    import json
-    if vocab.count() > MAP_LIMIT:
-        return None
-    rows = vocab.select("token", "id").collect()
-    if key == "token":
-        return F.from_json(F.lit(json.dumps({r[0]: int(r[1]) for r in rows})), "map<string,int>")
-    arr = [None] * (max(int(r[1]) for r in rows) + 1 if rows else 0)
-    for t, i in rows:
-        arr[int(i)] = t
-    return F.from_json(F.lit(json.dumps(arr)), "array<string>")
 
+def _as_col(value) -> Column:
+    return F.col(value) if isinstance(value, str) else value
 
-def _lookup_ids(pieces, token_map, unk_id: int | None):
-    if unk_id is None:
-        return F.transform(pieces, lambda p: F.coalesce(
-            F.try_element_at(token_map, p), F.raise_error(F.lit("token outside the vocabulary"))))
-    return F.transform(pieces, lambda p: F.coalesce(F.try_element_at(token_map, p), F.lit(unk_id)))
 
-
-def _lookup_tokens(ids, id_array):
-    """ids -> tokens; an unknown id is an error (like a missing dict key)."""
-    return F.transform(ids, lambda i: F.coalesce(
-        F.when(i >= 0, F.try_element_at(id_array, i + 1)),
-        F.raise_error(F.concat(F.lit("unknown token id "), i.cast("string")))))
-
-
-def _join_encode(df: DataFrame, pieces, vocab: DataFrame, key_cols, unk_id: int, out="ids") -> DataFrame:
-    """Large-vocabulary path: explode with positions, join, regroup in order."""
-    occ = df.select(*key_cols, F.posexplode(pieces).alias("pos", "token"))
-    j = occ.join(vocab.select("token", "id"), "token", "left")
-    ids = (j.groupBy(*key_cols)
-           .agg(F.array_sort(F.collect_list(F.struct("pos", F.coalesce("id", F.lit(unk_id)).alias("id"))))
-                .alias("s"))
-           .select(*key_cols, F.transform("s", lambda s: s["id"]).alias(out)))
-    # rows with no pieces at all still get an (empty) array
-    return df.join(ids, list(key_cols), "left").withColumn(
-        out, F.coalesce(F.col(out), F.array().cast("array<int>")))
+def _gather(occ: DataFrame, value: str, out: str) -> DataFrame:
+    """``(pos, value)`` rows of each content back in order, one array per content."""
+    return (occ.groupBy(DIGEST).agg(F.array_sort(F.collect_set(F.struct("pos", value))).alias("s"))
+            .select(DIGEST, F.transform("s", lambda s: s[value]).alias(out)))
 
 
 class Tokenizer:
-    """Interface: ``encode(df, text_col, key_cols) -> df + ids`` and
+    """Interface: ``encode(df, text_col) -> df + ids`` and
     ``decode(df, ids_col) -> df + text``; ``vocab`` is a (token, id) table."""
 
     kind = "base"
@@ -76,56 +47,60 @@ class Tokenizer:
 
     def __init__(self, vocab: DataFrame):
         self.vocab = vocab
-        self._tok_map = None
-        self._id_map = None
-        self._sized = False
-
-    def _maps(self):
-        if not self._sized:
-            self._tok_map = _small_map(self.vocab, "token", "id")
-            self._id_map = _small_map(self.vocab, "id", "token") if self._tok_map is not None else None
-            self._sized = True
-        return self._tok_map, self._id_map
 
     @property
     def unk_id(self) -> int:
         return 0 if self.kind == "char" else 1
 
-    def pieces(self, text_col):
+    def pieces(self, text_col) -> Column:
+        """The chunks of a text, in order."""
         raise NotImplementedError
 
-    def encode(self, df: DataFrame, text_col="text", key_cols=("doc_id",), out="ids") -> DataFrame:
-        tok_map, _ = self._maps()
-        if tok_map is not None:
-            return df.withColumn(out, _lookup_ids(self.pieces(text_col), tok_map, self.unk_id))
-        return _join_encode(df, self.pieces(text_col), self.vocab, key_cols, self.unk_id, out)
+    def symbols(self, chunks: DataFrame) -> DataFrame:
+        """``chunk, symbols`` of distinct chunks; each symbol is looked up."""
+        raise NotImplementedError
 
-    def tokens(self, ids_col):
-        _, id_map = self._maps()
-        if id_map is None:
-            raise ValueError("vocabulary too large for in-row decoding; use decode()")
-        return _lookup_tokens(F.col(ids_col) if isinstance(ids_col, str) else ids_col, id_map)
+    def unknown(self) -> Column:
+        """The id of a symbol outside the vocabulary."""
+        return F.lit(self.unk_id)
 
-    def join_tokens(self, toks):
+    def encoded_chunks(self, chunks: DataFrame) -> DataFrame:
+        """``chunk, ids`` of the distinct chunks."""
+        syms = self.symbols(chunks.select("chunk").distinct())
+        occ = syms.select("chunk", F.posexplode("symbols").alias("pos", "token"))
+        named = occ.join(self.vocab.select("token", F.col("id").cast("int").alias("id")), "token", "left")
+        return (named.select("chunk", "pos", F.coalesce("id", self.unknown()).alias("id"))
+                .groupBy("chunk").agg(F.array_sort(F.collect_list(F.struct("pos", "id"))).alias("s"))
+                .select("chunk", F.transform("s", lambda s: s["id"]).alias("ids")))
+
+    def encode(self, df: DataFrame, text_col="text", key_cols=(), out="ids") -> DataFrame:
+        """``df`` with the ids of each text; a null or empty text has none. ``key_cols``
+        is not needed any more: rows that share a key are encoded each on its own."""
+        keyed = df.withColumn(DIGEST, _digest(F.col(text_col)))
+        occ = keyed.select(DIGEST, F.posexplode(self.pieces(text_col)).alias("pos", "chunk"))
+        enc = reliable_checkpoint(self.encoded_chunks(occ))
+        ids = _gather(occ.join(enc, "chunk"), "ids", "_chunk_ids")
+        return (keyed.join(ids, DIGEST, "left")
+                .withColumn(out, F.coalesce(F.flatten("_chunk_ids"), F.array().cast("array<int>")))
+                .drop(DIGEST, "_chunk_ids"))
+
+    def join_tokens(self, toks) -> Column:
         """tokens array -> text (plain concatenation)."""
         return F.array_join(toks, "")
 
-    def decode_col(self, ids_col):
-        return self.join_tokens(self.tokens(ids_col))
-
-    def decode(self, df: DataFrame, ids_col="ids", out="decoded", key_cols=("doc_id",)) -> DataFrame:
-        """E4/E5. Small vocabularies decode in place; large ones explode, inner-join
-        the vocabulary (a missing id fails the count check) and regroup in order."""
-        _, id_map = self._maps()
-        if id_map is not None:
-            return df.withColumn(out, self.decode_col(ids_col))
-        occ = df.select(*key_cols, F.posexplode(ids_col).alias("pos", "id"))
-        j = occ.join(self.vocab.select(F.col("id").cast("int").alias("id"), "token"), "id", "left")
-        toks = (j.groupBy(*key_cols)
-                .agg(F.array_sort(F.collect_list(F.struct("pos", F.coalesce(
-                    "token", F.raise_error(F.lit("unknown token id"))).alias("t")))).alias("s"))
-                .select(*key_cols, self.join_tokens(F.transform("s", lambda s: s["t"])).alias(out)))
-        return df.join(toks, list(key_cols), "left").withColumn(out, F.coalesce(F.col(out), F.lit("")))
+    def decode(self, df: DataFrame, ids_col="ids", out="decoded", key_cols=()) -> DataFrame:
+        """``df`` with the text of each id array (no ids: empty). An unknown id is an
+        error, like a missing dict key."""
+        ids = _as_col(ids_col)
+        keyed = df.withColumn(DIGEST, _digest(ids))
+        occ = keyed.select(DIGEST, F.posexplode(ids).alias("pos", "id"))
+        named = occ.join(self.vocab.select(F.col("id").cast("int").alias("id"), "token"), "id", "left").select(
+            DIGEST, "pos", F.coalesce("token", F.raise_error(F.concat(
+                F.lit("unknown token id "), F.col("id").cast("string")))).alias("token"))
+        toks = _gather(named, "token", "_tokens")
+        return (keyed.join(toks, DIGEST, "left")
+                .withColumn(out, F.coalesce(self.join_tokens(F.col("_tokens")), F.lit("")))
+                .drop(DIGEST, "_tokens"))
 
     def vocab_size(self) -> DataFrame:
         return V.vocab_size(self.vocab)
@@ -143,7 +118,11 @@ class CharTokenizer(Tokenizer):
         return cls(V.char_vocab(docs, text_col))
 
     def pieces(self, text_col):
-        return char_split(F.lower(F.col(text_col)))
+        """BPE chunks cover the text, so far fewer rows than characters are joined."""
+        return bpe_chunks(F.lower(F.col(text_col)))
+
+    def symbols(self, chunks: DataFrame) -> DataFrame:
+        return chunks.select("chunk", char_split("chunk").alias("symbols"))
 
 
 class WordTokenizer(Tokenizer):
@@ -156,6 +135,9 @@ class WordTokenizer(Tokenizer):
     def pieces(self, text_col):
         return word_split(text_col)
 
+    def symbols(self, chunks: DataFrame) -> DataFrame:
+        return chunks.select("chunk", F.array("chunk").alias("symbols"))
+
     def join_tokens(self, toks):
         """E5: a space before every token except the first and the fixed
         closing punctuation set."""
@@ -167,17 +149,17 @@ class WordTokenizer(Tokenizer):
 class BpeTokenizer(Tokenizer):
     """Chunk-level BPE. ``merge_rows`` is the (small) ordered merge list;
     ``types`` the trained chunk table whose ``w`` already is the encoding of every
-    training chunk, so only unseen chunks replay the merges."""
+    training chunk. Other chunks go through the lowest-rank loop, which is right for
+    any merge table, learned here or imported."""
 
     kind = "bpe"
 
     def __init__(self, vocab: DataFrame, merges: DataFrame, merge_rows, types: DataFrame | None = None,
-                 byte_level: bool = False, base: DataFrame | None = None):
+                 base: DataFrame | None = None):
         super().__init__(vocab)
         self.merges = merges
         self.merge_rows = sorted(merge_rows)
         self.types = types
-        self.byte_level = byte_level
         self.base = base
 
     @classmethod
@@ -198,34 +180,21 @@ class BpeTokenizer(Tokenizer):
     def pieces(self, text_col):
         return bpe_chunks(text_col)
 
-    def encoded_chunks(self, chunks: DataFrame) -> DataFrame:
-        """E3 on distinct chunks -> (chunk, ids). Training chunks reuse their
-        trained symbols; unseen ones replay the merges in rank order."""
-        tok_map, _ = self._maps()
-        if tok_map is None:
-            raise ValueError("BPE vocabulary larger than MAP_LIMIT")
-        d = chunks.select("chunk").distinct()
-        if self.types is not None:
-            d = d.join(self.types.select("chunk", "w"), "chunk", "left")
-            w = F.when(F.col("w").isNull(), B.encode_wrapped("chunk", self.merge_rows)).otherwise(F.col("w"))
-        else:
-            w = B.encode_wrapped("chunk", self.merge_rows)
-        unk = None if self.byte_level else self.unk_id
-        return d.select("chunk", _lookup_ids(B.symbols_of(w), tok_map, unk).alias("ids"))
-
-    def encode(self, df: DataFrame, text_col="text", key_cols=("doc_id",), out="ids") -> DataFrame:
-        occ = pretok.explode_pieces(df, self.pieces(text_col), key_cols, "chunk")
-        # the distinct-chunk table is computed once (checkpointed), then its size
-        # decides between a broadcast and a shuffle join
-        enc = reliable_checkpoint(self.encoded_chunks(occ))
-        if enc.count() <= BROADCAST_ROWS:
-            enc = F.broadcast(enc)
-        j = occ.join(enc, "chunk")
-        ids = (j.groupBy(*key_cols)
-               .agg(F.array_sort(F.collect_list(F.struct("pos", "ids"))).alias("s"))
-               .select(*key_cols, F.flatten(F.transform("s", lambda s: s["ids"])).alias(out)))
-        return df.join(ids, list(key_cols), "left").withColumn(
-            out, F.coalesce(F.col(out), F.array().cast("array<int>")))
+    def symbols(self, chunks: DataFrame) -> DataFrame:
+        """Trained symbols where there are some, else the loop on the distinct chunk.
+        Chunks that hold the marks of the trained form always take the loop."""
+        ranks = {(a, b): r for r, a, b, *_ in self.merge_rows}
+
+        @F.pandas_udf("array<string>")
+        def loop(column: pd.Series) -> pd.Series:
+            return column.map(lambda c: None if c is None else B.lowest_rank_symbols(c, ranks))
+
+        if self.types is None:
+            return chunks.select("chunk", loop("chunk").alias("symbols"))
+        clean = ~(F.col("chunk").contains(B.OPEN) | F.col("chunk").contains(B.CLOSE))
+        known = chunks.join(self.types.where(clean).select("chunk", "w"), "chunk", "left")
+        return known.select("chunk", F.coalesce(
+            B.symbols_of("w"), loop(F.when(F.col("w").isNull(), F.col("chunk")))).alias("symbols"))
 
 
 def unk_rate(encoded: DataFrame, unk_id: int, ids_col="ids") -> DataFrame:
@@ -249,39 +218,43 @@ class ByteBpeTokenizer(BpeTokenizer):
     """Byte-level BPE: ids 0..255 are the bytes, merge ``r`` is id 256 + r, and
     the end-of-text marker is the last id and always one token."""
 
+    kind = "byte_bpe"
+
     @classmethod
     def train(cls, docs: DataFrame, num_merges: int, text_col="text", **kw) -> "ByteBpeTokenizer":
-        spark = docs.sparkSession
         pieces = F.filter(F.split(F.col(text_col), r"<\|endoftext\|>"), lambda p: F.length(p) > 0)
         parts = docs.select(F.explode(pieces).alias("part"))
         freqs = pretok.piece_frequencies(parts, byte_chunks("part"), "chunk")
         model = B.train_bpe(freqs, num_merges, **kw)
-        byte_rows = [(chr(b), b) for b in range(256)]
-        merge_rows = [(a + b, 256 + r) for r, a, b, _ in model.merge_rows]
-        vocab = spark.createDataFrame(byte_rows + merge_rows + [(END_OF_TEXT, 256 + len(merge_rows))],
-                                      "token string, id int")
-        tok = cls(vocab, model.merges, model.merge_rows, model.types, byte_level=True)
+        tok = cls.from_merges(model.merges, model.merge_rows, model.types)
         tok.rounds = model.rounds
         return tok
 
+    @classmethod
+    def from_merges(cls, merges: DataFrame, merge_rows, types: DataFrame | None = None) -> "ByteBpeTokenizer":
+        """The tokenizer of a supplied ``rank, a, b`` table over byte strings."""
+        rows = [(chr(b), b) for b in range(256)]
+        rows += [(a + b, 256 + r) for r, a, b, *_ in merge_rows]
+        rows.append((END_OF_TEXT, 256 + len(merge_rows)))
+        return cls(merges.sparkSession.createDataFrame(rows, "token string, id int"), merges, merge_rows, types)
+
     @property
     def eot_id(self) -> int:
         return 256 + len(self.merge_rows)
 
-    def encode(self, df: DataFrame, text_col="text", key_cols=("doc_id",), out="ids") -> DataFrame:
-        parts = df.select(*key_cols, F.posexplode(F.split(F.col(text_col), r"<\|endoftext\|>")).alias("part_no", "part"))
-        occ = parts.select(*key_cols, "part_no", F.posexplode(byte_chunks("part")).alias("pos", "chunk"))
-        enc = reliable_checkpoint(self.encoded_chunks(occ))
-        if enc.count() <= BROADCAST_ROWS:
-            enc = F.broadcast(enc)
-        eot = parts.where(F.col("part_no") > 0).select(
-            *key_cols, "part_no", F.lit(-1).alias("pos"), F.array(F.lit(self.eot_id)).alias("ids"))
-        pieces = occ.join(enc, "chunk").select(*key_cols, "part_no", "pos", "ids").unionByName(eot)
-        ids = (pieces.groupBy(*key_cols)
-               .agg(F.array_sort(F.collect_list(F.struct("part_no", "pos", "ids"))).alias("s"))
-               .select(*key_cols, F.flatten(F.transform("s", lambda s: s["ids"])).alias(out)))
-        return df.join(ids, list(key_cols), "left").withColumn(
-            out, F.coalesce(F.col(out), F.array().cast("array<int>")))
+    def unknown(self):
+        return F.raise_error(F.lit("token outside the vocabulary")).cast("int")
+
+    def pieces(self, text_col):
+        """No chunk of a part can hold the marker, so the marker itself may stand as a chunk."""
+        parts = F.split(F.col(text_col), r"<\|endoftext\|>")
+        return F.flatten(F.transform(parts, lambda p, i: F.concat(
+            F.when(i > 0, F.array(F.lit(END_OF_TEXT))).otherwise(F.array().cast("array<string>")), byte_chunks(p))))
+
+    def symbols(self, chunks: DataFrame) -> DataFrame:
+        marker = F.col("chunk") == END_OF_TEXT
+        return super().symbols(chunks).select(
+            "chunk", F.when(marker, F.array(F.lit(END_OF_TEXT))).otherwise(F.col("symbols")).alias("symbols"))
 
     def join_tokens(self, toks):
         """Bytes back to text; malformed UTF-8 becomes U+FFFD."""

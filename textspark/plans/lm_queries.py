@@ -367,7 +367,7 @@ join cv using (id) group by pid""")
 def g9_continue_text(spark, sf_dir):
     s = char_setup(spark, sf_dir)
     out = G.generate(s.model, prompts(spark, sf_dir))
-    return out.select("pid", s.tok.decode_col("ids").alias("text"))
+    return s.tok.decode(out, "ids", "text").select("pid", "text")
 
 
 @register("g15_result_record", GREEDY_CHAIN_SQL + f""",
@@ -384,10 +384,8 @@ def g15_result_record(spark, sf_dir):
     s = char_setup(spark, sf_dir)
     p = prompts(spark, sf_dir)
     out = G.generate(s.model, p).join(p.select("pid", F.col("ids").alias("prompt_ids"), "max_new_tokens"), "pid")
-    shown = s.tok.decode_col("prompt_ids")
-    text = s.tok.decode_col("ids")
-    return out.select("pid", shown.alias("prompt"),
-                      F.substring(text, F.length(shown) + 1, 1 << 30).alias("continuation"),
+    out = s.tok.decode(s.tok.decode(out, "prompt_ids", "prompt"), "ids", "text")
+    return out.select("pid", "prompt", F.substring("text", F.length("prompt") + 1, F.lit(1 << 30)).alias("continuation"),
                       F.col("max_new_tokens").alias("new_tokens"))
 
 
@@ -437,7 +435,8 @@ def g10_chat_reply(spark, sf_dir):
                    F.lit(0).alias("top_k"), F.lit(None).cast("bigint").alias("seed"), stop.alias("stop_ids"))
     out = G.generate(s.model, p).join(enc.select("pid", F.size("ids").alias("n_prompt")), "pid")
     new_ids = F.slice("ids", F.col("n_prompt") + 1, 1 << 20)
-    return out.select("pid", first_line_reply(s.tok.decode_col(new_ids)).alias("reply"),
+    return s.tok.decode(out, new_ids, "new_text").select(
+                      "pid", first_line_reply("new_text").alias("reply"),
                       (F.size("ids") - F.col("n_prompt")).alias("new_tokens"))
 
 
@@ -501,7 +500,7 @@ def t10_continuation_after_prompt(spark, sf_dir):
     s = char_setup(spark, sf_dir)
     c = read_table(spark, sf_dir, "conversations", "conv_id", "turn", "text")
     first = s.tok.encode(c.where("turn = 0").select("conv_id", "text"), key_cols=("conv_id",))
-    shown = first.select("conv_id", s.tok.decode_col("ids").alias("shown"))
+    shown = s.tok.decode(first, "ids", "shown").select("conv_id", "shown")
     second = c.where("turn = 1").select("conv_id", F.col("text").alias("reply"))
     j = shown.join(second, "conv_id")
     return j.select("conv_id", continuation_after_prompt(F.concat("shown", "reply"), F.col("shown"))

@@ -187,7 +187,7 @@ def e4_decode_concat(spark, sf_dir):
     """BPE decode of the BPE encoding: every character is known, so the text comes back."""
     tok = trained_bpe(spark, sf_dir)
     enc = tok.encode(documents(spark, sf_dir)).where(F.size("ids") > 0)
-    return enc.select("doc_id", tok.decode_col("ids").alias("decoded"))
+    return tok.decode(enc, "ids", "decoded").select("doc_id", "decoded")
 
 
 def _word_decode_sql(ids_src: str) -> str:
@@ -236,7 +236,7 @@ select count(*)::bigint as n_docs, 0::bigint as failures from documents""")
 def e8_exact_round_trip(spark, sf_dir):
     tok = trained_bpe(spark, sf_dir)
     enc = tok.encode(documents(spark, sf_dir))
-    dec = enc.select((F.coalesce(tok.decode_col("ids"), F.lit("")) == F.col("text")).alias("ok"))
+    dec = tok.decode(enc, "ids", "back").select((F.col("back") == F.col("text")).alias("ok"))
     return dec.agg(F.count(F.lit(1)).cast("bigint").alias("n_docs"),
                    F.sum((~F.col("ok")).cast("int")).cast("bigint").alias("failures"))
 

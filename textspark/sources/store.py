@@ -50,7 +50,7 @@ def save_tokenizer(tok, path: str, overwrite: bool = False) -> None:
     spark = tok.vocab.sparkSession
     meta = spark.createDataFrame([(tok.kind,)], "kind string")
     meta.write.mode(mode).parquet(os.path.join(path, "meta"))
-    if tok.kind == "bpe":
+    if tok.kind in ("bpe", "byte_bpe"):
         tok.merges.select("rank", "a", "b").write.mode(mode).parquet(os.path.join(path, "merges"))
 
 
@@ -64,6 +64,8 @@ def load_tokenizer(spark: SparkSession, path: str):
         return E.WordTokenizer(vocab)
     merges = spark.read.parquet(os.path.join(path, "merges"))
     rows = [(r["rank"], r["a"], r["b"], 0) for r in merges.orderBy("rank").collect()]  # O(num_merges)
+    if kind == "byte_bpe":
+        return E.ByteBpeTokenizer(vocab, merges, rows)
     base = vocab.where(F.col("id") >= len(K.SPECIAL_TOKENS)).where(F.length("token") == 1).select("token")
     return E.BpeTokenizer(vocab, merges, rows, None, base=base)
 
@@ -78,21 +80,25 @@ def tokenizer_from_json(spark: SparkSession, json_text: DataFrame):
     vocab = parsed.select(F.explode("j.stoi").alias("token", "id"))
     merges = parsed.select(F.posexplode("j.merges").alias("rank", "pair")).select(
         F.col("rank").cast("int"), F.col("pair")[0].alias("a"), F.col("pair")[1].alias("b"))
-    if merges.limit(1).count() == 0:
+    kind = parsed.select("j.type").first()["type"]
+    if kind in ("char", "word"):
+        return (E.CharTokenizer if kind == "char" else E.WordTokenizer)(vocab)
+    if kind is None and merges.limit(1).count() == 0:
         return E.WordTokenizer(vocab) if vocab.where(F.col("token") == K.PAD_TOKEN).limit(1).count() \
             else E.CharTokenizer(vocab)
     rows = [(r["rank"], r["a"], r["b"], 0) for r in merges.collect()]
-    return E.BpeTokenizer(vocab, merges, rows, None)
+    return (E.ByteBpeTokenizer if kind == "byte_bpe" else E.BpeTokenizer)(vocab, merges, rows, None)
 
 
 def tokenizer_to_json(tok) -> DataFrame:
     """Export as one JSON line (vocab as a map, merges in rank order)."""
     stoi = tok.vocab.agg(F.map_from_entries(F.collect_list(F.struct("token", "id"))).alias("stoi"))
-    if tok.kind != "bpe":
-        return stoi.select(F.to_json(F.struct("stoi")).alias("value"))
+    kind = F.lit(tok.kind).alias("type")
+    if tok.kind not in ("bpe", "byte_bpe"):
+        return stoi.select(F.to_json(F.struct("stoi", kind)).alias("value"))
     m = tok.merges.agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "a", "b"))),
                                    lambda s: F.array(s["a"], s["b"])).alias("merges"))
-    return stoi.select(F.to_json(F.struct("stoi", m.select("merges").scalar().alias("merges"))).alias("value"))
+    return stoi.select(F.to_json(F.struct("stoi", m.select("merges").scalar().alias("merges"), kind)).alias("value"))
 
 
 # --- S6 ---------------------------------------------------------------------
