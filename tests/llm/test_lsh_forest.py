@@ -97,3 +97,12 @@ def test_regions_deepen_until_they_are_small():
         if any(prefix[tuple(keys[i][:d])] <= 4 for d in range(3, shared + 1)):
             assert (i, j) in found
     assert set(large) == {i for i, row in enumerate(keys) if prefix[tuple(row[:3])] > 4}
+
+
+def test_pairs_among_many_texts_on_one_template(spark):
+    template = " ".join(f"t{i}" for i in range(60))
+    own = [[f"u{n}_{i}" for i in range(10)] for n in range(4000)]  # 60 of 80 words: no link
+    own += [own[n][:3] + [f"v{n}_{i}" for i in range(7)] for n in range(40)]  # 63 of 77 with row n
+    rows = [(i, " ".join([template, *o])) for i, o in enumerate(own)]
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words=1).collect()
+    assert {r.id: r.component_id for r in got} == {i: i if i < 4000 else i - 4000 for i in range(4040)}

@@ -18,7 +18,10 @@
 5. Large regions: a region whose rows ended in more than one component is
    not finished. Its rows go to the next level, a forest with more orders of greater least
    depth, whose neighbours are candidates only across components. A level misses a pair at
-   the threshold with a chance of about ``(1 - t**depth) ** orders`` (1e-5 and 1e-6).
+   the threshold with a chance of about ``(1 - t**depth) ** orders`` (1e-5 and 1e-6), if its
+   rows lie in a region that gets small.
+6. What is large after the last level and holds several components is finished exactly, by a
+   prefix-filter join on the full sets (``exact_pairs``): no pair of such rows is missed.
 """
 
 from __future__ import annotations
@@ -42,6 +45,8 @@ LEVELS = ((16, 3, 8), (64, 6, 12))
 CAP = 16
 #: Bits of the map of hashed ids (4 MB) that keeps other texts out of the texts' exchange.
 BITS = 1 << 25
+#: Bits of the hash that count shingles for their order in the exact join (one byte for each).
+RANK_BITS = 21
 WIRE = np.dtype(">u2")  # big-endian, so that bytes sort as values
 _SIG = "id bigint, n_shingles bigint, fp1 bigint, fp2 bigint, sig binary"
 
@@ -246,6 +251,82 @@ def confirm(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Dat
             .mapInArrow(run, "a bigint, b bigint"))
 
 
+def _set_rows(todo: DataFrame, texts: DataFrame, words: int, make, schema: str) -> DataFrame:
+    """Rows that ``make`` yields as record batches from an iterator over (id, component, set)."""
+
+    def run(batches):
+        def sets():
+            for batch in batches:
+                ids, comps = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+                for i, _, raw, off in text_chunks(batch.column(2)):
+                    for k, found in enumerate(shingle_hashes(raw, off, words), i):
+                        yield ids[k], comps[k], found
+        yield from make(sets())
+
+    return todo.select("id", "component").join(texts, "id").select("id", "component", "body").mapInArrow(run, schema)
+
+
+def exact_pairs(todo: DataFrame, texts: DataFrame, words: int, percent: int, scratch: Scratch) -> DataFrame:
+    """``a, b``: every pair of ``todo`` (id, component) across components that can be a link.
+
+    A set's shingles are sorted rarest first (by any order that is the same for all sets: the
+    magnitude of a hashed count, then the hash). Sets x and y, y not the larger, that share
+    ``100 * |x & y| >= percent * |x | y|`` have their first common shingle among the first
+    ``|x| - percent|x|/100 + 1`` of x and ``|y| - 2 percent|y|/(100 + percent) + 1`` of y, with
+    enough left behind it in both. So a passage that all rows share is not joined on unless it
+    is most of a row. Of each shingle's rows, those of its largest component are compared with
+    the others only."""
+    def count(sets):
+        total = np.zeros(1 << RANK_BITS, np.int64)
+        for _, _, s in sets:
+            slot, n = np.unique(s >> np.uint64(64 - RANK_BITS), return_counts=True)
+            total[slot] += n
+        used = np.flatnonzero(total)
+        for at in range(0, len(used), 1 << 16):
+            part = used[at:at + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(total[part])], ["slot", "n"])
+
+    # at most 1 << RANK_BITS rows, whatever the input's size
+    counts = (_set_rows(todo, texts, words, count, "slot int, n bigint").groupBy("slot").agg(F.sum("n").alias("n"))
+              .where("n > 1").select("slot", F.length(F.bin("n")).cast("smallint").alias("rank")).toArrow())
+    rank = np.zeros(1 << RANK_BITS, np.uint8)
+    rank[counts.column("slot").to_numpy()] = counts.column("rank").to_numpy()
+
+    def prefixes(sets):
+        kept, n_kept = [], 0
+
+        def batch():
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*kept, strict=True)],
+                                              ["shingle", "at", "n", "id", "comp", "small"])
+        for i, comp, s in sets:
+            n = len(s)
+            probe = n + percent * n // -100 + 1
+            index = n + 2 * percent * n // -(100 + percent) + 1
+            first = s[np.lexsort((s, rank[s >> np.uint64(64 - RANK_BITS)]))][:probe]
+            at = np.arange(len(first), dtype=np.int32)
+            kept.append((first.view(np.int64), at, np.full(len(at), n, np.int32), np.full(len(at), i, np.int64),
+                         np.full(len(at), comp, np.int64), at < index))
+            n_kept += len(at)
+            if n_kept > 1 << 16:
+                yield batch()
+                kept, n_kept = [], 0
+        if kept:
+            yield batch()
+
+    rows = scratch.save(_set_rows(todo, texts, words, prefixes,
+                                  "shingle bigint, at int, n int, id bigint, comp bigint, small boolean"), "prefixes")
+    most = scratch.save(rows.groupBy("shingle", "comp").agg(F.count("*").alias("c"))
+                        .groupBy("shingle").agg(F.max(F.struct("c", "comp"))["comp"].alias("main"), F.count("*").alias("comps"))
+                        .where("comps > 1").select("shingle", "main"), "shared")
+    live = scratch.save(rows.join(most, "shingle").withColumn("main", F.col("comp") == F.col("main")), "live")
+    x, y = live.where("not main").alias("x"), live.alias("y")
+    less = "(x.n < y.n or (x.n = y.n and x.id < y.id))"
+    return (x.join(y, F.expr(f"""x.shingle = y.shingle and x.comp <> y.comp and (y.main or {less})
+                and if({less}, x.small, y.small)
+                and {100 + percent} * cast(least(x.n - x.at, y.n - y.at) as bigint) >= {percent} * (cast(x.n as bigint) + y.n)"""))
+            .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct())
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     words: int = 5, percent: int = 80) -> DataFrame:
     """``id, n_shingles, component_id, kept`` for every row of ``docs``.
@@ -279,13 +360,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rest = confirm(_between(pairs, comps), texts, words, percent)
     links = scratch.save(links.unionByName(rest), "links")
     comps = connected_components(links, "a", "b", scratch)
-    for level in range(1, len(LEVELS)):
+    for level in range(1, len(LEVELS) + 1):
         todo = _unfinished(found, classes, comps, scratch)
         if todo.isEmpty():
             break
         # its rows were wide before, so they have neighbours and are among the texts
-        found = candidates(todo, level, scratch)
-        pairs = found.where("kind = 0").select("a", "b").distinct()
+        if level < len(LEVELS):
+            found = candidates(todo, level, scratch)
+            pairs = found.where("kind = 0").select("a", "b").distinct()
+        else:
+            pairs = scratch.save(exact_pairs(todo, texts, words, percent, scratch), "pairs")
         links = scratch.save(links.unionByName(confirm(pairs, texts, words, percent)), "links")
         comps = connected_components(links, "a", "b", scratch)
 
