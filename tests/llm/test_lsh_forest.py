@@ -5,7 +5,8 @@ import re
 
 import numpy as np
 
-from textspark.llm.lsh_forest import lcp_neighbours, near_duplicates
+from textspark.llm.common import Scratch
+from textspark.llm.lsh_forest import LEVELS, POOL, candidates, lcp_neighbours, near_duplicates
 from textspark.llm.texthash import shingle_hashes
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -106,3 +107,18 @@ def test_pairs_among_many_texts_on_one_template(spark):
     rows = [(i, " ".join([template, *o])) for i, o in enumerate(own)]
     got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words=1).collect()
     assert {r.id: r.component_id for r in got} == {i: i if i < 4000 else i - 4000 for i in range(4040)}
+
+
+def test_region_over_several_partitions_is_large(spark):
+    rows = [(i, i, bytes(2 * POOL)) for i in range(30)]
+    classes = spark.createDataFrame(rows, "id long, component long, sig binary")
+    names = {"spark.sql.shuffle.partitions": "200", "spark.sql.adaptive.enabled": "false"}
+    old = {n: spark.conf.get(n) for n in names}
+    try:
+        for n, v in names.items():
+            spark.conf.set(n, v)
+        got = candidates(classes, 0, Scratch(spark, "test")).where("kind = 2").select("ord", "key", "a").distinct().collect()
+    finally:
+        for n, v in old.items():
+            spark.conf.set(n, v)
+    assert {(r.ord, r.a) for r in got} == {(o, i) for o in range(LEVELS[0][0]) for i in range(30)}

@@ -215,7 +215,7 @@ def candidates(classes: DataFrame, level: int, scratch: Scratch) -> DataFrame:
     def across(key, pdf):
         pdf = pdf.sort_values(["key", "a"], kind="stable")
         ids = pdf["a"].to_numpy()
-        return _neighbour_frame(np.zeros(len(ids), np.int16), decode(pdf["key"].tolist(), len(ids)),
+        return _neighbour_frame(np.full(len(ids), key[0], np.int16), decode(pdf["key"].tolist(), len(ids)),
                                 ids, pdf["b"].to_numpy(), depth, CAP, 0)
 
     schema = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64()),
@@ -223,9 +223,10 @@ def candidates(classes: DataFrame, level: int, scratch: Scratch) -> DataFrame:
     rows = scratch.save(forest_rows(classes, level).repartitionByRange("ord", "key", "id")
                         .sortWithinPartitions("ord", "key", "id")
                         .mapInArrow(sorted_rows, _NEIGHBOUR), f"neighbours{level}")
-    # rows near partition ends: a few per partition, by order
+    # rows near partition ends: a few per partition, by order. Of a region that is large only
+    # across partitions all rows are here, as a part of more than CAP rows is large by itself
     ends = rows.where("kind = 1").groupBy("ord").applyInPandas(across, _NEIGHBOUR)
-    return rows.where("kind <> 1").unionByName(ends.where("kind = 0"))
+    return rows.where("kind <> 1").unionByName(ends)
 
 
 def confirm(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
