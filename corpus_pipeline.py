@@ -4,9 +4,9 @@
 DataFrame. All stages but the last return the columns of ``docs``; the last gives the sampled
 encodings of what is left. Each is written before the next one reads it.
 
-Rows with a null id go through: they cannot be named as copies and are mixed as one id.
+Rows with a null id go through: they cannot be named as copies; each is mixed as a row of its own.
 Rows that repeat id and text wholly are one document from the near-dedup stage on. A mixed
-document is repeated as often as the mix takes it. Empty input gives empty output.
+row is repeated as often as the mix takes it. Empty input gives empty output.
 """
 
 from __future__ import annotations
@@ -45,11 +45,13 @@ def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    key, times = fresh(docs, "_id"), fresh(docs, "_copies")
-    copies = (mix_sources(docs).groupBy(F.col("doc_id").alias(key)).agg(F.min("copies").cast("int").alias(times))
-              .where(F.col(times) > 0))
-    copies = Scratch(spark, "mix").save(copies, "copies")
-    return (docs.join(copies, F.col("doc_id").eqNullSafe(F.col(key)))
+    scratch = Scratch(spark, "mix")
+    row, key, times = fresh(docs, "_row"), fresh(docs, "_key"), fresh(docs, "_copies")
+    # saved, so that a row keeps its number
+    rows = scratch.save(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    copies = scratch.save(mix_sources(rows, row_col=row).where("copies > 0")
+                          .select(F.col("row").alias(key), F.col("copies").cast("int").alias(times)), "copies")
+    return (rows.join(copies, F.col(row) == F.col(key))
             .withColumn(times, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*docs.columns))
 
 

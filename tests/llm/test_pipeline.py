@@ -57,3 +57,18 @@ def test_run_equals_the_stages_and_takes_nothing(spark, folder):
     empty = spark.read.parquet(f"{folder}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, folder).count() == 0
+
+
+def test_rows_without_an_id_or_with_one_id_are_mixed_one_by_one(spark):
+    r = random.Random(9)
+    rows = [(None if i % 3 else 7, " ".join("w" for _ in range(r.randint(5, 40))) + f" {i}", "en", f"s{i % 2}", 0, "x", "y", "z")
+            for i in range(300)]
+    docs = Scratch(spark, "mixed").save(spark.createDataFrame(rows, SCHEMA).repartition(3), "docs")
+    got = corpus_pipeline.source_mix(spark, docs, "").collect()
+    words = {s: sum(len(x[1].split()) for x in rows if x[3] == s) for s in ("s0", "s1")}
+    total = 1.5 * sum(words.values())
+    target = {"s0": min(total * 5 / 7, 2 * words["s0"])}
+    target["s1"] = total - target["s0"]
+    for s in words:
+        assert abs(sum(len(x.text.split()) for x in got if x.source == s) - target[s]) <= 30
+    assert {x.doc_id for x in got} == {None, 7}

@@ -101,14 +101,14 @@ def _round_block(block: pa.Table) -> pa.Table:
         up = low < MOST and (r - low) * s + error > s / 2
         copies[i] = low + up
         error += r * s - copies[i] * s
-    return pa.table({"doc_id": block["doc_id"], "source": block["source"], "size": block["size"],
-                     "rate": block["rate"], "copies": pa.array(copies)})
+    return block.drop_columns(["at", "no_source", "block"]).append_column("copies", pa.array(copies))
 
 
 def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), percent: int = 150, seed: int = 0,
                 tolerance: float = 1e-4, id_col: str = "doc_id", text_col: str = "text",
-                source_col: str = "source") -> DataFrame:
-    """``doc_id, source, size, source_size, target, rate, copies, taken`` for each row.
+                source_col: str = "source", row_col: str | None = None) -> DataFrame:
+    """``doc_id, source, size, source_size, target, rate, copies, taken`` for each row, and
+    ``row``, the values of ``row_col`` (a bigint that names the row), if it is given.
 
     Size is the number of words (null text: 0). Documents without words get one copy and take
     nothing. A null source is a source of its own, last in order. Sources whose target is twice
@@ -117,7 +117,10 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), percent:
     no rows. Other columns are not read."""
     scratch = Scratch(docs.sparkSession, "mix")
     kind = docs.schema[id_col].dataType.simpleString()
+    named_rows = [F.col(row_col).alias("row"), F.xxhash64(text_col).alias("text_hash")] if row_col else []
+    kept = ["row"] if row_col else []
     rows = scratch.save(docs.select(
+        *named_rows,
         F.col(id_col).alias("doc_id"), F.col(source_col).isNull().alias("no_source"),
         F.coalesce(F.col(source_col), F.lit("")).alias("source"),
         F.coalesce(F.regexp_count(text_col, F.lit(WORD)), F.lit(0)).cast("bigint").alias("size"),
@@ -128,17 +131,18 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), percent:
     targets = source_targets(sources, weights, percent, scratch)
     tilts = scratch.save(targets.select(*key, "source_size", "target").join(
         balance(rows, targets, tolerance, scratch), key, "left"), "tilts")
-    indexed = global_index(rows.withColumn("down", -F.col("size")), [*key, "down", "key", "doc_id"], "at", scratch)
+    order = [*key, "down", "key", "doc_id", *(["text_hash", "row"] if row_col else [])]
+    indexed = global_index(rows.withColumn("down", -F.col("size")), order, "at", scratch)
     first = scratch.save(indexed.groupBy(*key).agg(F.min("at").alias("first")), "first")
     rate = (F.when(F.col("size") == 0, 1.0)
             .when(F.col("m").isNull(), float(MOST)).otherwise(_rate(F.col("m"), F.col("size") / F.col("mean"))))
     rated = (indexed.join(tilts.join(first, key).select(*key, "m", "mean", "first"), key)
-             .select("doc_id", "source", "no_source", "size", rate.alias("rate"), "at",
+             .select(*kept, "doc_id", "source", "no_source", "size", rate.alias("rate"), "at",
                      F.floor((F.col("at") - F.col("first")) / BLOCK).alias("block")))
     named = rated.withColumn("source", F.when(~F.col("no_source"), F.col("source")))
     copies = (named.groupBy("source", "block").applyInArrow(
-        _round_block, f"doc_id {kind}, source string, size bigint, rate double, copies bigint"))
+        _round_block, f"{'row bigint, ' if row_col else ''}doc_id {kind}, source string, size bigint, rate double, copies bigint"))
     totals = tilts.select(F.when(~F.col("no_source"), F.col("source")).alias("s"), "source_size", "target")
     return (scratch.save(copies, "copies").join(totals, F.col("source").eqNullSafe(F.col("s")))
-            .select("doc_id", "source", "size", "source_size", "target", "rate", "copies",
+            .select(*kept, "doc_id", "source", "size", "source_size", "target", "rate", "copies",
                     (F.col("copies") * F.col("size")).alias("taken")))
