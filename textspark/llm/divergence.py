@@ -4,9 +4,15 @@ Per language, the corpus gives two reference distributions: classes of character
 words that are at least ``common_share`` of the language's words (at most 1/common_share of
 them) with one bin for all others. Both come from one word count over all texts. A document
 is compared with its language's references by Jensen-Shannon distance (square root of the
-divergence in bits, 0 to 1) and is rejected beyond a limit; documents under ``min_words`` words,
-or of a language with less than 1/1000 of the corpus, are not compared. So there are at most
-1,000 reference rows of bounded size, and they are broadcast.
+divergence in bits, 0 to 1) and is rejected beyond a limit.
+
+The few words of that histogram cover too little of a text to tell that all are missing. So a
+third distance compares the share of words of a finer set (at least ``known_share`` of the
+language's words, one word for each of ``SLOTS`` hashed slots) with the share in the language;
+its limit is ``max_known`` of what a text with none of these words has in that language.
+
+Documents under ``min_words`` words, or of a language with less than 1/1000 of the corpus, are not
+compared. So there are at most 1,000 reference rows of bounded size, and they are broadcast.
 
 All of it is one expression per text (split once, hashes of 5-word windows, sorted only where
 a window repeats), without Python, joins of texts or shuffles of texts.
@@ -24,6 +30,7 @@ CLASSES = ("[a-z]+", "[A-Z]+", "[0-9]+", r"[\p{L}\p{M}]+", "[#*$%&|<>]+")
 SYMBOLS = 4  # its place in CLASSES
 WINDOW = 5
 MIN_LANG_SHARE = 1000
+SLOTS = 1024
 
 
 def words_of(text: Column) -> Column:
@@ -91,9 +98,19 @@ def word_counts(words: Column, common: Column) -> Column:
         F.filter(words, lambda w: (F.octet_length(w) <= top) & F.array_contains(common, w)), counts))
 
 
-def judgement(text: Column, common: Column, word_ref: Column, class_ref: Column, min_words: int,
-              max_class: float, max_word: float) -> Column:
-    """One struct per text: the base counts, both distances, ``base_failed`` and ``kept``."""
+def slot_of(word: Column) -> Column:
+    return F.pmod(F.xxhash64(word), F.lit(SLOTS)).cast("int")
+
+
+def known_words(words: Column, known: Column) -> Column:
+    """Counts of the words that are in their slot of ``known``, and of all others."""
+    hits = F.size(F.filter(words, lambda w: F.coalesce(F.get(known, slot_of(w)) == w, F.lit(False)))).cast("bigint")
+    return let(hits, lambda n: F.array(n, F.size(words).cast("bigint") - n))
+
+
+def judgement(text: Column, common: Column, word_ref: Column, class_ref: Column, known: Column, known_ref: Column,
+              min_words: int, max_class: float, max_word: float, max_known: float) -> Column:
+    """One struct per text: the base counts, the distances, ``base_failed`` and ``kept``."""
     def judge(words, chars, classes):
         long_enough = (F.size(words) >= min_words) & common.isNotNull()
         measured = F.struct(
@@ -101,12 +118,16 @@ def judgement(text: Column, common: Column, word_ref: Column, class_ref: Column,
             classes[SYMBOLS].alias("n_symbols"), duplicate_lines(text).alias("n_dup_lines"),
             repeated_words(words).alias("n_repeat_words"),
             F.when(long_enough, js_distance(classes, class_ref)).alias("class_distance"),
-            F.when(long_enough, js_distance(word_counts(words, common), word_ref)).alias("word_distance"))
+            F.when(long_enough, js_distance(word_counts(words, common), word_ref)).alias("word_distance"),
+            F.when((F.size(words) >= min_words) & known.isNotNull(),
+                   js_distance(known_words(words, known), known_ref)).alias("known_distance"))
 
         def verdict(m):
             failed = (m["n_words"] < 10) | (100 * m["n_repeat_words"] > 20 * m["n_words"])
             far = F.coalesce((m["class_distance"] > max_class) | (m["word_distance"] > max_word), F.lit(False))
-            names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "class_distance", "word_distance"]
+            none = js_distance(F.array(F.lit(0).cast("bigint"), F.lit(1).cast("bigint")), known_ref)
+            far = far | F.coalesce(m["known_distance"] > max_known * none, F.lit(False))
+            names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "class_distance", "word_distance", "known_distance"]
             return F.struct(*[m[n].alias(n) for n in names], failed.alias("base_failed"), (~failed & ~far).alias("kept"))
         return let(measured, verdict)
     return let(words_of(text), lambda w: let(F.array_join(w, ""), lambda chars: let(
@@ -114,8 +135,8 @@ def judgement(text: Column, common: Column, word_ref: Column, class_ref: Column,
 
 
 def language_references(docs: DataFrame, text_col: str, lang_col: str, common_share: float,
-                        scratch: Scratch) -> DataFrame:
-    """``lang, common, word_ref, class_ref``: counts over all words of all texts."""
+                        known_share: float, scratch: Scratch) -> DataFrame:
+    """``lang, common, word_ref, class_ref, known, known_ref``: counts over all words of all texts."""
     words = docs.select(F.col(lang_col).alias("lang"), F.explode(words_of(F.col(text_col))).alias("word"))
     counts = scratch.save(words.where("lang is not null").groupBy("lang", "word").agg(F.count("*").alias("n")), "words")
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
@@ -126,28 +147,34 @@ def language_references(docs: DataFrame, text_col: str, lang_col: str, common_sh
     classes = (counts.select("lang", "n", class_counts(F.col("word")).alias("c")).groupBy("lang").agg(*sums))
     chars = sum((F.col(f"c{k}") for k in range(1, len(CLASSES) + 1)), F.col("c0"))
     classes = classes.select("lang", F.array(*[F.col(f"c{k}") / chars for k in range(len(CLASSES) + 1)]).alias("class_ref"))
-    often = (counts.join(F.broadcast(large), "lang").where(F.col("n") >= F.col("total") * common_share)
+    slots = (counts.join(large, "lang").where(F.col("n") >= F.col("total") * known_share)
+             .groupBy("lang", "total", slot_of(F.col("word")).alias("slot")).agg(F.max(F.struct("n", "word")).alias("w"))
+             .groupBy("lang", "total").agg(F.sum("w.n").alias("hits"), F.map_from_entries(F.collect_list(F.struct("slot", "w.word"))).alias("at")))
+    share = F.col("hits") / F.col("total")
+    slots = slots.select("lang", F.transform(F.sequence(F.lit(0), F.lit(SLOTS - 1)), lambda i: F.try_element_at("at", i)).alias("known"),
+                         F.array(share, 1 - share).alias("known_ref"))
+    often = (counts.join(large, "lang").where(F.col("n") >= F.col("total") * common_share)
              .groupBy("lang").agg(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("m"), "word",
                                                                        (F.col("n") / F.col("total")).alias("p")))).alias("w")))
     other = 1 - F.aggregate("w", F.lit(0.0), lambda s, x: s + x["p"])
     often = often.select("lang", F.transform("w", lambda x: x["word"]).alias("common"),
                          F.concat(F.transform("w", lambda x: x["p"]), F.array(other)).alias("word_ref"))
-    return scratch.save(often.join(classes, "lang"), "references")
+    return scratch.save(classes.join(slots, "lang").join(often, "lang", "left"), "references")
 
 
 def judge_documents(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", common_share: float = 0.005,
                     min_words: int = 50, max_class: float = 0.34, max_word: float = 0.40,
-                    out: str = "judgement") -> DataFrame:
+                    known_share: float = 0.0005, max_known: float = 0.5, out: str = "judgement") -> DataFrame:
     """``docs`` with one more struct column ``out`` (see :func:`judgement`).
 
-    A null text counts as empty (0 words: base_failed). A null or rare language has no
-    reference: only the base rules judge. A language none of whose words is common enough has
+    A null text counts as empty (0 words: base_failed). A null language or one of few
+    words has no reference: only the base rules judge. A language none of whose words is common enough has
     none either. Repeated rows are judged alike; an empty table stays empty. All
     columns of ``docs`` stay; ``out`` should not be one of them."""
     scratch = Scratch(docs.sparkSession, "divergence")
-    ref = {c: fresh(docs, f"_ref_{c}") for c in ("lang", "common", "word_ref", "class_ref")}
-    refs = F.broadcast(language_references(docs, text_col, lang_col, common_share, scratch)
-                       .select(*[F.col(c).alias(n) for c, n in ref.items()]))
+    ref = {c: fresh(docs, f"_ref_{c}") for c in ("lang", "common", "word_ref", "class_ref", "known", "known_ref")}
+    refs = F.broadcast(language_references(docs, text_col, lang_col, common_share, known_share, scratch)
+            .select(*[F.col(c).alias(n) for c, n in ref.items()]))
     return docs.join(refs, F.col(lang_col) == F.col(ref["lang"]), "left").withColumn(out, judgement(
-        F.coalesce(F.col(text_col), F.lit("")), *[F.col(ref[c]) for c in ("common", "word_ref", "class_ref")],
-        min_words, max_class, max_word)).drop(*ref.values())
+        F.coalesce(F.col(text_col), F.lit("")), *[F.col(ref[c]) for c in ("common", "word_ref", "class_ref", "known", "known_ref")],
+        min_words, max_class, max_word, max_known)).drop(*ref.values())
