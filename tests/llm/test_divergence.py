@@ -1,6 +1,7 @@
 """Divergence rules: base counts and distances against plain Python, guards and edge rows."""
 
 import math
+import random
 import re
 from collections import Counter
 
@@ -78,3 +79,18 @@ def test_unknown_language_extra_columns_and_empty(spark):
     rows = out.collect()
     assert len(rows) == 4 and sum(r.judgement.word_distance is None for r in rows) == 2
     assert judge_documents(df.limit(0)).count() == 0
+
+
+def test_small_languages_and_texts_without_known_words(spark):
+    r = random.Random(3)
+    names = ["".join(r.choices("abcdefghij", k=6)) for _ in range(30_000)]
+    often, middle, rare = names[:13], names[13:313], names[313:]
+
+    def text(n, share):
+        return " ".join(r.choice(r.choices((often, middle, rare), (0.4 * share, 0.6 * share, 1 - share))[0]) for _ in range(n))
+    rows = [(i, text(600, 0.45), "aa") for i in range(2500)] + [(5000, text(600, 0.0), "aa")]
+    rows += [(6000 + i, text(90, 0.9), "bb") for i in range(12)]  # under 1/1000 of all words
+    rows += [(7000, " ".join(f"{w.upper()}###" for w in text(90, 0.9).split()), "bb")]
+    got = {x.doc_id: x.judgement for x in judge_documents(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert [i for i, j in got.items() if not j.kept] == [5000, 7000]
+    assert all(j.class_distance is not None for j in got.values())

@@ -11,8 +11,9 @@ third distance compares the share of words of a finer set (at least ``known_shar
 language's words, one word for each of ``SLOTS`` hashed slots) with the share in the language;
 its limit is ``max_known`` of what a text with none of these words has in that language.
 
-Documents under ``min_words`` words, or of a language with less than 1/1000 of the corpus, are not
-compared. So there are at most 1,000 reference rows of bounded size, and they are broadcast.
+Documents under ``min_words`` words, or of a language with under ``MIN_LANG_WORDS`` words, are not
+compared; whether a language is judged does not depend on the others. References are joined
+by language, by a broadcast where Spark's statistics allow it.
 
 All of it is one expression per text (split once, hashes of 5-word windows, sorted only where
 a window repeats), without Python, joins of texts or shuffles of texts.
@@ -29,7 +30,7 @@ from .common import SEPARATORS, WORD, Scratch, fresh, let
 CLASSES = ("[a-z]+", "[A-Z]+", "[0-9]+", r"[\p{L}\p{M}]+", "[#*$%&|<>]+")
 SYMBOLS = 4  # its place in CLASSES
 WINDOW = 5
-MIN_LANG_SHARE = 1000
+MIN_LANG_WORDS = 100
 SLOTS = 1024
 
 
@@ -140,9 +141,7 @@ def language_references(docs: DataFrame, text_col: str, lang_col: str, common_sh
     words = docs.select(F.col(lang_col).alias("lang"), F.explode(words_of(F.col(text_col))).alias("word"))
     counts = scratch.save(words.where("lang is not null").groupBy("lang", "word").agg(F.count("*").alias("n")), "words")
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
-    corpus = counts.agg(F.sum("n").alias("corpus"))
-    large = scratch.save(totals.crossJoin(F.broadcast(corpus)).where(f"total * {MIN_LANG_SHARE} >= corpus")
-                         .select("lang", "total"), "languages")
+    large = scratch.save(totals.where(f"total >= {MIN_LANG_WORDS}"), "languages")
     sums = [F.sum(F.col("n") * F.col("c")[k]).cast("double").alias(f"c{k}") for k in range(len(CLASSES) + 1)]
     classes = (counts.select("lang", "n", class_counts(F.col("word")).alias("c")).groupBy("lang").agg(*sums))
     chars = sum((F.col(f"c{k}") for k in range(1, len(CLASSES) + 1)), F.col("c0"))
@@ -173,7 +172,7 @@ def judge_documents(docs: DataFrame, text_col: str = "text", lang_col: str = "la
     columns of ``docs`` stay; ``out`` should not be one of them."""
     scratch = Scratch(docs.sparkSession, "divergence")
     ref = {c: fresh(docs, f"_ref_{c}") for c in ("lang", "common", "word_ref", "class_ref", "known", "known_ref")}
-    refs = F.broadcast(language_references(docs, text_col, lang_col, common_share, known_share, scratch)
+    refs = (language_references(docs, text_col, lang_col, common_share, known_share, scratch)
             .select(*[F.col(c).alias(n) for c, n in ref.items()]))
     return docs.join(refs, F.col(lang_col) == F.col(ref["lang"]), "left").withColumn(out, judgement(
         F.coalesce(F.col(text_col), F.lit("")), *[F.col(ref[c]) for c in ("common", "word_ref", "class_ref", "known", "known_ref")],
