@@ -48,3 +48,22 @@ def test_rejections(spark, payload, message):
     r = _run(spark, [payload])[0]
     assert r.error == message
     assert r.prompt is None and r.max_new_tokens is None
+
+
+def test_stream_query_keeps_the_budgets(spark, sf_dir, monkeypatch):
+    from textspark.operators.requests import validate_requests
+    from textspark.plans import QUERIES, misc_queries as M
+    seen = []
+
+    def serve(requests, tok, model, checkpoint, out):
+        seen.append(requests)
+        validate_requests(M.request_payloads(spark, sf_dir)).limit(0).selectExpr("*", "0 as epoch").drop("raw").write.parquet(out)
+    payload = spark.createDataFrame([(i, '{"prompt": "ab", "max_new_tokens": %s}' % n) for i, n in enumerate((0, 3, 501))],
+                                    "request_id long, payload string")
+    monkeypatch.setattr(M, "request_payloads", lambda *a: payload)
+    monkeypatch.setattr(M, "char_setup", lambda *a: type("Setup", (), {"tok": None, "model": None}))
+    monkeypatch.setattr(M.req_stream, "request_stream", lambda spark, src: validate_requests(spark.read.parquet(src)))
+    monkeypatch.setattr(M.req_stream, "serve", serve)
+    QUERIES["g16_stream_score"](spark, sf_dir)
+    got = {r.request_id: (r.max_new_tokens, r.error is None) for r in seen[0].collect()}
+    assert got[1] == (3, True) and not got[0][1] and not got[2][1]
