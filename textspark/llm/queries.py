@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from .common import Scratch, small_batches, table
+from .common import WORD, Scratch, let, small_batches, table
 
 QUERIES = {}
 ORACLE = {}
@@ -98,3 +98,34 @@ def op1_gumbel_lattice(spark, sf_dir):
         F.col("id").alias("doc_id"), "sample", F.size("ids").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"),
         "log_prob", "perturbed", "inclusion",
         (F.crc32(decode_ids(path)("ids").cast("binary")) == F.col("plain_crc32")).alias("round_trip"))
+
+
+@query
+def op11_periodic_runs(spark, sf_dir):
+    from .periodic_runs import best_run, find_runs
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    rows = find_runs(repeat_tails(docs))
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    rows = rows.withColumn("best", best_run(F.col("runs")))
+    return rows.select(
+        F.col("id").alias("doc_id"), F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def repeat_tails(docs):
+    """The contract's texts: with h = crc32 of the decimal id, one in ten (h % 10 = 0) repeats its
+    words from a = g % n on with period 1 + (n - a) // (3 + g % 8), g = h // 10. The words of
+    such a text are joined by one space; the others stay as they are."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def repeated(words):
+        n = F.size(words)
+        a = F.pmod(g, n)
+        p = 1 + F.floor((n - a) / (3 + F.pmod(g, F.lit(8))))
+        tail = F.transform(F.sequence(F.lit(0).cast("bigint"), n - a - 1), lambda i: words[(a + F.pmod(i, p)).cast("int")])
+        return F.when(n == 0, F.lit("")).otherwise(F.array_join(F.concat(F.slice(words, F.lit(1), a.cast("int")), tail), " "))
+
+    return docs.withColumn("text", F.when((h % 10 == 0) & F.col("text").isNotNull(), let(
+        F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), repeated)).otherwise(F.col("text")))
