@@ -19,7 +19,8 @@ of its own). There is no shuffle.
 
 from __future__ import annotations
 
-from itertools import compress
+from collections import defaultdict
+from itertools import compress, count
 
 import numpy as np
 import pandas as pd
@@ -173,11 +174,11 @@ def maximal_runs(t: np.ndarray, first: np.ndarray, least: int = 6, exponent: int
 
 def _chunk(texts: list[bytes], least: int, exponent: int):
     """Per text: number of words, runs, the words that stay joined by one space."""
-    numbers: dict[bytes, int] = {}
+    numbers: dict[bytes, int] = defaultdict(count().__next__)
     words, first, t = [], [0], []
     for text in texts:
         own = text.split()           # bytes.split() cuts at \\t \\n \\v \\f \\r and space
-        t.append(np.fromiter((numbers.setdefault(w, len(numbers)) for w in own), np.int32, len(own)))
+        t.append(np.fromiter(map(numbers.__getitem__, own), np.int32, len(own)))
         words.append(own)
         first.append(first[-1] + len(own))
     first = np.array(first)

@@ -129,3 +129,30 @@ def repeat_tails(docs):
 
     return docs.withColumn("text", F.when((h % 10 == 0) & F.col("text").isNotNull(), let(
         F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), repeated)).otherwise(F.col("text")))
+
+
+@query
+def op13_passage_join(spark, sf_dir):
+    from .decontaminate import find_passages
+    rows = find_passages(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
+    n_hit = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"])
+    return rows.select(F.col("id").alias("doc_id"), "n_words", n_hit.alias("n_hit"), F.size("items").cast("bigint").alias("n_items"),
+                       F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
+
+
+_FOLDED = "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+ORACLE["op13_passage_join"] = f"""
+with d as (select doc_id, coalesce({_FOLDED}, []) as w from documents),
+b as (select item_id, w, least(len(w), 10) as l from (select item_id, {_FOLDED} as w from benchmark) where len(w) > 0),
+bw as (select item_id, l, array_to_string(w[i:i + l - 1], ' ') as win
+       from (select item_id, w, l, unnest(range(1, len(w) - l + 2)) as i from b)),
+dw as (select doc_id, l, i, array_to_string(w[i:i + l - 1], ' ') as win
+       from (select doc_id, w, l, unnest(range(1, len(w) - l + 2)) as i from d, (select distinct l from bw))),
+m as (select distinct doc_id, i, l, item_id from dw join bw using (l, win)),
+hit as (select doc_id, count(distinct p)::bigint as n_hit from (select doc_id, unnest(range(i, i + l)) as p from m) group by doc_id),
+its as (select doc_id, count(*)::bigint as n_items, sha256(string_agg(item, ',' order by item)) as items_sha256
+        from (select distinct doc_id, item_id::varchar as item from m) group by doc_id)
+select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+       coalesce(items_sha256, sha256('')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join hit using (doc_id) left join its using (doc_id)"""

@@ -75,12 +75,13 @@ def text_chunks(col, limit: int = CHUNK_BYTES):
         yield i, j, raw[a:b], offsets[i:j + 1] - a
 
 
-def word_spans(raw: np.ndarray, offsets: np.ndarray):
-    """Start and end of every word, and for each row where its words begin (length rows + 1)."""
+def word_spans(raw: np.ndarray, offsets: np.ndarray, sep: np.ndarray = _SEP):
+    """Start and end of every word (bytes not in ``sep``), and for each row where its words
+    begin (length rows + 1)."""
     n = len(raw)
     if not n:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
-    word = ~_SEP[raw]
+    word = ~sep[raw]
     edge = np.zeros(n + 1, bool)
     edge[offsets] = True
     before = np.empty(n, bool)
