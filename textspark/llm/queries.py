@@ -156,3 +156,52 @@ its as (select doc_id, count(*)::bigint as n_items, sha256(string_agg(item, ','
 select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
        coalesce(items_sha256, sha256('')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
 from d left join hit using (doc_id) left join its using (doc_id)"""
+
+
+@query
+def op12_prefix_trie(spark, sf_dir):
+    from .prefix_trie import prefix_trie
+    return prefix_trie(rebuilt_conversations(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")))
+
+
+def rebuilt_conversations(turns):
+    """The contract's conversations: the first h turns of conversation c - c % 5 (h = crc32 of the
+    decimal c, mod 9; so at most 8), then c's own turns after its first h."""
+    from .prefix_trie import _openings, turn_digests
+    rows = Scratch(turns.sparkSession, "rebuilt").save(turn_digests(turns, "conv_id", "turn", "role", "text"), "turns")
+    h = F.crc32(F.col("conv").cast("string").cast("binary")) % 9
+    opened = _openings(rows)
+    shared = (rows.where((F.pmod("conv", F.lit(5)) == 0) & (F.col("idx") < 8))
+              .withColumn("conv", F.explode(F.sequence("conv", F.col("conv") + 4))).where(F.col("idx") < h)
+              .join(opened.select("conv"), "conv", "left_semi"))
+    own = rows.where(F.col("idx") >= h)
+    return (opened.unionByName(shared.withColumn("part", F.lit(1)), allowMissingColumns=False)
+            .unionByName(own.withColumn("part", F.lit(2))))
+
+
+def _crc32_sql(text):
+    """Unsigned CRC-32 of an ASCII string, bit by bit (DuckDB has no function for it)."""
+    steps = f"flatten(list_transform(string_split({text}, ''), lambda ch: list_concat([ord(ch)::ubigint], [256, 256, 256, 256, 256, 256, 256, 256]::ubigint[])))"
+    return (f"xor(list_reduce(list_prepend(4294967295::ubigint, {steps}), lambda a, e: case when e < 256 then xor(a, e) "
+            "else xor(a >> 1, (a & 1) * 3988292384) end), 4294967295::ubigint)")
+
+
+ORACLE["op12_prefix_trie"] = f"""
+with t as (select conv_id as c, coalesce(role, '') as r, coalesce(text, '') as x, row_number() over (
+    partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) - 1 as i
+  from conversations where conv_id is not null),
+h as (select c, ({_crc32_sql('c::varchar')} % 9)::int as h from (select distinct c from t)),
+rb as (select h.c, 0 as part, t.i, md5(strlen(r) || ':' || r || x) as d, strlen(x) as nb from h join t on t.c = h.c - h.c % 5 and t.i < h.h
+  union all select h.c, 1, t.i, md5(strlen(r) || ':' || r || x), strlen(x) from h join t on t.c = h.c and t.i >= h.h),
+seq as (select h.c, coalesce(list(d order by part, i) filter (where d is not null), []) as k,
+    coalesce(list(nb order by part, i) filter (where d is not null), []) as b from h left join rb using (c) group by h.c),
+mem as (select c, d, k[1:d] as key, case d when 0 then 0 else b[d] end as nb from (select *, unnest(range(0, len(k) + 1)) as d from seq)),
+node as (select key, d, min(c) as conv, count(*) as n, max(nb) as nb from mem group by key, d),
+kid as (select key[1:d - 1] as key, count(*) as nc from node where d > 0 group by 1),
+own as (select node.*, coalesce(nc, 0) as nc, (n - 1) * nb as s from node left join kid using (key)),
+sub as (select key[1:j] as key, sum(s)::bigint as saved, sum((nc = 0)::int)::bigint as leaves
+        from (select *, unnest(range(0, d + 1)) as j from own) group by 1),
+ends as (select k as key, sha256(string_agg(c::varchar, ',' order by c)) as e from seq group by k)
+select own.conv as conv_id, own.d as depth, up.conv as parent_conv_id, own.n as n_convs, own.nc as n_children, leaves as n_leaves,
+       saved as saved_tokens, coalesce(e, sha256('')) as ends_sha256
+from own join sub using (key) left join ends using (key) left join node up on own.d > 0 and up.key = own.key[1:own.d - 1]"""
