@@ -1,16 +1,27 @@
 """Generation over whole tables of prompts.
 
-One round appends one token to every live prompt: a join of the live prompts
-with the candidate next tokens of their last token (the n-gram successors, or
-the unigram row set ``context = -1`` for an unseen context), then a window per
-prompt for temperature, top-k (``rank``, so ties at the threshold stay),
-softmax and the cumulative distribution, and a stateless hash-uniform draw.
-Rows that finish (stop token or token budget) leave the loop; the loop cuts
-lineage into the shared checkpoint folder every few rounds.
+The next token has a probability for every id of the vocabulary: the observed successors of
+the last token, and all other ids, which share one smoothed probability each. That tail is
+kept as a number and a mass, never as rows: it ties below every observed successor, so a
+top-k larger than the successors keeps all of it, and a draw that falls into it picks the
+r-th id that is no successor.
+
+A request is completed in one go: the successors of each context, ranked, go to the tasks as
+arrays if they are at most ``KERNEL_BYTES`` (checked; entries have a fixed width), and a task
+loops over the budget of its requests. A larger model stays partitioned: each token is a
+round in which requests and successor lists of the same context meet in a cogroup, a context
+that many requests are at in several groups. Both use the same chooser, so they give the
+same tokens. Draws are hashes of (seed, prompt, step): no state, no dependence on
+partitions, retries or row ids.
 """
 
 from __future__ import annotations
 
+import hashlib
+from bisect import bisect_right
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,122 +30,218 @@ from ..session import reliable_checkpoint
 from .lm import NgramModel
 
 UNSEEN = -1
-TWO53 = float(2 ** 53)
-CAND_BROADCAST_ROWS = 5_000_000   # candidate rows broadcast to every task below this
+#: A model of at most this size goes to every task; an entry is an int token and a long count.
+KERNEL_BYTES = 64 << 20
+ENTRY_BYTES = 12
+#: Requests at one context that a group of a round takes.
+GROUP_REQUESTS = 10_000
+#: Cumulative shares that a task keeps (8 bytes each).
+CACHE_ENTRIES = 4_000_000
 
 
 def candidates(model: NgramModel) -> DataFrame:
-    """(context, token, logp): observed successors of each context, plus the
-    smoothed unigram distribution under ``context = -1`` for back-off."""
+    """(context, token, logp, n_tokens): the observed successors of each context, and under
+    ``context = -1`` the unigrams for back-off. ``n_tokens`` is 1; a last row of each context, with a
+    null token, stands for the ``n_tokens`` ids that were not observed, with the ``logp`` of each."""
     a, V = model.alpha, model.vocab_size
-    succ = model.next_token_probs().select("context", "token", F.log("prob").alias("logp"))
-    uni = model.unigrams.select(F.lit(UNSEEN).alias("context"), "token",
-                                F.log((F.col("n_w") + a) / (F.lit(model.n_tokens) + a * V)).alias("logp"))
-    return succ.unionByName(uni)
-
-
-def uniform(seed_col, prompt_col, step_col) -> F.Column:
-    """U in [0, 1) from the seed, the prompt's tokens and the step. The row's id is
-    no input, so equal requests give equal texts; there is no RNG state, so the draw does
-    not depend on partitioning or retries."""
-    h = F.xxhash64(F.coalesce(seed_col.cast("bigint"), F.lit(-1)), prompt_col, step_col.cast("bigint"))
-    return h.bitwiseAND(F.lit((1 << 53) - 1)).cast("double") / F.lit(TWO53)
-
-
-def choose_next(cands: DataFrame) -> DataFrame:
-    """G1-G5 for rows (pid, ..., _prompt, _done, token, logp, temperature, top_k, seed,
-    new_tokens): one row per pid. Finished prompts carry one row with a null
-    token and pass through. temperature 0 = greedy (highest logp, smallest id).
-    Two ordered windows (rank for top-k, prefix sums for the inverse CDF); the
-    others are whole-partition windows over the same pid partitioning."""
-    by_pid = Window.partitionBy("pid")
-    t = F.col("temperature")
-    done = F.col("_done")
-    greedy = t == 0
-    scaled = F.when(t > 0, F.col("logp") / F.when(t > 0, t)).otherwise(F.col("logp"))            # G1
-    c = cands.withColumns({
-        "_best": F.min(F.when(F.col("logp") == F.max("logp").over(by_pid), F.col("token"))).over(by_pid),  # G5
-        "_l": scaled,
-        "_r": F.rank().over(by_pid.orderBy(scaled.desc())),                                     # G2 (ties kept)
-    })
-    c = c.where(done | greedy | (F.col("top_k") <= 0) | (F.col("_r") <= F.col("top_k")))
-    c = c.withColumns({"_e": F.exp(F.col("_l") - F.max("_l").over(by_pid)),                    # G3
-                       "_last": F.col("token") == F.max("token").over(by_pid)})
-    before = by_pid.orderBy("token").rowsBetween(Window.unboundedPreceding, -1)
-    c = c.withColumn("_lo", F.coalesce(F.sum("_e").over(before), F.lit(0.0)) / F.sum("_e").over(by_pid))
-    # G4 inverse CDF: a row owns [its prefix share, the next row's prefix share);
-    # both bounds are the same window values, so exactly one row matches and the
-    # last row takes any rounding remainder. The step is the row's own token
-    # count, so every round has the same plan (and reuses its generated code).
-    c = c.withColumn("_hi", F.lead("_lo").over(by_pid.orderBy("token")))
-    u = uniform(F.col("seed"), F.col("_prompt"), F.col("new_tokens"))
-    sampled = (u >= F.col("_lo")) & (F.col("_last") | (u < F.col("_hi")))
-    pick = F.when(done, F.lit(True)).when(greedy, F.col("token") == F.col("_best")).otherwise(sampled)
-    return c.where(pick).drop("_best", "_l", "_r", "_e", "_lo", "_hi", "_last")
+    succ = model.next_token_probs().select("context", "token", F.log("prob").alias("logp"), "n_tokens")
+    n = F.lit(float(model.n_tokens)) + a * V
+    seen = model.unigrams.select(F.count(F.lit(1)).alias("s")).select((F.lit(V) - F.col("s")).alias("n_tokens"))
+    uni = model.unigrams.select(F.lit(UNSEEN).alias("context"), "token", F.log((F.col("n_w") + a) / n).alias("logp"),
+                                F.lit(1).cast("bigint").alias("n_tokens"))
+    rest = seen.where("n_tokens > 0").select(F.lit(UNSEEN).alias("context"), F.lit(None).cast("int").alias("token"),
+                                             F.log(F.lit(a) / n).alias("logp"), F.col("n_tokens").cast("bigint"))
+    return succ.unionByName(uni).unionByName(rest)
+
+
+def crop_context(ids, n: int = 2):
+    """What an n-gram model looks at, the last n - 1 tokens (all of a shorter prompt)."""
+    ids = F.col(ids) if isinstance(ids, str) else ids
+    return F.slice(ids, F.greatest(F.size(ids) - (n - 2), F.lit(1)), F.lit(max(n - 1, 0)))
+
+
+def ranked_successors(model: NgramModel) -> DataFrame:
+    """(context, tokens, counts): the successors of each context, most frequent first (ties by id);
+    the unigrams under ``context = -1``. A list is as long as the vocabulary at most."""
+    rows = model.pairs.select("context", "token", "n").unionByName(
+        model.unigrams.select(F.lit(UNSEEN).alias("context"), "token", F.col("n_w").alias("n")))
+    ranked = rows.groupBy("context").agg(F.array_sort(F.collect_list(F.struct(
+        (-F.col("n")).alias("m"), F.col("token").cast("int").alias("token")))).alias("r"))
+    return ranked.select(F.col("context").cast("int").alias("context"), F.transform("r", lambda x: x["token"]).alias("tokens"),
+                         F.transform("r", lambda x: -x["m"]).alias("counts"))
+
+
+class Chooser:
+    """Picks next tokens from successor lists; keeps the shares of the settings it has met."""
+
+    def __init__(self, vocab_size: int, alpha: float):
+        self.size, self.alpha, self.kept, self.entries = vocab_size, alpha, {}, 0
+
+    def shares(self, name, tokens: np.ndarray, counts: np.ndarray, temperature: float, top_k: int):
+        """Ids that stay in id order, their cumulative weights, weight of one tail id, all observed ids sorted."""
+        key = (name, temperature, top_k)
+        found = self.kept.get(key)
+        if found is None:
+            stay = len(tokens)
+            if 0 < top_k < stay:
+                stay = int(np.searchsorted(-counts, -counts[top_k - 1], side="right"))    # ties with the k-th stay
+            tail = len(tokens) if top_k <= 0 or top_k > len(tokens) else None             # the tail ties as rank s + 1
+            top = float(counts[0]) + self.alpha if len(counts) else self.alpha
+            order = np.argsort(tokens[:stay], kind="stable")
+            weight = np.exp(np.log((counts[:stay][order] + self.alpha) / top) / temperature)
+            each = float(np.exp(np.log(self.alpha / top) / temperature)) if tail is not None and self.alpha > 0 else 0.0
+            if self.entries > CACHE_ENTRIES:
+                self.kept.clear()
+                self.entries = 0
+            found = (tokens[:stay][order].tolist(), np.cumsum(weight).tolist(), each, np.sort(tokens) if each else None)
+            self.kept[key] = found
+            self.entries += 2 * stay + 1
+        return found
+
+    def choose(self, name, tokens, counts, temperature: float, top_k: int, u: float) -> int:
+        """G4 or, at temperature 0, G5. ``u`` in [0, 1) runs over the successors by id, then over
+        the other ids."""
+        if temperature == 0:
+            return int(tokens[0]) if len(tokens) else 0
+        ids, upto, each, observed = self.shares(name, tokens, counts, temperature, top_k)
+        mass = upto[-1] if upto else 0.0
+        rest = self.size - len(tokens) if each else 0
+        at = u * (mass + each * rest)
+        if at < mass or not rest:
+            return ids[min(bisect_right(upto, at), len(ids) - 1)]
+        return nth_other(observed, min(int((at - mass) / each), rest - 1))
+
+
+def nth_other(observed: np.ndarray, r: int) -> int:
+    """The r-th id (from 0) that is not among the sorted ``observed``."""
+    return r + int(np.searchsorted(observed - np.arange(len(observed)), r, side="right"))
+
+
+def prompt_key(seed, ids):
+    """Names the draws of a request by its seed and the tokens of its prompt."""
+    return F.md5(F.concat_ws(":", F.coalesce(seed.cast("string"), F.lit("-")), F.array_join(ids.cast("array<string>"), ",")).cast("binary"))
+
+
+def uniform(key: str, step: int) -> float:
+    """52 bits of a digest, in [0, 1)."""
+    return int(hashlib.md5(f"{key}:{step}".encode()).hexdigest()[:13], 16) / (1 << 52)
 
 
 def generate(model: NgramModel, prompts: DataFrame, max_steps: int | None = None,
-             check_every: int = 4) -> DataFrame:
+             kernel_bytes: int = KERNEL_BYTES) -> DataFrame:
     """Prompts (pid, ids, max_new_tokens, temperature, top_k, seed, stop_ids)
-    -> (pid, ids, new_tokens). The context of the next token is the last token
-    (bigram: the model only looks at the last n-1 tokens, G7). A row stops
-    after its newest token is a stop id (the token is kept, G8).
-
-    The state is one frame of all prompts with a ``_done`` flag. A round is a
-    broadcast left join with the candidates (live rows only), one exchange of
-    the prompt state by pid and the per-pid windows; the candidates are never
-    shuffled. Every
-    round is checkpointed to the shared folder (constant plan depth, a lost
-    executor costs one round); the loop ends early once every row is done."""
-    if max_steps is None:
-        max_steps = prompts.agg(F.max("max_new_tokens")).first()[0] or 0
-    cands = reliable_checkpoint(candidates(model).withColumnRenamed("context", "_ctx"))
-    known = model.contexts.select(F.col("context").alias("_kctx"), F.lit(True).alias("_known"))
-    # checked sizes: both tables are bounded by the vocabulary (contexts <= V,
-    # candidates <= observed pairs + V)
-    if cands.count() <= CAND_BROADCAST_ROWS:
-        cands = F.broadcast(cands)
-    if known.count() <= CAND_BROADCAST_ROWS:
-        known = F.broadcast(known)
-    cols = [c for c in prompts.columns if c not in ("ids",)]
-    state = prompts.withColumn("new_tokens", F.lit(0)).withColumn(
-        "_done", F.col("max_new_tokens") <= 0).withColumn("_prompt", F.xxhash64("ids"))
-    cols.append("_prompt")
-    state = reliable_checkpoint(state)
-    for step in range(max_steps):
-        last = F.element_at("ids", -1)                                          # G7: last n-1 tokens
-        keyed = state.join(known, last == F.col("_kctx"), "left")
-        key = F.when(F.col("_known"), last).otherwise(F.lit(UNSEEN))
-        j = keyed.join(cands, (key == F.col("_ctx")) & ~F.col("_done"), "left")
-        chosen = choose_next(j)
-        tok = F.col("token").cast("int")
-        stop = F.array_contains(F.coalesce("stop_ids", F.array().cast("array<int>")), tok)
-        state = chosen.select(
-            *[c for c in cols if c not in ("new_tokens", "_done")],
-            F.when(F.col("_done"), F.col("ids")).otherwise(F.concat("ids", F.array(tok))).alias("ids"),
-            F.when(F.col("_done"), F.col("new_tokens")).otherwise(F.col("new_tokens") + 1).alias("new_tokens"),
-            (F.col("_done") | stop | (F.col("new_tokens") + 1 >= F.col("max_new_tokens"))).alias("_done"))
-        state = reliable_checkpoint(state)
-        if (step + 1) % check_every == 0 and state.where(~F.col("_done")).limit(1).count() == 0:
+    -> (pid, ids, new_tokens). A row stops after its newest token is a stop id (the token is
+    kept, G8) or when its budget is used; ``max_steps`` bounds all budgets. A prompt without
+    tokens goes on from the unigrams."""
+    budget = F.col("max_new_tokens").cast("int")
+    state = prompts.select(
+        "pid", F.col("ids").cast("array<int>").alias("ids"),
+        (F.least(budget, F.lit(max_steps)) if max_steps is not None else budget).alias("budget"),
+        F.col("temperature").cast("double").alias("temperature"), F.col("top_k").cast("int").alias("top_k"),
+        prompt_key(F.col("seed"), F.col("ids")).alias("key"),
+        F.coalesce(F.col("stop_ids").cast("array<int>"), F.array().cast("array<int>")).alias("stop_ids"))
+    kind = prompts.schema["pid"].dataType.simpleString()
+    entries = model.pairs.count() + model.unigrams.count()
+    if entries * ENTRY_BYTES <= kernel_bytes:
+        return _generate_in_tasks(model, state, kind)
+    return _generate_in_rounds(model, state, kind)
+
+
+def _generate_in_tasks(model: NgramModel, state: DataFrame, kind: str) -> DataFrame:
+    spark = state.sparkSession
+    table = ranked_successors(model).toArrow()                       # at most KERNEL_BYTES, checked
+    lists = {c: (t.values.to_numpy(), n.values.to_numpy()) for c, t, n in zip(
+        table["context"].to_pylist(), table["tokens"], table["counts"])}
+    shared = spark.sparkContext.broadcast(lists)
+    size, alpha = model.vocab_size, model.alpha
+    empty = (np.zeros(0, np.int32), np.zeros(0, np.int64))
+
+    def run(batches):
+        lists, chooser = shared.value, Chooser(size, alpha)
+        for batch in batches:
+            out, made = [], []
+            for ids, budget, temperature, top_k, key, stop_ids in zip(*(batch.column(k).to_pylist() for k in range(1, 7))):
+                n, stops = 0, set(stop_ids)
+                while n < (budget or 0):
+                    at = ids[-1] if ids and ids[-1] in lists else UNSEEN
+                    u = uniform(key, n) if temperature else 0.0
+                    token = chooser.choose(at, *lists.get(at, empty), temperature, top_k, u)
+                    ids.append(token)
+                    n += 1
+                    if token in stops:
+                        break
+                out.append(ids)
+                made.append(n)
+            yield pa.record_batch([batch.column(0), pa.array(out, pa.list_(pa.int32())), pa.array(made, pa.int32())],
+                                  ["pid", "ids", "new_tokens"])
+
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # requests differ in budget, so they are dealt evenly over the tasks
+    return state.repartition(parts, F.xxhash64("key", "pid")).mapInArrow(run, f"pid {kind}, ids array<int>, new_tokens int")
+
+
+def _generate_in_rounds(model: NgramModel, state: DataFrame, kind: str) -> DataFrame:
+    ranked = reliable_checkpoint(ranked_successors(model))
+    known = ranked.select(F.col("context").alias("known"))
+    size, alpha = model.vocab_size, model.alpha
+    live = reliable_checkpoint(state.withColumn("new_tokens", F.lit(0)))
+    cols = live.columns
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in live.schema.fields)
+    done = []
+    while True:
+        done.append(live.where("budget is null or new_tokens >= budget").select("pid", "ids", "new_tokens"))
+        live = live.where("new_tokens < budget")
+        if live.isEmpty():
             break
-    return state.select("pid", "ids", "new_tokens")
+        last = F.get("ids", F.size("ids") - 1)
+        at = live.join(known, last == F.col("known"), "left").withColumn("at", F.coalesce("known", F.lit(UNSEEN))).drop("known")
+        groups = at.groupBy("at").agg(F.ceil(F.count(F.lit(1)) / GROUP_REQUESTS).cast("int").alias("groups"))
+        groups = reliable_checkpoint(groups)
+        asked = at.join(groups, "at").withColumn("salt", F.pmod(F.xxhash64("pid", "key"), F.col("groups")).cast("int")).drop("groups")
+        offered = ranked.join(groups, F.col("context") == F.col("at")).select(
+            "at", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("salt"), "tokens", "counts")
+
+        def choose(requests: pa.Table, successors: pa.Table) -> pa.Table:
+            chooser = Chooser(size, alpha)
+            if successors.num_rows:
+                lists = successors["tokens"][0].values.to_numpy(), successors["counts"][0].values.to_numpy()
+            else:
+                lists = np.zeros(0, np.int32), np.zeros(0, np.int64)
+            data = {c: requests[c].to_pylist() for c in cols}
+            for i, ids in enumerate(data["ids"]):
+                t = data["temperature"][i]
+                n = data["new_tokens"][i]
+                token = chooser.choose(0, *lists, t, data["top_k"][i], uniform(data["key"][i], n) if t else 0.0)
+                data["ids"][i] = [*ids, token]
+                data["new_tokens"][i] = n + 1
+                if token in data["stop_ids"][i]:
+                    data["budget"][i] = n + 1
+            return pa.table({c: pa.array(data[c], requests.schema.field(c).type) for c in cols})
+
+        live = reliable_checkpoint(asked.groupBy("at", "salt").cogroup(offered.groupBy("at", "salt")).applyInArrow(choose, kinds))
+    out = done[0]
+    for df in done[1:]:
+        out = out.unionByName(df)
+    return out
 
 
 def filtered_distribution(cands: DataFrame, temperature: float, top_k: int) -> DataFrame:
-    """G1-G3 for every context at fixed settings: (context, token, prob)."""
+    """G1-G3 for every context at fixed settings: (context, token, prob, n_tokens). The row with a
+    null token gives the probability of each of ``n_tokens`` other ids; it stays where k is
+    larger than the observed successors, since all of them tie."""
     by_ctx = Window.partitionBy("context")
     if temperature == 0:  # greedy: all mass on the best token
-        return greedy_next(cands).withColumn("prob", F.lit(1.0))
+        return greedy_next(cands).withColumns({"prob": F.lit(1.0), "n_tokens": F.lit(1).cast("bigint")})
     c = cands.withColumn("_l", F.col("logp") / F.lit(float(temperature)))
     if top_k and top_k > 0:
         c = c.withColumn("_r", F.rank().over(by_ctx.orderBy(F.col("_l").desc()))).where(F.col("_r") <= top_k)
     c = c.withColumn("_e", F.exp(F.col("_l") - F.max("_l").over(by_ctx)))
-    return c.select("context", "token", (F.col("_e") / F.sum("_e").over(by_ctx)).alias("prob"))
+    return c.select("context", "token", (F.col("_e") / F.sum(F.col("_e") * F.col("n_tokens")).over(by_ctx)).alias("prob"), "n_tokens")
 
 
 def greedy_next(cands: DataFrame) -> DataFrame:
     """Argmax per context, ties to the smallest id."""
-    w = Window.partitionBy("context").orderBy(F.col("logp").desc(), "token")
+    w = Window.partitionBy("context").orderBy(F.col("logp").desc(), F.asc_nulls_last("token"))
     return cands.withColumn("_g", F.row_number().over(w)).where("_g = 1").select("context", "token")
 
 

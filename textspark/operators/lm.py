@@ -50,10 +50,16 @@ class NgramModel:
             .drop("n", "n_c", "n_w")
 
     def next_token_probs(self) -> DataFrame:
-        """L2: (context, token, prob) for every observed pair."""
+        """L2: (context, token, prob, n_tokens), a whole distribution for each context: a row for
+        every observed successor (``n_tokens`` 1), and one with a null token that gives the
+        probability of each of the ``n_tokens`` other ids. sum(prob * n_tokens) is 1."""
         a, V = self.alpha, self.vocab_size
-        return (self.pairs.join(self.contexts, "context")
-                .select("context", "token", ((F.col("n") + a) / (F.col("n_c") + a * V)).alias("prob")))
+        seen = self.pairs.join(self.contexts, "context").select(
+            "context", "token", ((F.col("n") + a) / (F.col("n_c") + a * V)).alias("prob"), F.lit(1).cast("bigint").alias("n_tokens"))
+        rest = (self.pairs.groupBy("context").agg(F.count(F.lit(1)).alias("s"), F.sum("n").alias("n_c"))
+                .select("context", F.lit(None).cast("int").alias("token"), (F.lit(a) / (F.col("n_c") + a * V)).alias("prob"),
+                        (F.lit(V) - F.col("s")).cast("bigint").alias("n_tokens")).where("n_tokens > 0"))
+        return seen.unionByName(rest)
 
 
 def fit_ngram(encoded: DataFrame, vocab_size: int, alpha: float = 1.0, ids_col="ids") -> NgramModel:

@@ -113,11 +113,13 @@ def l1_ngram_fit(spark, sf_dir):
 
 
 @register("l2_next_token_probs", BASE_SQL + """
-select bg.context::int as context, bg.token::int as token, round((n + 1.0) / (n_c + (select v from vs)), 6) as prob
-from bg join cx using (context)""")
+select bg.context::int as context, bg.token::int as token, round((n + 1.0) / (n_c + (select v from vs)), 6) as prob, 1::bigint as n_tokens
+from bg join cx using (context)
+union all select context::int, null, round(1.0 / (n_c + (select v from vs)), 6), ((select v from vs) - s)::bigint
+from (select context, count(*) as s, sum(n) as n_c from bg group by context) where s < (select v from vs)""")
 def l2_next_token_probs(spark, sf_dir):
     p = char_setup(spark, sf_dir).model.next_token_probs()
-    return p.select(F.col("context").cast("int"), F.col("token").cast("int"), F.round("prob", 6).alias("prob"))
+    return p.select(F.col("context").cast("int"), F.col("token").cast("int"), F.round("prob", 6).alias("prob"), "n_tokens")
 
 
 EVAL_SQL = BASE_SQL + f""",
@@ -275,27 +277,31 @@ def l12_model_summary(spark, sf_dir):
 
 # --- G1-G15 -----------------------------------------------------------------
 CANDS_SQL = f""",
-cand as (select context, token, ln((n + 1.0) / (n_c + (select v from vs))) as logp from bg join cx using (context)
-  union all select -1, token, ln((n_w + 1.0) / ((select n from ntok) + (select v from vs))) from uni)"""
+cand as (select context, token, ln((n + 1.0) / (n_c + (select v from vs))) as logp, 1 as m from bg join cx using (context)
+  union all select -1, token, ln((n_w + 1.0) / ((select n from ntok) + (select v from vs))), 1 from uni
+  union all select context, null, ln(1.0 / (n_c + (select v from vs))), (select v from vs) - s
+  from (select context, count(*) as s, sum(n) as n_c from bg group by context) where s < (select v from vs)
+  union all select -1, null, ln(1.0 / ((select n from ntok) + (select v from vs))), (select v from vs) - (select count(*) from uni)
+  where (select count(*) from uni) < (select v from vs))"""
 
 
 @register("g3_softmax", BASE_SQL + CANDS_SQL + f""",
-f as (select context, token, logp / {K.TEMPERATURE} as l,
+f as (select context, token, m, logp / {K.TEMPERATURE} as l,
         rank() over (partition by context order by logp / {K.TEMPERATURE} desc) as r from cand),
-k as (select context, token, l from f where r <= {K.TOP_K}),
-e as (select context, token, exp(l - max(l) over (partition by context)) as e from k)
-select context::int as context, token::int as token, round(e / sum(e) over (partition by context), 6) as prob
+k as (select context, token, m, l from f where r <= {K.TOP_K}),
+e as (select context, token, m, exp(l - max(l) over (partition by context)) as e from k)
+select context::int as context, token::int as token, round(e / sum(e * m) over (partition by context), 6) as prob, m::bigint as n_tokens
 from e""")
 def g3_softmax(spark, sf_dir):
     """Temperature 0.8, top-k 40 (ties kept), renormalized, per context."""
     m = char_setup(spark, sf_dir).model
     d = G.filtered_distribution(G.candidates(m), K.TEMPERATURE, K.TOP_K)
-    return d.select(F.col("context").cast("int"), F.col("token").cast("int"), F.round("prob", 6).alias("prob"))
+    return d.select(F.col("context").cast("int"), F.col("token").cast("int"), F.round("prob", 6).alias("prob"), "n_tokens")
 
 
 @register("g5_greedy", BASE_SQL + CANDS_SQL + """
 select context::int as context, token::int as token from (
-  select context, token, row_number() over (partition by context order by logp desc, token) as r from cand)
+  select context, token, row_number() over (partition by context order by logp desc, token nulls last) as r from cand)
 where r = 1""")
 def g5_greedy(spark, sf_dir):
     g = G.greedy_next(G.candidates(char_setup(spark, sf_dir).model))
@@ -314,7 +320,7 @@ def prompts(spark, sf_dir, max_new=GREEDY_STEPS, temperature=0.0, top_k=0, seed=
 
 GREEDY_CHAIN_SQL = BASE_SQL + CANDS_SQL + """,
 gn as (select context, token from (
-  select context, token, row_number() over (partition by context order by logp desc, token) as r from cand) where r = 1),
+  select context, token, row_number() over (partition by context order by logp desc, token nulls last) as r from cand) where r = 1),
 p0 as (select item_id as pid, list(coalesce(cv.id, 0) order by pos) as ids from (
   select item_id, generate_subscripts(c, 1) as pos, unnest(c) as ch
   from (select item_id, string_split(lower(text), '') as c from benchmark)) x
@@ -329,7 +335,7 @@ def stop_chain_sql(source_sql: str, steps: int) -> str:
     """Greedy rounds with newline stop ids: q0 = (pid, ids, n0) from ``source_sql``;
     a row stops after a newline-token or when ``steps`` tokens are new."""
     chain = [f"""gn as (select context, token from (
-  select context, token, row_number() over (partition by context order by logp desc, token) as r from cand) where r = 1),
+  select context, token, row_number() over (partition by context order by logp desc, token nulls last) as r from cand) where r = 1),
 stops as (select id from cv where contains(token, chr(10))),
 q0 as (select pid, ids, len(ids) as n0, false as done from ({source_sql}))"""]
     for i in range(steps):
@@ -398,7 +404,48 @@ def g8_stop_ids(spark, sf_dir):
     return G.generate(s.model, prompts(spark, sf_dir, max_new=32, stop=True))
 
 
-@register("g4_sample")
+def shares_sql(settings: str) -> str:
+    """``shr``: for each row (temp, topk) of ``settings`` and each context the ids in the order of
+    draws (observed successors by id, then the other ids by id) with their share of [0, 1)."""
+    return f"""
+ctxs as (select context, n_c::double as n_c, (select v from vs) as v from cx union all select -1, (select n from ntok), (select v from vs)),
+allp as (select c.context, cv.id as token, case when c.context = -1 then coalesce(uni.n_w, 0) else coalesce(bg.n, 0) end as n
+  from ctxs c cross join cv left join bg on bg.context = c.context and bg.token = cv.id left join uni on uni.token = cv.id),
+rk as (select s.temp, s.topk, a.*, rank() over (partition by s.temp, s.topk, context order by n desc) as r from allp a cross join {settings} s
+       where s.temp > 0),
+wt as (select temp, topk, context, token, n, exp(ln(n + 1.0) / temp) as w from rk where topk <= 0 or r <= topk),
+cw as (select temp, topk, context, token, w, sum(w) over (partition by temp, topk, context order by (n > 0) desc, token
+         rows between unbounded preceding and current row) as hi, sum(w) over (partition by temp, topk, context) as total from wt),
+shr as (select temp, topk, context, list(token order by hi) as toks, list(hi / total order by hi) as his from cw group by all)"""
+
+
+def draws_sql(requests: str) -> str:
+    """``toks_out`` (pid, new): the tokens drawn for ``requests`` (pid, ids, mnt, temp, topk, seed, chat). Stops
+    are newline tokens, for chat requests only."""
+    return f"""
+rq as (select pid, ids[-1] as last, mnt, temp, topk, chat,
+         md5(coalesce(seed::varchar, '-') || ':' || array_to_string(ids, ',')) as key from {requests}),
+gn as (select context, token from (
+  select context, token, row_number() over (partition by context order by logp desc, token nulls last) as r from cand) where r = 1),
+stops as (select list(id) as ids from cv where contains(token, chr(10))),
+walk as (select pid, 0 as step, last as token, mnt, temp, topk, chat, key, false as done from rq
+  union all
+  select pid, step + 1, nxt, mnt, temp, topk, chat, key, step + 1 >= mnt or (chat and list_contains(coalesce((select ids from stops), []), nxt)) from (
+    select w.*, case when w.temp = 0 then g.token else
+        toks[least(len(list_filter(his, lambda x: x <= ('0x' || left(md5(key || ':' || step), 13))::bigint / 4503599627370496.0)) + 1, len(toks))] end::int as nxt
+    from walk w join ctxs c on c.context = case when w.token in (select context from cx) then w.token else -1 end
+    left join gn g on g.context = c.context
+    left join shr s on s.context = c.context and s.temp = w.temp and s.topk = w.topk
+    where not done and w.step < w.mnt)),
+toks_out as (select pid, list(token order by step) filter (where step > 0) as new from walk group by pid)"""
+
+
+@register("g4_sample", BASE_SQL.replace("with d0", "with recursive d0", 1) + CANDS_SQL + f""",
+st as (select {K.TEMPERATURE}::double as temp, {K.TOP_K} as topk),
+{shares_sql('st')},
+p0 as ({BENCH_PROMPTS_SQL}),
+{draws_sql(f"(select pid, ids, 16 as mnt, {K.TEMPERATURE}::double as temp, {K.TOP_K} as topk, 7 as seed, false as chat from p0)")}
+select pid, list_transform(list_concat(p0.ids, t.new), lambda x: x::int) as ids, 16 as new_tokens from p0 join toks_out t using (pid)""")
 def g4_sample(spark, sf_dir):
     """Seeded temperature 0.8 / top-k 40 sampling, 16 new tokens per prompt."""
     s = char_setup(spark, sf_dir)
@@ -467,11 +514,11 @@ def g14_prompt_file_prep(spark, sf_dir):
 
 
 @register("g1_temperature", BASE_SQL + CANDS_SQL + f"""
-select context::int as context, token::int as token, round(logp / {K.TEMPERATURE}, 6) as logit from cand""")
+select context::int as context, token::int as token, round(logp / {K.TEMPERATURE}, 6) as logit, m::bigint as n_tokens from cand""")
 def g1_temperature(spark, sf_dir):
     c = G.candidates(char_setup(spark, sf_dir).model)
     return c.select(F.col("context").cast("int"), F.col("token").cast("int"),
-                    F.round(F.col("logp") / F.lit(K.TEMPERATURE), 6).alias("logit"))
+                    F.round(F.col("logp") / F.lit(K.TEMPERATURE), 6).alias("logit"), "n_tokens")
 
 
 @register("g2_top_k_filter", BASE_SQL + CANDS_SQL + """
@@ -487,7 +534,7 @@ def g2_top_k_filter(spark, sf_dir):
 def g7_crop_context(spark, sf_dir):
     """The conditioning context of a bigram model: the last token of each prompt."""
     p = prompts(spark, sf_dir)
-    return p.select("pid", F.element_at("ids", -1).cast("int").alias("context"))
+    return p.select("pid", F.get(G.crop_context("ids"), F.lit(0)).cast("int").alias("context"))
 
 
 @register("t10_continuation_after_prompt", """
