@@ -61,3 +61,23 @@ def test_marks_inside_texts_survive(spark):
     docs = spark.createDataFrame([(0, text)], "doc_id long, text string")
     for tok in (E.BpeTokenizer.train(docs, 4), E.ByteBpeTokenizer.train(docs, 4)):
         assert tok.decode(tok.encode(docs)).first().decoded == text
+
+
+def test_join_path_gives_the_same_ids_and_texts(spark):
+    texts = ["Hello, (world)! don't  stop", None, "", "zz é \U0001f600 hello", "hello " * 50, "hello " * 50]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for tok in (E.CharTokenizer.train(docs.where("doc_id = 0")), E.WordTokenizer.train(docs), E.BpeTokenizer.train(docs, 9),
+                E.ByteBpeTokenizer.train(docs, 9)):
+        inside = tok.decode(tok.encode(docs)).orderBy("doc_id").collect()
+        del tok._shared
+        tok.vocab_bytes = 0
+        joined = tok.decode(tok.encode(docs)).orderBy("doc_id").collect()
+        assert [(list(r.ids), r.decoded) for r in inside] == [(list(r.ids), r.decoded) for r in joined]
+
+
+def test_unknown_id_is_an_error(spark):
+    import pytest
+    tok = E.WordTokenizer.train(spark.createDataFrame([("a b",)], "text string"))
+    for bad in (99, -1):
+        with pytest.raises(Exception, match="unknown token id"):
+            tok.decode(spark.createDataFrame([([bad],)], "ids array<int>")).collect()

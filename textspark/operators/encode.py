@@ -1,17 +1,23 @@
 """Tokenizers over DataFrames: encode / decode.
 
-Each tokenizer holds its vocabulary as a ``(token, id)`` DataFrame of any size.
-A text is cut into chunks; every distinct chunk is encoded once by joining its
-symbols with the vocabulary, and the chunks of a text are then joined with that
-table. Rows are named by a digest of their text, so equal texts get equal ids,
-whatever the row keys are, and a text that is repeated often is gathered once
-(``collect_set`` combines map side). No join has a size switch: Spark's size
-statistics pick broadcasts, AQE splits hot chunks.
+Each tokenizer holds its vocabulary as a ``(token, id)`` DataFrame. Encoding and decoding are
+narrow steps: a text is cut into chunks beside the scan, the distinct chunks of an Arrow batch
+are looked up in the task's table of encoded chunks (the merge loop runs once for each chunk of
+a task), and the ids are put together by array operations; nothing is shuffled. For that the
+vocabulary goes to the tasks, if it has at most ``VOCAB_BYTES`` (checked once for a tokenizer).
+
+A larger vocabulary stays a table: every distinct chunk is encoded once by joining its symbols
+with it, and the chunks of a text are joined with that table. Rows are then named by a digest
+of their text, so equal texts get equal ids whatever the row keys are, and a text that is
+repeated often is gathered once. Spark's size statistics pick broadcasts, AQE splits hot chunks.
 """
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,10 +28,15 @@ from . import pretok, vocab as V
 from ..session import reliable_checkpoint
 
 DIGEST = "_content_digest"
+#: A vocabulary of at most this size (its strings, and ``ENTRY_BYTES`` for each token) goes to the tasks.
+VOCAB_BYTES = 128 << 20
+ENTRY_BYTES = 100
+#: Encoded chunks that a task keeps.
+CACHE_CHUNKS = 500_000
 
 
 def _digest(value) -> Column:
-    return F.sha2(value.cast("string").cast("binary"), 256)
+    return F.substring(F.unhex(F.sha2(value.cast("string").cast("binary"), 256)), 1, 16)
 
 
 def _as_col(value) -> Column:
@@ -38,12 +49,79 @@ def _gather(occ: DataFrame, value: str, out: str) -> DataFrame:
             .select(DIGEST, F.transform("s", lambda s: s[value]).alias(out)))
 
 
+def _spread(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The places first[i], first[i] + 1, ... (count[i] of them) of every i, one after the other."""
+    upto = np.cumsum(count)
+    return np.arange(upto[-1] if len(upto) else 0) + np.repeat(first - (upto - count), count)
+
+
+def _lists(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The values of a list column, and the bounds of its rows in them (null: empty)."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    size = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+    return column.flatten(), np.append(0, np.cumsum(size))
+
+
+def encode_column(shared, symbols, unknown):
+    """Column function: the ids of each array of chunks. ``shared`` broadcasts (ids by token,
+    rank by pair); ``symbols(chunk, ranks)`` cuts a chunk; ``unknown`` is the id of a symbol that
+    is in no vocabulary (None: an error)."""
+    known: dict[str, list[int]] = {}
+
+    def run(column: pa.Array) -> pa.Array:
+        ids, ranks = shared.value
+        chunks, bounds = _lists(column)
+        coded = chunks.dictionary_encode()
+        each = []
+        for chunk in coded.dictionary.to_pylist():
+            found = known.get(chunk)
+            if found is None:
+                found = [ids.get(s, unknown) for s in symbols(chunk, ranks)]
+                if unknown is None and None in found:
+                    raise ValueError(f"token outside the vocabulary in {chunk!r}")
+                if len(known) >= CACHE_CHUNKS:
+                    known.clear()
+                known[chunk] = found
+            each.append(found)
+        size = np.array([len(x) for x in each], np.int64)
+        flat = np.fromiter((i for x in each for i in x), np.int32, int(size.sum()))
+        codes = coded.indices.to_numpy(zero_copy_only=False)
+        ends = np.append(0, np.cumsum(size[codes]))
+        out = flat[_spread((np.cumsum(size) - size)[codes], size[codes])]
+        return pa.ListArray.from_arrays(pa.array(ends[bounds], pa.int32()), pa.array(out, pa.int32()))
+
+    return F.arrow_udf(run, "array<int>")
+
+
+def decode_column(shared, join):
+    """Column function: the text of each array of ids. ``shared`` broadcasts (place of each id,
+    tokens); ``join(tokens, codes, bounds)`` puts the rows together."""
+    def run(column: pa.Array) -> pa.Array:
+        place, tokens = shared.value
+        values, bounds = _lists(column)
+        ids = values.to_numpy(zero_copy_only=False)
+        bad = (ids < 0) | (ids >= len(place))
+        bad[~bad] = place[ids[~bad]] < 0
+        if bad.any():
+            raise ValueError(f"unknown token id {int(ids[bad][0])}")
+        return join(tokens, place[ids], bounds)
+
+    return F.arrow_udf(run, "string")
+
+
+def join_plain(tokens: pa.Array, codes: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    rows = pa.LargeListArray.from_arrays(pa.array(bounds, pa.int64()), tokens.take(pa.array(codes)))
+    return pc.binary_join(rows, "").cast(pa.string())
+
+
 class Tokenizer:
     """Interface: ``encode(df, text_col) -> df + ids`` and
     ``decode(df, ids_col) -> df + text``; ``vocab`` is a (token, id) table."""
 
     kind = "base"
     unk_token = K.UNK_TOKEN
+    merge_rows = ()
+    vocab_bytes = VOCAB_BYTES
 
     def __init__(self, vocab: DataFrame):
         self.vocab = vocab
@@ -60,10 +138,38 @@ class Tokenizer:
         """``chunk, symbols`` of distinct chunks; each symbol is looked up."""
         raise NotImplementedError
 
+    #: (chunk, ranks) -> symbols, the same rule inside a task.
+    cut = staticmethod(lambda chunk, ranks: [chunk])
+    #: How decoded tokens are put together inside a task.
+    join_in_task = staticmethod(join_plain)
+    task_unknown = property(lambda self: self.unk_id)
+
     def unknown(self) -> Column:
         """The id of a symbol outside the vocabulary."""
         return F.lit(self.unk_id)
 
+    def _tables(self):
+        """Broadcast lookup tables of a vocabulary of bounded size, else None."""
+        if not hasattr(self, "_shared"):
+            size = self.vocab.agg(F.sum(F.octet_length("token") + ENTRY_BYTES)).first()[0] or 0
+            self._shared = None
+            if size <= self.vocab_bytes:
+                rows = [(r["token"], int(r["id"])) for r in self.vocab.select("token", "id").collect()]
+                sc = self.vocab.sparkSession.sparkContext
+                place = np.full(max((i for _, i in rows), default=-1) + 1, -1, np.int64)
+                place[[i for _, i in rows]] = np.arange(len(rows))
+                ranks = {(a, b): r for r, a, b, *_ in self.merge_rows}
+                self._shared = (sc.broadcast((dict(rows), ranks)), sc.broadcast((place, pa.array([t for t, _ in rows], pa.string()))))
+        return self._shared
+
+    def encode(self, df: DataFrame, text_col="text", key_cols=(), out="ids") -> DataFrame:
+        """``df`` with the ids of each text; a null or empty text has none. ``key_cols``
+        is not needed any more: rows that share a key are encoded each on its own."""
+        tables = self._tables()
+        if tables is None:
+            return self._encode_by_join(df, text_col, out)
+        return df.withColumn(out, encode_column(tables[0], self.cut, self.task_unknown)(self.pieces(text_col)))
+
     def encoded_chunks(self, chunks: DataFrame) -> DataFrame:
         """``chunk, ids`` of the distinct chunks."""
         syms = self.symbols(chunks.select("chunk").distinct())
@@ -73,9 +179,7 @@ class Tokenizer:
                 .groupBy("chunk").agg(F.array_sort(F.collect_list(F.struct("pos", "id"))).alias("s"))
                 .select("chunk", F.transform("s", lambda s: s["id"]).alias("ids")))
 
-    def encode(self, df: DataFrame, text_col="text", key_cols=(), out="ids") -> DataFrame:
-        """``df`` with the ids of each text; a null or empty text has none. ``key_cols``
-        is not needed any more: rows that share a key are encoded each on its own."""
+    def _encode_by_join(self, df: DataFrame, text_col: str, out: str) -> DataFrame:
         keyed = df.withColumn(DIGEST, _digest(F.col(text_col)))
         occ = keyed.select(DIGEST, F.posexplode(self.pieces(text_col)).alias("pos", "chunk"))
         enc = reliable_checkpoint(self.encoded_chunks(occ))
@@ -92,6 +196,12 @@ class Tokenizer:
         """``df`` with the text of each id array (no ids: empty). An unknown id is an
         error, like a missing dict key."""
         ids = _as_col(ids_col)
+        tables = self._tables()
+        if tables is None:
+            return self._decode_by_join(df, ids, out)
+        return df.withColumn(out, decode_column(tables[1], self.join_in_task)(ids.cast("array<int>")))
+
+    def _decode_by_join(self, df: DataFrame, ids: Column, out: str) -> DataFrame:
         keyed = df.withColumn(DIGEST, _digest(ids))
         occ = keyed.select(DIGEST, F.posexplode(ids).alias("pos", "id"))
         named = occ.join(self.vocab.select(F.col("id").cast("int").alias("id"), "token"), "id", "left").select(
@@ -112,6 +222,7 @@ class Tokenizer:
 
 class CharTokenizer(Tokenizer):
     kind = "char"
+    cut = staticmethod(lambda chunk, ranks: list(chunk))
 
     @classmethod
     def train(cls, docs: DataFrame, text_col="text") -> "CharTokenizer":
@@ -125,8 +236,20 @@ class CharTokenizer(Tokenizer):
         return chunks.select("chunk", char_split("chunk").alias("symbols"))
 
 
+def join_words(tokens: pa.Array, codes: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """E5 in a task: the table of tokens is followed by the tokens with a space ahead."""
+    spaced = pc.binary_join_element_wise(" ", tokens, "")
+    glued = pc.is_in(tokens, pa.array(K.NO_SPACE_BEFORE)).to_numpy(zero_copy_only=False)
+    plain = glued[codes] if len(codes) else np.zeros(0, bool)
+    first = bounds[:-1][np.diff(bounds) > 0]
+    plain[first] = True
+    both = pa.concat_arrays([tokens, spaced])
+    return join_plain(both, np.where(plain, codes, codes + len(tokens)), bounds)
+
+
 class WordTokenizer(Tokenizer):
     kind = "word"
+    join_in_task = staticmethod(join_words)
 
     @classmethod
     def train(cls, docs: DataFrame, text_col="text") -> "WordTokenizer":
@@ -153,6 +276,7 @@ class BpeTokenizer(Tokenizer):
     any merge table, learned here or imported."""
 
     kind = "bpe"
+    cut = staticmethod(B.lowest_rank_symbols)
 
     def __init__(self, vocab: DataFrame, merges: DataFrame, merge_rows, types: DataFrame | None = None,
                  base: DataFrame | None = None):
@@ -214,11 +338,24 @@ def byte_chunks(text_col):
     return F.transform(bpe_chunks(text_col), lambda c: F.decode(F.encode(c, "UTF-8"), "ISO-8859-1"))
 
 
+def _byte_symbols(chunk: str, ranks: dict) -> list[str]:
+    return [chunk] if chunk == END_OF_TEXT else B.lowest_rank_symbols(chunk, ranks)
+
+
+def join_bytes(tokens: pa.Array, codes: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """Bytes (as ISO-8859-1 characters) back to text; malformed UTF-8 becomes U+FFFD."""
+    rows = join_plain(tokens, codes, bounds).to_pylist()
+    return pa.array([r.encode("iso-8859-1").decode("utf-8", "replace") for r in rows], pa.string())
+
+
 class ByteBpeTokenizer(BpeTokenizer):
     """Byte-level BPE: ids 0..255 are the bytes, merge ``r`` is id 256 + r, and
     the end-of-text marker is the last id and always one token."""
 
     kind = "byte_bpe"
+    cut = staticmethod(_byte_symbols)
+    join_in_task = staticmethod(join_bytes)
+    task_unknown = None
 
     @classmethod
     def train(cls, docs: DataFrame, num_merges: int, text_col="text", **kw) -> "ByteBpeTokenizer":
