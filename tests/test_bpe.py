@@ -49,20 +49,43 @@ def test_batched_training_equals_one_merge_at_a_time(spark):
             + "aaaa aaab abab baba\n\nxyz xyzzy  zzz") * 3
     docs = spark.createDataFrame([(0, text)], "doc_id long, text string")
     freqs = pretok.chunk_frequencies(docs)
-    model = B.train_bpe(freqs, 200, top_k=64)
+    model = B.train_bpe(freqs, 200, 64)
     got = [(a, b, n) for _, a, b, n in model.merge_rows]
     assert got == _python_bpe(text, 200)      # includes early stop by exhaustion
     assert len({a + b for a, b, _ in got}) == len(got)
 
 
-def test_select_batch_rules():
-    P = B.Pair
-    top = [P("t", "h", 10), P("e", "r", 9), P("h", "e", 8), P("x", "y", 5)]
-    assert [p.a + p.b for p in B.select_batch(top, {"t", "h", "e", "r", "x", "y"}, 10, True)] == ["th", "er"]
-    assert B.select_batch([P("a", "a", 9), P("b", "c", 8)], set("abc"), 5, True) == [P("a", "a", 9)]
-    # a tie group that may continue past the fetched list is not trusted
-    top = [P("a", "b", 9), P("c", "d", 7), P("e", "f", 7)]
-    assert B.select_batch(top, set("abcdef"), 5, False) == [P("a", "b", 9)]
+def test_epochs_of_any_width_learn_the_same_merges(spark):
+    """Few tracked pairs (many epochs, ties at the K-th count) and few stretches on the driver."""
+    import random
+    rng = random.Random(3)
+    text = " ".join("".join(rng.choice("abcde") for _ in range(rng.randint(1, 9))) for _ in range(400))
+    freqs = pretok.chunk_frequencies(spark.createDataFrame([(0, text)], "doc_id long, text string")).cache()
+    want = _python_bpe(text, 60)
+    for tracked, segments in ((1024, 200_000), (7, 200_000), (40, 60)):
+        model = B.train_bpe(freqs, 60, tracked, segments)
+        assert [(a, b, n) for _, a, b, n in model.merge_rows] == want
+    ranks = {(a, b): r for r, a, b, _ in model.merge_rows}
+    types = {r.chunk: r.w for r in model.types.collect()}
+    assert types == {c: "".join(f"{B.OPEN}{s}{B.CLOSE}" for s in B.replay(list(c), ranks)) for c in types}
+
+
+def test_merges_that_make_a_known_symbol(spark):
+    """"abc" is made as a + bc and as ab + c; pairs of the symbol are counted anew."""
+    chunks = {"abcabc": 50, "bcbc": 60, "xab": 40, "abz": 45, "yabc": 30, "abcq": 20, "a": 5}
+    text = " ".join(c for c, n in chunks.items() for _ in range(n))
+    freqs = pretok.chunk_frequencies(spark.createDataFrame([(0, text)], "doc_id long, text string"))
+    model = B.train_bpe(freqs, 60)
+    assert [(a, b, n) for _, a, b, n in model.merge_rows] == _python_bpe(text, 60)
+
+
+def test_tokens_at_every_merge_count(spark):
+    text = "the theme of the thesis then the other three thought they thaw aaaaa " * 5
+    docs = spark.createDataFrame([(0, text)], "doc_id long, text string")
+    tok = E.BpeTokenizer.train(docs, 40)
+    other = spark.createDataFrame([(0, "thirteen other theorems, aaaa thought")], "doc_id long, text string")
+    got = {r.merges: r.n_tokens for r in B.tokens_by_merges(pretok.chunk_frequencies(other), tok.merge_rows, [0, 1, 7, 40]).collect()}
+    assert got == {k: len(tok.with_merges(k).encode(other).first().ids) for k in got}
 
 
 def test_rank_order_replay_equals_lowest_rank_loop(spark):

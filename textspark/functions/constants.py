@@ -31,6 +31,7 @@ NO_SPACE_BEFORE = [".", ",", "!", "?", ";", ":", "'", ")", "]", "}", '"']
 
 # --- fixed values: defaults ---
 NUM_MERGES = 4000
+SWEEP_MERGES = [500, 2000, 4000, 8000]
 CONTEXT_LENGTH = 128
 STRIDE = CONTEXT_LENGTH // 2
 BATCH_SIZE = 32
@@ -39,7 +40,6 @@ EVAL_EVERY = 100
 MAX_NEW_TOKENS = 100
 TEMPERATURE = 0.8
 TOP_K = 40
-ROUND_TRIP_CHECK_CHARS = 10_000
 
 # --- fixed values: request limits and messages ---
 MAX_NEW_TOKENS_LIMIT = 500

@@ -270,10 +270,9 @@ class WordTokenizer(Tokenizer):
 
 
 class BpeTokenizer(Tokenizer):
-    """Chunk-level BPE. ``merge_rows`` is the (small) ordered merge list;
-    ``types`` the trained chunk table whose ``w`` already is the encoding of every
-    training chunk. Other chunks go through the lowest-rank loop, which is right for
-    any merge table, learned here or imported."""
+    """Chunk-level BPE. ``merge_rows`` is the (small) ordered merge list, ``types`` the
+    trained chunk table. Chunks go through the lowest-rank loop, which is right for any
+    merge table, learned here or imported."""
 
     kind = "bpe"
     cut = staticmethod(B.lowest_rank_symbols)
@@ -305,20 +304,14 @@ class BpeTokenizer(Tokenizer):
         return bpe_chunks(text_col)
 
     def symbols(self, chunks: DataFrame) -> DataFrame:
-        """Trained symbols where there are some, else the loop on the distinct chunk.
-        Chunks that hold the marks of the trained form always take the loop."""
+        """The lowest-rank loop on the distinct chunk."""
         ranks = {(a, b): r for r, a, b, *_ in self.merge_rows}
 
         @F.pandas_udf("array<string>")
         def loop(column: pd.Series) -> pd.Series:
             return column.map(lambda c: None if c is None else B.lowest_rank_symbols(c, ranks))
 
-        if self.types is None:
-            return chunks.select("chunk", loop("chunk").alias("symbols"))
-        clean = ~(F.col("chunk").contains(B.OPEN) | F.col("chunk").contains(B.CLOSE))
-        known = chunks.join(self.types.where(clean).select("chunk", "w"), "chunk", "left")
-        return known.select("chunk", F.coalesce(
-            B.symbols_of("w"), loop(F.when(F.col("w").isNull(), F.col("chunk")))).alias("symbols"))
+        return chunks.select("chunk", loop("chunk").alias("symbols"))
 
 
 def unk_rate(encoded: DataFrame, unk_id: int, ids_col="ids") -> DataFrame:

@@ -119,6 +119,13 @@ def v7_bpe_train(spark, sf_dir):
     return tok.merges.select(F.col("rank").cast("int"), "a", "b", "n")
 
 
+@register("v7_bpe_train_full")
+def v7_bpe_train_full(spark, sf_dir):
+    """All 4,000 merges of the default setting."""
+    model = B.train_bpe(pretok.chunk_frequencies(documents(spark, sf_dir)), K.NUM_MERGES)
+    return model.merges.select(F.col("rank").cast("int"), "a", "b", "n")
+
+
 @register("v8_bpe_vocab", _chain(ORACLE_MERGES) + "\nselect token, id from voc")
 def v8_bpe_vocab(spark, sf_dir):
     return trained_bpe(spark, sf_dir).vocab.select("token", F.col("id").cast("bigint"))
