@@ -1,3 +1,4 @@
+import numpy as np
 from pyspark.sql import functions as F
 
 from textspark.operators import encode as E
@@ -25,10 +26,54 @@ def _prompts(spark, tok, temperature, top_k, seed, n=6, stop=None):
 
 
 def test_top_k_keeps_ties(spark):
-    cands = spark.createDataFrame([(1, 1, -1.0), (1, 2, -2.0), (1, 3, -2.0), (1, 4, -3.0)],
-                                  "context int, token int, logp double")
-    got = sorted(r.token for r in G.filtered_distribution(cands, 1.0, 2).collect())
-    assert got == [1, 2, 3]
+    cands = spark.createDataFrame([(1, 1, -1.0, 1), (1, 2, -2.0, 1), (1, 3, -2.0, 1), (1, 4, -3.0, 1), (1, None, -4.0, 5)],
+                                  "context int, token int, logp double, n_tokens long")
+    assert sorted(r.token for r in G.filtered_distribution(cands, 1.0, 2).collect()) == [1, 2, 3]
+    rows = G.filtered_distribution(cands, 1.0, 5).collect()      # the fifth best is one of five that tie
+    assert len(rows) == 5 and abs(sum(r.prob * r.n_tokens for r in rows) - 1) < 1e-12
+
+
+def test_every_distribution_sums_to_one(spark):
+    tok, m = _model(spark)
+    for df in (m.next_token_probs(), G.filtered_distribution(G.candidates(m), 0.7, 0), G.filtered_distribution(G.candidates(m), 0.7, 3)):
+        sums = df.groupBy("context").agg(F.sum(F.col("prob") * F.col("n_tokens")).alias("s")).collect()
+        assert sums and all(abs(r.s - 1) < 1e-9 for r in sums)
+
+
+def test_chooser_against_all_ids_written_out():
+    rng = np.random.default_rng(5)
+    for _ in range(300):
+        size = int(rng.integers(1, 12))
+        tokens = rng.permutation(size)[:int(rng.integers(0, size + 1))]
+        counts = np.sort(rng.integers(1, 4, len(tokens)))[::-1]
+        order = np.lexsort((tokens, -counts))
+        tokens, counts = tokens[order], counts[order]
+        t, k, u = float(rng.uniform(0.2, 2)), int(rng.integers(0, size + 2)), float(rng.uniform())
+        n = np.zeros(size)
+        n[tokens] = counts
+        score = np.log(n + 1) / t
+        stay = np.ones(size, bool) if k == 0 else score >= np.sort(score)[::-1][min(k, size) - 1]
+        ids = [i for i in range(size) if n[i] and stay[i]] + [i for i in range(size) if not n[i] and stay[i]]
+        share = np.cumsum(np.exp(score[ids])) / np.exp(score[ids]).sum()
+        want = ids[min(int(np.searchsorted(share, u, side="right")), len(ids) - 1)]
+        assert G.Chooser(size, 1.0).choose(0, tokens, counts, t, k, u) == want
+
+
+def test_draw_frequencies():
+    """The share of draws of each id, unseen ones too, is near its probability."""
+    tokens, counts, chooser = np.array([3, 0]), np.array([5, 2]), G.Chooser(6, 1.0)
+    drawn = np.bincount([chooser.choose(0, tokens, counts, 1.0, 0, G.uniform("key", i)) for i in range(20_000)], minlength=6) / 20_000
+    assert np.abs(drawn - np.array([3, 1, 1, 6, 1, 1]) / 13).max() < 0.015
+
+
+def test_rounds_of_a_partitioned_model_give_the_same_texts(spark, monkeypatch):
+    tok, m = _model(spark)
+    monkeypatch.setattr(G, "GROUP_REQUESTS", 2)
+    p = _prompts(spark, tok, 0.9, 4, 3, 5).unionByName(_prompts(spark, tok, 0.0, 0, None, 3)).withColumn("pid", F.monotonically_increasing_id())
+    p = p.unionByName(p.limit(1).withColumns({"ids": F.array().cast("array<int>"), "pid": F.lit(99).cast("bigint")})).cache()
+    a = sorted((r.pid, list(r.ids), r.new_tokens) for r in G.generate(m, p).collect())
+    b = sorted((r.pid, list(r.ids), r.new_tokens) for r in G.generate(m, p, kernel_bytes=0).collect())
+    assert a == b and len(a) == 9
 
 
 def test_top_k_one_equals_greedy(spark):

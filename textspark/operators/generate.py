@@ -128,9 +128,9 @@ def uniform(key: str, step: int) -> float:
 
 
 def generate(model: NgramModel, prompts: DataFrame, max_steps: int | None = None,
-             kernel_bytes: int = KERNEL_BYTES) -> DataFrame:
+             kernel_bytes: int = KERNEL_BYTES, keep: tuple[str, ...] = ()) -> DataFrame:
     """Prompts (pid, ids, max_new_tokens, temperature, top_k, seed, stop_ids)
-    -> (pid, ids, new_tokens). A row stops after its newest token is a stop id (the token is
+    -> (pid, ids, new_tokens) and the columns of ``keep``. A row stops after its newest token is a stop id (the token is
     kept, G8) or when its budget is used; ``max_steps`` bounds all budgets. A prompt without
     tokens goes on from the unigrams."""
     budget = F.col("max_new_tokens").cast("int")
@@ -139,15 +139,18 @@ def generate(model: NgramModel, prompts: DataFrame, max_steps: int | None = None
         (F.least(budget, F.lit(max_steps)) if max_steps is not None else budget).alias("budget"),
         F.col("temperature").cast("double").alias("temperature"), F.col("top_k").cast("int").alias("top_k"),
         prompt_key(F.col("seed"), F.col("ids")).alias("key"),
-        F.coalesce(F.col("stop_ids").cast("array<int>"), F.array().cast("array<int>")).alias("stop_ids"))
-    kind = prompts.schema["pid"].dataType.simpleString()
+        F.coalesce(F.col("stop_ids").cast("array<int>"), F.array().cast("array<int>")).alias("stop_ids"),
+        *(F.col(c).alias(f"keep_{c}") for c in keep))
     entries = model.pairs.count() + model.unigrams.count()
     if entries * ENTRY_BYTES <= kernel_bytes:
-        return _generate_in_tasks(model, state, kind)
-    return _generate_in_rounds(model, state, kind)
+        out = _generate_in_tasks(model, state)
+    else:
+        out = _generate_in_rounds(model, state)
+    return out.select("pid", "ids", "new_tokens", *(F.col(f"keep_{c}").alias(c) for c in keep))
 
 
-def _generate_in_tasks(model: NgramModel, state: DataFrame, kind: str) -> DataFrame:
+def _generate_in_tasks(model: NgramModel, state: DataFrame) -> DataFrame:
+    kept = state.columns[7:]
     spark = state.sparkSession
     table = ranked_successors(model).toArrow()                       # at most KERNEL_BYTES, checked
     lists = {c: (t.values.to_numpy(), n.values.to_numpy()) for c, t, n in zip(
@@ -172,15 +175,17 @@ def _generate_in_tasks(model: NgramModel, state: DataFrame, kind: str) -> DataFr
                         break
                 out.append(ids)
                 made.append(n)
-            yield pa.record_batch([batch.column(0), pa.array(out, pa.list_(pa.int32())), pa.array(made, pa.int32())],
-                                  ["pid", "ids", "new_tokens"])
+            yield pa.record_batch([batch.column(0), pa.array(out, pa.list_(pa.int32())), pa.array(made, pa.int32()),
+                                   *batch.columns[7:]], ["pid", "ids", "new_tokens", *kept])
 
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # requests differ in budget, so they are dealt evenly over the tasks
-    return state.repartition(parts, F.xxhash64("key", "pid")).mapInArrow(run, f"pid {kind}, ids array<int>, new_tokens int")
+    kind = {c: f"{c} {state.schema[c].dataType.simpleString()}" for c in ("pid", *kept)}
+    kinds = ", ".join([kind["pid"], "ids array<int>", "new_tokens int", *(kind[c] for c in kept)])
+    return state.repartition(parts, F.xxhash64("key", "pid")).mapInArrow(run, kinds)
 
 
-def _generate_in_rounds(model: NgramModel, state: DataFrame, kind: str) -> DataFrame:
+def _generate_in_rounds(model: NgramModel, state: DataFrame) -> DataFrame:
     ranked = reliable_checkpoint(ranked_successors(model))
     known = ranked.select(F.col("context").alias("known"))
     size, alpha = model.vocab_size, model.alpha
@@ -189,7 +194,7 @@ def _generate_in_rounds(model: NgramModel, state: DataFrame, kind: str) -> DataF
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in live.schema.fields)
     done = []
     while True:
-        done.append(live.where("budget is null or new_tokens >= budget").select("pid", "ids", "new_tokens"))
+        done.append(live.where("budget is null or new_tokens >= budget").select("pid", "ids", "new_tokens", *state.columns[7:]))
         live = live.where("new_tokens < budget")
         if live.isEmpty():
             break

@@ -1,8 +1,8 @@
 """Generation requests arriving over time.
 
 Request payload files are read as a stream; validation (G13) is stateless and
-runs in-stream; ``foreachBatch`` runs the generation rounds for the valid
-requests of each micro-batch and writes the result records (G15), with rejected
+runs in-stream; ``foreachBatch`` completes the valid requests of each micro-batch, each with
+its whole budget in one go, and writes the result records (G15), with rejected
 requests and their messages alongside. A chat request is wrapped as a User/Bot prompt and
 stops at a line break; its record has the message, the reply's first line and the
 number of tokens made.
@@ -42,16 +42,15 @@ def serve(requests: DataFrame, tokenizer, model, checkpoint_location: str, out_p
         ok = enc.where(F.col("error").isNull()).select(
             "pid", "ids", "max_new_tokens", "temperature", "top_k", "seed", "chat", "prompt",
             F.when(F.col("chat"), stops).alias("stop_ids"))
-        out = G.generate(model, ok.drop("chat", "prompt")).join(
-            ok.select("pid", F.col("ids").alias("prompt_ids"), "max_new_tokens", "chat", "prompt"), "pid")
-        new_ids = F.slice("ids", F.size("prompt_ids") + 1, F.lit((1 << 31) - 1))
-        out = tokenizer.decode(tokenizer.decode(tokenizer.decode(
-            out, "prompt_ids", "shown"), "ids", "text"), new_ids, "new_text")
+        out = G.generate(model, ok, keep=("max_new_tokens", "chat", "prompt"))
+        n_prompt = F.size("ids") - F.col("new_tokens")
+        prompt_ids, new_ids = F.slice("ids", F.lit(1), n_prompt), F.slice("ids", n_prompt + 1, F.col("new_tokens"))
+        out = tokenizer.decode(tokenizer.decode(tokenizer.decode(out, prompt_ids, "shown"), "ids", "text"), new_ids, "new_text")
         rest = F.substring("text", F.length("shown") + 1, F.lit(1 << 30))
         done = out.select(
             F.col("pid").alias("request_id"), F.when(F.col("chat"), F.col("prompt")).otherwise(F.col("shown")).alias("prompt"),
             F.when(F.col("chat"), first_line_reply("new_text")).otherwise(rest).alias("continuation"),
-            F.when(F.col("chat"), F.size("ids") - F.size("prompt_ids")).otherwise(F.col("max_new_tokens")).cast("int").alias("new_tokens"),
+            F.when(F.col("chat"), F.col("new_tokens")).otherwise(F.col("max_new_tokens")).cast("int").alias("new_tokens"),
             F.lit(None).cast("string").alias("error"))
         # one folder for each micro-batch: a batch that runs again replaces its own rows
         done.unionByName(rejected).unionByName(empty).write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/epoch={epoch_id}")
