@@ -41,6 +41,8 @@ def test_short_stream_is_an_error(spark):
     df, _ = _docs(spark, [3, 2])
     with pytest.raises(ValueError):
         W.require_stream_length(df, 8)
+    with pytest.raises(ValueError):
+        W.packed_windows(df, 8, 4)
 
 
 def test_split_matches_python_cut(spark):
@@ -67,6 +69,18 @@ def test_shuffled_batches_stable_under_repartition(spark):
     assert a == b and len(a) == 96
 
 
+def test_training_order_is_a_permutation(spark):
+    import numpy as np
+    for size in (1, 2, 5, 100, 1000, 4097):
+        orders = [W.permute(np.arange(size), size, seed, epoch) for seed, epoch in ((1, 0), (1, 1), (2, 0))]
+        assert all(sorted(o) == list(range(size)) for o in orders)
+        if size >= 100:
+            assert len({tuple(o) for o in orders}) == 3 and all(abs(np.corrcoef(np.arange(size), o)[0, 1]) < 0.3 for o in orders)
+    df = spark.range(10).withColumnRenamed("id", "k")
+    rows = W.shuffled_batches(df, 3, 1, 4, drop_last=False).collect()
+    assert sorted((r.batch_id, r.place) for r in rows) == [(i // 4, i % 4) for i in range(10)]
+
+
 def test_bits_per_char_formula(spark):
     import math
     r = spark.range(1).select(L.bits_per_char(F.lit(2 * math.log(2)), F.lit(2.0)).alias("b")).first()

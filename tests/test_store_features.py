@@ -62,3 +62,30 @@ def test_embedding_lookup_positions_and_usage(spark):
     assert added == [(0, [1.0, 10.0]), (1, [4.0, 40.0]), (2, [3.0, 30.0])]
     usage = {r.vec_id: r.uses for r in X.row_usage(toks, table).collect()}
     assert usage == {0: 0, 1: 2, 2: 0, 3: 1}
+
+
+def test_unfinished_and_refused_saves_cannot_be_seen(spark):
+    import dataclasses
+    import pytest
+    from textspark.operators import lm
+    df = spark.createDataFrame([(0, "abcab cab ba")], "doc_id long, text string")
+    tok = E.CharTokenizer.train(df)
+    enc = tok.encode(df)
+    m = lm.fit_ngram(enc, tok.vocab.count())
+    path = _scratch(spark, "atomic")
+    want = lm.counted_scores(enc, m.vocab_size)
+    bad = dataclasses.replace(m, pairs=m.pairs.withColumn("n", F.col("n") + 1))
+    with pytest.raises(ValueError):
+        store.save_model(bad, path, scores=want)
+    bad.pairs.write.parquet(os.path.join(path, "version-7", "pairs"))          # as left by a killed save
+    with pytest.raises(FileNotFoundError):
+        store.load_model(spark, path)
+    store.save_model(m, path, scores=want, tokenizer=tok)
+    with pytest.raises(FileExistsError):
+        store.save_model(m, path)
+    with pytest.raises(ValueError):
+        store.save_model(bad, path, overwrite=True, scores=want)
+    assert store.load_model(spark, path)[0].pairs.agg(F.sum("n")).first()[0] == m.pairs.agg(F.sum("n")).first()[0]
+    assert store.load_model_tokenizer(spark, path).vocab.count() == tok.vocab.count()
+    store.save_model(bad, path, overwrite=True)
+    assert store.load_model(spark, path)[0].pairs.agg(F.sum("n")).first()[0] > m.pairs.agg(F.sum("n")).first()[0]

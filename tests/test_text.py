@@ -71,3 +71,11 @@ def test_bad_val_ratio(ratio):
     from textspark.operators.dataset import check_val_ratio
     with pytest.raises(ValueError):
         check_val_ratio(ratio)
+
+
+def test_contractions_in_texts_that_hold_the_marks(spark):
+    cases = {"a\x01Bc d": "a\x01Bc d", "\x02x ' Y\x01 ' Z": "\x02x'y\x01 ' Z", "it ' S\x01\x05Up \x01\x04 he ' LL": "it's\x01\x05Up \x01\x04 he'll",
+             "\x01\x03 A ' B": "\x01\x03 A'b"}
+    df = spark.createDataFrame([(c,) for c in cases], "t string")
+    from textspark.functions.text import rejoin_contractions
+    assert {r.t: r.o for r in df.select("t", rejoin_contractions("t").alias("o")).collect()} == cases

@@ -36,18 +36,21 @@ def collapse_whitespace(col) -> Column:
 def rejoin_contractions(col) -> Column:
     """``(\\w) ' (\\w+)`` -> ``\\1'`` + lower(``\\2``), leftmost non-overlapping.
 
-    Java replacement strings cannot change case, so each match is marked with
-    \\x01 ... \\x02, the text is split on the marks, and the marked part is lowered.
+    Java replacement strings cannot change case, so each match is marked, the text is split on
+    the marks, and the marked part is lowered. Marks are \x01\x05 ... \x02; a \x01 or \x02 of the
+    text itself is first written as \x01\x03 or \x01\x04 (no word characters, so no match changes).
     """
-    marked = F.regexp_replace(_c(col), rf"(?U)([{W}]) ' ([{W}]+)", "$1'\u0001$2\u0002")
-    parts = F.split(marked, "\u0001")
+    escaped = F.replace(F.replace(_c(col), F.lit("\u0001"), F.lit("\u0001\u0003")), F.lit("\u0002"), F.lit("\u0001\u0004"))
+    marked = F.regexp_replace(escaped, rf"(?U)([{W}]) ' ([{W}]+)", "$1'\u0001\u0005$2\u0002")
+    parts = F.split(marked, "\u0001\u0005")
     fixed = F.transform(
         parts,
         lambda x, i: F.when(i == 0, x).otherwise(
             F.concat(F.lower(F.substring_index(x, "\u0002", 1)),
                      F.substring(x, F.locate("\u0002", x) + 1, 1 << 30))),
     )
-    return F.array_join(fixed, "")
+    joined = F.array_join(fixed, "")
+    return F.replace(F.replace(joined, F.lit("\u0001\u0004"), F.lit("\u0002")), F.lit("\u0001\u0003"), F.lit("\u0001"))
 
 
 # --- T4 -------------------------------------------------------------------

@@ -78,6 +78,27 @@ def fit_ngram(encoded: DataFrame, vocab_size: int, alpha: float = 1.0, ids_col="
     return NgramModel(pairs, contexts, unigrams, vocab_size, int(n_tokens), alpha)
 
 
+def counted_scores(encoded: DataFrame, vocab_size: int, alpha: float = 1.0, ids_col="ids") -> DataFrame:
+    """(context, token, logp) of the observed pairs, counted without the model's tables: each
+    token occurrence meets the next by its place, contexts are counted by their own occurrences."""
+    occ = encoded.where(F.size(ids_col) > 1).select(F.posexplode(ids_col).alias("pos", "token"), F.col(ids_col).alias("ids"))
+    occ = occ.where("pos > 0").select(F.get("ids", F.col("pos") - 1).alias("context"), "token")
+    both = occ.groupBy("context", "token").count().withColumnRenamed("count", "n")
+    alone = occ.groupBy("context").count().withColumnRenamed("count", "n_c")
+    return both.join(alone, "context").select(
+        "context", "token", (F.log(F.col("n") + alpha) - F.log(F.col("n_c") + alpha * vocab_size)).alias("logp"))
+
+
+def score_difference(model: NgramModel, scores: DataFrame) -> tuple[float, int]:
+    """The largest difference between the model's scores and ``scores`` (infinite where one has a pair that
+    the other lacks), and the number of pairs."""
+    mine = model.next_token_probs().where("token is not null").select("context", "token", F.log("prob").alias("a"))
+    both = mine.join(scores.select("context", "token", F.col("logp").alias("b")), ["context", "token"], "full_outer")
+    gap = F.coalesce(F.abs(F.col("a") - F.col("b")), F.lit(float("inf")))
+    r = both.agg(F.max(gap).alias("d"), F.count(F.lit(1)).alias("n")).first()
+    return float(r["d"] or 0.0), int(r["n"])
+
+
 def cross_entropy(model: NgramModel, encoded: DataFrame, ids_col="ids") -> DataFrame:
     """L3: token-weighted mean -ln p(next) over held-out pairs, in nats."""
     counted = bigram_pairs(encoded, ids_col).groupBy("context", "token").agg(F.count(F.lit(1)).alias("cnt"))

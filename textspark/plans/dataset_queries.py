@@ -95,6 +95,34 @@ def w5_batches(spark, sf_dir):
                                      F.min("k").cast("bigint").alias("first_k"))
 
 
+def _w5_training_sql(seed: int, epoch: int) -> str:
+    # the half-width depends on the number of windows: keys of every width that the table can have
+    keys = " union all ".join(
+        f"select {half} as half, " + ", ".join(f"{c}::bigint as c{i}, {d}::bigint as d{i}" for i, (c, d) in enumerate(
+            W.feistel_keys(1 << (2 * half), seed, epoch)[1])) for half in range(2, 16))
+    value = "select k, cur >> half as l0, cur & ((1::bigint << half) - 1) as r0, * exclude (k, cur) from todo"
+    for i in range(4):
+        value = (f"select * exclude (l{i}, r{i}), r{i} as l{i + 1}, xor(l{i}, (((r{i} + c{i}) * xor(r{i}, d{i})) >> (half // 2)) & ((1::bigint << half) - 1)) as r{i + 1} "
+                 f"from ({value})")
+    return TOK_SQL.replace("with ", "with recursive ", 1) + f""",
+sz as (select floor((n - {CTX} - 1) / {STRIDE})::bigint + 1 as m from nt),
+ky as (select m, k.* from sz, ({keys}) k where half = greatest(2, (length(bin(greatest(m - 1, 1))) + 1) // 2)),
+walk as (select k, k as cur, 0 as step, ky.* from ky, (select unnest(range(0, (select m from sz))) as k)
+  union all
+  select k, (l4 << half) | r4 as cur, step + 1, m, half, c0, d0, c1, d1, c2, d2, c3, d3
+  from ({value.replace('from todo', 'from walk where step = 0 or cur >= m')})),
+done as (select k, cur from walk where step > 0 and cur < m)
+select k, cur // {BATCH} as batch_id, (cur % {BATCH})::int as place from done
+where cur // {BATCH} < (select m from sz) // {BATCH}"""
+
+
+@register("w5_training_batches", _w5_training_sql(7, 3))
+def w5_training_batches(spark, sf_dir):
+    """Batch and place of every window in epoch 3 of seed 7; the last short batch is dropped."""
+    w = W.packed_windows(word_encoded(spark, sf_dir), CTX, STRIDE)
+    return W.shuffled_batches(w, 7, 3, BATCH).select("k", "batch_id", "place")
+
+
 @register("w6_chars_per_token", TOK_SQL + """
 select round((select sum(length(text)) from documents) / (select count(*) from st), 6) as chars_per_token""")
 def w6_chars_per_token(spark, sf_dir):

@@ -7,6 +7,9 @@ train side; evaluation on the validation side; prompts are the benchmark texts.
 
 from __future__ import annotations
 
+import dataclasses
+import os
+import uuid
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -21,7 +24,8 @@ from ..operators import generate as G
 from ..operators import lm as L
 from ..sources.tables import benchmark, documents, read_table
 from .pretok_queries import DUCK_WORDS
-from ..session import reliable_checkpoint
+from ..session import ensure_checkpoint_dir, reliable_checkpoint
+from ..sources import store
 from . import duck
 from .registry import register
 
@@ -235,19 +239,37 @@ def l9_compare_tokenizers(spark, sf_dir):
     return rows[0].unionByName(rows[1])
 
 
-@register("l10_parity_check", BASE_SQL + """
-select 0.0::double as max_abs_diff, true as within_tolerance, count(*)::bigint as n_scores from bg""")
+@register("l10_parity_check", BASE_SQL + """,
+sc as (select context, n, ln((n + 1.0) / (n_c + (select v from vs))) as a,
+         case when context % 2 = 0 then ln((2 * n + 1.0) / (2 * n_c + (select v from vs)))
+              else ln((n + 1.0) / (n_c + (select v from vs))) end as b from bg join cx using (context))
+select 0.0::double as max_abs_diff, true as within_tolerance, count(*)::bigint as n_scores, true as saved,
+       round(max(abs(a - b)), 6) as bad_diff, max(abs(a - b)) > 0.001 as bad_refused from sc""")
 def l10_parity_check(spark, sf_dir):
-    """Scores of the observed pairs computed two ways (probability table vs the
-    scoring path) must agree within the tolerance."""
-    m = char_setup(spark, sf_dir).model
-    a = m.next_token_probs().select("context", "token", F.log("prob").alias("a"))
-    b = m.log_prob(m.pairs.select("context", "token")).withColumnRenamed("logp", "b")
-    j = a.join(b, ["context", "token"], "full_outer")
-    diff = F.abs(F.coalesce("a", F.lit(float("inf"))) - F.coalesce("b", F.lit(float("-inf"))))
-    r = j.agg(F.max(diff).alias("d"), F.count(F.lit(1)).cast("bigint").alias("n_scores"))
-    return r.select(F.round("d", 6).alias("max_abs_diff"), (F.col("d") <= K.PARITY_TOLERANCE).alias("within_tolerance"),
-                    "n_scores")
+    """A model is saved only if its scores agree, within the tolerance, with scores counted from the tokens in another
+    way: the right one is; one with the counts of every even context doubled is refused, and nothing of it can be seen."""
+    s = char_setup(spark, sf_dir)
+    m = s.model
+    want = L.counted_scores(s.train, m.vocab_size, m.alpha)
+    path = os.path.join(ensure_checkpoint_dir(spark), f"parity-{uuid.uuid4().hex}")
+    store.save_model(m, os.path.join(path, "good"), scores=want)
+    good = L.score_difference(store.load_model(spark, os.path.join(path, "good"))[0], want)
+    bad = dataclasses.replace(m, pairs=m.pairs.withColumn("n", F.when(F.col("context") % 2 == 0, 2 * F.col("n")).otherwise(F.col("n"))))
+    try:
+        store.save_model(bad, os.path.join(path, "bad"), scores=want)
+        refused = False
+    except ValueError:
+        refused = True
+    try:
+        store.load_model(spark, os.path.join(path, "bad"))
+        refused = False
+    except FileNotFoundError:
+        pass
+    contexts = bad.pairs.groupBy("context").agg(F.sum("n").alias("n_c"))
+    worse = L.score_difference(dataclasses.replace(bad, contexts=contexts), want)
+    return spark.createDataFrame(
+        [(round(good[0], 6), good[0] <= K.PARITY_TOLERANCE, good[1], True, round(worse[0], 6), refused)],
+        "max_abs_diff double, within_tolerance boolean, n_scores bigint, saved boolean, bad_diff double, bad_refused boolean")
 
 
 @register("l11_uniform_baseline", BASE_SQL + """
@@ -336,7 +358,7 @@ def stop_chain_sql(source_sql: str, steps: int) -> str:
     a row stops after a newline-token or when ``steps`` tokens are new."""
     chain = [f"""gn as (select context, token from (
   select context, token, row_number() over (partition by context order by logp desc, token nulls last) as r from cand) where r = 1),
-stops as (select id from cv where contains(token, chr(10))),
+stops as materialized (select id from cv where contains(token, chr(10))),
 q0 as (select pid, ids, len(ids) as n0, false as done from ({source_sql}))"""]
     for i in range(steps):
         chain.append(f"""q{i + 1} as (select pid, n0, case when done then ids else list_append(ids, nxt) end as ids,
@@ -408,32 +430,32 @@ def shares_sql(settings: str) -> str:
     """``shr``: for each row (temp, topk) of ``settings`` and each context the ids in the order of
     draws (observed successors by id, then the other ids by id) with their share of [0, 1)."""
     return f"""
-ctxs as (select context, n_c::double as n_c, (select v from vs) as v from cx union all select -1, (select n from ntok), (select v from vs)),
-allp as (select c.context, cv.id as token, case when c.context = -1 then coalesce(uni.n_w, 0) else coalesce(bg.n, 0) end as n
+ctxs as materialized (select context, n_c::double as n_c, (select v from vs) as v from cx union all select -1, (select n from ntok), (select v from vs)),
+allp as materialized (select c.context, cv.id as token, case when c.context = -1 then coalesce(uni.n_w, 0) else coalesce(bg.n, 0) end as n
   from ctxs c cross join cv left join bg on bg.context = c.context and bg.token = cv.id left join uni on uni.token = cv.id),
 rk as (select s.temp, s.topk, a.*, rank() over (partition by s.temp, s.topk, context order by n desc) as r from allp a cross join {settings} s
        where s.temp > 0),
 wt as (select temp, topk, context, token, n, exp(ln(n + 1.0) / temp) as w from rk where topk <= 0 or r <= topk),
-cw as (select temp, topk, context, token, w, sum(w) over (partition by temp, topk, context order by (n > 0) desc, token
+cw as (select temp, topk, context, token, n, sum(w) over (partition by temp, topk, context order by (n > 0) desc, token
          rows between unbounded preceding and current row) as hi, sum(w) over (partition by temp, topk, context) as total from wt),
-shr as (select temp, topk, context, list(token order by hi) as toks, list(hi / total order by hi) as his from cw group by all)"""
+shr as materialized (select temp, topk, context, list(token order by (n > 0) desc, token) as toks, list(hi / total order by (n > 0) desc, token) as his from cw group by all)"""
 
 
 def draws_sql(requests: str) -> str:
     """``toks_out`` (pid, new): the tokens drawn for ``requests`` (pid, ids, mnt, temp, topk, seed, chat). Stops
     are newline tokens, for chat requests only."""
     return f"""
-rq as (select pid, ids[-1] as last, mnt, temp, topk, chat,
+rq as materialized (select pid, ids[-1] as last, mnt, temp, topk, chat,
          md5(coalesce(seed::varchar, '-') || ':' || array_to_string(ids, ',')) as key from {requests}),
-gn as (select context, token from (
+gn as materialized (select context, token from (
   select context, token, row_number() over (partition by context order by logp desc, token nulls last) as r from cand) where r = 1),
-stops as (select list(id) as ids from cv where contains(token, chr(10))),
+stops as materialized (select list(id) as ids from cv where contains(token, chr(10))),
 walk as (select pid, 0 as step, last as token, mnt, temp, topk, chat, key, false as done from rq
   union all
   select pid, step + 1, nxt, mnt, temp, topk, chat, key, step + 1 >= mnt or (chat and list_contains(coalesce((select ids from stops), []), nxt)) from (
     select w.*, case when w.temp = 0 then g.token else
         toks[least(len(list_filter(his, lambda x: x <= ('0x' || left(md5(key || ':' || step), 13))::bigint / 4503599627370496.0)) + 1, len(toks))] end::int as nxt
-    from walk w join ctxs c on c.context = case when w.token in (select context from cx) then w.token else -1 end
+    from walk w join ctxs c on c.context = case when w.token in (select context from ctxs) then w.token else -1 end
     left join gn g on g.context = c.context
     left join shr s on s.context = c.context and s.temp = w.temp and s.topk = w.topk
     where not done and w.step < w.mnt)),

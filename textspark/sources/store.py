@@ -102,27 +102,71 @@ def tokenizer_to_json(tok) -> DataFrame:
 
 
 # --- S6 ---------------------------------------------------------------------
+def _fs(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def _committed(spark: SparkSession, path: str) -> str | None:
+    """The version that the last finished save has committed: the marker ``commit-<number>`` of the highest number names its folder."""
+    fs, at = _fs(spark, path)
+    if not fs.exists(at):
+        return None
+    names = [f.getPath().getName() for f in fs.listStatus(at)]
+    marks = [(int(n.split("-")[1]), n) for n in names if n.startswith("commit-")]
+    return f"version-{max(marks)[0]}" if marks else None
+
+
 def save_model(model, path: str, epoch: int | None = None, val_loss: float | None = None,
-               overwrite: bool = False) -> None:
-    mode = write_mode(overwrite)
-    model.pairs.write.mode(mode).parquet(os.path.join(path, "pairs"))
-    model.unigrams.write.mode(mode).parquet(os.path.join(path, "unigrams"))
+               overwrite: bool = False, scores: DataFrame | None = None, tokenizer=None) -> None:
+    """All parts (and the tokenizer, if given) go to a folder of their own that no reader looks
+    at; one empty marker file, written last, makes them the model. A save that is killed before,
+    or refused because the written model's scores differ from ``scores`` by more than the
+    tolerance, leaves what was there (or nothing) as it was."""
     spark = model.pairs.sparkSession
+    fs, _ = _fs(spark, path)
+    before = _committed(spark, path)
+    if before and not overwrite:
+        raise FileExistsError(f"a model is stored under {path}")
+    number = int(before.split("-")[1]) + 1 if before else 1
+    folder = os.path.join(path, f"version-{number}")
+    model.pairs.write.mode("overwrite").parquet(os.path.join(folder, "pairs"))
+    model.unigrams.write.mode("overwrite").parquet(os.path.join(folder, "unigrams"))
     meta = spark.createDataFrame(
-        [(json.dumps({"vocab_size": model.vocab_size, "n_tokens": model.n_tokens, "alpha": model.alpha}),
-          epoch, val_loss)], "config string, epoch int, val_loss double")
-    meta.write.mode(mode).parquet(os.path.join(path, "meta"))
+        [(json.dumps({"vocab_size": model.vocab_size, "n_tokens": model.n_tokens, "alpha": model.alpha,
+                      "tokenizer": tokenizer is not None}), epoch, val_loss)], "config string, epoch int, val_loss double")
+    meta.write.mode("overwrite").parquet(os.path.join(folder, "meta"))
+    if tokenizer is not None:
+        save_tokenizer(tokenizer, os.path.join(folder, "tokenizer"), overwrite=True)
+    if scores is not None:
+        from ..operators.lm import score_difference
+        gap, _ = score_difference(_read_model(spark, folder)[0], scores)
+        if gap > K.PARITY_TOLERANCE:
+            raise ValueError(f"scores differ by {gap}: the model is not saved")
+    if not fs.createNewFile(spark._jvm.org.apache.hadoop.fs.Path(os.path.join(path, f"commit-{number}"))):
+        raise FileExistsError(f"another save to {path} has been committed meanwhile")
 
 
 def load_model(spark: SparkSession, path: str):
-    """All parts must exist; missing metadata fields get defaults."""
+    """The model that was committed last; missing metadata fields get defaults."""
+    version = _committed(spark, path)
+    if version is None:
+        raise FileNotFoundError(f"no finished model under {path}")
+    return _read_model(spark, os.path.join(path, version))
+
+
+def load_model_tokenizer(spark: SparkSession, path: str):
+    """The tokenizer that was saved with the model, null if none was."""
+    version = _committed(spark, path)
+    if version is None:
+        raise FileNotFoundError(f"no finished model under {path}")
+    folder = os.path.join(path, version)
+    cfg = json.loads(spark.read.parquet(os.path.join(folder, "meta")).first()["config"] or "{}")
+    return load_tokenizer(spark, os.path.join(folder, "tokenizer")) if cfg.get("tokenizer") else None
+
+
+def _read_model(spark: SparkSession, path: str):
     from ..operators.lm import NgramModel
-    from pyspark.errors import AnalysisException
-    try:
-        for part in ("pairs", "unigrams", "meta"):
-            spark.read.parquet(os.path.join(path, part)).schema
-    except AnalysisException as err:
-        raise FileNotFoundError(f"model parts missing under {path}") from err
     meta = spark.read.parquet(os.path.join(path, "meta")).select(
         "config", F.coalesce("epoch", F.lit(0)).alias("epoch"),
         F.coalesce("val_loss", F.lit(float("inf"))).alias("val_loss")).first()
