@@ -110,3 +110,12 @@ def test_decoding_edge_cases(spark):
     assert [r[0] for r in df.select(G.decode_ids(PATH)("ids")).collect()] == [None, "", "", "�"]
     with pytest.raises(Exception, match="outside the vocabulary"):
         spark.createDataFrame([([40_000],)], "ids array<int>").select(F.length(G.decode_ids(PATH)("ids"))).collect()
+
+
+def test_log_inclusion_of_long_texts(spark):
+    rng = np.random.default_rng(3)
+    long = " ".join("".join(chr(97 + c) for c in rng.integers(0, 26, 9)) for _ in range(900))
+    df = spark.createDataFrame([(0, long), (1, "a few words"), (2, "")], "doc_id long, text string")
+    rows = G.sample_encodings(df, PATH, k=2).collect()
+    assert all(np.isfinite(r.log_inclusion) and r.log_inclusion <= 0 for r in rows)
+    assert all(abs(np.exp(r.log_inclusion) - r.inclusion) < 1e-12 for r in rows)

@@ -101,3 +101,19 @@ def test_mix_of_little(spark):
     assert len(one) == 1 and one[0].copies in (1, 2)
     none = mix_sources(df.where("source = 'empty'")).collect()
     assert [(r.copies, r.taken, r.target) for r in none] == [(1, 0, 0.0)] * 2
+
+
+def test_low_rates_take_their_share_over_blocks(spark):
+    """One huge source at a rate far below one document a block, beside sources that fill the mix."""
+    from textspark.llm.entropy_balance import mix_in_place, mix_sources
+    rows = [(i, "w w w", "a") for i in range(20_000)] + [(100_000 + i, "x " * 50, f"b{i % 40:02d}") for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.source: (r.t, r.target) for r in mix_sources(df, weights=(1, 400, 400)).groupBy("source").agg(
+        {"taken": "sum", "target": "max"}).toDF("source", "t", "target").collect()}
+    for taken, target in got.values():
+        assert abs(taken - target) <= max(0.02 * target, 51), got
+    scratch_df = df.repartition(4)
+    words = {}
+    for r in mix_in_place(scratch_df, weights=(1, 400, 400)).collect():
+        words[r.source] = words.get(r.source, 0) + len(r.text.split())
+    assert all(abs(words.get(s, 0) - t) <= max(0.05 * t, 4 * 51) for s, (_, t) in got.items())

@@ -44,6 +44,39 @@ class Scratch:
             path.getFileSystem(conf).delete(path, True)
 
 
+#: Bits of the map of ids in ``split_by_ids``: 1,024 pages of 4 KB, a proven bound of what is broadcast.
+ID_BITS = 25
+
+
+def split_by_ids(rows: DataFrame, key: str, ids: DataFrame, id_col: str, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """``rows`` in two: those whose key is certainly not among ``ids`` (they stay where they are), and those that
+    share a bit of a map of hashed ids with one (all that have such a key, and few others). Null keys are with
+    the first."""
+    bit = F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1 << ID_BITS))
+    maps = scratch.save(ids.where(F.col(id_col).isNotNull()).select(F.shiftright(bit, 15).alias("slot"), bit.bitwiseAND(F.lit(32767)).alias("place"))
+                        .groupBy("slot").agg(F.bitmap_construct_agg("place").alias("bits")), "bits")
+    mine, bits = fresh(rows, "_slot"), fresh(rows, "_bits")
+    own = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(1 << ID_BITS))
+    place = own.bitwiseAND(F.lit(32767))
+    byte = F.conv(F.hex(F.substring(bits, (place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    hit = F.coalesce(F.getbit(byte, (place % 8).cast("int")) == 1, F.lit(False)) & F.col(key).isNotNull()
+    met = rows.join(F.broadcast(maps.select(F.col("slot").alias(mine), F.col("bits").alias(bits))),
+                    F.shiftright(own, 15) == F.col(mine), "left")
+    return met.where(~hit).select(*rows.columns), met.where(hit).select(*rows.columns)
+
+
+def release_memory() -> None:
+    """Hands memory that a task no longer uses back to the system, for the worker lives on."""
+    import ctypes
+
+    import pyarrow as pa
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass
+
+
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Hand rows of long texts or id lists to Python in batches of at most ``rows`` (a setting
     of the session: ``spark.sql.execution.arrow.maxRecordsPerBatch``)."""

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_chunks
+from .common import byte_chunks, release_memory
 from .texthash import mix, powers, text_chunks
 
 SPACE = 0x2581
@@ -391,7 +391,8 @@ _lexicons: dict[int, Lexicon] = {}
 def sample_encodings(docs: DataFrame, model_path: str, k: int = 2, seed: int = 1, alpha: float = 1.0,
                      id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """Up to ``k`` rows for each row of ``docs``: ``id``, the columns of ``keep``, ``sample`` (0 the
-    largest perturbed value), ``ids``, ``log_prob``, ``perturbed``, ``inclusion``.
+    largest perturbed value), ``ids``, ``log_prob``, ``perturbed``, ``inclusion`` and its logarithm
+    ``log_inclusion`` (finite also where the share underflows).
 
     Samples of a row are distinct; a text with fewer than ``k`` segmentations gives them all,
     with inclusion 1. Null and empty texts have one, without pieces. The key of a row is its
@@ -403,7 +404,10 @@ def sample_encodings(docs: DataFrame, model_path: str, k: int = 2, seed: int = 1
 
     def run(batches):
         model = shared.value
-        lex = _lexicons.get(id(model)) or _lexicons.setdefault(id(model), Lexicon(model))
+        lex = _lexicons.get(id(model))
+        if lex is None:
+            _lexicons.clear()            # the tables of a job that is over
+            lex = _lexicons[id(model)] = Lexicon(model)
         for batch in batches:
             for i, j, raw, off in text_chunks(batch.column(1), CHUNK):
                 rows = batch.slice(i, j - i)
@@ -419,17 +423,23 @@ def sample_encodings(docs: DataFrame, model_path: str, k: int = 2, seed: int = 1
                 for rank, r in enumerate(results):
                     ids, first = piece_ids(lat, r["paths"], lex, model)
                     with np.errstate(over="ignore"):
-                        inclusion = -np.expm1(-np.exp(r["logp"] - threshold[r["doc"]]))
+                        gap = r["logp"] - threshold[r["doc"]]
+                        inclusion = -np.expm1(-np.exp(gap))
+                        # the share itself is too small for a float in long texts; log(1 - exp(-exp(x))) is x there
+                        log_inclusion = np.where(gap < -30, gap, np.log(np.maximum(inclusion, 1e-300)))
                     pick = pa.array(r["doc"])
                     yield pa.RecordBatch.from_arrays(
                         [rows.column(0).take(pick), *[rows.column(2 + c).take(pick) for c in range(len(kept))],
                          pa.array(np.full(len(pick), rank, np.int32)),
                          pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(ids, pa.int32())),
-                         pa.array(r["logp"]), pa.array(r["value"]), pa.array(inclusion)], names)
+                         pa.array(r["logp"]), pa.array(r["value"]), pa.array(inclusion),
+                         pa.array(log_inclusion)], names)
+                del lat, results
+        release_memory()
 
-    names = ["id", *keep, "sample", "ids", "log_prob", "perturbed", "inclusion"]
+    names = ["id", *keep, "sample", "ids", "log_prob", "perturbed", "inclusion", "log_inclusion"]
     schema = ", ".join(["id bigint", *[f"{c} {t}" for c, t in kept], "sample int", "ids array<int>",
-                        "log_prob double", "perturbed double", "inclusion double"])
+                        "log_prob double", "perturbed double", "inclusion double", "log_inclusion double"])
     return docs.select(F.col(id_col).cast("bigint").alias("id"), text_col, *keep).mapInArrow(run, schema)
 
 

@@ -96,7 +96,7 @@ def op1_gumbel_lattice(spark, sf_dir):
     samples = sample_encodings(docs, path, k=2, keep=("plain_crc32",))
     return samples.select(
         F.col("id").alias("doc_id"), "sample", F.size("ids").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"),
-        "log_prob", "perturbed", "inclusion",
+        "log_prob", "perturbed", "inclusion", "log_inclusion",
         (F.crc32(decode_ids(path)("ids").cast("binary")) == F.col("plain_crc32")).alias("round_trip"))
 
 
