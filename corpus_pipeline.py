@@ -5,8 +5,11 @@ DataFrame. All stages but the last return the columns of ``docs``; the last give
 encodings of what is left. Each is written before the next one reads it.
 
 Rows with a null id go through: they cannot be named as copies; each is mixed as a row of its own.
-Rows that repeat id and text wholly are one document from the near-dedup stage on. A mixed
-row is repeated as often as the mix takes it. Empty input gives empty output.
+Rows that repeat id and text wholly are one document from the near-dedup stage on, the
+smallest of them by the columns in order. A mixed row is repeated as often as the mix takes
+it. Null and empty texts go at the rules; texts of any length are taken whole. Ties: the
+smallest id of a group of copies stays. Other columns pass through, whatever their names. Empty
+input gives empty output.
 """
 
 from __future__ import annotations
@@ -15,9 +18,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textspark.llm.common import Scratch, fresh, small_batches, table
+from textspark.llm.common import Scratch, fresh, small_batches, split_by_ids, table
 from textspark.llm.divergence import judge_documents
-from textspark.llm.entropy_balance import mix_sources
+from textspark.llm.entropy_balance import mix_in_place
 from textspark.llm.gumbel_lattice import decode_ids, sample_encodings
 from textspark.llm.lsh_forest import near_duplicates
 from textspark.llm.subword_clf import fit_quality, score_texts
@@ -39,20 +42,26 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = near_duplicates(docs, words=5).where("kept and id is not null").select(F.col("id").alias("doc_id")).distinct()
-    named = docs.join(Scratch(spark, "kept").save(kept, "ids"), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return named.unionByName(docs.where("doc_id is null"))
+    """Ids that go (copies) and ids that repeat are few, so their rows are split off by a map of
+    bits; all other texts stay where they are."""
+    scratch = Scratch(spark, "dedup")
+    gone = near_duplicates(docs, words=5).where("not kept and id is not null").select("id", F.lit(True).alias("gone"))
+    twice = docs.where("doc_id is not null").groupBy(F.col("doc_id").alias("id")).count().where("count > 1")
+    marks = scratch.save(gone.unionByName(twice.select("id", F.lit(False).alias("gone")))
+                         .groupBy("id").agg(F.max("gone").alias("gone")), "marks")
+    stay, marked = split_by_ids(docs, "doc_id", marks, "id", scratch)
+    key, gone = fresh(docs, "_id"), fresh(docs, "_gone")
+    marked = marked.join(marks.toDF(key, gone), F.col("doc_id") == F.col(key), "left")
+    alone = marked.where(F.col(gone).isNull()).select(*docs.columns)
+    # of rows with one id and text the smallest is kept, columns compared in order
+    repeated = (marked.where(~F.col(gone)).groupBy(F.col("doc_id").alias(key), F.sha2(F.coalesce("text", F.lit("")), 256),
+                                                   F.col("text").isNull())
+                .agg(F.min(F.struct(*docs.columns)).alias(gone)).select(f"{gone}.*"))
+    return stay.unionByName(alone).unionByName(repeated)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    scratch = Scratch(spark, "mix")
-    row, key, times = fresh(docs, "_row"), fresh(docs, "_key"), fresh(docs, "_copies")
-    # saved, so that a row keeps its number
-    rows = scratch.save(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
-    copies = scratch.save(mix_sources(rows, row_col=row).where("copies > 0")
-                          .select(F.col("row").alias(key), F.col("copies").cast("int").alias(times)), "copies")
-    return (rows.join(copies, F.col(row) == F.col(key))
-            .withColumn(times, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*docs.columns))
+    return mix_in_place(docs)
 
 
 def sentencepiece_samples(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,7 +69,7 @@ def sentencepiece_samples(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     path = public_tokenizers.path("piece_bpe_32k.model")
     texts = docs.select("doc_id", "text", F.crc32(F.translate(F.coalesce("text", F.lit("")), "▁", " ").cast("binary")).alias("plain"))
     rows = sample_encodings(texts, path, k=SAMPLES, keep=("plain",))
-    return rows.select(F.col("id").alias("doc_id"), "sample", "ids", "log_prob", "inclusion",
+    return rows.select(F.col("id").alias("doc_id"), "sample", "ids", "log_prob", "inclusion", "log_inclusion",
                        (F.crc32(decode_ids(path)("ids").cast("binary")) == F.col("plain")).alias("round_trip"))
 
 
