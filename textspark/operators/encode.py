@@ -314,11 +314,14 @@ class BpeTokenizer(Tokenizer):
         return chunks.select("chunk", loop("chunk").alias("symbols"))
 
 
-def unk_rate(encoded: DataFrame, unk_id: int, ids_col="ids") -> DataFrame:
-    """Share of ids that are ``<unk>``."""
-    e = encoded.select(F.explode(ids_col).alias("id"))
-    return e.agg(F.avg((F.col("id") == unk_id).cast("double")).alias("unk_rate"),
-                  F.count(F.lit(1)).cast("bigint").alias("n_tokens"))
+def reuse_or_train(saved: "BpeTokenizer", docs: DataFrame, num_merges: int, text_col="text") -> tuple["BpeTokenizer", bool]:
+    """The saved tokenizer if it has as many merges as asked for and gives every text back
+    as it was; else one trained anew. And whether the saved one is reused."""
+    if len(saved.merge_rows) == num_merges:
+        back = saved.decode(saved.encode(docs.select(text_col), text_col), "ids", "_back")
+        if back.where(F.coalesce(F.col(text_col), F.lit("")) != F.col("_back")).isEmpty():
+            return saved, True
+    return BpeTokenizer.train(docs, num_merges, text_col), False
 
 
 # --- E6: byte-level BPE ---------------------------------------------------------

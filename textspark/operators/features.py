@@ -1,8 +1,7 @@
 """Token features (X1-X3): embedding rows for token ids, positions, row usage.
 
-The embedding table is joined on id; it is broadcast only when its row count
-is under ``BROADCAST_ROWS`` (checked), otherwise a shuffle join with AQE skew
-handling (hot ids such as the space token) is used.
+Tables are joined on the row id. Nothing forces a broadcast: Spark's size statistics pick it,
+and a shuffle join splits hot ids (such as the space token) by AQE.
 """
 
 from __future__ import annotations
@@ -10,13 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 1_000_000
-
-
-def _maybe_broadcast(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
 def embedding_lookup(tokens: DataFrame, table: DataFrame, key_cols=("doc_id",), ids_col="ids",
                      id_of=None) -> DataFrame:
     """One row per token occurrence ``(keys..., pos, id, embedding)``.
@@ -24,15 +16,14 @@ def embedding_lookup(tokens: DataFrame, table: DataFrame, key_cols=("doc_id",),
     occ = tokens.select(*key_cols, F.posexplode(ids_col).alias("pos", "id"))
     row = id_of(F.col("id")) if id_of is not None else F.col("id")
     occ = occ.withColumn("vec_id", row.cast("bigint"))
-    t = _maybe_broadcast(table.select("vec_id", "embedding"))
-    return occ.join(t, "vec_id").drop("vec_id")
+    return occ.join(table.select("vec_id", "embedding"), "vec_id").drop("vec_id")
 
 
 def add_positions(looked_up: DataFrame, positions: DataFrame, max_seq_length: int) -> DataFrame:
     """Token vector + position vector; a position past the table is an error."""
     checked = looked_up.withColumn("pos", F.when(F.col("pos") < max_seq_length, F.col("pos")).otherwise(
         F.raise_error(F.lit("position beyond max_seq_length")).cast("int")))
-    p = F.broadcast(positions.select(F.col("pos").cast("int").alias("pos"), F.col("embedding").alias("pvec")))
+    p = positions.select(F.col("pos").cast("int").alias("pos"), F.col("embedding").alias("pvec"))
     return checked.join(p, "pos").withColumn(
         "embedding", F.zip_with("embedding", "pvec", lambda a, b: a + b)).drop("pvec")
 

@@ -54,9 +54,3 @@ def bpe_vocab(base: DataFrame, merges: DataFrame) -> DataFrame:
 def vocab_size(vocab: DataFrame) -> DataFrame:
     """V9: number of entries."""
     return vocab.agg(F.count(F.lit(1)).cast("bigint").alias("vocab_size"))
-
-
-def merge_list(merges: DataFrame, n: int | None = None) -> DataFrame:
-    """V9: merges in rank order; the first ``n`` when given (top-N report)."""
-    out = merges.orderBy("rank")
-    return out.limit(n) if n else out
