@@ -13,6 +13,9 @@ from textspark.streaming import requests as RS
 from textspark.operators import pretok
 
 
+corpus_counts_schema = "chunk string, freq bigint"
+
+
 def _dir(spark, name):
     return os.path.join(ensure_checkpoint_dir(spark), f"test-{name}-{uuid.uuid4().hex}")
 
@@ -41,10 +44,16 @@ def test_stream_counts_equal_batch(spark):
     rows = [(i, t, "en", "s", len(t)) for i, t in enumerate(["a b  c\n", "a a b", "c\n\nd", "the theme"])]
     src = _dir(spark, "docs")
     df = spark.createDataFrame(rows, corpus_counts.DOC_SCHEMA)
-    df.repartition(2).write.parquet(src)
+    df.repartition(4).write.parquet(src)
     out = _dir(spark, "counts")
-    corpus_counts.run_to_table(corpus_counts.chunk_count_stream(spark, src, max_files_per_trigger=1),
-                               _dir(spark, "ck2"), out)
+    stream = corpus_counts.chunk_count_stream(spark, src, max_files_per_trigger=1)
+    corpus_counts.run_to_table(stream, _dir(spark, "ck2"), out, compact_every=2)
+    local = out.removeprefix("file:")
+    assert len(os.listdir(os.path.join(local, "snapshot"))) == 1 and len(os.listdir(os.path.join(local, "delta"))) < 2
+    # what a killed compaction may leave: a snapshot without its success mark, and parts that one covers
+    spark.createDataFrame([("a", 99)], corpus_counts_schema).write.parquet(os.path.join(out, "snapshot", "upto=77"))
+    os.remove(os.path.join(local, "snapshot", "upto=77", "_SUCCESS"))
+    spark.createDataFrame([("a", 1)], corpus_counts_schema).write.mode("overwrite").parquet(os.path.join(out, "delta", "epoch=0"))
     streamed = {r.chunk: r.freq for r in corpus_counts.latest_counts(spark, out).collect()}
     batch = {r.chunk: r.freq for r in pretok.chunk_frequencies(df).collect()}
     assert streamed == batch

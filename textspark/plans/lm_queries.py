@@ -552,16 +552,20 @@ def g2_top_k_filter(spark, sf_dir):
     return c.select(F.col("context").cast("int"), F.col("token").cast("int"))
 
 
-@register("g7_crop_context", GREEDY_CHAIN_SQL + "\nselect pid, ids[-1]::int as context from p0")
+@register("g7_crop_context", GREEDY_CHAIN_SQL + "\nselect pid, ids[-1]::int as context, list_transform(ids[-3:], lambda i: i::int) as four_gram_context from p0")
 def g7_crop_context(spark, sf_dir):
-    """The conditioning context of a bigram model: the last token of each prompt."""
+    """What a bigram model and a 4-gram model look at: the last token, the last three tokens of each prompt."""
     p = prompts(spark, sf_dir)
-    return p.select("pid", F.get(G.crop_context("ids"), F.lit(0)).cast("int").alias("context"))
+    return p.select("pid", F.get(G.crop_context("ids"), F.lit(0)).cast("int").alias("context"),
+                    G.crop_context("ids", 4).alias("four_gram_context"))
 
 
-@register("t10_continuation_after_prompt", """
-select conv_id, text as continuation from conversations
-where turn = 1 and conv_id in (select conv_id from conversations where turn = 0)""")
+@register("t10_continuation_after_prompt", BASE_SQL + """,
+sh as (select conv_id, string_agg(coalesce(cv.token, '<unk>'), '' order by pos) as shown from (
+  select conv_id, generate_subscripts(c, 1) as pos, unnest(c) as ch
+  from (select conv_id, string_split(lower(text), '') as c from conversations where turn = 0)) x
+  left join cv on cv.token = x.ch group by conv_id)
+select conv_id, shown, text as continuation from conversations join sh using (conv_id) where turn = 1""")
 def t10_continuation_after_prompt(spark, sf_dir):
     """The shown prompt is the *decoded* first turn (unknown characters appear as
     <unk>); the continuation is what follows it in prompt + second turn."""
@@ -572,5 +576,5 @@ def t10_continuation_after_prompt(spark, sf_dir):
     shown = s.tok.decode(first, "ids", "shown").select("conv_id", "shown")
     second = c.where("turn = 1").select("conv_id", F.col("text").alias("reply"))
     j = shown.join(second, "conv_id")
-    return j.select("conv_id", continuation_after_prompt(F.concat("shown", "reply"), F.col("shown"))
+    return j.select("conv_id", "shown", continuation_after_prompt(F.concat("shown", "reply"), F.col("shown"))
                     .alias("continuation"))
