@@ -89,3 +89,21 @@ def test_unfinished_and_refused_saves_cannot_be_seen(spark):
     assert store.load_model_tokenizer(spark, path).vocab.count() == tok.vocab.count()
     store.save_model(bad, path, overwrite=True)
     assert store.load_model(spark, path)[0].pairs.agg(F.sum("n")).first()[0] > m.pairs.agg(F.sum("n")).first()[0]
+
+
+def test_a_large_file_is_read_by_many_tasks_in_order(spark, tmp_path):
+    from textspark.sources.corpus import load_text_lines
+    lines = [f"line {i} " + "é" * (i % 90) for i in range(20_000)]
+    lines[7] = ""
+    (tmp_path / "b.txt").write_bytes("\n".join(lines).encode())
+    (tmp_path / "a.txt").write_bytes("first\r\n\nlast of a\n".encode())
+    name, before = "spark.sql.files.maxPartitionBytes", spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set(name, "100000")
+    try:
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 5
+        got = [r.text for r in load_text_lines(spark, str(tmp_path)).orderBy("doc_id").collect()]
+    finally:
+        spark.conf.set(name, before)
+    assert got == ["first\r", "", "last of a", *lines]
+    with pytest.raises(Exception):
+        load_text_lines(spark, str(tmp_path / "missing"))
