@@ -119,3 +119,39 @@ def test_log_inclusion_of_long_texts(spark):
     rows = G.sample_encodings(df, PATH, k=2).collect()
     assert all(np.isfinite(r.log_inclusion) and r.log_inclusion <= 0 for r in rows)
     assert all(abs(np.exp(r.log_inclusion) - r.inclusion) < 1e-12 for r in rows)
+
+
+def test_kept_units_change_nothing(monkeypatch):
+    g = np.random.default_rng(5)
+    words = ["hello", "world", "straße", "日本語", "xyzzy", "the", "of", "a\x01b", "  ", "ofthe"]
+    chunks = [[" ".join(g.choice(words, g.integers(0, 40))) for _ in range(20)] for _ in range(6)]
+    chunks.insert(3, ["", "z" * 3000 + " " + "z" * 3000])
+    for limit in (G.KNOWN, 30, 5000):  # kept throughout, begun anew again and again, left out where too long
+        monkeypatch.setattr(G, "KNOWN", limit)
+        known = {}
+        for texts in chunks:
+            chars, offsets = [], [0]
+            for t in texts:
+                chars += [ord(c) for c in marked(t)]
+                offsets.append(len(chars))
+            args = np.array(chars, np.uint32), np.array(offsets), np.arange(len(texts)), 3, 1, LEX, MODEL
+            (lat, got, low), (plain, want, least) = G.sample_chunk(*args, known=known), G.sample_chunk(*args)
+            assert (low == least).all() and len(got) == len(want)
+            for a, b in zip(got, want):
+                assert (a["logp"] == b["logp"]).all() and (a["value"] == b["value"]).all()
+                for x, y in zip(G.piece_ids(lat, a["paths"], LEX, MODEL), G.piece_ids(plain, b["paths"], LEX, MODEL)):
+                    assert (x == y).all()
+            known = lat.add_repeated(known)
+            assert not known or len(known["left"]) <= limit
+        assert bool(known) == (limit != 30) or len(known["left"]) <= 30
+
+
+def test_decode_handles_bytes_that_are_no_text(spark):
+    table = MODEL["bytes"]
+    space = next(i for i, b in enumerate(table) if b == b" ")
+    bad, begin = int(MODEL["byte_ids"][0xE6]), 1
+    rows = [(1, [bad, space]), (2, None), (3, []), (4, [space, space]), (5, [begin]), (6, [int(b) for b in MODEL["byte_ids"][list("日".encode())]])]
+    out = spark.createDataFrame(rows, "k int, ids array<int>").select("k", G.decode_ids(PATH)("ids").alias("t")).orderBy("k")
+    assert [r.t for r in out.collect()] == ["\ufffd ", None, "", " ", "", "日"]
+    with pytest.raises(Exception, match="outside the vocabulary"):
+        spark.createDataFrame([([len(table)],)], "ids array<int>").select(G.decode_ids(PATH)("ids").alias("t")).collect()

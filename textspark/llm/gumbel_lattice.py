@@ -12,8 +12,8 @@ node that is left over gives the inclusion scores 1 - exp(-exp(log p - threshold
 The search runs in step for all texts of a chunk, in numpy:
 
 - pieces never go past the start of a white-space unit (checked when a model is loaded), so
-  the lattice is a chain of units. Equal units of a chunk are built once; their suffix sums
-  (the bound) come from one backward pass over all of them;
+  the lattice is a chain of units. Equal units of a chunk are built once, and a task keeps those
+  that repeat for its later chunks; their suffix sums (the bound) come from one backward pass;
 - a sample walks all units at once, one piece a step; where a node's mass is below
   exp(-CUT) its siblings cannot reach the frontier and are left out (checked, and redone in
   full if they could);
@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,6 +40,8 @@ CUT = 48.0
 #: Bytes of text, or ids, that are worked on at once (a longer text alone).
 CHUNK = 1 << 19
 FILTER_BITS = 22
+#: Characters of repeated units whose lattices a task keeps from chunk to chunk (some 100 bytes each).
+KNOWN = 1 << 19
 
 
 def load_model(path: str, alpha: float = 1.0) -> dict:
@@ -125,83 +128,153 @@ def _spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (ends - lengths), lengths) + np.arange(total)
 
 
-def _uniform(*keys) -> np.ndarray:
-    """Open-interval uniforms from hashed integer keys (arrays broadcast)."""
-    h = np.array([0x5851F42D4C957F2D], np.uint64)
+def _keyed(*keys, begun=None) -> np.ndarray:
+    """Hash of integer keys (arrays broadcast), on from the hash of the keys before them."""
+    h = np.array([0x5851F42D4C957F2D], np.uint64) if begun is None else begun
     for k in keys:
         h = mix((np.asarray(k).astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)) ^ (h * np.uint64(0xD1342543DE82EF95)))
-    return ((h >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0**53
+    return h
+
+
+def _uniform(*keys, begun=None) -> np.ndarray:
+    """Open-interval uniforms from hashed integer keys."""
+    return ((_keyed(*keys, begun=begun) >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0**53
+
+
+#: Arrays of a lattice: four over its characters, five over its edges.
+_PARTS = ("left", "chars", "count", "first", "node", "length", "piece", "log_share", "cum")
+
+
+def _build(chars, prefix, down, starts, size, lex: Lexicon, model: dict) -> dict:
+    """The arrays of ``_PARTS`` for the units that begin at ``starts``."""
+    begin = np.cumsum(size) - size
+    place = _spread(starts, size)
+    n = len(place)
+    left = np.repeat(begin + size, size) - np.arange(n)  # characters to the unit's end
+    most = int(left.max()) if n else 0
+    found, rows = [], np.arange(n)
+    for length in range(1, min(lex.longest, most) + 1):  # on from the places where a piece may still begin
+        p = place[rows]
+        hashes = (prefix[p + length] - prefix[p]) * down[p]
+        on = lex.begun[hashes >> np.uint64(64 - FILTER_BITS)]
+        rows, hashes = rows[on], hashes[on]
+        piece = lex.find(hashes, length)
+        good = piece >= 0
+        if length == 1 or good.any():
+            found += [(length, rows[good], piece[good])]
+        rows = rows[left[rows] > length]
+    chars = chars[place]
+    single = np.zeros(n, bool)
+    single[found[0][1] if found else []] = True
+    lone = np.flatnonzero(~single)
+    c = chars[lone]
+    size_of = 1 + (c > 0x7F) + (c > 0x7FF) + (c > 0xFFFF).astype(int)
+    # edges by node and length: pieces, and byte pieces (-1) for characters that are none
+    count = np.zeros(n, np.int64)
+    count[lone] = 1
+    for _, at, _ in found:  # a node is there once a length
+        count[at] += 1
+    first = np.cumsum(count) - count
+    node = np.repeat(np.arange(n), count)
+    edges = len(node)
+    length, piece = np.ones(edges, np.int16), np.full(edges, -1, np.int32)
+    weight, put = np.empty(edges), first.copy()
+    weight[put[lone]] = model["byte_weight"] * size_of
+    put[lone] += 1
+    for k, at, x in found:
+        edge = put[at]
+        length[edge], piece[edge], weight[edge] = k, x, lex.weight[x]
+        put[at] += 1
+    # suffix sums, all units in step from their ends
+    beta = np.zeros(n + 1)
+    after = node + length
+    after[length == left[node]] = n
+    log_share = np.empty(edges)
+    by_left = np.argsort(left.astype(np.uint16) if most < 1 << 16 else left, kind="stable")
+    bounds = np.searchsorted(left[by_left], np.arange(1, most + 2))
+    for r in range(len(bounds) - 1):
+        rows = by_left[bounds[r]:bounds[r + 1]]
+        if not len(rows):
+            continue
+        size = count[rows]
+        edge, begin = _spread(first[rows], size), np.cumsum(size) - size
+        total = weight[edge] + beta[after[edge]]
+        top = np.maximum.reduceat(total, begin)
+        beta[rows] = np.round(top + np.log(np.add.reduceat(np.exp(total - np.repeat(top, size)), begin)), 12)
+        # rounded, so that sums do not show in what order or beside what they were taken
+        log_share[edge] = np.round(total - np.repeat(beta[rows], size), 12)
+    share = np.exp(log_share)
+    cum = share.copy()
+    rows = np.flatnonzero(count > 1)
+    for k in range(1, int(count.max()) if n else 0):
+        rows = rows[count[rows] > k]
+        edge = first[rows] + k
+        cum[edge] = cum[edge - 1] + share[edge]
+    cum[first + count - 1] = 1.0
+    kind = np.int32 if edges < 1 << 30 else np.int64  # places of nodes and edges, with those of known units before them
+    return {"left": left.astype(kind), "chars": chars, "count": count.astype(kind), "first": first.astype(kind),
+            "node": node.astype(kind), "length": length, "piece": piece, "log_share": log_share, "cum": cum}
 
 
 class Lattice:
-    """Distinct units of a chunk: pieces from every character, suffix sums, cumulative shares."""
+    """Distinct units of a chunk: pieces from every character, suffix sums, cumulative shares.
 
-    def __init__(self, chars: np.ndarray, starts: np.ndarray, lengths: np.ndarray, lex: Lexicon, model: dict):
+    Units that ``known`` holds (equal in every character) are taken over from there; the
+    chunk's others are built and stand behind them."""
+
+    def __init__(self, chars: np.ndarray, starts: np.ndarray, lengths: np.ndarray, lex: Lexicon, model: dict,
+                 known: dict | None = None):
         prefix = _char_prefix(chars)
         _, down = powers(len(prefix))
-        unit_hash = mix((prefix[starts + lengths] - prefix[starts]) * down[starts] + lengths.astype(np.uint64))
-        _, first, self.unit = np.unique(unit_hash, return_index=True, return_inverse=True)
-        size = lengths[first]
-        self.begin = np.cumsum(size) - size
-        place = _spread(starts[first], size)
-        n = len(place)
-        self.left = np.repeat(self.begin + size, size) - np.arange(n)  # characters to the unit's end
-        width = min(lex.longest, int(self.left.max()) if n else 1)
-        found, rows = [], np.arange(n)
-        for length in range(1, width + 1):  # on from the places where a piece may still begin
-            p = place[rows]
-            hashes = (prefix[p + length] - prefix[p]) * down[p]
-            on = lex.begun[hashes >> np.uint64(64 - FILTER_BITS)]
-            rows, hashes = rows[on], hashes[on]
-            piece = lex.find(hashes, length)
-            if length == 1 or (piece >= 0).any():
-                found += [(length, rows[piece >= 0], piece[piece >= 0])]
-            rows = rows[self.left[rows] > length]
-        self.chars = chars[place]
-        single = np.zeros(n, bool)
-        single[found[0][1] if found else []] = True
-        lone = np.flatnonzero(~single)
-        c = self.chars[lone]
-        size_of = 1 + (c > 0x7F) + (c > 0x7FF) + (c > 0xFFFF).astype(int)
-        # edges by node and length: pieces, and byte pieces (-1) for characters that are none
-        node = np.concatenate([lone, *[at for _, at, _ in found]])
-        length = np.concatenate([np.ones(len(lone), np.int64), *[np.full(len(at), k) for k, at, _ in found]])
-        piece = np.concatenate([np.full(len(lone), -1), *[x for _, _, x in found]])
-        weight = np.concatenate([model["byte_weight"] * size_of, *[lex.weight[x] for _, _, x in found]])
-        order = np.argsort(node * 32 + length, kind="stable")
-        self.node, self.length, self.piece = node[order], length[order], piece[order]
-        self.count = np.bincount(self.node, minlength=n)
-        self.first = np.cumsum(self.count) - self.count
-        # suffix sums, all units in step from their ends
-        weight, beta = weight[order], np.zeros(n + 1)
-        after = self.node + self.length
-        after[self.length == self.left[self.node]] = n
-        self.log_share = np.empty(len(weight))
-        by_left = np.argsort(self.left, kind="stable")
-        bounds = np.searchsorted(self.left[by_left], np.arange(1, (int(self.left.max()) if n else 0) + 2))
-        for r in range(len(bounds) - 1):
-            rows = by_left[bounds[r]:bounds[r + 1]]
-            if not len(rows):
-                continue
-            size = self.count[rows]
-            edges, begin = _spread(self.first[rows], size), np.cumsum(size) - size
-            total = weight[edges] + beta[after[edges]]
-            top = np.maximum.reduceat(total, begin)
-            beta[rows] = np.round(top + np.log(np.add.reduceat(np.exp(total - np.repeat(top, size)), begin)), 12)
-            # rounded, so that sums do not show in what order or beside what they were taken
-            self.log_share[edges] = np.round(total - np.repeat(beta[rows], size), 12)
-        share = np.exp(self.log_share)
-        self.cum = share.copy()
-        at = self.first.copy()
-        rows = np.flatnonzero(self.count > 1)
-        for k in range(1, int(self.count.max()) if n else 0):
-            rows = rows[self.count[rows] > k]
-            self.cum[at[rows] + k] = self.cum[at[rows] + k - 1] + share[at[rows] + k]
-        self.cum[self.first + self.count - 1] = 1.0
+        self.hash = mix((prefix[starts + lengths] - prefix[starts]) * down[starts] + lengths.astype(np.uint64))
+        self.hash, first, self.unit, self.seen = np.unique(self.hash, return_index=True, return_inverse=True, return_counts=True)
+        starts, self.size = starts[first], lengths[first]
+        self.begin = np.full(len(starts), -1)
+        if known:
+            at = np.minimum(np.searchsorted(known["hash"], self.hash), len(known["hash"]) - 1)
+            hit = np.flatnonzero((known["hash"][at] == self.hash) & (known["size"][at] == self.size))
+            size = self.size[hit]
+            if len(hit):
+                same = chars[_spread(starts[hit], size)] == known["chars"][_spread(known["begin"][at[hit]], size)]
+                hit = hit[np.logical_and.reduceat(same, np.cumsum(size) - size)]
+            self.begin[hit] = known["begin"][at[hit]]
+        self.new = np.flatnonzero(self.begin < 0)
+        size = self.size[self.new]
+        nodes, edges = (len(known["left"]), len(known["node"])) if known else (0, 0)
+        self.begin[self.new] = nodes + np.cumsum(size) - size
+        made = _build(chars, prefix, down, starts[self.new], size, lex, model)
+        made["node"] += nodes
+        made["first"] += edges
+        for name in _PARTS:
+            setattr(self, name, np.concatenate([known[name], made[name]]) if known else made[name])
+
+    def add_repeated(self, known: dict) -> dict:
+        """``known`` with the new units that the chunk holds twice or more. Of a chunk that would take it past
+        ``KNOWN`` characters, the new units start it afresh; those of one with more alone are left out."""
+        unit = self.new[self.seen[self.new] > 1]
+        more = int(self.size[unit].sum())
+        if known and len(known["left"]) + more > KNOWN:
+            known = {}
+        if not len(unit) or more > KNOWN:
+            return known
+        nodes, edges = (len(known["left"]), len(known["node"])) if known else (0, 0)
+        size = self.size[unit]
+        node = _spread(self.begin[unit], size)
+        count = self.count[node]
+        edge = _spread(self.first[node], count)
+        made = {"left": self.left[node], "chars": self.chars[node], "count": count, "first": edges + np.cumsum(count) - count,
+                "node": np.repeat(nodes + np.arange(len(node)), count), "length": self.length[edge], "piece": self.piece[edge],
+                "log_share": self.log_share[edge], "cum": self.cum[edge]}
+        out = {c: np.concatenate([known[c], made[c].astype(known[c].dtype)]) if known else made[c].astype(getattr(self, c).dtype)
+               for c in _PARTS}
+        units = {"hash": self.hash[unit], "size": size, "begin": nodes + np.cumsum(size) - size}
+        units = {c: np.concatenate([known[c], v]) if known else v for c, v in units.items()}
+        order = np.argsort(units["hash"], kind="stable")
+        return out | {c: v[order] for c, v in units.items()}
 
     def choose(self, node: np.ndarray, u: np.ndarray) -> np.ndarray:
         """The edge drawn at each node."""
-        edge = self.first[node]
+        edge = self.first[node].astype(np.intp)
         live = np.flatnonzero(self.cum[edge] < u)
         while len(live):
             edge[live] += 1
@@ -224,11 +297,13 @@ def _walk(lat: Lattice, occ_unit, occ_node, occ_doc, occ_place, key, sample, see
     """Draw the rest of each occurrence from its node; a step is (occurrences, their edges)."""
     live = np.arange(len(occ_unit))
     node, step, out = occ_node.copy(), 0, []
-    end = lat.begin[occ_unit] + lat.left[lat.begin[occ_unit]]
+    begin = lat.begin[occ_unit]
+    end = begin + lat.left[begin]
+    drawn = _keyed(occ_place, begun=_keyed(seed, key, sample)[occ_doc])  # what all steps of an occurrence share
     live = live[node[live] < end[live]]
     while len(live):
         at = node[live]
-        u = _uniform(seed, key[occ_doc[live]], sample, occ_place[live], at - lat.begin[occ_unit[live]])
+        u = _uniform(at - begin[live], begun=drawn[live])
         edge = lat.choose(at, u)
         out.append((live, edge))
         node[live] = at + lat.length[edge]
@@ -249,7 +324,25 @@ def _assemble(walk, occurrences: int):
     return count, edge
 
 
-def sample_chunk(chars, doc_chars, key, k, seed, lex, model, cut=CUT):
+def _may_lead(value: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
+    """Places of all values that can be among the ``n`` largest of their text (``doc`` ascends): a
+    text's values are cut into n stretches, and the least of the stretches' largest is a bound."""
+    begin = np.flatnonzero(np.append(True, doc[1:] != doc[:-1])) if len(doc) else np.zeros(0, np.int64)
+    size = np.diff(np.append(begin, len(doc)))
+    bound = np.full(len(begin), -np.inf)
+    many = np.flatnonzero(size >= n)
+    if len(many):
+        # stretches tile a text; where a text is not cut, its values are one stretch that does not count
+        parts = np.ones(len(begin), np.int64)
+        parts[many] = n
+        first = np.cumsum(parts) - parts
+        nth = np.arange(parts.sum()) - np.repeat(first, parts)
+        top = np.maximum.reduceat(value, np.repeat(begin, parts) + nth * np.repeat(size, parts) // np.repeat(parts, parts))
+        bound[many] = np.minimum.reduceat(top, first)[many]
+    return np.flatnonzero(value >= np.repeat(bound, size))
+
+
+def sample_chunk(chars, doc_chars, key, k, seed, lex, model, cut=CUT, known=None):
     """Rows (doc, rank, nodes...) of the k samples of each text of a chunk.
 
     Returns the lattice and a list over ranks of dicts: ``doc`` (texts that have a sample of
@@ -261,7 +354,7 @@ def sample_chunk(chars, doc_chars, key, k, seed, lex, model, cut=CUT):
     start[begun] = True
     unit_start = np.flatnonzero(start)
     unit_len = np.diff(np.append(unit_start, len(chars)))
-    lat = Lattice(chars, unit_start, unit_len, lex, model)
+    lat = Lattice(chars, unit_start, unit_len, lex, model, known)
     doc_unit = np.searchsorted(unit_start, doc_chars)  # texts' first units
     doc_of = np.repeat(np.arange(docs), np.diff(doc_unit))
     place = np.arange(len(unit_start)) - doc_unit[doc_of]
@@ -332,15 +425,19 @@ def sample_chunk(chars, doc_chars, key, k, seed, lex, model, cut=CUT):
                         "logp": np.round(run[paths.first[1:]] - run[paths.first[:-1]], 9)})
         # siblings of the new part of each path join the frontier
         at = np.arange(len(paths.edge)) - paths.first[:-1][doc_pos]
+        drawn = _keyed(seed, key, rank)
         new = np.flatnonzero((before >= -cut) & (at >= (head[doc_pos] if rank else 0)))
         node = lat.node[paths.edge[new]]
-        edge, i = _spread(lat.first[node], lat.count[node]), np.repeat(new, lat.count[node])
-        other = edge != paths.edge[i]
-        edge, i = edge[other], i[other]
+        edge, i_new = _spread(lat.first[node], lat.count[node]), np.repeat(np.arange(len(new)), lat.count[node])
+        other = edge != paths.edge[new][i_new]
+        edge, i_new = edge[other], i_new[other]
+        i = new[i_new]
         m, d = before[i] + lat.log_share[edge], texts[doc_pos[i]]
-        u = _uniform(seed, key[d], rank, np.uint64(2**41) + at[i].astype(np.uint64), lat.length[edge])
+        u = _uniform(lat.length[edge], begun=_keyed(np.uint64(2**41) + at[new].astype(np.uint64), begun=drawn[texts[doc_pos[new]]])[i_new])
         g = m - np.log(np.exp(m - value[d]) - np.log(u))
-        add = {"value": g, "doc": d, "sample": np.full(len(d), rank), "at": at[i], "edge": edge, "unit": own_unit[i]}
+        best = _may_lead(g, d, k - rank)
+        i, d = i[best], d[best]
+        add = {"value": g[best], "doc": d, "sample": np.full(len(d), rank), "at": at[i], "edge": edge[best], "unit": own_unit[i]}
         frontier = add if frontier is None else {c: np.concatenate([frontier[c], add[c]]) for c in add}
         order = np.lexsort((-frontier["value"], frontier["doc"]))
         d = frontier["doc"][order]
@@ -354,7 +451,7 @@ def sample_chunk(chars, doc_chars, key, k, seed, lex, model, cut=CUT):
             low = np.full(docs, np.inf)
             np.minimum.at(low, frontier["doc"], frontier["value"])
             if ((held < k - rank) | (low[dropped] < 37.5 - cut)).any():
-                return sample_chunk(chars, doc_chars, key, k, seed, lex, model, np.inf)
+                return sample_chunk(chars, doc_chars, key, k, seed, lex, model, np.inf, known)
     threshold = np.full(docs, -np.inf)
     if frontier is not None and len(frontier["doc"]):
         np.maximum.at(threshold, frontier["doc"], frontier["value"])
@@ -408,6 +505,7 @@ def sample_encodings(docs: DataFrame, model_path: str, k: int = 2, seed: int = 1
         if lex is None:
             _lexicons.clear()            # the tables of a job that is over
             lex = _lexicons[id(model)] = Lexicon(model)
+        known = {}
         for batch in batches:
             for i, j, raw, off in text_chunks(batch.column(1), CHUNK):
                 rows = batch.slice(i, j - i)
@@ -419,7 +517,7 @@ def sample_encodings(docs: DataFrame, model_path: str, k: int = 2, seed: int = 1
                 chars = np.insert(chars, at[:-1][full], SPACE)
                 at = at + np.append(0, np.cumsum(full))
                 chars[chars == 0x20] = SPACE
-                lat, results, threshold = sample_chunk(chars, at, keys, k, seed, lex, model)
+                lat, results, threshold = sample_chunk(chars, at, keys, k, seed, lex, model, known=known)
                 for rank, r in enumerate(results):
                     ids, first = piece_ids(lat, r["paths"], lex, model)
                     with np.errstate(over="ignore"):
@@ -434,6 +532,7 @@ def sample_encodings(docs: DataFrame, model_path: str, k: int = 2, seed: int = 1
                          pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(ids, pa.int32())),
                          pa.array(r["logp"]), pa.array(r["value"]), pa.array(inclusion),
                          pa.array(log_inclusion)], names)
+                known = lat.add_repeated(known)
                 del lat, results
         release_memory()
 
@@ -448,22 +547,25 @@ def decode_ids(model_path: str):
     begin marks) give nothing; bytes that are no UTF-8 become U+FFFD; an id outside the
     vocabulary fails."""
     table = load_model(model_path)["bytes"]
-    size = np.array([len(b) for b in table])
-    begin = np.cumsum(size) - size
-    data = np.frombuffer(b"".join(table), np.uint8)
 
     def run(column: pa.Array) -> pa.Array:
         column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-        nulls = column.is_null().to_numpy(zero_copy_only=False)
-        offsets, flat, texts = column.offsets.to_numpy(), column.values, []
+        pieces = pa.array(table, pa.binary())
+        offsets, flat, parts = column.offsets.to_numpy(), column.values, [pa.array([], pa.string())]
         for i, j in byte_chunks(offsets, CHUNK):
-            ids = flat.slice(offsets[i], offsets[j] - offsets[i]).to_numpy(zero_copy_only=False)
-            if len(ids) and (ids.min() < 0 or ids.max() >= len(table)):
-                raise ValueError("an id is outside the vocabulary")
-            ends = np.append(0, np.cumsum(size[ids]))[offsets[i:j + 1] - offsets[i]]
-            raw = data[_spread(begin[ids], size[ids])].tobytes()
-            texts.extend(raw[a:b].decode("utf-8", "replace") for a, b in zip(ends, ends[1:]))
-        texts = [None if no else t[1:] if t[:1] == " " else t for t, no in zip(texts, nulls)]
-        return pa.array(texts, pa.string())
+            ids = flat.slice(offsets[i], offsets[j] - offsets[i])
+            try:
+                taken = pieces.take(ids)  # its bytes lie one after another
+            except pa.ArrowIndexError as e:
+                raise ValueError("an id is outside the vocabulary") from e
+            ends = np.frombuffer(taken.buffers()[1], np.int32)[offsets[i:j + 1] - offsets[i]] if len(ids) else np.zeros(j - i + 1, np.int32)
+            raw = pa.Array.from_buffers(pa.binary(), j - i, [None, pa.py_buffer(ends.tobytes()), taken.buffers()[2] if len(ids) else pa.py_buffer(b"")])
+            try:
+                text = raw.cast(pa.string())
+            except pa.ArrowInvalid:
+                text = pa.array([t.decode("utf-8", "replace") for t in raw.to_pylist()], pa.string())
+            text = pc.if_else(pc.starts_with(text, " "), pc.utf8_slice_codeunits(text, 1), text)
+            parts.append(pc.if_else(column.slice(i, j - i).is_null(), pa.scalar(None, pa.string()), text))
+        return pa.concat_arrays(parts)
 
     return F.arrow_udf(run, "string")
