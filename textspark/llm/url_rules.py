@@ -16,7 +16,7 @@ from string import ascii_lowercase, ascii_uppercase
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, let
 from .components import connected_components
 
 _HREF = r"""(?is)\b%s\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
@@ -47,9 +47,8 @@ def longest_rule(host: Column, path: Column, rules: list[tuple[str, str]]) -> Co
     return fits if fits is not None else F.lit(None).cast("struct<verdict:string,rule:string>")
 
 
-def url_node(url: Column) -> Column:
-    """Alias key of a url; null stays null, and a text without ``://`` is its own key."""
-    host, path = url_parts(url)
+def url_node(url: Column, host: Column, path: Column) -> Column:
+    """Alias key of a url with its parts; null stays null, and a text without ``://`` is its own key."""
     query = F.regexp_extract(url, r"^[^?#]*(\?[^#]*)", 1)
     query = F.regexp_replace(query, r"([?&])utm_[^&]*(?=&|$)", "$1")
     query = F.regexp_replace(F.regexp_replace(F.regexp_replace(query, "&{2,}", "&"), r"\?&", "?"), "[?&]$", "")
@@ -75,17 +74,28 @@ def _absolute(link: Column, base: Column) -> Column:
 
 
 def alias_links(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
-    """``url, target``: canonical links and meta-refresh redirects in the whole html."""
-    tags = F.regexp_extract_all(F.col(html_col), F.lit(r"(?is)<(?:link|meta)\b[^>]*>"), F.lit(0))
-    rows = pages.where(F.col(url_col).isNotNull() & F.col(html_col).isNotNull()).select(
-        F.col(url_col).alias("url"), F.explode(tags).alias("tag"))
-    canonical = F.when(F.array_contains(F.split(F.lower(_attribute(F.col("tag"), "rel")), r"\s+"), "canonical"),
-                       _attribute(F.col("tag"), "href"))
-    refresh = F.when(F.lower(_attribute(F.col("tag"), "http-equiv")) == "refresh",
-                     F.nullif(F.regexp_extract(_attribute(F.col("tag"), "content"),
-                                               r"(?is)^\s*[0-9.]*\s*[;,]?\s*url\s*=\s*['\"]?([^'\"]+)", 1), F.lit("")))
-    return (rows.withColumn("link", F.coalesce(canonical, refresh)).where("link is not null")
-            .select("url", _absolute(F.col("link"), F.col("url")).alias("target")).where("target is not null"))
+    """``url, target``: canonical links and meta-refresh redirects in the whole html. Links are found and
+    resolved as elements of arrays, so that no filter copies their expressions into itself."""
+    tags = F.regexp_extract_all(F.col("html"), F.lit(r"(?is)<(?:link|meta)\b[^>]*>"), F.lit(0))
+
+    def link(tag):
+        canonical = F.when(F.array_contains(F.split(F.lower(_attribute(tag, "rel")), r"\s+"), "canonical"), _attribute(tag, "href"))
+        refresh = F.when(F.lower(_attribute(tag, "http-equiv")) == "refresh",
+                         F.nullif(F.regexp_extract(_attribute(tag, "content"),
+                                                   r"(?is)^\s*[0-9.]*\s*[;,]?\s*url\s*=\s*['\"]?([^'\"]+)", 1), F.lit("")))
+        return F.coalesce(canonical, refresh)
+
+    links = F.filter(F.transform(tags, link), lambda x: x.isNotNull())
+    targets = F.filter(F.transform(links, lambda x: _absolute(x, F.col("url"))), lambda x: x.isNotNull())
+    rows = pages.select(F.col(url_col).alias("url"), F.col(html_col).alias("html"))
+    return rows.where("url is not null and html is not null").select("url", F.explode(targets).alias("target"))
+
+
+def _node_and_rule(url: Column, rules: list[tuple[str, str]]) -> Column:
+    """Struct (node, verdict) of a url."""
+    return let(F.struct(*[c.alias(n) for c, n in zip(url_parts(url), ("host", "path"))]), lambda part: F.struct(
+        url_node(url, part["host"], part["path"]).alias("node"),
+        longest_rule(part["host"], part["path"], rules)["verdict"].alias("verdict")))
 
 
 def judge_urls(pages: DataFrame, rules: list[tuple[str, str]], id_col: str = "page_id", url_col: str = "url",
@@ -94,18 +104,17 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str]], id_col: str = "pa
 
     ``edges`` (url, target) adds redirects known from elsewhere, such as a crawl log. A null
     url, or one without ``://``, has empty host and path; null urls have no aliases. Null ids
-    and repeated rows pass through, each judged alone; an empty table gives no rows. Other
-    columns are not read."""
+    and repeated rows pass through, each judged alone; an empty table gives no rows. A very long
+    html is searched whole, in its row's task. Of rules of one length an allow wins. Other
+    columns, also such that are called like the result's, are not read."""
     scratch = Scratch(pages.sparkSession, "urlrules")
     links = alias_links(pages, url_col, html_col)
     if edges is not None:
         links = links.unionByName(edges.select("url", "target"))
-    ends = links.select(url_node(F.col("url")).alias("a"), url_node(F.col("target")).alias("b"),
-                        *[c.alias(n) for c, n in zip((*url_parts(F.col("url")), *url_parts(F.col("target"))),
-                                                     ("ha", "pa", "hb", "pb"))])
-    links = scratch.save(ends.where("a is not null and b is not null").select(
-        "a", "b", longest_rule(F.col("ha"), F.col("pa"), rules)["verdict"].alias("va"),
-        longest_rule(F.col("hb"), F.col("pb"), rules)["verdict"].alias("vb")).distinct(), "links")
+    ends = links.select(F.explode(F.array(F.struct(_node_and_rule(F.col("url"), rules).alias("a"),
+                                                   _node_and_rule(F.col("target"), rules).alias("b")))).alias("e"))
+    links = scratch.save(ends.select(F.col("e.a.node").alias("a"), F.col("e.b.node").alias("b"), F.col("e.a.verdict").alias("va"),
+                                     F.col("e.b.verdict").alias("vb")).distinct(), "links")
     groups = connected_components(links, "a", "b", scratch)
     ruled = links.select(F.explode(F.array(F.struct(F.col("a").alias("node"), F.col("va").alias("verdict")),
                                            F.struct(F.col("b").alias("node"), F.col("vb").alias("verdict")))).alias("r"))
@@ -116,7 +125,8 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str]], id_col: str = "pa
     verdicts = scratch.save(groups.join(decided, "component").select("node", "alias_verdict"), "verdicts")
     host, path = url_parts(F.col("url"))
     out = (pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"))
-           .select("page_id", host.alias("host"), path.alias("path"), url_node(F.col("url")).alias("node"))
+           .select("page_id", "url", host.alias("host"), path.alias("path"))
+           .withColumn("node", url_node(F.col("url"), F.col("host"), F.col("path")))
            .withColumn("own", longest_rule(F.col("host"), F.col("path"), rules)))
     return out.join(verdicts, "node", "left").select(
         "page_id", "host", "path", F.col("own.rule").alias("rule"),
