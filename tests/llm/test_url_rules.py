@@ -57,3 +57,11 @@ def test_given_edges_ties_repeats_and_empty(spark):
     assert judge_urls(df, []).where("verdict = 'allow'").count() == 3
     tie = judge(spark, [(1, "http://a.b/", None, None)], [("block", "a.b/"), ("allow", "a.b/")])
     assert tie[1][3] == "allow"
+
+
+def test_oracle(spark, sf_dir):
+    from textspark.llm.queries import ORACLE, QUERIES
+    from textspark.plans.oracle_check import compare, duck_connection
+    name = "op2_url_rules"
+    r = compare(spark, sf_dir, name, QUERIES[name], ORACLE[name], duck_connection(sf_dir))
+    assert r["ok"], r

@@ -73,3 +73,11 @@ def test_small_payloads_empty_table_and_damage(spark):
     spark.read.parquet(f"{path}/headers").write.parquet(f"{bad}/headers")
     with pytest.raises(Exception, match="differs from its digest"):
         read_archive(spark, bad).collect()
+
+
+def test_oracle(spark, sf_dir):
+    from textspark.llm.queries import ORACLE, QUERIES
+    from textspark.plans.oracle_check import compare, duck_connection
+    name = "op9_warc_cas"
+    r = compare(spark, sf_dir, name, QUERIES[name], ORACLE[name], duck_connection(sf_dir))
+    assert r["ok"], r

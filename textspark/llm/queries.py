@@ -48,6 +48,17 @@ def op9_warc_cas(spark, sf_dir):
         field("WARC-Type").alias("record_type"), page_number("WARC-Refers-To").alias("refers_to"))
 
 
+# The digest's 160 bits: five hex digits are four characters.
+ORACLE["op9_warc_cas"] = """
+with p as (select page_id, strlen(coalesce(html, '')) as payload_bytes, coalesce(html, '') as html, sha1(coalesce(html, '')) as h from pages),
+d as (select page_id, payload_bytes, html, array_to_string(list_transform(range(0, 8), lambda i:
+    array_to_string(list_transform([15, 10, 5, 0], lambda b: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        (((('0x' || substr(h, 5 * i + 1, 5))::int >> b) & 31) + 1)::int, 1)), '')), '') as payload_digest from p),
+m as (select *, max(page_id) over (partition by html) as head from d)
+select page_id, payload_bytes, payload_digest, case when page_id = head then 'response' else 'revisit' end as record_type,
+       case when page_id <> head then head end as refers_to from m"""
+
+
 #: The rules of the contract (fixed values).
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
              ("block", "net/es/"), ("block", "net/fr/")]
@@ -59,6 +70,23 @@ def op2_url_rules(spark, sf_dir):
     return judge_urls(table(spark, sf_dir, "pages", "page_id", "url", "html"), URL_RULES)
 
 
+def _url_rules_sql():
+    """Own rules alone: ``pages`` holds no links that could give a page the decision of another."""
+    fits = " ".join(
+        f"when (host = '{name}' or ends_with(host, '.{name}')) and starts_with(path, '/{tail}') then '{verdict} {name}/{tail}'"
+        for verdict, (name, _, tail) in sorted(((v, r.partition("/")) for v, r in URL_RULES), key=lambda r: -len("".join(r[1]))))
+    return f"""
+with r as (select page_id, case when contains(url, '://') then substr(url, instr(url, '://') + 3) else '' end as rest from pages),
+u as (select page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+             regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path from r),
+f as (select *, case {fits} end as fit from u)
+select page_id, host, path, split_part(fit, ' ', 2) as rule, coalesce(split_part(fit, ' ', 1), 'allow') as verdict,
+       null::varchar as alias_verdict from f"""
+
+
+ORACLE["op2_url_rules"] = _url_rules_sql()
+
+
 @query
 def op3_divergence(spark, sf_dir):
     from .divergence import judge_documents
