@@ -81,3 +81,26 @@ def test_unknown_id_is_an_error(spark):
     for bad in (99, -1):
         with pytest.raises(Exception, match="unknown token id"):
             tok.decode(spark.createDataFrame([([bad],)], "ids array<int>")).collect()
+
+
+def test_chars_by_code_point(spark):
+    from textspark.operators.encode import CharTokenizer
+    vocab = spark.createDataFrame([("<unk>", 0), ("a", 1), ("é", 2), ("\U0001f600", 3), ("\n", 4)], "token string, id int")
+    rows = [(0, "aéA\n"), (1, None), (2, ""), (3, "\U0001f600x\U0001f600"), (4, "<unk>"), (5, "a" * 70_000)] + [(i, "aé") for i in range(6, 700)]
+    df = spark.createDataFrame(rows, "k int, text string").coalesce(1)
+    got = {r.k: r.ids for r in CharTokenizer(vocab).encode(df).collect()}
+    assert got[0] == [1, 2, 1, 4] and got[1] == [] and got[2] == [] and got[3] == [3, 0, 3] and got[4] == [0] * 5
+    assert got[5] == [1] * 70_000 and all(got[i] == [1, 2] for i in range(6, 700))
+
+
+def test_counts_in_tasks_stop_at_row_ends(spark, monkeypatch):
+    from collections import Counter
+    from textspark.operators import lm
+    monkeypatch.setattr(lm, "COUNT_IDS", 3)  # taken over by the tasks with the function
+    rows = [[1, 2, 1, 2, 1], None, [], [7], [2, 2, 2, 2], [2_000_000_000, 1]] * 3
+    df = spark.createDataFrame([(r,) for r in rows], "ids array<int>").repartition(2)
+    full = [r for r in rows if r]
+    assert {r.token: r.n for r in lm.token_counts(df).collect()} == Counter(i for r in full for i in r)
+    pairs = {(r.context, r.token): r.n for r in lm.token_counts(df, pairs=True).collect()}
+    assert pairs == Counter(p for r in full for p in zip(r, r[1:]))
+    assert lm.token_counts(df.where("false"), pairs=True).count() == 0

@@ -55,7 +55,7 @@ def _spread(first: np.ndarray, count: np.ndarray) -> np.ndarray:
     return np.arange(upto[-1] if len(upto) else 0) + np.repeat(first - (upto - count), count)
 
 
-def _lists(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
+def id_lists(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """The values of a list column, and the bounds of its rows in them (null: empty)."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     size = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
@@ -70,7 +70,7 @@ def encode_column(shared, symbols, unknown):
 
     def run(column: pa.Array) -> pa.Array:
         ids, ranks = shared.value
-        chunks, bounds = _lists(column)
+        chunks, bounds = id_lists(column)
         coded = chunks.dictionary_encode()
         each = []
         for chunk in coded.dictionary.to_pylist():
@@ -93,12 +93,36 @@ def encode_column(shared, symbols, unknown):
     return F.arrow_udf(run, "array<int>")
 
 
+def encode_chars_column(shared, unknown: int):
+    """Column function: the ids of a text's characters (null: none), by a table over code points."""
+    tables: dict[int, np.ndarray] = {}
+
+    def run(column: pa.Array) -> pa.Array:
+        ids = shared.value[0]
+        table = tables.get(id(ids))
+        if table is None:
+            tables.clear()
+            table = tables[id(ids)] = np.full(0x110000, unknown, np.int32)
+            for token, i in ids.items():
+                if len(token) == 1:
+                    table[ord(token)] = i
+        column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+        size = pc.fill_null(pc.utf8_length(column), 0).to_numpy(zero_copy_only=False)
+        parts = [np.zeros(0, np.int32)]
+        for at in range(0, len(column), 256):  # a few texts at once: their code points take 4 bytes each
+            text = "".join(column.slice(at, 256).drop_null().to_pylist())
+            parts.append(table[np.frombuffer(text.encode("utf-32-le"), np.uint32)])
+        return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(size)), pa.int32()), pa.array(np.concatenate(parts)))
+
+    return F.arrow_udf(run, "array<int>")
+
+
 def decode_column(shared, join):
     """Column function: the text of each array of ids. ``shared`` broadcasts (place of each id,
     tokens); ``join(tokens, codes, bounds)`` puts the rows together."""
     def run(column: pa.Array) -> pa.Array:
         place, tokens = shared.value
-        values, bounds = _lists(column)
+        values, bounds = id_lists(column)
         ids = values.to_numpy(zero_copy_only=False)
         bad = (ids < 0) | (ids >= len(place))
         bad[~bad] = place[ids[~bad]] < 0
@@ -168,7 +192,10 @@ class Tokenizer:
         tables = self._tables()
         if tables is None:
             return self._encode_by_join(df, text_col, out)
-        return df.withColumn(out, encode_column(tables[0], self.cut, self.task_unknown)(self.pieces(text_col)))
+        return df.withColumn(out, self._encode_in_task(tables[0], text_col))
+
+    def _encode_in_task(self, shared, text_col) -> Column:
+        return encode_column(shared, self.cut, self.task_unknown)(self.pieces(text_col))
 
     def encoded_chunks(self, chunks: DataFrame) -> DataFrame:
         """``chunk, ids`` of the distinct chunks."""
@@ -222,7 +249,6 @@ class Tokenizer:
 
 class CharTokenizer(Tokenizer):
     kind = "char"
-    cut = staticmethod(lambda chunk, ranks: list(chunk))
 
     @classmethod
     def train(cls, docs: DataFrame, text_col="text") -> "CharTokenizer":
@@ -232,6 +258,9 @@ class CharTokenizer(Tokenizer):
         """BPE chunks cover the text, so far fewer rows than characters are joined."""
         return bpe_chunks(F.lower(F.col(text_col)))
 
+    def _encode_in_task(self, shared, text_col) -> Column:
+        return encode_chars_column(shared, self.unk_id)(F.lower(_as_col(text_col)))
+
     def symbols(self, chunks: DataFrame) -> DataFrame:
         return chunks.select("chunk", char_split("chunk").alias("symbols"))
 

@@ -12,21 +12,48 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..session import reliable_checkpoint
+from .encode import id_lists
 from .order import exclusive_running
 
 
-def bigram_pairs(encoded: DataFrame, ids_col="ids") -> DataFrame:
-    """(context, token) for every adjacent pair inside each row."""
-    ids = F.col(ids_col)
-    n = F.size(ids)
-    z = F.zip_with(F.slice(ids, 1, n - 1), F.slice(ids, 2, n - 1),
-                   lambda a, b: F.struct(a.alias("context"), b.alias("token")))
-    return encoded.where(n > 1).select(F.explode(z).alias("p")).select("p.context", "p.token")
+#: Ids that a task counts at once.
+COUNT_IDS = 1 << 21
+
+
+def token_counts(encoded: DataFrame, ids_col="ids", pairs: bool = False, out="n") -> DataFrame:
+    """``token`` (with ``pairs``: ``context, token`` of neighbours inside a row) and how often it occurs.
+    Tasks count stretches of ids by themselves, so that not the occurrences but their distinct values
+    enter the aggregate. Null rows have no ids; a null id is an error."""
+    names = ["context", "token"] if pairs else ["token"]
+
+    def run(batches):
+        for batch in batches:
+            values, bounds = id_lists(batch.column(0))
+            if values.null_count:
+                raise ValueError("null token id")
+            ids = values.to_numpy(zero_copy_only=False).astype(np.int64)
+            inside = np.ones(max(len(ids) - 1, 0), bool)  # place i and the next one are in one row
+            start = bounds[1:-1]
+            inside[start[(start > 0) & (start < len(ids))] - 1] = False
+            for at in range(0, len(ids), COUNT_IDS):
+                key = ids[at:at + COUNT_IDS]
+                if pairs:
+                    here = np.flatnonzero(inside[at:at + COUNT_IDS]) + at
+                    key = (ids[here] << 32) | (ids[here + 1] & 0xFFFFFFFF)
+                found, n = np.unique(key, return_counts=True)
+                parts = [found >> 32, found] if pairs else [found]
+                yield pa.RecordBatch.from_arrays([*[pa.array(x.astype(np.int32)) for x in parts], pa.array(n)], [*names, "n"])
+
+    schema = ", ".join([*[f"{c} int" for c in names], "n bigint"])
+    counted = encoded.select(F.col(ids_col).cast("array<int>")).mapInArrow(run, schema)
+    return counted.groupBy(*names).agg(F.sum("n").alias(out))
 
 
 @dataclass
@@ -63,16 +90,14 @@ class NgramModel:
 
 
 def fit_ngram(encoded: DataFrame, vocab_size: int, alpha: float = 1.0, ids_col="ids") -> NgramModel:
-    """L1: bigram counts (partial + final hash aggregate). The model tables are
+    """L1: bigram counts (counted in tasks, then a partial and a final hash aggregate). The model tables are
     written to the checkpoint folder once: every evaluation and generation
     round reads them, and their size is bounded by the observed pairs."""
     from pyspark import StorageLevel
     enc = encoded.select(ids_col).persist(StorageLevel.MEMORY_AND_DISK)   # read twice below
-    pairs = reliable_checkpoint(
-        bigram_pairs(enc, ids_col).groupBy("context", "token").agg(F.count(F.lit(1)).alias("n")))
+    pairs = reliable_checkpoint(token_counts(enc, ids_col, pairs=True))
     contexts = reliable_checkpoint(pairs.groupBy("context").agg(F.sum("n").alias("n_c")))
-    unigrams = reliable_checkpoint(enc.select(F.explode(ids_col).alias("token")).groupBy("token").agg(
-        F.count(F.lit(1)).alias("n_w")))
+    unigrams = reliable_checkpoint(token_counts(enc, ids_col, out="n_w"))
     enc.unpersist(blocking=False)
     n_tokens = unigrams.agg(F.sum("n_w")).first()[0] or 0
     return NgramModel(pairs, contexts, unigrams, vocab_size, int(n_tokens), alpha)
@@ -101,8 +126,7 @@ def score_difference(model: NgramModel, scores: DataFrame) -> tuple[float, int]:
 
 def cross_entropy(model: NgramModel, encoded: DataFrame, ids_col="ids") -> DataFrame:
     """L3: token-weighted mean -ln p(next) over held-out pairs, in nats."""
-    counted = bigram_pairs(encoded, ids_col).groupBy("context", "token").agg(F.count(F.lit(1)).alias("cnt"))
-    s = model.log_prob(counted)
+    s = model.log_prob(token_counts(encoded, ids_col, pairs=True, out="cnt"))
     return s.agg((F.sum(-F.col("logp") * F.col("cnt")) / F.sum("cnt")).alias("loss"),
                  F.sum("cnt").cast("bigint").alias("n_pairs"))
 
