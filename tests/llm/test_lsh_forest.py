@@ -5,8 +5,11 @@ import re
 
 import numpy as np
 
+import pytest
+
+from textspark.llm import lsh_forest
 from textspark.llm.common import Scratch
-from textspark.llm.lsh_forest import LEVELS, POOL, candidates, lcp_neighbours, near_duplicates
+from textspark.llm.lsh_forest import LEVELS, POOL, candidates, exact_pairs, lcp_neighbours, near_duplicates
 from textspark.llm.texthash import shingle_hashes
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -122,3 +125,28 @@ def test_region_over_several_partitions_is_large(spark):
         for n, v in old.items():
             spark.conf.set(n, v)
     assert {(r.ord, r.a) for r in got} == {(o, i) for o in range(LEVELS[0][0]) for i in range(30)}
+
+
+@pytest.mark.parametrize("salt_rows", [7, 4096])
+def test_exact_join_finds_every_pair_across_components(spark, monkeypatch, salt_rows):
+    monkeypatch.setattr(lsh_forest, "SALT_ROWS", salt_rows)
+    r = random.Random(3)
+    base = [f"t{i}" for i in range(18)]
+    texts = {i: base + r.sample([f"u{n}" for n in range(12)], r.randint(1, 6)) for i in range(150)}
+    comp = {i: 0 if i % 3 == 0 else i - i % 2 for i in texts}  # a third of the rows are one component
+    frame = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "id long, body string")
+    todo = spark.createDataFrame(list(comp.items()), "id long, component long")
+    got = {(p.a, p.b) for p in exact_pairs(todo, frame, 1, 80, Scratch(spark, "test")).collect()}
+    links = {(i, j) for i in texts for j in texts if i < j and comp[i] != comp[j]
+             and 100 * len(set(texts[i]) & set(texts[j])) >= 80 * len(set(texts[i]) | set(texts[j]))}
+    assert len(links) > 500 and links <= got
+    assert all(a < b and comp[a] != comp[b] for a, b in got)
+
+
+def test_shared_passage_over_the_shorter_prefix_is_not_joined(spark):
+    passage = [f"t{i}" for i in range(84)]  # 84 of 100 words: in the longer prefix of all rows, the shorter of none
+    rows = [(i, " ".join(passage + [f"u{i}_{n}" for n in range(16)])) for i in range(60)]
+    todo = spark.createDataFrame([(i, i) for i, _ in rows], "id long, component long")
+    scratch = Scratch(spark, "test")
+    assert exact_pairs(todo, spark.createDataFrame(rows, "id long, body string"), 1, 80, scratch).count() == 0
+    assert spark.read.parquet(next(p for p in scratch._paths.values() if p.endswith("shared"))).count() == 0

@@ -47,6 +47,8 @@ CAP = 16
 BITS = 1 << 25
 #: Bits of the hash that count shingles for their order in the exact join (one byte for each).
 RANK_BITS = 21
+#: Rows of one shingle that one salt of the exact join takes.
+SALT_ROWS = 4096
 WIRE = np.dtype(">u2")  # big-endian, so that bytes sort as values
 _SIG = "id bigint, n_shingles bigint, fp1 bigint, fp2 bigint, sig binary"
 
@@ -275,8 +277,9 @@ def exact_pairs(todo: DataFrame, texts: DataFrame, words: int, percent: int, scr
     ``100 * |x & y| >= percent * |x | y|`` have their first common shingle among the first
     ``|x| - percent|x|/100 + 1`` of x and ``|y| - 2 percent|y|/(100 + percent) + 1`` of y, with
     enough left behind it in both. So a passage that all rows share is not joined on unless it
-    is most of a row. Of each shingle's rows, those of its largest component are compared with
-    the others only."""
+    is most of a row. A shingle that is in the shorter prefix of no row links nothing and goes; of
+    the others, the rows that have it there meet all its rows, but those of its largest component
+    the other components' only. Each of a shingle's tasks takes about ``SALT_ROWS`` of its rows."""
     def count(sets):
         total = np.zeros(1 << RANK_BITS, np.int64)
         for _, _, s in sets:
@@ -316,14 +319,20 @@ def exact_pairs(todo: DataFrame, texts: DataFrame, words: int, percent: int, scr
 
     rows = scratch.save(_set_rows(todo, texts, words, prefixes,
                                   "shingle bigint, at int, n int, id bigint, comp bigint, small boolean"), "prefixes")
-    most = scratch.save(rows.groupBy("shingle", "comp").agg(F.count("*").alias("c"))
-                        .groupBy("shingle").agg(F.max(F.struct("c", "comp"))["comp"].alias("main"), F.count("*").alias("comps"))
-                        .where("comps > 1").select("shingle", "main"), "shared")
-    live = scratch.save(rows.join(most, "shingle").withColumn("main", F.col("comp") == F.col("main")), "live")
-    x, y = live.where("not main").alias("x"), live.alias("y")
-    less = "(x.n < y.n or (x.n = y.n and x.id < y.id))"
-    return (x.join(y, F.expr(f"""x.shingle = y.shingle and x.comp <> y.comp and (y.main or {less})
-                and if({less}, x.small, y.small)
+    kinds = (rows.groupBy("shingle", "comp").agg(F.count("*").alias("c"), F.max("small").alias("any"))
+             .groupBy("shingle").agg(F.max(F.struct("c", "comp"))["comp"].alias("main"), F.sum("c").alias("rows"),
+                                     F.count("*").alias("comps"), F.max("any").alias("any")))
+    shared = scratch.save(kinds.where("comps > 1 and any").select(
+        "shingle", "main", F.ceil(F.col("rows") / SALT_ROWS).cast("int").alias("salts")), "shared")
+    live = scratch.save(rows.join(shared, "shingle").withColumn("main", F.col("comp") == F.col("main")), "live")
+    # lane 0: small rows of other components meet all rows; lane 1: those of the main one meet the others.
+    # The rows of a shingle are dealt to its salts, its small rows go to each
+    x = (live.where("small").withColumn("lane", F.when(F.col("main"), 1).otherwise(0))
+         .withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).alias("x"))
+    y = (live.withColumn("lane", F.explode(F.when(F.col("main"), F.array(F.lit(0))).otherwise(F.array(F.lit(0), F.lit(1)))))
+         .withColumn("salt", F.pmod(F.xxhash64("id"), F.col("salts")).cast("int")).alias("y"))
+    return (x.join(y, F.expr(f"""x.shingle = y.shingle and x.lane = y.lane and x.salt = y.salt and x.comp <> y.comp
+                and (x.n < y.n or (x.n = y.n and x.id < y.id))
                 and {100 + percent} * cast(least(x.n - x.at, y.n - y.at) as bigint) >= {percent} * (cast(x.n as bigint) + y.n)"""))
             .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct())
 
@@ -336,7 +345,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     shingles (A-Z lower-cased) are linked; component_id is the smallest id reachable.
     Null or word-less texts have 0 shingles and link with nothing; fewer words than
     ``words`` make one shingle. Rows with a null id get a null component and kept = true.
-    Repeated rows give repeated results. Empty input gives no rows. Only the id and text
+    Repeated rows give repeated results; of rows that repeat an id with other texts, one text of
+    that id is compared. Texts of any length are taken whole. Empty input gives no rows. Only the id and text
     columns are read, so other columns' names never matter."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "lshforest")
@@ -352,29 +362,30 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("id"))
     source = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("body"))
     texts, name = _in_buckets(source, wanted, scratch)
-    best = (pairs.select(F.explode(F.array(F.struct(F.col("a").alias("n"), "lcp", "a", "b"),
-                                           F.struct(F.col("b").alias("n"), "lcp", "a", "b"))).alias("s"))
-            .groupBy("s.n").agg(F.max(F.struct("s.lcp", "s.a", "s.b")).alias("m"))
-            .select("m.a", "m.b").distinct())
-    links = scratch.save(confirm(best, texts, words, percent), "links")
-    comps = connected_components(links, "a", "b", scratch)
-    rest = confirm(_between(pairs, comps), texts, words, percent)
-    links = scratch.save(links.unionByName(rest), "links")
-    comps = connected_components(links, "a", "b", scratch)
-    for level in range(1, len(LEVELS) + 1):
-        todo = _unfinished(found, classes, comps, scratch)
-        if todo.isEmpty():
-            break
-        # its rows were wide before, so they have neighbours and are among the texts
-        if level < len(LEVELS):
-            found = candidates(todo, level, scratch)
-            pairs = found.where("kind = 0").select("a", "b").distinct()
-        else:
-            pairs = scratch.save(exact_pairs(todo, texts, words, percent, scratch), "pairs")
-        links = scratch.save(links.unionByName(confirm(pairs, texts, words, percent)), "links")
+    try:
+        best = (pairs.select(F.explode(F.array(F.struct(F.col("a").alias("n"), "lcp", "a", "b"),
+                                               F.struct(F.col("b").alias("n"), "lcp", "a", "b"))).alias("s"))
+                .groupBy("s.n").agg(F.max(F.struct("s.lcp", "s.a", "s.b")).alias("m"))
+                .select("m.a", "m.b").distinct())
+        links = scratch.save(confirm(best, texts, words, percent), "links")
         comps = connected_components(links, "a", "b", scratch)
-
-    spark.sql(f"DROP TABLE {name}")  # the entry alone: its files are scratch like the others
+        rest = confirm(_between(pairs, comps), texts, words, percent)
+        links = scratch.save(links.unionByName(rest), "links")
+        comps = connected_components(links, "a", "b", scratch)
+        for level in range(1, len(LEVELS) + 1):
+            todo = _unfinished(found, classes, comps, scratch)
+            if todo.isEmpty():
+                break
+            # its rows were wide before, so they have neighbours and are among the texts
+            if level < len(LEVELS):
+                found = candidates(todo, level, scratch)
+                pairs = found.where("kind = 0").select("a", "b").distinct()
+            else:
+                pairs = scratch.save(exact_pairs(todo, texts, words, percent, scratch), "pairs")
+            links = scratch.save(links.unionByName(confirm(pairs, texts, words, percent)), "links")
+            comps = connected_components(links, "a", "b", scratch)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")  # the entry alone: its files are scratch like the others
 
     named = scratch.save(
         classes.select(*keys, "id").join(comps.withColumnRenamed("node", "id"), "id", "left")
