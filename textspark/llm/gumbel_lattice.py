@@ -486,7 +486,8 @@ _lexicons: dict[int, Lexicon] = {}
 
 
 def sample_encodings(docs: DataFrame, model_path: str, k: int = 2, seed: int = 1, alpha: float = 1.0,
-                     id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+                     id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (),
+                     decoded: str | None = None) -> DataFrame:
     """Up to ``k`` rows for each row of ``docs``: ``id``, the columns of ``keep``, ``sample`` (0 the
     largest perturbed value), ``ids``, ``log_prob``, ``perturbed``, ``inclusion`` and its logarithm
     ``log_inclusion`` (finite also where the share underflows).
@@ -494,7 +495,8 @@ def sample_encodings(docs: DataFrame, model_path: str, k: int = 2, seed: int = 1
     Samples of a row are distinct; a text with fewer than ``k`` segmentations gives them all,
     with inclusion 1. Null and empty texts have one, without pieces. The key of a row is its
     id, so rows that repeat id and text get the same samples; a null id counts as 0. Whole
-    texts of any length are used. An empty table gives no rows. ``keep`` must not repeat the
+    texts of any length are used. An empty table gives no rows. ``decoded`` names one more column,
+    the ids decoded as by :func:`decode_ids`, in the task that drew them. ``keep`` must not repeat the
     names above; columns not named are not read."""
     shared = docs.sparkSession.sparkContext.broadcast(load_model(model_path, alpha))
     kept = [(c, docs.schema[c].dataType.simpleString()) for c in keep]
@@ -506,6 +508,7 @@ def sample_encodings(docs: DataFrame, model_path: str, k: int = 2, seed: int = 1
             _lexicons.clear()            # the tables of a job that is over
             lex = _lexicons[id(model)] = Lexicon(model)
         known = {}
+        pieces = pa.array(model["bytes"], pa.binary())
         for batch in batches:
             for i, j, raw, off in text_chunks(batch.column(1), CHUNK):
                 rows = batch.slice(i, j - i)
@@ -526,22 +529,44 @@ def sample_encodings(docs: DataFrame, model_path: str, k: int = 2, seed: int = 1
                         # the share itself is too small for a float in long texts; log(1 - exp(-exp(x))) is x there
                         log_inclusion = np.where(gap < -30, gap, np.log(np.maximum(inclusion, 1e-300)))
                     pick = pa.array(r["doc"])
+                    lists = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(ids, pa.int32()))
                     yield pa.RecordBatch.from_arrays(
                         [rows.column(0).take(pick), *[rows.column(2 + c).take(pick) for c in range(len(kept))],
                          pa.array(np.full(len(pick), rank, np.int32)),
-                         pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(ids, pa.int32())),
-                         pa.array(r["logp"]), pa.array(r["value"]), pa.array(inclusion),
-                         pa.array(log_inclusion)], names)
+                         lists, pa.array(r["logp"]), pa.array(r["value"]), pa.array(inclusion),
+                         pa.array(log_inclusion), *([_decode(lists, pieces)] if decoded else [])], names)
                 known = lat.add_repeated(known)
                 del lat, results
         release_memory()
 
-    names = ["id", *keep, "sample", "ids", "log_prob", "perturbed", "inclusion", "log_inclusion"]
+    names = ["id", *keep, "sample", "ids", "log_prob", "perturbed", "inclusion", "log_inclusion", *([decoded] if decoded else [])]
     schema = ", ".join(["id bigint", *[f"{c} {t}" for c, t in kept], "sample int", "ids array<int>",
-                        "log_prob double", "perturbed double", "inclusion double", "log_inclusion double"])
+                        "log_prob double", "perturbed double", "inclusion double", "log_inclusion double",
+                        *([f"`{decoded}` string"] if decoded else [])])
     return docs.select(F.col(id_col).cast("bigint").alias("id"), text_col, *keep).mapInArrow(run, schema)
 
 
+def _decode(column: pa.Array, pieces: pa.Array) -> pa.Array:
+    """Texts of a column of id lists; ``pieces`` are the bytes of each id."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    offsets, flat, parts = column.offsets.to_numpy(), column.values, [pa.array([], pa.string())]
+    for i, j in byte_chunks(offsets, CHUNK):
+        ids = flat.slice(offsets[i], offsets[j] - offsets[i])
+        try:
+            taken = pieces.take(ids)  # its bytes lie one after another
+        except pa.ArrowIndexError as e:
+            raise ValueError("an id is outside the vocabulary") from e
+        ends = np.frombuffer(taken.buffers()[1], np.int32)[offsets[i:j + 1] - offsets[i]] if len(ids) else np.zeros(j - i + 1, np.int32)
+        raw = pa.Array.from_buffers(pa.binary(), j - i, [None, pa.py_buffer(ends.tobytes()), taken.buffers()[2] if len(ids) else pa.py_buffer(b"")])
+        try:
+            text = raw.cast(pa.string())
+        except pa.ArrowInvalid:
+            text = pa.array([t.decode("utf-8", "replace") for t in raw.to_pylist()], pa.string())
+        text = pc.if_else(pc.starts_with(text, " "), pc.utf8_slice_codeunits(text, 1), text)
+        parts.append(pc.if_else(column.slice(i, j - i).is_null(), pa.scalar(None, pa.string()), text))
+    return pa.concat_arrays(parts)
+
+
 def decode_ids(model_path: str):
     """Column function: the text of an array of ids. Null gives null; ids without text (such as
     begin marks) give nothing; bytes that are no UTF-8 become U+FFFD; an id outside the
@@ -549,23 +574,6 @@ def decode_ids(model_path: str):
     table = load_model(model_path)["bytes"]
 
     def run(column: pa.Array) -> pa.Array:
-        column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-        pieces = pa.array(table, pa.binary())
-        offsets, flat, parts = column.offsets.to_numpy(), column.values, [pa.array([], pa.string())]
-        for i, j in byte_chunks(offsets, CHUNK):
-            ids = flat.slice(offsets[i], offsets[j] - offsets[i])
-            try:
-                taken = pieces.take(ids)  # its bytes lie one after another
-            except pa.ArrowIndexError as e:
-                raise ValueError("an id is outside the vocabulary") from e
-            ends = np.frombuffer(taken.buffers()[1], np.int32)[offsets[i:j + 1] - offsets[i]] if len(ids) else np.zeros(j - i + 1, np.int32)
-            raw = pa.Array.from_buffers(pa.binary(), j - i, [None, pa.py_buffer(ends.tobytes()), taken.buffers()[2] if len(ids) else pa.py_buffer(b"")])
-            try:
-                text = raw.cast(pa.string())
-            except pa.ArrowInvalid:
-                text = pa.array([t.decode("utf-8", "replace") for t in raw.to_pylist()], pa.string())
-            text = pc.if_else(pc.starts_with(text, " "), pc.utf8_slice_codeunits(text, 1), text)
-            parts.append(pc.if_else(column.slice(i, j - i).is_null(), pa.scalar(None, pa.string()), text))
-        return pa.concat_arrays(parts)
+        return _decode(column, pa.array(table, pa.binary()))
 
     return F.arrow_udf(run, "string")

@@ -116,16 +116,16 @@ def op4_subword_clf(spark, sf_dir):
 @query
 def op1_gumbel_lattice(spark, sf_dir):
     import public_tokenizers
-    from .gumbel_lattice import decode_ids, sample_encodings
+    from .gumbel_lattice import sample_encodings
     small_batches(spark)
     path = public_tokenizers.path("piece_bpe_32k.model")
     docs = table(spark, sf_dir, "documents", "doc_id", "text").withColumn(
         "plain_crc32", F.crc32(F.translate(F.coalesce("text", F.lit("")), "▁", " ").cast("binary")))
-    samples = sample_encodings(docs, path, k=2, keep=("plain_crc32",))
+    samples = sample_encodings(docs, path, k=2, keep=("plain_crc32",), decoded="decoded")
     return samples.select(
         F.col("id").alias("doc_id"), "sample", F.size("ids").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"),
         "log_prob", "perturbed", "inclusion", "log_inclusion",
-        (F.crc32(decode_ids(path)("ids").cast("binary")) == F.col("plain_crc32")).alias("round_trip"))
+        (F.crc32(F.col("decoded").cast("binary")) == F.col("plain_crc32")).alias("round_trip"))
 
 
 @query
