@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from textspark.llm.common import Scratch, fresh, small_batches, split_by_ids, table
 from textspark.llm.divergence import judge_documents
 from textspark.llm.entropy_balance import mix_in_place
-from textspark.llm.gumbel_lattice import decode_ids, sample_encodings
+from textspark.llm.gumbel_lattice import sample_encodings
 from textspark.llm.lsh_forest import near_duplicates
 from textspark.llm.subword_clf import fit_quality, score_texts
 
@@ -68,9 +68,9 @@ def sentencepiece_samples(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     small_batches(spark)
     path = public_tokenizers.path("piece_bpe_32k.model")
     texts = docs.select("doc_id", "text", F.crc32(F.translate(F.coalesce("text", F.lit("")), "▁", " ").cast("binary")).alias("plain"))
-    rows = sample_encodings(texts, path, k=SAMPLES, keep=("plain",))
+    rows = sample_encodings(texts, path, k=SAMPLES, keep=("plain",), decoded="decoded")
     return rows.select(F.col("id").alias("doc_id"), "sample", "ids", "log_prob", "inclusion", "log_inclusion",
-                       (F.crc32(decode_ids(path)("ids").cast("binary")) == F.col("plain")).alias("round_trip"))
+                       (F.crc32(F.col("decoded").cast("binary")) == F.col("plain")).alias("round_trip"))
 
 
 STAGES = [
