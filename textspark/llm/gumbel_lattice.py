@@ -38,10 +38,10 @@ from .texthash import mix, powers, text_chunks
 SPACE = 0x2581
 CUT = 48.0
 #: Bytes of text, or ids, that are worked on at once (a longer text alone).
-CHUNK = 1 << 19
+CHUNK = 1 << 18
 FILTER_BITS = 22
 #: Characters of repeated units whose lattices a task keeps from chunk to chunk (some 100 bytes each).
-KNOWN = 1 << 19
+KNOWN = 1 << 18
 
 
 def load_model(path: str, alpha: float = 1.0) -> dict:
