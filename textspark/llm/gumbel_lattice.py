@@ -38,10 +38,10 @@ from .texthash import mix, powers, text_chunks
 SPACE = 0x2581
 CUT = 48.0
 #: Bytes of text, or ids, that are worked on at once (a longer text alone).
-CHUNK = 1 << 18
+CHUNK = 1 << 19
 FILTER_BITS = 22
-#: Characters of repeated units whose lattices a task keeps from chunk to chunk (some 100 bytes each).
-KNOWN = 1 << 18
+#: Characters of repeated units whose lattices are kept from chunk to chunk (some 100 bytes each).
+KNOWN = CHUNK
 
 
 def load_model(path: str, alpha: float = 1.0) -> dict:
@@ -248,14 +248,15 @@ class Lattice:
         for name in _PARTS:
             setattr(self, name, np.concatenate([known[name], made[name]]) if known else made[name])
 
-    def add_repeated(self, known: dict) -> dict:
+    def add_repeated(self, known: dict, limit: int | None = None) -> dict:
         """``known`` with the new units that the chunk holds twice or more. Of a chunk that would take it past
-        ``KNOWN`` characters, the new units start it afresh; those of one with more alone are left out."""
+        ``limit`` (``KNOWN``) characters, the new units start it afresh; those of one with more alone are left out."""
+        limit = KNOWN if limit is None else limit
         unit = self.new[self.seen[self.new] > 1]
         more = int(self.size[unit].sum())
-        if known and len(known["left"]) + more > KNOWN:
+        if known and len(known["left"]) + more > limit:
             known = {}
-        if not len(unit) or more > KNOWN:
+        if not len(unit) or more > limit:
             return known
         nodes, edges = (len(known["left"]), len(known["node"])) if known else (0, 0)
         size = self.size[unit]
@@ -487,7 +488,7 @@ _lexicons: dict[int, Lexicon] = {}
 
 def sample_encodings(docs: DataFrame, model_path: str, k: int = 2, seed: int = 1, alpha: float = 1.0,
                      id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (),
-                     decoded: str | None = None) -> DataFrame:
+                     decoded: str | None = None, chunk: int = CHUNK) -> DataFrame:
     """Up to ``k`` rows for each row of ``docs``: ``id``, the columns of ``keep``, ``sample`` (0 the
     largest perturbed value), ``ids``, ``log_prob``, ``perturbed``, ``inclusion`` and its logarithm
     ``log_inclusion`` (finite also where the share underflows).
@@ -496,7 +497,8 @@ def sample_encodings(docs: DataFrame, model_path: str, k: int = 2, seed: int = 1
     with inclusion 1. Null and empty texts have one, without pieces. The key of a row is its
     id, so rows that repeat id and text get the same samples; a null id counts as 0. Whole
     texts of any length are used. An empty table gives no rows. ``decoded`` names one more column,
-    the ids decoded as by :func:`decode_ids`, in the task that drew them. ``keep`` must not repeat the
+    the ids decoded as by :func:`decode_ids`, in the task that drew them. A ``chunk`` of
+    fewer bytes takes less memory and more time and changes no row. ``keep`` must not repeat the
     names above; columns not named are not read."""
     shared = docs.sparkSession.sparkContext.broadcast(load_model(model_path, alpha))
     kept = [(c, docs.schema[c].dataType.simpleString()) for c in keep]
@@ -510,7 +512,7 @@ def sample_encodings(docs: DataFrame, model_path: str, k: int = 2, seed: int = 1
         known = {}
         pieces = pa.array(model["bytes"], pa.binary())
         for batch in batches:
-            for i, j, raw, off in text_chunks(batch.column(1), CHUNK):
+            for i, j, raw, off in text_chunks(batch.column(1), chunk):
                 rows = batch.slice(i, j - i)
                 keys = rows.column(0).fill_null(0).to_numpy(zero_copy_only=False)
                 head = (raw & 0xC0) != 0x80
@@ -535,7 +537,7 @@ def sample_encodings(docs: DataFrame, model_path: str, k: int = 2, seed: int = 1
                          pa.array(np.full(len(pick), rank, np.int32)),
                          lists, pa.array(r["logp"]), pa.array(r["value"]), pa.array(inclusion),
                          pa.array(log_inclusion), *([_decode(lists, pieces)] if decoded else [])], names)
-                known = lat.add_repeated(known)
+                known = lat.add_repeated(known, chunk)
                 del lat, results
         release_memory()
 
