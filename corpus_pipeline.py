@@ -28,6 +28,8 @@ from textspark.llm.subword_clf import fit_quality, score_texts
 #: Least score of a document that stays.
 KEEP_SCORE = 0.3
 SAMPLES = 2
+#: Bytes of text sampled at once: less than the default, as executors are full from the stages before.
+CHUNK = 1 << 18
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -68,7 +70,7 @@ def sentencepiece_samples(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     small_batches(spark)
     path = public_tokenizers.path("piece_bpe_32k.model")
     texts = docs.select("doc_id", "text", F.crc32(F.translate(F.coalesce("text", F.lit("")), "▁", " ").cast("binary")).alias("plain"))
-    rows = sample_encodings(texts, path, k=SAMPLES, keep=("plain",), decoded="decoded")
+    rows = sample_encodings(texts, path, k=SAMPLES, keep=("plain",), decoded="decoded", chunk=CHUNK)
     return rows.select(F.col("id").alias("doc_id"), "sample", "ids", "log_prob", "inclusion", "log_inclusion",
                        (F.crc32(F.col("decoded").cast("binary")) == F.col("plain")).alias("round_trip"))
 
