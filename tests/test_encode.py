@@ -104,3 +104,32 @@ def test_counts_in_tasks_stop_at_row_ends(spark, monkeypatch):
     pairs = {(r.context, r.token): r.n for r in lm.token_counts(df, pairs=True).collect()}
     assert pairs == Counter(p for r in full for p in zip(r, r[1:]))
     assert lm.token_counts(df.where("false"), pairs=True).count() == 0
+
+
+def test_large_vocabulary_shuffles_a_chunk_once_for_a_block(spark, monkeypatch):
+    """Not once for each occurrence; several blocks, equal rows, nulls and unknown words give the ids of the task path."""
+    rows = [(i % 7, f"common word{i % 5} " * 400 + f"rare{i}", [str(i)]) for i in range(60)] + [(1, None, None), (1, "", []), (None, "x", None)] * 2
+    df = spark.createDataFrame(rows, "doc_id long, text string, tags array<string>")
+    tok = E.WordTokenizer.train(df.where("doc_id > 2"))
+    want = sorted(map(repr, tok.encode(df).collect()))
+    del tok._shared
+    tok.vocab_bytes = 0
+    monkeypatch.setattr(E, "BLOCK_BYTES", 100_000)
+    seen, plain = [], tok.block_table
+    monkeypatch.setattr(tok, "block_table", lambda words: seen.append(words.groupBy(E.BLOCK).count().collect()) or plain(words))
+    out = tok.encode(df)
+    assert sorted(map(repr, out.collect())) == want and out.columns == ["doc_id", "text", "tags", "ids"]
+    assert len(seen[0]) > 3 and sum(r["count"] for r in seen[0]) <= 6 * len(seen[0]) + 61  # 48,061 occurrences
+
+
+def test_batches_are_worked_on_in_slices(spark):
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    big = E.SLICE_VALUES // 2
+    texts = pa.array(["a" * big, None, "b" * big, "c", "d" * (3 * big), "", "e"])
+    parts = list(E.row_slices(texts, pc.utf8_length(texts)))
+    assert [len(p) for p in parts] == [3, 1, 1, 2] and pa.concat_arrays(parts).equals(texts)
+    docs = spark.createDataFrame([(i, "ab cd " * 3_000) for i in range(200)] + [(200, None)], "doc_id long, text string").coalesce(1)
+    for tok in (E.CharTokenizer.train(docs), E.BpeTokenizer.train(docs, 3)):
+        back = tok.decode(tok.encode(docs)).selectExpr("count(*) as n", "count_if(coalesce(text, '') = decoded) as ok").first()
+        assert (back.n, back.ok) == (201, 201)
