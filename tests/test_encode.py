@@ -4,6 +4,8 @@ import json
 import os
 import uuid
 
+from pyspark.sql import functions as F
+
 from textspark.operators import encode as E
 from textspark.session import ensure_checkpoint_dir
 from textspark.sources import store
@@ -133,3 +135,26 @@ def test_batches_are_worked_on_in_slices(spark):
     for tok in (E.CharTokenizer.train(docs), E.BpeTokenizer.train(docs, 3)):
         back = tok.decode(tok.encode(docs)).selectExpr("count(*) as n", "count_if(coalesce(text, '') = decoded) as ok").first()
         assert (back.n, back.ok) == (201, 201)
+
+
+def test_model_is_counted_in_one_pass_over_the_texts(spark):
+    """The ids are neither kept nor encoded twice, and small tables of the model are looked up without dealing rows by context."""
+    from collections import Counter
+    from textspark.operators import lm
+    rows = [[1, 2, 1, 2, 1], None, [], [7], [2, 2, 2, 2]]
+    df = spark.createDataFrame([(r,) for r in rows], "ids array<int>").repartition(2)
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("array<int>")
+    def counted(ids):
+        seen.add(1)
+        return ids
+
+    m = lm.fit_ngram(df.select(counted("ids").alias("ids")), 9)
+    assert seen.value == len(rows)
+    full = [r for r in rows if r]
+    assert {(r.context, r.token): r.n for r in m.pairs.collect()} == Counter(p for r in full for p in zip(r, r[1:]))
+    assert {r.token: r.n_w for r in m.unigrams.collect()} == Counter(i for r in full for i in r) and m.n_tokens == 10
+    assert {r.context: r.n_c for r in m.contexts.collect()} == {1: 2, 2: 5}
+    plan = m.log_prob(m.pairs.select("context", "token"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("strategy=broadcast") == 3
