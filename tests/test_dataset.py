@@ -93,3 +93,12 @@ def test_best_checkpoint_equal_minimum_not_marked(spark):
     log = spark.createDataFrame([(1, 3.0), (2, 2.5), (3, 2.5), (4, 2.7), (5, 2.1)], "step long, val_loss double")
     got = [r.improved for r in L.best_checkpoints(log).orderBy("step").collect()]
     assert got == [True, True, False, False, True]
+
+
+def test_split_reads_texts_once_beside_the_cut(spark, tmp_path):
+    """The total comes from the written lengths, so the plan of the split scans the texts a single time."""
+    path = str(tmp_path / "docs")
+    spark.createDataFrame([(i, "x" * i) for i in range(1, 21)], "doc_id long, text string").write.parquet(path)
+    split = W.contiguous_split(spark.read.parquet(path))
+    assert split.agg({"split": "sum"}).first()[0] > 0
+    assert split._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 1
