@@ -64,3 +64,107 @@ def test_edge_rows(spark):
         assert by_id[i] == (n + (i in extra), c, i == c)
     assert link_vectors(df.limit(0)).count() == 0
     assert link_vectors(df.where("label is null")).count() == 1
+
+
+def test_disk_follows_the_input(spark, monkeypatch):
+    """One label of many chunks: files of shuffles and of written tables, as seen while it runs."""
+    import os
+    import threading
+
+    from textspark.llm.common import Scratch
+
+    monkeypatch.setattr(S, "CHUNK", 128)
+    g = np.random.default_rng(5)
+    rows = [(i, [float(v) for v in x], 0, "x") for i, x in enumerate(g.standard_normal((3000, 64)).astype(np.float32))]
+    df = spark.createDataFrame(rows, SCHEMA)
+    bases, make = [], Scratch.__init__
+
+    def noted(self, *a):
+        make(self, *a)
+        bases.append(self.base.removeprefix("file:"))
+
+    monkeypatch.setattr(Scratch, "__init__", noted)
+    local = [d.getPath() for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+
+    def used(name, tops):
+        total = 0
+        for top in tops:
+            for d, _, names in os.walk(top):
+                for x in names:
+                    try:
+                        total += os.path.getsize(f"{d}/{x}") if x.startswith(name) else 0
+                    except OSError:  # it went meanwhile
+                        pass
+        return total
+
+    before, most, done = used("shuffle_", local), [0], threading.Event()
+
+    def watch():
+        while not done.wait(0.02):
+            most[0] = max(most[0], used("shuffle_", local) - before + used("part-", bases))
+
+    thread = threading.Thread(target=watch)
+    thread.start()
+    try:
+        assert link_vectors(df, 0.93).where("n_links = 0").count() == 3000
+    finally:
+        done.set()
+        thread.join()
+    assert 0 < most[0] < 6 * 3000 * 64 * 4
+
+
+@pytest.mark.parametrize("size", [3 << 10, 10 << 10])
+def test_rounds_of_a_large_label(spark, monkeypatch, size):
+    """Chunks of few bytes: odd and even circles of more than four."""
+    monkeypatch.setattr(S, "CHUNK_BYTES", size)
+    rows = vectors(64, 4)
+    df = spark.createDataFrame([(*r, "x") for r in rows], SCHEMA)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in link_vectors(df, 0.93).collect()}
+    assert got == brute(rows, 0.93)
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    assert spark.conf.get(name, "false") == "false"  # put back
+
+
+@pytest.mark.parametrize("k", range(1, 10))
+def test_each_two_chunks_meet_once(spark, k):
+    rows = spark.range(40 * k).selectExpr("1 label", "2 dim", "id", "1 n", "array(float(id), 1f) vec")
+    chunks = spark.createDataFrame([(1, 2, k)], "label int, dim int, k int").where("k > 1")
+    met = []
+    for distance in range(1, max(1, k // 2) + 1):
+        dealt = S.deal(rows, chunks, distance).select("task", "step", "id").collect()
+        assert len(dealt) <= 2 * 40 * k
+        for task in {r.task for r in dealt}:
+            own, other = ({r.id for r in dealt if (r.task, r.step) == (task, step)} for step in (0, 1))
+            if distance == 1:
+                met += [(a, b) for a in own for b in own if a < b]
+            met += [(min(a, b), max(a, b)) for a in own for b in other]
+    assert sorted(met) == [(a, b) for a in range(40 * k) for b in range(a + 1, 40 * k)]
+
+
+@pytest.mark.parametrize("min_cos", [0.93, 0.3, -0.5])
+@pytest.mark.parametrize("dim", [1, 5, 64, 200])
+def test_match_in_cells(monkeypatch, dim, min_cos):
+    monkeypatch.setattr(S, "CELL", 16)
+    monkeypatch.setattr(S, "PAIRS", 50)
+    x = np.array([v for _, v, _ in vectors(dim)], np.float32)
+    x = np.unique(x, axis=0)
+    n = np.ones(len(x), np.int64)
+    ids = np.arange(len(x)) // 2 * 2  # equal ids do not meet
+    u = S.unit(x)
+    cos = np.array([(u * v).sum(1) for v in u])
+    half = len(x) // 3
+    sides = [S.Side(i, n[:len(i)], v) for i, v in ((np.arange(len(x)), x), (ids[:half], x[:half]), (ids[half:], x[half:]))]
+    budget = 2 * (1 - min_cos) + S.SLACK
+    own = np.concatenate([np.stack(p, 1) for p in S.match(sides[0], sides[0], min_cos, budget)])
+    name = sides[0].ids
+    assert sorted(tuple(sorted(p)) for p in name[own].tolist()) == [
+        (i, j) for i in range(len(x)) for j in range(i + 1, len(x)) if cos[i, j] >= min_cos]
+    pairs = [p for i, j in S.match(sides[1], sides[2], min_cos, budget) for p in zip(sides[1].ids[i].tolist(), sides[2].ids[j].tolist())]
+    assert sorted(pairs) == sorted((int(ids[i]), int(ids[j])) for i in range(half) for j in range(half, len(x))
+                                   if cos[i, j] >= min_cos and ids[i] != ids[j])
+
+
+def test_signed_zeros_are_one_vector(spark):
+    df = spark.createDataFrame([(1, [1.0, 0.0], 0, "x"), (2, [1.0, -0.0], 0, "x"), (3, [-0.0, 1.0], 0, "x")], SCHEMA)
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in link_vectors(df).collect()}
+    assert got == {1: (1, 1, True), 2: (1, 1, False), 3: (0, 3, True)}

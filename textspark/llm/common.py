@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -85,6 +86,20 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set(name, str(rows))
 
 
+@contextmanager
+def brief_shuffles(spark: SparkSession):
+    """Shuffle files go as soon as the query that wrote them has ended, not when the driver next
+    collects its garbage (a setting of the session, put back at the end). For steps that write tables:
+    a frame that is run twice shuffles twice."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before) if before is not None else spark.conf.unset(name)
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` evaluated once a row, also inside lambdas
     (the optimizer may otherwise inline it into each use)."""

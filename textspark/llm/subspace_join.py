@@ -1,24 +1,26 @@
-"""Embedding near-duplicates by a subspace pigeonhole join (dealt operator 5).
-
-Unit vectors with cosine >= c lie within squared distance 2(1 - c). After a seeded rotation the
-dimensions are cut into blocks, and block i gets a budget in proportion to its share of the
-vectors' energy. If every block were over its budget the sum would be too, so a pair that
-links is within budget in some block: joining each block by range and taking the union loses
-no pair.
-
-The range join of a block: vectors fall into square cells, as wide as twice the block's radius,
-of the block's first coordinates; a vector is at home in one cell and probes the cells its ball
-touches. A cell meets in one task, or in several if it is large: homes and probes are cut into
-chunks, and each pair of chunks is a task of bounded size. There a pair within the block's
-budget is counted in the first block that finds it and verified exactly by the cosine of the
-whole vectors in double precision. Tasks return each vector's count of links and a spanning
-forest of them, never the pairs, so a cluster of near copies stays linear in the output.
+"""Embedding near-duplicates by a subspace join (dealt operator 5).
+
+Unit vectors with cosine >= c lie within squared distance 2(1 - c), the budget. After a seeded
+rotation the first 3/8 of the dimensions are the subspace: distances there are never larger than
+those of the whole vectors, so a pair over the budget there does not link, and joining the
+subspace by range loses no pair. (Blocks with a share of the budget each lose none either, but
+then each vector has to travel once a block and once a cell that its ball touches.)
+
+The vectors of a label and dimension are dealt to chunks of bounded size. Chunks stand in a circle:
+the task of a chunk holds it and streams the chunks up to half the circle ahead past it, so each two
+chunks meet once. A round takes the next distance on the circle, two copies of the vectors at most,
+and its shuffle files go with it: disk stays a multiple of the input, whatever the size of a label.
+In a task the vectors lie in cells (median splits of the subspace); two cells whose boxes are over the
+budget apart are skipped, of the others the pairs within budget in the subspace are found by a
+product of matrices in single precision with a margin over its rounding, and verified exactly by the
+cosine of the whole vectors in double precision. Tasks return each vector's count of links and a
+spanning forest of them, never the pairs, so a cluster of near copies stays linear in the output.
 Equal vectors are one class with a count before any of this.
 """
 
 from __future__ import annotations
 
-import math
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -26,13 +28,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, brief_shuffles
 from .components import connected_components
 
-BLOCKS = 4
-GRID = 2
-#: Vectors of one side that meet in a task at most (about).
-CHUNK = 2048
+#: Vectors of a chunk from which a label is dealt to several tasks, and to how many for that alone.
+CHUNK = 8192
+SPREAD = 4
+#: Bytes of a chunk's vectors, which a task holds (about).
+CHUNK_BYTES = 64 << 20
+#: Vectors of a cell at most.
+CELL = 512
+#: Pairs that are verified together (about).
+PAIRS = 1 << 16
 SLACK = 1e-9
 
 
@@ -43,87 +50,115 @@ def rotation(dim: int) -> np.ndarray:
     return q * np.sign(np.diag(r))
 
 
-def block_edges(dim: int) -> np.ndarray:
-    return np.linspace(0, dim, min(BLOCKS, dim) + 1).astype(int)
+def subspace(dim: int) -> int:
+    return dim if dim <= 16 else -(-3 * dim // 8)
+
+
+def rounding(dim: int) -> float:
+    """More than a sum of ``dim`` products of parts of unit vectors can be off in single precision."""
+    return 1e-6 * (dim + 8)
 
 
-def vectors_of(col) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """Row numbers and matrix (double) by dimension."""
-    col = col.combine_chunks() if isinstance(col, pa.ChunkedArray) else col
-    lengths = np.diff(col.offsets.to_numpy())
-    flat = col.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    begin = np.concatenate([[0], np.cumsum(lengths)])[:-1]
-    out = {}
-    for dim in np.unique(lengths):
-        rows = np.flatnonzero(lengths == dim)
-        out[int(dim)] = rows, flat[begin[rows][:, None] + np.arange(dim)]
-    return out
+def matrix(col, dim: int) -> np.ndarray:
+    """Rows of a column of vectors of one length, as they are (single) or in double precision."""
+    flat = col.flatten().to_numpy(zero_copy_only=False)
+    return flat.reshape(-1, dim) if flat.dtype == np.float32 else flat.reshape(-1, dim).astype(np.float64)
 
 
 def unit(x: np.ndarray) -> np.ndarray:
+    x = x.astype(np.float64)
     x = x / np.abs(x).max(1, keepdims=True)  # no overflow or underflow of the squares
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
-def block_energy(classes: DataFrame) -> dict[int, list[float]]:
-    """By dimension, each block's share of the squared length of the rotated unit vectors."""
-    def run(batches):
-        for batch in batches:
-            for dim, (_, x) in vectors_of(batch.column(0)).items():
-                e = (unit(x) @ rotation(dim)) ** 2
-                edges = block_edges(dim)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([dim] * (len(edges) - 1), pa.int32()), pa.array(range(len(edges) - 1), pa.int32()),
-                     pa.array([float(e[:, a:b].sum()) for a, b in zip(edges, edges[1:])])], ["dim", "block", "e"])
-    rows = (classes.select("vec").mapInArrow(run, "dim int, block int, e double")
-            .groupBy("dim", "block").agg(F.sum("e").alias("e")).collect())  # BLOCKS rows a dimension
-    out: dict[int, list[float]] = {}
-    for dim in {r["dim"] for r in rows}:
-        own = [r["e"] for r in sorted((r for r in rows if r["dim"] == dim), key=lambda r: r["block"])]
-        floor = 0.01 * sum(own) / len(own)  # a block without energy still gets a little
-        own = [max(e, floor) for e in own]
-        out[dim] = [round(e / sum(own), 6) + 1e-6 for e in own]
-    return out
-
-
-def place(classes: DataFrame, shares: dict[int, list[float]], budget: float, payload: bool) -> DataFrame:
-    """Each vector's home and probes: ``label, dim, block, cell, home, id, n, vec``."""
-    def run(batches):
-        for batch in batches:
-            labels, ids, n = (batch.column(k) for k in range(3))
-            for dim, (rows, x) in vectors_of(batch.column(3)).items():
-                y = unit(x) @ rotation(dim)
-                edges = block_edges(dim)
-                for b in range(len(edges) - 1):
-                    radius = math.sqrt(budget * shares[dim][b]) * (1 + SLACK) + SLACK
-                    z = y[:, edges[b]:min(edges[b] + GRID, edges[b + 1])]
-                    home = np.floor(z / (2 * radius)).astype(np.int64)
-                    low = np.floor((z - radius) / (2 * radius)).astype(np.int64)
-                    high = np.floor((z + radius) / (2 * radius)).astype(np.int64)
-                    parts = [(home, np.arange(len(rows)), True)]
-                    for step in np.ndindex(*([3] * z.shape[1])):
-                        cell = low + np.array(step)
-                        inside = np.flatnonzero((cell <= high).all(1))
-                        parts.append((cell[inside], inside, False))
-                    for cell, pick, is_home in parts:
-                        if not len(pick):
-                            continue
-                        take = pa.array(rows[pick])
-                        wide = np.zeros((len(pick), GRID), np.int64)
-                        wide[:, :cell.shape[1]] = cell
-                        cols = [labels.take(take), pa.array(np.full(len(pick), dim, np.int32)),
-                                pa.array(np.full(len(pick), b, np.int32)), *[pa.array(wide[:, k]) for k in range(GRID)],
-                                pa.array(np.full(len(pick), is_home)), ids.take(take), n.take(take)]
-                        if payload:
-                            raw = np.ascontiguousarray(x[pick]).tobytes()
-                            cols.append(pa.Array.from_buffers(pa.binary(), len(pick), [
-                                None, pa.py_buffer(np.arange(0, len(raw) + 1, 8 * dim, dtype=np.int32)), pa.py_buffer(raw)]))
-                        yield pa.RecordBatch.from_arrays(cols, names[:len(cols)])
-
-    names = ["label", "dim", "block", *[f"c{k}" for k in range(GRID)], "home", "id", "n", "vec"]
-    kinds = [classes.schema["label"].dataType.simpleString(), "int", "int", *["bigint"] * GRID, "boolean", "bigint", "bigint", "binary"]
-    schema = ", ".join(f"{a} {b}" for a, b in zip(names, kinds) if payload or a != "vec")
-    return classes.select("label", "id", "n", "vec").mapInArrow(run, schema)
+def cells(y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order of the rows and the bounds of cells of at most ``CELL`` of them in it, by median
+    splits of the widest coordinate."""
+    done, todo = [], [np.arange(len(y))]
+    while todo:
+        rows = todo.pop()
+        if len(rows) <= CELL:
+            done.append(rows)
+            continue
+        own = y[rows]
+        half = np.argpartition(own[:, np.argmax(own.max(0) - own.min(0))], len(rows) // 2)
+        todo += [rows[half[len(rows) // 2:]], rows[half[:len(rows) // 2]]]
+    return np.concatenate(done), np.cumsum([0] + [len(d) for d in done])
+
+
+class Side:
+    """Vectors in cells: ids, counts, vectors as they came, coordinates in the subspace with half
+    their squared length, bounds and boxes of the cells."""
+
+    def __init__(self, ids: np.ndarray, n: np.ndarray, x: np.ndarray):
+        dim = x.shape[1]
+        y = np.empty((len(x), subspace(dim)), np.float32)
+        for at in range(0, len(x), 1 << 13):  # in double precision a block at a time
+            y[at:at + (1 << 13)] = unit(x[at:at + (1 << 13)]) @ rotation(dim)[:, :y.shape[1]]
+        order, self.bounds = cells(y)
+        self.ids, self.n, self.x, y = ids[order], n[order], x[order], y[order]
+        half = -(y.astype(np.float64) ** 2).sum(1)[:, None].astype(np.float32) / 2
+        one = np.ones_like(half)
+        self.left, self.right = np.concatenate([y, half, one], 1), np.concatenate([y, one, half], 1)
+        begin = self.bounds[:-1]
+        self.low, self.high = np.minimum.reduceat(y, begin), np.maximum.reduceat(y, begin)
+
+
+def close_cells(a: Side, b: Side, k: int, budget: float) -> np.ndarray:
+    """Cells of ``a`` whose boxes are within budget of that of cell ``k`` of ``b``."""
+    gap = np.maximum(np.maximum(a.low - b.high[k], b.low[k] - a.high), 0)
+    return np.flatnonzero((gap * gap).sum(1) <= budget + rounding(gap.shape[1]))
+
+
+def match(a: Side, b: Side, min_cos: float, budget: float):
+    """Row numbers (in ``a``, in ``b``) of the verified pairs of different ids, some at a time; each
+    pair of rows once if ``a`` is ``b``."""
+    dim = a.x.shape[1]
+    limit, whole = -budget / 2 - rounding(a.left.shape[1]), rounding(dim)
+    room = np.empty(CELL * CELL, np.float32)
+    waiting, count = [], 0
+
+    def verified():
+        i, j = (np.concatenate([w[k] for w in waiting]) for k in (0, 1))
+        step = max(1, (4 << 20) // (8 * dim))
+        good = np.zeros(len(i), bool)
+        for at in range(0, len(i), step):
+            good[at:at + step] = (unit(a.x[i[at:at + step]]) * unit(b.x[j[at:at + step]])).sum(1) >= min_cos
+        return i[good], j[good]
+
+    for q in range(len(b.bounds) - 1):
+        r, s = b.bounds[q], b.bounds[q + 1]
+        own = None
+        for p in close_cells(a, b, q, budget):
+            if a is b and p > q:
+                break
+            t, u = a.bounds[p], a.bounds[p + 1]
+            near = room[:(u - t) * (s - r)].reshape(u - t, s - r)
+            np.matmul(a.left[t:u], b.right[r:s].T, out=near)
+            hits = np.flatnonzero(near.reshape(-1) >= limit)
+            if not len(hits):
+                continue
+            sure = None
+            if len(hits) > near.size >> 6:  # the subspace tells little: whole vectors, those close to the limit exactly
+                own = unit(b.x[r:s]).astype(np.float32) if own is None else own
+                np.matmul(unit(a.x[t:u]).astype(np.float32), own.T, out=near)
+                hits = np.flatnonzero(near.reshape(-1) >= min_cos - whole)
+                sure = near.reshape(-1)[hits] >= min_cos + whole
+            i, j = np.divmod(hits, s - r)
+            i, j = i + t, j + r
+            keep = a.ids[i] != b.ids[j]
+            if p == q and a is b:
+                keep &= i < j
+            if sure is not None:
+                yield i[keep & sure], j[keep & sure]
+                keep &= ~sure
+            waiting.append((i[keep], j[keep]))
+            count += len(waiting[-1][0])
+            if count >= PAIRS:
+                yield verified()
+                waiting, count = [], 0
+    if count:
+        yield verified()
 
 
 def local_roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -140,34 +175,97 @@ def local_roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return root
 
 
-def match(homes, probes, dim: int, block: int, shares: list[float], budget: float, min_cos: float):
-    """Row numbers (home, probe) of verified pairs with home id < probe id that this block
-    is the first to find."""
-    (hid, hx), (pid, px) = homes, probes
-    hu, pu = unit(hx), unit(px)
-    rot = rotation(dim)
-    hy, py = hu @ rot, pu @ rot
-    edges = block_edges(dim)
-    limits = [budget * s * (1 + SLACK) + SLACK for s in shares]
-    a, b = edges[block], edges[block + 1]
-    p2 = (py[:, a:b] ** 2).sum(1)
-    found = []
-    for at in range(0, len(hid), 512):
-        h = hy[at:at + 512, a:b]
-        near = (h ** 2).sum(1)[:, None] + p2[None] - 2 * h @ py[:, a:b].T <= limits[block] + SLACK
-        i, j = np.nonzero(near)
-        keep = hid[at + i] < pid[j]
-        i, j = at + i[keep], j[keep]
-        for k in range(0, len(i), 1 << 16):
-            x, y = i[k:k + (1 << 16)], j[k:k + (1 << 16)]
-            good = np.ones(len(x), bool)
-            for e in range(block + 1):
-                d = ((hy[x, edges[e]:edges[e + 1]] - py[y, edges[e]:edges[e + 1]]) ** 2).sum(1)
-                good &= (d <= limits[e]) if e == block else (d > limits[e])
-            x, y = x[good], y[good]
-            good = (hu[x] * pu[y]).sum(1) >= min_cos
-            found.append((x[good], y[good]))
-    return tuple(np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64) for k in (0, 1))
+def unite(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Adds the edges a-b to a flat forest (``root[root] == root``, roots are the smallest nodes)."""
+    ra, rb = root[a], root[b]
+    new = ra != rb
+    if new.any():
+        nodes, inverse = np.unique(np.concatenate([ra[new], rb[new]]), return_inverse=True)
+        half = len(inverse) // 2
+        root[nodes] = nodes[local_roots(len(nodes), inverse[:half], inverse[half:])]
+        root[:] = root[root]
+
+
+class Links:
+    """Counts of links and a spanning forest of a chunk and, meanwhile, of vectors that pass it."""
+
+    def __init__(self, chunk: Side):
+        self.chunk, self.count, self.root = chunk, np.zeros(len(chunk.ids), np.int64), np.arange(len(chunk.ids))
+
+    def inside(self, min_cos: float, budget: float) -> None:
+        for i, j in match(self.chunk, self.chunk, min_cos, budget):
+            np.add.at(self.count, i, self.chunk.n[j])
+            np.add.at(self.count, j, self.chunk.n[i])
+            unite(self.root, i, j)
+
+    def passing(self, other: Side, min_cos: float, budget: float) -> pa.RecordBatch:
+        m = len(self.root)
+        count, root = np.zeros(len(other.ids), np.int64), np.concatenate([self.root, np.arange(m, m + len(other.ids))])
+        for i, j in match(self.chunk, other, min_cos, budget):
+            np.add.at(self.count, i, other.n[j])
+            np.add.at(count, j, self.chunk.n[i])
+            unite(root, i, j + m)
+        self.root = root[:m]
+        # a vector that links with the chunk has its root there
+        return self.out(other.ids, count, root[m:])
+
+    def out(self, ids: np.ndarray, count: np.ndarray, root: np.ndarray) -> pa.RecordBatch:
+        rows = np.flatnonzero(count)
+        return pa.RecordBatch.from_arrays([pa.array(ids[rows], pa.int64()), pa.array(count[rows], pa.int64()),
+                                           pa.array(self.chunk.ids[root[rows]], pa.int64())], ["id", "links", "root"])
+
+
+def meeting(first: bool, min_cos: float, budget: float):
+    """What a task of a round does: rows ``dim, step, id, n, vec`` of a chunk (step 0) and then of the
+    chunk that passes it, to ``id, links, root``. In the first round the chunk meets itself, too."""
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, links, last = [], None, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            step, dim = batch["step"].to_numpy(), batch["dim"][0].as_py()
+            if step[0] < last or (step[1:] < step[:-1]).any():
+                raise ValueError("a chunk's rows have to come before those that pass it")
+            last, mine = step[-1], int(np.searchsorted(step, 0, side="right"))
+            part = batch["id"].to_numpy(), batch["n"].to_numpy(), matrix(batch["vec"], dim)
+            if mine:
+                held.append([np.array(v[:mine]) for v in part])
+            if mine < len(step):
+                if links is None and held:
+                    links = start(held)
+                if links:
+                    yield links.passing(Side(*(v[mine:] for v in part)), min_cos, budget)
+        if links is None and held:
+            links = start(held)
+        if links:
+            yield links.out(links.chunk.ids, links.count, links.root)
+
+    def start(held: list) -> Links:
+        parts = [np.concatenate(v) for v in zip(*held)]
+        held.clear()
+        links = Links(Side(*parts))
+        if first:
+            links.inside(min_cos, budget)
+        return links
+
+    return meet
+
+
+def deal(classes: DataFrame, chunks: DataFrame, distance: int) -> DataFrame:
+    """Rows of a round: ``label, dim, task, step, id, n, vec``; step 0 is the task's own chunk, 1 the one
+    ``distance`` ahead on the circle. ``chunks``: the number ``k`` of those of more than one."""
+    # at half the circle each two chunks would meet twice: the lower number's task takes it
+    met = F.lit(2 * distance) < F.col("k")
+    halfway = F.lit(2 * distance) == F.col("k")
+    own = F.lit(True) if distance == 1 else met | (halfway & (F.col("c") < distance))
+    other = met | (halfway & (F.col("c") >= distance))
+    copies = F.array(F.when(own, F.struct(F.col("c").alias("task"), F.lit(0).alias("step"))),
+                     F.when(other, F.struct(F.pmod(F.col("c") - distance, F.col("k")).cast("int").alias("task"), F.lit(1).alias("step"))))
+    return (classes.join(F.broadcast(chunks), ["label", "dim"], "left" if distance == 1 else "inner")
+            .withColumn("k", F.coalesce("k", F.lit(1)))
+            .withColumn("c", F.pmod(F.xxhash64("id", "vec"), F.col("k")).cast("int"))
+            .select("label", "dim", "id", "n", "vec", F.explode(F.filter(copies, lambda x: x.isNotNull())).alias("to"))
+            .select("label", "dim", "to.task", "to.step", "id", "n", "vec"))
 
 
 def link_vectors(vectors: DataFrame, min_cos: float = 0.93, id_col: str = "vec_id",
@@ -184,47 +282,42 @@ def link_vectors(vectors: DataFrame, min_cos: float = 0.93, id_col: str = "vec_i
     vec = F.col(vector_col)
     finite = F.forall(vec, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(vec, lambda x: x != 0)
     usable = F.coalesce(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & finite, F.lit(False))
-    rows = scratch.save(vectors.select(F.col(id_col).cast("bigint").alias("vec_id"), F.col(label_col).alias("label"),
-                                       F.when(usable, vec).alias("vec")), "vectors")
-    valid = rows.where("vec is not null")
-    classes = scratch.save(valid.groupBy("label", "vec").agg(F.min("vec_id").alias("id"), F.count("*").alias("n")), "classes")
-    shares = block_energy(classes)
-
-    cell = ["label", "dim", "block", *[f"c{k}" for k in range(GRID)]]
-    sizes = place(classes, shares, budget, payload=False).groupBy(*cell).agg(
-        F.ceil(F.sum(F.col("home").cast("int")) / CHUNK).alias("sh"), F.ceil(F.sum((~F.col("home")).cast("int")) / CHUNK).alias("sp"))
-    # cells without a home join nothing; the others' numbers of chunks
-    sizes = scratch.save(sizes.where("sh > 0"), "cells")
-    placed = place(classes, shares, budget, payload=True).join(sizes, cell)
-    own = F.pmod(F.xxhash64("id"), F.when(F.col("home"), F.col("sh")).otherwise(F.col("sp")))
-    others = F.explode(F.sequence(F.lit(0), F.when(F.col("home"), F.col("sp")).otherwise(F.col("sh")).cast("int") - 1))
-    dealt = placed.withColumn("own", own.cast("int")).withColumn("other", others).select(
-        *cell, F.when(F.col("home"), F.col("own")).otherwise(F.col("other")).alias("h"),
-        F.when(F.col("home"), F.col("other")).otherwise(F.col("own")).alias("p"), "home", "id", "n", "vec")
-
-    def meet(group: pa.Table) -> pa.Table:
-        is_home = group["home"].to_numpy()
-        dim, block = group["dim"][0].as_py(), group["block"][0].as_py()
-        ids, n = group["id"].to_numpy(), group["n"].to_numpy()
-        x = np.frombuffer(b"".join(group["vec"].to_pylist()), np.float64).reshape(len(ids), dim)
-        hs, ps = np.flatnonzero(is_home), np.flatnonzero(~is_home)
-        i, j = match((ids[hs], x[hs]), (ids[ps], x[ps]), dim, block, shares[dim], budget, min_cos)
-        nodes, inverse = np.unique(np.concatenate([ids[hs][i], ids[ps][j]]), return_inverse=True)
-        a, b = inverse[:len(i)], inverse[len(i):]
-        links = np.zeros(len(nodes), np.int64)
-        np.add.at(links, a, n[ps][j])
-        np.add.at(links, b, n[hs][i])
-        return pa.table({"id": pa.array(nodes, pa.int64()), "links": pa.array(links),
-                         "root": pa.array(nodes[local_roots(len(nodes), a, b)], pa.int64())})
-
-    found = scratch.save(dealt.groupBy(*cell, "h", "p").applyInArrow(meet, "id bigint, links bigint, root bigint"), "links")
-    components = connected_components(found.select("id", "root").distinct(), "id", "root", scratch)
-    counts = found.groupBy("id").agg(F.sum("links").alias("links"))
-    named = scratch.save(
-        classes.join(counts, "id", "left").join(components.withColumnRenamed("node", "id"), "id", "left")
-        .select("label", "vec", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"),
-                F.coalesce("component", "id").alias("component_id")), "named")
-    out = rows.join(named, ["label", "vec"], "left").select(
-        "vec_id", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
-        F.coalesce("component_id", "vec_id").alias("component_id"))
+    with brief_shuffles(vectors.sparkSession):
+        rows = scratch.save(vectors.select(F.col(id_col).cast("bigint").alias("vec_id"), F.col(label_col).alias("label"),
+                                           F.when(usable, vec).alias("vec")), "vectors")
+        valid = rows.where("vec is not null")
+        classes = scratch.save(valid.groupBy("label", "vec").agg(F.min("vec_id").alias("id"), F.count("*").alias("n"))
+                               .withColumn("dim", F.size("vec")), "classes")
+        # each row's class, by two hashes of its vector (0.0 and -0.0 are equal): the vectors stay where they are
+        part = rows.schema["vec"].dataType.elementType
+        plain = F.transform("vec", lambda x: x + F.lit(0).cast(part))
+        hashes = [F.when(F.col("vec").isNotNull(), F.xxhash64(F.lit(seed), plain)).alias(f"h{seed}") for seed in (1, 2)]
+        members = scratch.save(
+            rows.select("vec_id", "label", *hashes).join(classes.select("label", *hashes, "id", "n"), ["label", "h1", "h2"], "left")
+            .select("vec_id", "id", "n"), "members")
+        scratch.drop(rows)
+
+        width = 4 if part.simpleString() == "float" else 8
+        most = F.col("m") * F.col("dim") * width / CHUNK_BYTES
+        chunks = scratch.save(
+            classes.groupBy("label", "dim").agg(F.count("*").alias("m"))
+            .select("label", "dim", F.greatest(F.least(F.ceil(F.col("m") / CHUNK), F.lit(SPREAD)), F.ceil(most)).cast("int").alias("k"))
+            .where("k > 1"), "chunks")  # a row for CHUNK vectors at most
+        widest = chunks.agg(F.max("k")).first()[0] or 1
+        found = []
+        for distance in range(1, max(1, widest // 2) + 1):
+            key = ["label", "dim", "task"]
+            dealt = deal(classes, chunks, distance).repartition(*key).sortWithinPartitions(*key, "step")
+            found.append(scratch.save(dealt.groupBy(*key).applyInArrow(
+                meeting(distance == 1, min_cos, budget), "id bigint, links bigint, root bigint"), "links"))
+        scratch.drop(classes)
+        links = found[0]
+        for more in found[1:]:
+            links = links.union(more)
+        components = connected_components(links.select("id", "root").distinct(), "id", "root", scratch)
+        counts = links.groupBy("id").agg(F.sum("links").alias("links"))
+        nodes = scratch.save(counts.join(components.withColumnRenamed("node", "id"), "id"), "nodes")
+    out = members.join(nodes, "id", "left").select(
+        "vec_id", F.coalesce(F.coalesce("links", F.lit(0)) + F.col("n") - 1, F.lit(0)).cast("bigint").alias("n_links"),
+        F.coalesce("component", "id", "vec_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
