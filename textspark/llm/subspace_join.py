@@ -35,7 +35,7 @@ from .components import connected_components
 CHUNK = 8192
 SPREAD = 4
 #: Bytes of a chunk's vectors, which a task holds (about).
-CHUNK_BYTES = 64 << 20
+CHUNK_BYTES = 48 << 20
 #: Vectors of a cell at most.
 CELL = 512
 #: Pairs that are verified together (about).
@@ -87,8 +87,8 @@ def cells(y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Side:
-    """Vectors in cells: ids, counts, vectors as they came, coordinates in the subspace with half
-    their squared length, bounds and boxes of the cells."""
+    """Vectors in cells: ids, counts, vectors as they came, coordinates in the subspace with minus
+    half their squared length and 1, bounds and boxes of the cells."""
 
     def __init__(self, ids: np.ndarray, n: np.ndarray, x: np.ndarray):
         dim = x.shape[1]
@@ -96,12 +96,17 @@ class Side:
         for at in range(0, len(x), 1 << 13):  # in double precision a block at a time
             y[at:at + (1 << 13)] = unit(x[at:at + (1 << 13)]) @ rotation(dim)[:, :y.shape[1]]
         order, self.bounds = cells(y)
-        self.ids, self.n, self.x, y = ids[order], n[order], x[order], y[order]
-        half = -(y.astype(np.float64) ** 2).sum(1)[:, None].astype(np.float32) / 2
-        one = np.ones_like(half)
-        self.left, self.right = np.concatenate([y, half, one], 1), np.concatenate([y, one, half], 1)
+        self.ids, self.n, self.x = ids[order], n[order], x[order]
+        half = np.einsum("ij,ij->i", y, y, dtype=np.float64)[:, None] / -2
+        self.left = np.concatenate([y, half, np.ones_like(half)], 1, dtype=np.float32)[order]
         begin = self.bounds[:-1]
-        self.low, self.high = np.minimum.reduceat(y, begin), np.maximum.reduceat(y, begin)
+        self.low, self.high = (f.reduceat(self.left[:, :-2], begin) for f in (np.minimum, np.maximum))
+
+    def right(self, begin: int, end: int) -> np.ndarray:
+        """Columns whose products with rows of ``left`` are minus half the squared distance."""
+        own = self.left[begin:end].T.copy()
+        own[[-2, -1]] = own[[-1, -2]]
+        return own
 
 
 def close_cells(a: Side, b: Side, k: int, budget: float) -> np.ndarray:
@@ -128,13 +133,13 @@ def match(a: Side, b: Side, min_cos: float, budget: float):
 
     for q in range(len(b.bounds) - 1):
         r, s = b.bounds[q], b.bounds[q + 1]
-        own = None
+        column, own = b.right(r, s), None
         for p in close_cells(a, b, q, budget):
             if a is b and p > q:
                 break
             t, u = a.bounds[p], a.bounds[p + 1]
             near = room[:(u - t) * (s - r)].reshape(u - t, s - r)
-            np.matmul(a.left[t:u], b.right[r:s].T, out=near)
+            np.matmul(a.left[t:u], column, out=near)
             hits = np.flatnonzero(near.reshape(-1) >= limit)
             if not len(hits):
                 continue
@@ -193,6 +198,8 @@ class Links:
         self.chunk, self.count, self.root = chunk, np.zeros(len(chunk.ids), np.int64), np.arange(len(chunk.ids))
 
     def inside(self, min_cos: float, budget: float) -> None:
+        if len(self.root) == 1:
+            return
         for i, j in match(self.chunk, self.chunk, min_cos, budget):
             np.add.at(self.count, i, self.chunk.n[j])
             np.add.at(self.count, j, self.chunk.n[i])
